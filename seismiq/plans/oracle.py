@@ -159,3 +159,90 @@ select event_hour, cast(sum(total_events) as bigint) as total_events from gold g
 SQL["dash_top_events"] = BASE + """
 select place, magnitude, severity from silver
 order by magnitude desc nulls last, event_id asc limit 10"""
+
+
+def r4(expr: str) -> str:
+    return f"cast(round(cast({expr} as decimal(38,12)), 4) as double)"
+
+
+SCORED = """
+base AS (
+  select event_id, magnitude, depth_km, latitude, longitude,
+         coalesce(significance, 0) as significance,
+         coalesce(felt_reports, 0) as felt_reports,
+         coalesce(cdi, 0) as cdi, coalesce(mmi, 0) as mmi,
+         coalesce(gap_deg, 180) as gap_deg, coalesce(rms, 0) as rms,
+         coalesce(nst, 0) as nst,
+         cast(coalesce(tsunami_flag, false) as int) as tsunami_flag,
+         severity, region
+  from silver
+  where magnitude is not null and depth_km is not null
+),
+stats AS (
+  select avg(magnitude) as mu_m, stddev_pop(magnitude) as sd_m,
+         avg(depth_km) as mu_d, stddev_pop(depth_km) as sd_d,
+         avg(significance) as mu_s, stddev_pop(significance) as sd_s
+  from base
+),
+z AS (
+  select base.*,
+         abs((magnitude - mu_m) / nullif(sd_m, 0)) as zscore_magnitude,
+         abs((depth_km - mu_d) / nullif(sd_d, 0)) as zscore_depth_km,
+         abs((significance - mu_s) / nullif(sd_s, 0)) as zscore_significance
+  from base cross join stats
+),
+flags AS (
+  select z.*,
+    cast(coalesce(zscore_magnitude > 2.5, false) or coalesce(zscore_depth_km > 2.5, false)
+         or coalesce(zscore_significance > 2.5, false) as int) as is_anomaly,
+    concat_ws(' ',
+      case when zscore_magnitude > 2.5 then 'unusual_magnitude' end,
+      case when zscore_depth_km > 2.5 then 'unusual_depth' end,
+      case when zscore_significance > 2.5 then 'high_significance' end) as reasons,
+    round_even(greatest(zscore_magnitude, zscore_depth_km, zscore_significance), 4) as anomaly_score
+  from z
+),
+scores AS (
+  select event_id, zscore_magnitude, zscore_depth_km, zscore_significance, is_anomaly,
+         case when is_anomaly = 0 then 'none' else reasons end as anomaly_reason,
+         anomaly_score
+  from flags
+),
+ml AS (
+  select silver.*, scores.is_anomaly, scores.anomaly_reason, scores.anomaly_score,
+         scores.zscore_magnitude, scores.zscore_depth_km, scores.zscore_significance
+  from silver left join scores on silver.event_id = scores.event_id
+)"""
+
+BASE_ML = with_(OBS, SILVER, SCORED)
+
+SQL["zscore"] = BASE_ML + f"""
+select event_id, magnitude, depth_km, significance,
+       {r4('zscore_magnitude')} as zscore_magnitude,
+       {r4('zscore_depth_km')} as zscore_depth_km,
+       {r4('zscore_significance')} as zscore_significance
+from z"""
+
+SQL["anomaly_flags"] = BASE_ML + """
+select event_id, is_anomaly, anomaly_reason, anomaly_score from scores"""
+
+SQL["anomaly_summary"] = BASE_ML + f"""
+select is_anomaly, anomaly_reason, count(*) as event_count,
+       {r2('avg(magnitude)')} as avg_magnitude,
+       max(magnitude) as max_magnitude,
+       {r2('avg(depth_km)')} as avg_depth_km
+from ml group by is_anomaly, anomaly_reason"""
+
+SQL["dash_anomaly"] = BASE_ML + """
+select is_anomaly, count(*) as events from ml group by is_anomaly"""
+
+SQL["ml_features"] = BASE_ML + """
+select base.*,
+       (n < 10 or substr(md5(concat(event_id, '42')), 1, 2) < '33') as is_test,
+       (n < 10 or not (substr(md5(concat(event_id, '42')), 1, 2) < '33')) as is_train
+from base cross join (select count(*) as n from base) c"""
+
+SQL["ml_enriched"] = BASE_ML + """
+select event_id, severity, region, is_anomaly, anomaly_reason, anomaly_score,
+       (magnitude is not null and depth_km is not null) as scored
+from ml"""

@@ -107,3 +107,86 @@ def q_dash_hourly(spark, sf_dir):
 @register("dash_top_events")
 def q_dash_top_events(spark, sf_dir):
     return dashboards.top_event_table(silver_of(spark, sf_dir), 10)
+
+
+# ---- step 4-6: anomaly, ML features, classifier ---------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import anomaly as an  # noqa: E402
+from ..operators import classifier as clf  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def trained_model(spark: SparkSession, sf_dir: str):
+    """Train once per input directory and session (model training is the
+    expensive step shared by several ML queries)."""
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+        _MODELS[key] = clf.train(feats.filter("is_train"))
+    return _MODELS[key]
+
+
+def ml_of(spark: SparkSession, sf_dir: str, with_model: bool = False) -> DataFrame:
+    model = trained_model(spark, sf_dir) if with_model else None
+    return clf.ml_table(silver_of(spark, sf_dir), model=model, stamp=False)
+
+
+@register("zscore")
+def q_zscore(spark, sf_dir):
+    z = an.zscore(an.scored_base(silver_of(spark, sf_dir)))
+    return z.select("event_id", "magnitude", "depth_km", "significance",
+                    *[F.round(f"zscore_{c}", 4).alias(f"zscore_{c}") for c in an.ANOMALY_FEATURES])
+
+
+@register("anomaly_flags")
+def q_anomaly_flags(spark, sf_dir):
+    return an.anomalies(an.scored_base(silver_of(spark, sf_dir))).select(
+        "event_id", "is_anomaly", "anomaly_reason", "anomaly_score")
+
+
+@register("anomaly_summary")
+def q_anomaly_summary(spark, sf_dir):
+    return an.anomaly_summary(ml_of(spark, sf_dir))
+
+
+@register("dash_anomaly")
+def q_dash_anomaly(spark, sf_dir):
+    return dashboards.anomaly_counts(ml_of(spark, sf_dir))
+
+
+@register("ml_features")
+def q_ml_features(spark, sf_dir):
+    return clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+
+
+@register("ml_enriched")
+def q_ml_enriched(spark, sf_dir):
+    ml = ml_of(spark, sf_dir, with_model=True)
+    return ml.select("event_id", "severity", "region", "is_anomaly", "anomaly_reason",
+                     "anomaly_score", F.col("predicted_severity").isNotNull().alias("scored"))
+
+
+@register("ml_report")
+def q_ml_report(spark, sf_dir):
+    model = trained_model(spark, sf_dir)
+    feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+    pred = clf.predict(model, feats.filter("is_test"))
+    return clf.classification_report(pred, clf.class_labels(model))
+
+
+@register("ml_importance")
+def q_ml_importance(spark, sf_dir):
+    return clf.importance(trained_model(spark, sf_dir))
+
+
+@register("ml_review")
+def q_ml_review(spark, sf_dir):
+    return topk.ml_review(ml_of(spark, sf_dir, with_model=True), 20)
+
+
+@register("dash_predicted")
+def q_dash_predicted(spark, sf_dir):
+    return dashboards.predicted_counts(ml_of(spark, sf_dir, with_model=True))
