@@ -246,3 +246,43 @@ SQL["ml_enriched"] = BASE_ML + """
 select event_id, severity, region, is_anomaly, anomaly_reason, anomaly_score,
        (magnitude is not null and depth_km is not null) as scored
 from ml"""
+
+SQL["daily_kpis"] = BASE_ML + """
+select count(*) as total_events,
+       max(magnitude) as max_magnitude,
+       round_even(avg(magnitude), 2) as avg_magnitude,
+       cast(sum(case when tsunami_flag = true then 1 else 0 end) as bigint) as tsunami_count,
+       cast(sum(is_anomaly) as bigint) as anomaly_count,
+       cast(sum(case when severity in ('MAJOR', 'STRONG', 'CATASTROPHIC') then 1 else 0 end) as bigint)
+         as critical_events,
+       first(place order by magnitude desc nulls last, event_id asc) as top_event_place,
+       first(magnitude order by magnitude desc nulls last, event_id asc) as top_event_magnitude
+from ml"""
+
+SQL["top_regions"] = BASE_ML + """
+select region, count(*) as events from ml group by region
+order by events desc, region limit 3"""
+
+SQL["most_active_region"] = BASE_ML + """
+select region, count(*) as events from ml group by region
+order by events desc, region limit 1"""
+
+SQL["cluster_summary"] = BASE_ML + """
+select region, count(event_id) as "count",
+       round_even(avg(magnitude), 2) as avg_mag,
+       round_even(max(magnitude), 2) as max_mag,
+       cast(sum(is_anomaly) as bigint) as anomalies
+from ml group by region"""
+
+SQL["critical_24h"] = BASE_ML + """
+select event_id, place, magnitude, severity, depth_km, region, event_timestamp, anomaly_reason
+from ml
+where severity in ('MAJOR', 'STRONG', 'CATASTROPHIC')
+  and event_timestamp >= (select max(event_timestamp) from ml) - interval 24 hour"""
+
+SQL["anomalous_events"] = BASE_ML + """
+select event_id, place, magnitude, anomaly_reason from ml where is_anomaly = 1"""
+
+SQL["playbook_event"] = BASE_ML + """
+select event_id, place, magnitude, severity, depth_km, tsunami_flag, region, anomaly_reason
+from ml order by magnitude desc nulls last, event_id asc limit 1"""

@@ -190,3 +190,66 @@ def q_ml_review(spark, sf_dir):
 @register("dash_predicted")
 def q_dash_predicted(spark, sf_dir):
     return dashboards.predicted_counts(ml_of(spark, sf_dir, with_model=True))
+
+
+# ---- step 7: report datasets ----------------------------------------------------
+
+from ..operators import reports as rp  # noqa: E402
+from ..session import fresh_path  # noqa: E402
+
+
+@register("daily_kpis")
+def q_daily_kpis(spark, sf_dir):
+    return rp.daily_kpis(ml_of(spark, sf_dir))
+
+
+@register("top_regions")
+def q_top_regions(spark, sf_dir):
+    return rp.top_regions(ml_of(spark, sf_dir), 3)
+
+
+@register("most_active_region")
+def q_most_active_region(spark, sf_dir):
+    return rp.most_active_region(ml_of(spark, sf_dir))
+
+
+@register("cluster_summary")
+def q_cluster_summary(spark, sf_dir):
+    return rp.cluster_summary(ml_of(spark, sf_dir))
+
+
+@register("critical_24h")
+def q_critical_24h(spark, sf_dir):
+    return rp.critical_events(ml_of(spark, sf_dir), 24)
+
+
+@register("anomalous_events")
+def q_anomalous_events(spark, sf_dir):
+    return rp.anomalous_events(ml_of(spark, sf_dir))
+
+
+@register("playbook_event")
+def q_playbook_event(spark, sf_dir):
+    return rp.playbook_event(ml_of(spark, sf_dir))
+
+
+@register("qa_context")
+def q_qa_context(spark, sf_dir):
+    return rp.qa_context(ml_of(spark, sf_dir, with_model=True))
+
+
+def _history(spark, sf_dir) -> str:
+    """Render the three reports and append them to a fresh history table."""
+    path = fresh_path(spark, "report_history")
+    rp.append_history(rp.render_reports(ml_of(spark, sf_dir, with_model=True)), path)
+    return path
+
+
+@register("report_history")
+def q_report_history(spark, sf_dir):
+    return rp.report_history(spark.read.parquet(_history(spark, sf_dir)))
+
+
+@register("dash_reports")
+def q_dash_reports(spark, sf_dir):
+    return dashboards.report_table(spark.read.parquet(_history(spark, sf_dir)))
