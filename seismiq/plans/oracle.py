@@ -286,3 +286,53 @@ select event_id, place, magnitude, anomaly_reason from ml where is_anomaly = 1""
 SQL["playbook_event"] = BASE_ML + """
 select event_id, place, magnitude, severity, depth_km, tsunami_flag, region, anomaly_reason
 from ml order by magnitude desc nulls last, event_id asc limit 1"""
+
+FEED = """
+feed AS (
+  select obs_seq, bronze_load_timestamp,
+    event_id, 'USGS' as source, magnitude,
+    case when magnitude is not null then (['ml', 'md', 'mb', 'mww'])[obs_seq % 4 + 1] end as magnitude_type,
+    depth_km, latitude, longitude, place, 'earthquake' as event_type,
+    epoch_us(event_timestamp) // 1000 as event_time_epoch_ms,
+    strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S')
+      || case when epoch_us(event_timestamp) % 1000000 <> 0
+              then '.' || lpad(cast(epoch_us(event_timestamp) % 1000000 as varchar), 6, '0') else '' end
+      || 'Z' as event_time_utc,
+    alert_level, tsunami_flag, significance, felt_reports, cdi, mmi,
+    case when obs_seq % 2 = 0 then 'reviewed' else 'automatic' end as status,
+    (['us', 'ak', 'nc', 'ci'])[obs_seq % 4 + 1] as network,
+    gap_deg, rms, nst,
+    'https://feed.example/detail/' || event_id || '.geojson' as detail_url,
+    'https://feed.example/event/' || event_id as event_url,
+    strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' as ingestion_timestamp_utc
+  from obs
+)"""
+
+FEED_COLS = """event_id, source, magnitude, magnitude_type, depth_km, latitude, longitude, place,
+  event_type, event_time_epoch_ms, event_time_utc, alert_level, tsunami_flag, significance,
+  felt_reports, cdi, mmi, status, network, gap_deg, rms, nst, detail_url, event_url"""
+
+SQL["geojson_flatten"] = with_(OBS, FEED) + """
+select event_id, source, magnitude, magnitude_type, depth_km, latitude, longitude, place,
+  event_type, event_time_epoch_ms,
+  case when event_time_epoch_ms is null or event_time_epoch_ms = 0 then null
+       else strftime(epoch_ms(event_time_epoch_ms), '%Y-%m-%dT%H:%M:%S')
+            || case when event_time_epoch_ms % 1000 <> 0
+                    then '.' || lpad(cast((event_time_epoch_ms % 1000) * 1000 as varchar), 6, '0') else '' end
+            || 'Z' end as event_time_utc,
+  alert_level, tsunami_flag, significance, felt_reports, cdi, mmi, status, network,
+  gap_deg, rms, nst, detail_url, event_url
+from feed"""
+
+SQL["landing_read"] = with_(OBS, FEED) + f"""
+select {FEED_COLS}, ingestion_timestamp_utc from feed"""
+
+SQL["bronze_stream"] = SQL["landing_read"]
+
+SQL["silver_stream"] = with_(OBS, SILVER, FEED) + """
+select s.event_id, f.source, s.event_timestamp, f.event_time_utc, s.magnitude, f.magnitude_type,
+  s.severity, s.depth_km, s.depth_category, s.latitude, s.longitude, s.place, s.region,
+  s.alert_level, s.tsunami_flag, s.significance, s.felt_reports, s.cdi, s.mmi, f.status,
+  f.network, s.gap_deg, s.rms, s.nst, f.detail_url, f.event_url, f.ingestion_timestamp_utc
+from silver s join latest l on s.event_id = l.event_id
+join feed f on f.obs_seq = l.obs_seq"""

@@ -253,3 +253,87 @@ def q_report_history(spark, sf_dir):
 @register("dash_reports")
 def q_dash_reports(spark, sf_dir):
     return dashboards.report_table(spark.read.parquet(_history(spark, sf_dir)))
+
+
+# ---- step 8: JSON sources and streaming -------------------------------------------
+
+from ..sources import geojson as gj  # noqa: E402
+from ..sources import landing as ld  # noqa: E402
+from ..sources.adapter import feed_records  # noqa: E402
+from ..sources.schemas import FEED_COLUMNS  # noqa: E402
+from ..streaming import bronze as sb  # noqa: E402
+from ..streaming import silver as ss  # noqa: E402
+
+# Features per GeoJSON document: documents are keyed by ranges of the row
+# sequence, so a document never exceeds this many features.
+FEATURES_PER_DOC = 500
+# Landing batches are weekly slices of the feed, landed in time order; each
+# batch is written by several tasks, all versions of one event in one file.
+LANDING_BATCH_DAYS = 7
+FILES_PER_BATCH = 4
+
+
+def _feed(spark, sf_dir, keep=()):
+    return feed_records(bronze_of(spark, sf_dir), keep=keep)
+
+
+@register("geojson_flatten")
+def q_geojson_flatten(spark, sf_dir):
+    path = fresh_path(spark, "geojson")
+    feed = _feed(spark, sf_dir, keep=("obs_seq",))
+    gj.write_geojson(feed, path, F.floor(F.col("obs_seq") / FEATURES_PER_DOC))
+    flat = gj.read_geojson(spark, path, multiline=False)
+    return flat.drop("ingestion_timestamp_utc")
+
+
+def land_feed(spark, sf_dir) -> str:
+    """Land the feed as NDJSON batches in time order (the fetcher's role)."""
+    landing = fresh_path(spark, "landing")
+    feed = _feed(spark, sf_dir, keep=("event_timestamp",))
+    day = F.datediff(F.col("event_timestamp").cast("date"), F.lit("2000-01-01").cast("date"))
+    feed = feed.withColumn("_batch", F.floor(day / LANDING_BATCH_DAYS))
+    # The batch ids are a handful of small numbers (weeks); listing them is
+    # metadata, each batch itself is written by the executors.
+    batches = sorted(r["_batch"] for r in feed.select("_batch").distinct().collect())
+    for b in batches:
+        part = (feed.filter(F.col("_batch") == b).drop("_batch", "event_timestamp")
+                    .repartition(FILES_PER_BATCH, "event_id"))
+        ld.land(part, landing, batch=f"batch_{b:08d}")
+    return landing
+
+
+@register("landing_files")
+def q_landing_files(spark, sf_dir):
+    landing = land_feed(spark, sf_dir)
+    files = ld.list_landing(spark, landing)
+    return files.agg(F.count(F.lit(1)).alias("files"),
+                     F.sum("size_bytes").alias("bytes"))
+
+
+@register("landing_read")
+def q_landing_read(spark, sf_dir):
+    return ld.read_landing(spark, land_feed(spark, sf_dir))
+
+
+def _run_bronze(spark, sf_dir) -> str:
+    landing = land_feed(spark, sf_dir)
+    bronze = fresh_path(spark, "bronze")
+    q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"),
+                        max_files=FILES_PER_BATCH - 1)
+    q.awaitTermination()
+    return bronze
+
+
+@register("bronze_stream")
+def q_bronze_stream(spark, sf_dir):
+    bronze = _run_bronze(spark, sf_dir)
+    return spark.read.parquet(bronze).select(*FEED_COLUMNS)
+
+
+@register("silver_stream")
+def q_silver_stream(spark, sf_dir):
+    bronze = _run_bronze(spark, sf_dir)
+    log = fresh_path(spark, "silver_log")
+    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=2)
+    q.awaitTermination()
+    return ss.silver_from_log(spark, log, stamp=False)

@@ -68,13 +68,14 @@ FEED_SOURCE = "USGS"
 # -----------------------------------------------------------------------------
 
 
-def feed_records(obs: DataFrame) -> DataFrame:
+def feed_records(obs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Observations -> 25-column feed records (what the fetcher lands).
 
     ``event_time_epoch_ms`` / ``event_time_utc`` carry the observation time;
-    ``ingestion_timestamp_utc`` carries the row's own time at microsecond
-    precision, which orders versions of one event the same way the adapter's
-    ``obs_seq`` does (times increase with the id in the fixture).
+    ``ingestion_timestamp_utc`` carries the row's own time as fixed-width text
+    at microsecond precision, which orders versions of one event the same way
+    the adapter's ``obs_seq`` does (times increase with the id in the fixture).
+    ``keep`` passes extra observation columns through.
     """
     ms = F.unix_millis(F.col("event_timestamp").cast("timestamp"))
     eid = F.col("obs_seq")
@@ -95,5 +96,7 @@ def feed_records(obs: DataFrame) -> DataFrame:
         "gap_deg", "rms", "nst",
         F.concat(F.lit("https://feed.example/detail/"), F.col("event_id"), F.lit(".geojson")).alias("detail_url"),
         F.concat(F.lit("https://feed.example/event/"), F.col("event_id")).alias("event_url"),
-        ntz_to_iso_text(F.col("event_timestamp")).alias("ingestion_timestamp_utc"),
+        F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+         .alias("ingestion_timestamp_utc"),
+        *keep,
     )
