@@ -336,3 +336,28 @@ select s.event_id, f.source, s.event_timestamp, f.event_time_utc, s.magnitude, f
   f.network, s.gap_deg, s.rms, s.nst, f.detail_url, f.event_url, f.ingestion_timestamp_utc
 from silver s join latest l on s.event_id = l.event_id
 join feed f on f.obs_seq = l.obs_seq"""
+
+SQL["export_gold"] = BASE_GOLD + """
+select event_hour as EVENT_HOUR, severity as SEVERITY, region as REGION,
+  total_events as TOTAL_EVENTS, unique_events as UNIQUE_EVENTS, avg_magnitude as AVG_MAGNITUDE,
+  max_magnitude as MAX_MAGNITUDE, min_magnitude as MIN_MAGNITUDE, avg_depth_km as AVG_DEPTH_KM,
+  tsunami_count as TSUNAMI_COUNT, alerted_events as ALERTED_EVENTS,
+  max_significance as MAX_SIGNIFICANCE, most_notable_place as MOST_NOTABLE_PLACE
+from gold"""
+
+SQL["export_validation"] = BASE_GOLD + """
+select severity as SEVERITY, region as REGION, count(*) as EVENTS, max(max_magnitude) as MAX_MAG
+from gold group by severity, region
+order by MAX_MAG desc nulls last, SEVERITY, REGION limit 10"""
+
+SQL["export_manifest"] = BASE_GOLD + """
+select 'GOLD_INSIGHTS' as TABLE_NAME, count(*) as ROWS from gold
+union all select 'ML_PREDICTIONS' as TABLE_NAME, count(*) as ROWS from silver
+union all select 'GENAI_OUTPUTS' as TABLE_NAME, cast(3 as bigint) as ROWS"""
+
+SQL["table_status"] = BASE_ML + """
+select 'seismiq_bronze' as table_name, 'ok' as status, count(*) as rows from obs
+union all select 'seismiq_silver', 'ok', count(*) from silver
+union all select 'seismiq_gold', 'ok', count(*) from (select 1 from silver group by date_trunc('hour', event_timestamp), severity, region) g
+union all select 'seismiq_ml', 'ok', count(*) from ml
+union all select 'seismiq_reports', 'missing', null"""

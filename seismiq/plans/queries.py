@@ -337,3 +337,45 @@ def q_silver_stream(spark, sf_dir):
     q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=2)
     q.awaitTermination()
     return ss.silver_from_log(spark, log, stamp=False)
+
+
+# ---- step 9: export and table status ----------------------------------------------
+
+from ..sources import export as ex  # noqa: E402
+
+
+@register("export_gold")
+def q_export_gold(spark, sf_dir):
+    root = fresh_path(spark, "export")
+    ex.export(gold_of(spark, sf_dir), root, "gold_insights")
+    return spark.read.parquet(ex.target_path(root, "gold_insights"))
+
+
+@register("export_validation")
+def q_export_validation(spark, sf_dir):
+    root = fresh_path(spark, "export")
+    ex.export(gold_of(spark, sf_dir), root, "gold_insights")
+    return ex.export_validation(spark, root, 10)
+
+
+@register("export_manifest")
+def q_export_manifest(spark, sf_dir):
+    """Export the three serving tables, then count them back from the target."""
+    root = fresh_path(spark, "export")
+    s = silver_of(spark, sf_dir)
+    ex.export(gold(s, stamp=False), root, "gold_insights")
+    ex.export(clf.ml_table(s, model=trained_model(spark, sf_dir)), root, "ml_predictions")
+    ex.export(spark.read.parquet(_history(spark, sf_dir)), root, "genai_outputs")
+    return ex.verify_exports(spark, root, ["gold_insights", "ml_predictions", "genai_outputs"])
+
+
+@register("table_status")
+def q_table_status(spark, sf_dir):
+    b = bronze_of(spark, sf_dir)
+    s = silver(b, order=OBS_ORDER, stamp=False)
+    views = {"seismiq_bronze": b, "seismiq_silver": s, "seismiq_gold": gold(s, stamp=False),
+             "seismiq_ml": clf.ml_table(s, stamp=False)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    spark.catalog.dropTempView("seismiq_reports")
+    return audit.table_status(spark, [*views, "seismiq_reports"]).drop("error")
