@@ -237,3 +237,30 @@ def enrich(silver: DataFrame, predictions: DataFrame, run_id: str | None = None,
         out = out.withColumns({"ml_load_timestamp": F.current_timestamp(),
                                "model_run_id": F.lit(run_id or uuid.uuid4().hex)})
     return out
+
+
+def run_record(model: PipelineModel, train_df: DataFrame, test_pred: DataFrame,
+               run_id: str | None = None, features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+    """One-row run record: parameters, features, training rows, accuracy, user.
+
+    Training rows and accuracy are aggregates over the splits, joined into a
+    single row without leaving the cluster.
+    """
+    est = model.stages[-1]
+    params = {p.name: v for p, v in est.extractParamMap().items()
+              if p.name in ("numTrees", "maxDepth", "seed", "stepSize", "maxIter", "featureSubsetStrategy")}
+    rows = train_df.agg(F.count(F.lit(1)).alias("training_rows"))
+    acc = accuracy(test_pred)
+    return rows.crossJoin(acc).select(
+        F.lit(run_id or uuid.uuid4().hex).alias("run_id"),
+        F.lit(type(est).__name__).alias("estimator"),
+        F.to_json(F.create_map(*[x for k, v in sorted(params.items()) for x in (F.lit(k), F.lit(str(v)))]))
+         .alias("params"),
+        F.lit(",".join(features)).alias("features"),
+        "training_rows", "accuracy",
+        F.current_user().alias("run_by"),
+        F.current_timestamp().alias("created_at"))
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)

@@ -361,3 +361,8 @@ union all select 'seismiq_silver', 'ok', count(*) from silver
 union all select 'seismiq_gold', 'ok', count(*) from (select 1 from silver group by date_trunc('hour', event_timestamp), severity, region) g
 union all select 'seismiq_ml', 'ok', count(*) from ml
 union all select 'seismiq_reports', 'missing', null"""
+
+SQL["gold_stream"] = SQL["gold_insights"]
+
+SQL["severity_distribution"] = BASE_ML + """
+select severity, count(*) as events from base group by severity"""

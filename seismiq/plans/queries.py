@@ -379,3 +379,31 @@ def q_table_status(spark, sf_dir):
         df.createOrReplaceTempView(name)
     spark.catalog.dropTempView("seismiq_reports")
     return audit.table_status(spark, [*views, "seismiq_reports"]).drop("error")
+
+
+@register("gold_stream")
+def q_gold_stream(spark, sf_dir):
+    """Bronze stream -> streaming Silver log -> Gold kept current per touched date."""
+    bronze = _run_bronze(spark, sf_dir)
+    log, gpath = fresh_path(spark, "silver_log"), fresh_path(spark, "gold")
+    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8,
+                        gold_path=gpath)
+    q.awaitTermination()
+    return spark.read.parquet(gpath).drop("event_date", "gold_load_timestamp")
+
+
+@register("severity_distribution")
+def q_severity_distribution(spark, sf_dir):
+    return profiles.severity_distribution(an.scored_base(silver_of(spark, sf_dir)))
+
+
+@register("ml_run")
+def q_ml_run(spark, sf_dir):
+    model = trained_model(spark, sf_dir)
+    feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+    pred = clf.predict(model, feats.filter("is_test"))
+    rec = clf.run_record(model, feats.filter("is_train"), pred)
+    path = fresh_path(spark, "ml_runs")
+    rec.write.mode("append").parquet(path)
+    clf.save_model(model, fresh_path(spark, "models"))
+    return spark.read.parquet(path)

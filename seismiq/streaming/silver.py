@@ -10,8 +10,11 @@ operator as the batch layer), and ``compact`` folds the log into a table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.timefmt import parse_iso_utc
+
 from ..operators.dedup import BRONZE_ORDER, dedup_latest
 from ..operators.gold import gold
 from ..operators.silver import silver
@@ -24,20 +27,57 @@ BRONZE_SCHEMA = T.StructType(FEED_SCHEMA.fields + [
 ])
 
 
-def _writer(log: str):
+def _with_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.to_date(parse_iso_utc("event_time_utc")))
+
+
+def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list) -> None:
+    """Recompute Gold for the given event dates and replace just those date
+    partitions (dynamic partition overwrite).
+
+    Candidates are the events with any logged version on those dates (read
+    with partition pruning); their latest versions decide which still
+    belong there.
+    """
+    logged = spark.read.parquet(log)
+    cand = logged.filter(F.col("event_date").isin(dates)).select("event_id").distinct()
+    versions = logged.join(cand, "event_id", "left_semi").drop("batch_id", "event_date")
+    s = silver(versions, order=BRONZE_ORDER, stamp=False)
+    s = s.filter(F.to_date("event_timestamp").isin(dates))
+    g = gold(s, stamp=True).withColumn("event_date", F.to_date("event_hour"))
+    (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+      .partitionBy("event_date").parquet(gold_path))
+
+
+def _writer(log: str, gold_path: str | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (dedup_latest(batch, "event_id", BRONZE_ORDER)
-         .write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}"))
+        spark = batch.sparkSession
+        latest = _with_date(dedup_latest(batch, "event_id", BRONZE_ORDER))
+        (latest.write.mode("overwrite").partitionBy("event_date")
+               .parquet(f"{log}/batch_id={batch_id}"))
+        if gold_path:
+            # Dates touched by this batch: the new versions' dates and the
+            # dates of earlier versions of the same events (a revision can
+            # move an event to another day).  A handful of dates per batch:
+            # small metadata, used for partition pruning.
+            ids = latest.select("event_id")
+            prior = spark.read.parquet(log).join(ids, "event_id", "left_semi").select("event_date")
+            touched = latest.select("event_date").unionByName(prior).distinct()
+            dates = [r[0] for r in touched.collect() if r[0] is not None]
+            if dates:
+                refresh_gold(spark, log, gold_path, dates)
     return write_batch
 
 
 def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: str,
-                 trigger: str | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Bronze table (as a stream) -> per-batch latest versions in ``log``."""
+                 trigger: str | None = None, max_files: int | None = None,
+                 gold_path: str | None = None) -> StreamingQuery:
+    """Bronze table (as a stream) -> per-batch latest versions in ``log``;
+    with ``gold_path`` also keeps Gold current for the dates each batch touches."""
     r = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    w = (r.parquet(bronze_path).writeStream.foreachBatch(_writer(log))
+    w = (r.parquet(bronze_path).writeStream.foreachBatch(_writer(log, gold_path))
           .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
@@ -45,7 +85,7 @@ def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: st
 
 def silver_from_log(spark: SparkSession, log: str, stamp: bool = True) -> DataFrame:
     """Current Silver: latest version per event across all logged batches."""
-    return silver(spark.read.parquet(log).drop("batch_id"), order=BRONZE_ORDER, stamp=stamp)
+    return silver(spark.read.parquet(log).drop("batch_id", "event_date"), order=BRONZE_ORDER, stamp=stamp)
 
 
 def gold_from_log(spark: SparkSession, log: str, stamp: bool = True) -> DataFrame:
