@@ -95,8 +95,15 @@ def boosted_estimator():
     return OneVsRest(classifier=gbt, labelCol="label", featuresCol="features")
 
 
-def train(train_df: DataFrame, estimator=None) -> PipelineModel:
-    return build_pipeline(estimator).fit(vector_input(train_df))
+def train(train_df: DataFrame, estimator=None, materialize: bool = True) -> PipelineModel:
+    """Fit the pipeline.  The label encoder, split finding and bagging each
+    pass over the input, so it is first written once to the shared checkpoint
+    folder (reliable ``checkpoint``: lineage is cut and survives executor
+    loss) instead of recomputing the upstream dedup on every pass."""
+    df = vector_input(train_df)
+    if materialize:
+        df = df.checkpoint(eager=True)
+    return build_pipeline(estimator).fit(df)
 
 
 def class_labels(model: PipelineModel) -> list[str]:
