@@ -34,7 +34,11 @@ def land(feed: DataFrame, landing: str, batch: str | None = None) -> str:
 
 
 def list_landing(spark: SparkSession, landing: str) -> DataFrame:
-    """Landed files with name, size and modification time (content not read)."""
+    """Landed files with name, size and modification time.
+
+    Only the file metadata columns are selected, so file contents are never
+    read.  Zero-length files (no records) are skipped by the file scan.
+    """
     return (spark.read.format("binaryFile")
                  .option("pathGlobFilter", "*.json")
                  .option("recursiveFileLookup", "true")
