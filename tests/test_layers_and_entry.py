@@ -71,3 +71,27 @@ def test_query_matches_oracle(spark, duck, name):
     o = duck.execute(_E.oracle_sql()[name]).fetchdf()
     assert sorted(s.columns) == sorted(o.columns)
     assert _rows(s) == _rows(o)
+
+
+def test_build_layers(spark, tmp):
+    from seismiq.plans.medallion import build_layers
+    from seismiq.sources.adapter import OBS_ORDER
+    run = build_layers(spark, Q.bronze_of(spark, SF_SMALL), root=f"{tmp}/layers", order=OBS_ORDER)
+    s = spark.read.parquet(run.paths["silver"])
+    g = spark.read.parquet(run.paths["gold"])
+    assert s.count() == Q.silver_of(spark, SF_SMALL).count()
+    assert g.agg(F.sum("total_events")).collect()[0][0] == s.count()
+    rows = {m["table_name"]: m["rows"] for m in run.manifest}
+    assert rows == {"GOLD_INSIGHTS": g.count(), "ML_PREDICTIONS": s.count(), "GENAI_OUTPUTS": 3}
+    assert spark.read.parquet(run.paths["ml_runs"]).count() == 1
+
+
+def test_enrich_join_matches_projection(spark):
+    from seismiq.operators import classifier as clf
+    s = Q.silver_of(spark, SF_SMALL)
+    ml = clf.ml_table(s, stamp=False)
+    pred = ml.filter("is_anomaly is not null").select("event_id", "is_anomaly", "anomaly_reason")
+    joined = clf.enrich(s, pred, stamp=False)
+    a = sorted(map(tuple, joined.select("event_id", "is_anomaly", "anomaly_reason").collect()))
+    b = sorted(map(tuple, ml.select("event_id", "is_anomaly", "anomaly_reason").collect()))
+    assert a == b
