@@ -40,6 +40,17 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(bronze_of(spark, sf_dir), order=OBS_ORDER, stamp=False)
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once to the shared checkpoint folder and read back.
+
+    For queries that pass over Silver twice (global statistics then rows,
+    row count then rows, several report blocks): scanning the written rows
+    is cheaper than running the dedup shuffle again, and a reliable
+    checkpoint cuts the lineage so a lost executor does not recompute it.
+    """
+    return silver_of(spark, sf_dir).checkpoint(eager=True)
+
+
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(silver_of(spark, sf_dir), stamp=False)
 
@@ -84,9 +95,9 @@ def q_top_insights(spark, sf_dir):
 
 @register("layer_audit")
 def q_layer_audit(spark, sf_dir):
-    b = bronze_of(spark, sf_dir)
-    s = silver(b, order=OBS_ORDER, stamp=False)
-    return audit.layer_audit({"BRONZE": b, "SILVER": s, "GOLD": gold(s, stamp=False)})
+    s = silver_table(spark, sf_dir)
+    return audit.layer_audit({"BRONZE": bronze_of(spark, sf_dir), "SILVER": s,
+                              "GOLD": gold(s, stamp=False)})
 
 
 @register("dash_severity")
@@ -119,31 +130,34 @@ from ..operators import classifier as clf  # noqa: E402
 _MODELS: dict = {}
 
 
-def trained_model(spark: SparkSession, sf_dir: str):
+def trained_model(spark: SparkSession, sf_dir: str, s: DataFrame | None = None):
     """Train once per input directory and session (model training is the
     expensive step shared by several ML queries)."""
     key = (id(spark), sf_dir)
     if key not in _MODELS:
-        feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+        s = silver_table(spark, sf_dir) if s is None else s
+        feats = clf.split_flag(an.scored_base(s))
         _MODELS[key] = clf.train(feats.filter("is_train"))
     return _MODELS[key]
 
 
-def ml_of(spark: SparkSession, sf_dir: str, with_model: bool = False) -> DataFrame:
-    model = trained_model(spark, sf_dir) if with_model else None
-    return clf.ml_table(silver_of(spark, sf_dir), model=model, stamp=False)
+def ml_of(spark: SparkSession, sf_dir: str, with_model: bool = False,
+          s: DataFrame | None = None) -> DataFrame:
+    s = silver_table(spark, sf_dir) if s is None else s
+    model = trained_model(spark, sf_dir, s) if with_model else None
+    return clf.ml_table(s, model=model, stamp=False)
 
 
 @register("zscore")
 def q_zscore(spark, sf_dir):
-    z = an.zscore(an.scored_base(silver_of(spark, sf_dir)))
+    z = an.zscore(an.scored_base(silver_table(spark, sf_dir)))
     return z.select("event_id", "magnitude", "depth_km", "significance",
                     *[F.round(f"zscore_{c}", 4).alias(f"zscore_{c}") for c in an.ANOMALY_FEATURES])
 
 
 @register("anomaly_flags")
 def q_anomaly_flags(spark, sf_dir):
-    return an.anomalies(an.scored_base(silver_of(spark, sf_dir))).select(
+    return an.anomalies(an.scored_base(silver_table(spark, sf_dir))).select(
         "event_id", "is_anomaly", "anomaly_reason", "anomaly_score")
 
 
@@ -159,7 +173,7 @@ def q_dash_anomaly(spark, sf_dir):
 
 @register("ml_features")
 def q_ml_features(spark, sf_dir):
-    return clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+    return clf.split_flag(an.scored_base(silver_table(spark, sf_dir)))
 
 
 @register("ml_enriched")
@@ -171,8 +185,9 @@ def q_ml_enriched(spark, sf_dir):
 
 @register("ml_report")
 def q_ml_report(spark, sf_dir):
-    model = trained_model(spark, sf_dir)
-    feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+    s = silver_table(spark, sf_dir)
+    model = trained_model(spark, sf_dir, s)
+    feats = clf.split_flag(an.scored_base(s))
     pred = clf.predict(model, feats.filter("is_test"))
     return clf.classification_report(pred, clf.class_labels(model))
 
@@ -243,7 +258,8 @@ def written_ml(spark, sf_dir) -> DataFrame:
     Report renderers scan it several times; scanning the written table avoids
     re-running dedup and forest scoring per scan."""
     path = fresh_path(spark, "ml_predictions")
-    clf.ml_table(silver_of(spark, sf_dir), model=trained_model(spark, sf_dir)).write.parquet(path)
+    s = silver_table(spark, sf_dir)
+    clf.ml_table(s, model=trained_model(spark, sf_dir, s)).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -296,17 +312,23 @@ def q_geojson_flatten(spark, sf_dir):
 
 
 def land_feed(spark, sf_dir) -> str:
-    """Land the feed as NDJSON batches in time order (the fetcher's role)."""
-    landing = fresh_path(spark, "landing")
+    """Land the feed as NDJSON batches in time order (the fetcher's role).
+
+    The feed is staged once, partitioned by landing batch (one scan of the
+    source); each batch is then landed from its own partition, in time
+    order, so later versions of an event always arrive later.
+    """
+    landing, stage = fresh_path(spark, "landing"), fresh_path(spark, "staging")
     feed = _feed(spark, sf_dir, keep=("event_timestamp",))
     day = F.datediff(F.col("event_timestamp").cast("date"), F.lit("2000-01-01").cast("date"))
-    feed = feed.withColumn("_batch", F.floor(day / LANDING_BATCH_DAYS))
-    # The batch ids are a handful of small numbers (weeks); listing them is
-    # metadata, each batch itself is written by the executors.
-    batches = sorted(r["_batch"] for r in feed.select("_batch").distinct().collect())
+    (feed.withColumn("_batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp")
+         .write.partitionBy("_batch").parquet(stage))
+    staged = spark.read.parquet(stage)
+    # The batch ids are a handful of small numbers (weeks): metadata.
+    batches = sorted(r["_batch"] for r in staged.select("_batch").distinct().collect())
     for b in batches:
-        part = (feed.filter(F.col("_batch") == b).drop("_batch", "event_timestamp")
-                    .repartition(FILES_PER_BATCH, "event_id"))
+        part = (staged.filter(F.col("_batch") == b).drop("_batch")
+                      .repartition(FILES_PER_BATCH, "event_id"))
         ld.land(part, landing, batch=f"batch_{b:08d}")
     return landing
 
@@ -371,9 +393,9 @@ def q_export_validation(spark, sf_dir):
 def q_export_manifest(spark, sf_dir):
     """Export the three serving tables, then count them back from the target."""
     root = fresh_path(spark, "export")
-    s = silver_of(spark, sf_dir)
+    s = silver_table(spark, sf_dir)
     ex.export(gold(s, stamp=False), root, "gold_insights")
-    ex.export(clf.ml_table(s, model=trained_model(spark, sf_dir)), root, "ml_predictions")
+    ex.export(clf.ml_table(s, model=trained_model(spark, sf_dir, s)), root, "ml_predictions")
     ex.export(spark.read.parquet(_history(spark, sf_dir)), root, "genai_outputs")
     return ex.verify_exports(spark, root, ["gold_insights", "ml_predictions", "genai_outputs"])
 
@@ -408,8 +430,9 @@ def q_severity_distribution(spark, sf_dir):
 
 @register("ml_run")
 def q_ml_run(spark, sf_dir):
-    model = trained_model(spark, sf_dir)
-    feats = clf.split_flag(an.scored_base(silver_of(spark, sf_dir)))
+    s = silver_table(spark, sf_dir)
+    model = trained_model(spark, sf_dir, s)
+    feats = clf.split_flag(an.scored_base(s))
     pred = clf.predict(model, feats.filter("is_test"))
     rec = clf.run_record(model, feats.filter("is_train"), pred)
     path = fresh_path(spark, "ml_runs")

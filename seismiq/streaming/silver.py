@@ -52,10 +52,13 @@ def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list) ->
 def _writer(log: str, gold_path: str | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        out = f"{log}/batch_id={batch_id}"
         latest = _with_date(dedup_latest(batch, "event_id", BRONZE_ORDER))
-        (latest.write.mode("overwrite").partitionBy("event_date")
-               .parquet(f"{log}/batch_id={batch_id}"))
+        latest.write.mode("overwrite").partitionBy("event_date").parquet(out)
         if gold_path:
+            # Read the batch back from the log rather than re-evaluating the
+            # micro-batch (which would re-read its files and redo the dedup).
+            latest = spark.read.parquet(out)
             # Dates touched by this batch: the new versions' dates and the
             # dates of earlier versions of the same events (a revision can
             # move an event to another day).  A handful of dates per batch:
