@@ -52,10 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Landing files, exported tables and stream checkpoints are written here
     so that every executor (and a restarted driver) sees them.  Only when the
-    setting is absent (local tests) is a private folder created and set.
+    setting is absent in local mode (tests) is a private folder created and
+    set; on a cluster a missing setting is an error, never a local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="seismiq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     jsc_dir = spark.sparkContext.getCheckpointDir()
