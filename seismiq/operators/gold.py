@@ -22,18 +22,26 @@ def notable_place() -> Column:
     return F.max_by("place", F.struct(F.col("magnitude"), F.col("event_id")))
 
 
-def gold(silver: DataFrame, stamp: bool = True, sort: bool = False) -> DataFrame:
+def gold(silver: DataFrame, stamp: bool = True, sort: bool = False,
+         unique_ids: bool = True) -> DataFrame:
     """Silver -> Gold (14 columns).
 
-    A hash aggregation with map-side partial aggregation: the shuffle carries
+    One aggregation with map-side partial aggregation: the shuffle carries
     one row per (map task, hour, severity, region), so a hot group does not
-    concentrate raw rows.  ``countDistinct`` adds one exchange on
-    (group, event_id).  ``sort`` reproduces the global (hour desc, max
-    magnitude desc) order of the table; leave it off when the reader sorts.
+    concentrate raw rows.
+
+    ``unique_ids``: Silver holds exactly one row per non-null ``event_id``
+    (the dedup guarantees it), so the distinct count of ids equals the count
+    of ids and needs no extra aggregation level.  Pass ``False`` for an
+    input that may repeat an id: ``countDistinct`` then adds a second
+    aggregation level keyed by (group, event_id).
+    ``sort`` reproduces the global (hour desc, max magnitude desc) order of
+    the table; leave it off when the reader sorts.
     """
+    distinct = F.count("event_id") if unique_ids else F.countDistinct("event_id")
     aggs = [
         F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct("event_id").alias("unique_events"),
+        distinct.alias("unique_events"),
         F.round(F.avg("magnitude"), 2).alias("avg_magnitude"),
         F.max("magnitude").alias("max_magnitude"),
         F.min("magnitude").alias("min_magnitude"),

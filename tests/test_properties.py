@@ -48,3 +48,14 @@ def test_gold_totals_equal_silver_rows(spark, rows):
         if r.max_magnitude is not None:
             cands = [d for d in data if d[2] == r.max_magnitude]
             assert r.most_notable_place in {"p" + d[0] for d in cands}
+
+
+def test_gold_distinct_on_repeated_ids(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", t0, 3.0), ("a", t0, 3.5), ("b", t0, 3.2)]
+    df = classify(spark.createDataFrame(rows, "event_id string, event_timestamp timestamp_ntz, magnitude double")
+                  .selectExpr("*", "10.0 as depth_km", "0.0 as latitude", "0.0 as longitude",
+                              "false as tsunami_flag", "cast(null as string) as alert_level",
+                              "1 as significance", "concat('p', event_id) as place"))
+    r = gold(df, stamp=False, unique_ids=False).collect()[0]
+    assert (r.total_events, r.unique_events, r.most_notable_place) == (3, 2, "pa")
