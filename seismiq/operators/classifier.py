@@ -97,12 +97,16 @@ def boosted_estimator():
 
 def train(train_df: DataFrame, estimator=None, materialize: bool = True) -> PipelineModel:
     """Fit the pipeline.  The label encoder, split finding and bagging each
-    pass over the input, so it is first written once to the shared checkpoint
-    folder (reliable ``checkpoint``: lineage is cut and survives executor
-    loss) instead of recomputing the upstream dedup on every pass."""
+    pass over the input, so it is first written once as Parquet to the shared
+    folder (lineage is cut, a lost executor does not redo the upstream work)
+    instead of recomputing the upstream dedup on every pass."""
     df = vector_input(train_df)
     if materialize:
-        df = df.checkpoint(eager=True)
+        from ..session import fresh_path
+        spark = df.sparkSession
+        path = fresh_path(spark, "training_set")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
     return build_pipeline(estimator).fit(df)
 
 
