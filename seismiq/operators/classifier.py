@@ -88,10 +88,10 @@ def build_pipeline(estimator=None, features: Sequence[str] = FEATURE_COLUMNS) ->
     return Pipeline(stages=[indexer, assembler, estimator])
 
 
-def boosted_estimator():
+def boosted_estimator(max_iter: int = N_TREES):
     """Option: one-vs-rest gradient-boosted trees (no probability column)."""
     from pyspark.ml.classification import GBTClassifier, OneVsRest
-    gbt = GBTClassifier(maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, maxIter=N_TREES, seed=MODEL_SEED)
+    gbt = GBTClassifier(maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, maxIter=max_iter, seed=MODEL_SEED)
     return OneVsRest(classifier=gbt, labelCol="label", featuresCol="features")
 
 

@@ -72,5 +72,22 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/seismiq/{kind}/{uuid.uuid4().hex}"
 
 
+def scale_settings(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> dict:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``cores``.
+
+    Shuffle partitions start at about one per ``target_bytes`` of input (at
+    least two waves of tasks); adaptive execution then coalesces small ones
+    and splits skewed ones, so the number errs high rather than low.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

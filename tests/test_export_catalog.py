@@ -34,3 +34,24 @@ def test_catalog_tables_and_status(spark):
     assert st["bronze_t.nope"].status == "missing" and len(st["bronze_t.nope"].error) <= 80
     la = {r.layer: r.rows for r in layer_audit({"A": df, "B": df.union(df)}).collect()}
     assert la == {"A": 1, "B": 2}
+
+
+def test_scale_settings():
+    from seismiq.session import scale_settings
+    s = scale_settings(100 << 40, 8000)          # 100 TiB on 8,000 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert int(scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_bronze_stream_to_catalog_table(spark, tmp):
+    import json
+    import os
+    from seismiq.streaming import bronze as sb
+    os.makedirs(f"{tmp}/land/b1")
+    with open(f"{tmp}/land/b1/x.json", "w") as f:
+        f.write(json.dumps({"event_id": "e1", "magnitude": 1.0}))
+    catalog.ensure_schemas(spark, ["bronze_s"])
+    q = sb.start_bronze(spark, f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/ck", table="bronze_s.quakes")
+    q.awaitTermination()
+    assert spark.table("bronze_s.quakes").count() == 1
+    assert sb.stream_status(spark) == []
