@@ -10,13 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import anomaly as an
 from ..operators import audit, dashboards, profiles, topk
+from ..operators import classifier as clf
+from ..operators import reports as rp
 from ..operators.dedup import dedup_latest
 from ..operators.gold import gold
 from ..operators.silver import silver
-from ..session import prepare
-from ..sources.adapter import OBS_ORDER, load_observations
+from ..session import fresh_path, prepare
+from ..sources import export as ex
+from ..sources import geojson as gj
+from ..sources import landing as ld
+from ..sources.adapter import OBS_ORDER, feed_records, load_observations
+from ..sources.schemas import FEED_COLUMNS
+from ..streaming import bronze as sb
+from ..streaming import silver as ss
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -125,10 +135,6 @@ def q_dash_top_events(spark, sf_dir):
 
 # ---- step 4-6: anomaly, ML features, classifier ---------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..operators import anomaly as an  # noqa: E402
-from ..operators import classifier as clf  # noqa: E402
 
 _MODELS: dict = {}
 
@@ -212,9 +218,6 @@ def q_dash_predicted(spark, sf_dir):
 
 # ---- step 7: report datasets ----------------------------------------------------
 
-from ..operators import reports as rp  # noqa: E402
-from ..session import fresh_path  # noqa: E402
-
 
 @register("daily_kpis")
 def q_daily_kpis(spark, sf_dir):
@@ -285,12 +288,6 @@ def q_dash_reports(spark, sf_dir):
 
 # ---- step 8: JSON sources and streaming -------------------------------------------
 
-from ..sources import geojson as gj  # noqa: E402
-from ..sources import landing as ld  # noqa: E402
-from ..sources.adapter import feed_records  # noqa: E402
-from ..sources.schemas import FEED_COLUMNS  # noqa: E402
-from ..streaming import bronze as sb  # noqa: E402
-from ..streaming import silver as ss  # noqa: E402
 
 # Features per GeoJSON document: documents are keyed by ranges of the row
 # sequence, so a document never exceeds this many features.
@@ -375,8 +372,6 @@ def q_silver_stream(spark, sf_dir):
 
 # ---- step 9: export and table status ----------------------------------------------
 
-from ..sources import export as ex  # noqa: E402
-
 
 @register("export_gold")
 def q_export_gold(spark, sf_dir):
