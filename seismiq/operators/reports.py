@@ -196,3 +196,14 @@ def report_history(history: DataFrame) -> DataFrame:
     return (history.select("output_type", "generated_at",
                            F.left(F.col("content"), F.lit(200)).alias("content_preview"))
                    .orderBy(F.col("generated_at").desc(), "output_type"))
+
+
+GOLD_CONTEXT_COLUMNS = ["event_hour", "severity", "region", "total_events", "avg_magnitude",
+                        "max_magnitude", "tsunami_count", "most_notable_place"]
+
+
+def gold_context(gold: DataFrame) -> DataFrame:
+    """Gold rows a question-answering step reads, strongest first."""
+    return (gold.select(*GOLD_CONTEXT_COLUMNS)
+                .orderBy(F.col("max_magnitude").desc_nulls_last(), F.col("event_hour").desc(),
+                         "severity", "region"))

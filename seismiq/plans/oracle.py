@@ -366,3 +366,8 @@ SQL["gold_stream"] = SQL["gold_insights"]
 
 SQL["severity_distribution"] = BASE_ML + """
 select severity, count(*) as events from base group by severity"""
+
+SQL["gold_context"] = BASE_GOLD + """
+select event_hour, severity, region, total_events, avg_magnitude, max_magnitude,
+       tsunami_count, most_notable_place
+from gold order by max_magnitude desc nulls last, event_hour desc, severity, region"""

@@ -437,3 +437,8 @@ def q_ml_run(spark, sf_dir):
     rec.write.mode("append").parquet(path)
     clf.save_model(model, fresh_path(spark, "models"))
     return spark.read.parquet(path)
+
+
+@register("gold_context")
+def q_gold_context(spark, sf_dir):
+    return rp.gold_context(gold_of(spark, sf_dir))

@@ -70,3 +70,17 @@ def test_streaming_silver_equals_batch(spark, tmp):
     q.awaitTermination()
     assert ss.silver_from_log(spark, log).count() == 2
     assert ld.landing_glob(land).endswith("/*/*.json")
+
+
+def test_bronze_processing_time_trigger(spark, tmp):
+    land = f"{tmp}/land"
+    _put(f"{land}/b1/a.json", _rows(["e1"]))
+    q = sb.start_bronze(spark, land, f"{tmp}/bronze", f"{tmp}/ck", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        _put(f"{land}/b2/a.json", _rows(["e2", "e3"]))
+        q.processAllAvailable()
+        assert q.isActive and sb.stream_status(spark)[0]["active"]
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{tmp}/bronze").count() == 3
