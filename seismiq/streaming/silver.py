@@ -86,16 +86,48 @@ def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: st
     return w.start()
 
 
-def silver_from_log(spark: SparkSession, log: str, stamp: bool = True) -> DataFrame:
-    """Current Silver: latest version per event across all logged batches."""
-    return silver(spark.read.parquet(log).drop("batch_id", "event_date"), order=BRONZE_ORDER, stamp=stamp)
-
-
-def gold_from_log(spark: SparkSession, log: str, stamp: bool = True) -> DataFrame:
-    return gold(silver_from_log(spark, log, stamp=False), stamp=stamp)
-
-
-def compact(spark: SparkSession, log: str, out: str) -> str:
-    """Fold the log into a Silver table at a new location (readers switch to it)."""
-    silver_from_log(spark, log).write.mode("error").parquet(out)
-    return out
+def latest_versions(spark: SparkSession, log: str, compacted: str | None = None,
+                    since_batch: int = -1) -> DataFrame:
+    """Latest version per event (Bronze columns) over the compacted table, if
+    any, plus the log batches after ``since_batch``."""
+    logged = spark.read.parquet(log)
+    if since_batch >= 0:
+        logged = logged.filter(F.col("batch_id") > since_batch)
+    rows = logged.drop("batch_id", "event_date")
+    if compacted:
+        rows = spark.read.parquet(compacted).drop("event_date").unionByName(rows)
+    return dedup_latest(rows, "event_id", BRONZE_ORDER)
+
+
+def silver_from_log(spark: SparkSession, log: str, stamp: bool = True,
+                    compacted: str | None = None, since_batch: int = -1) -> DataFrame:
+    """Current Silver: latest version per event across the compacted table and
+    the logged batches after it."""
+    return silver(latest_versions(spark, log, compacted, since_batch), order=BRONZE_ORDER, stamp=stamp)
+
+
+def gold_from_log(spark: SparkSession, log: str, stamp: bool = True,
+                  compacted: str | None = None, since_batch: int = -1) -> DataFrame:
+    return gold(silver_from_log(spark, log, False, compacted, since_batch), stamp=stamp)
+
+
+def last_batch(spark: SparkSession, log: str) -> int:
+    """Highest logged batch id (a partition value: one small aggregate)."""
+    r = spark.read.parquet(log).agg(F.max("batch_id")).collect()[0][0]
+    return -1 if r is None else int(r)
+
+
+def compact(spark: SparkSession, log: str, out: str, compacted: str | None = None,
+            since_batch: int = -1) -> tuple[str, int]:
+    """Fold the log (onto an earlier compaction, if given) into a new table of
+    latest versions at ``out``, keeping the ordering columns so later batches
+    still merge correctly.  Returns ``(out, last folded batch id)``; readers
+    then use ``compacted=out, since_batch=<that id>``."""
+    upto = last_batch(spark, log)
+    logged = spark.read.parquet(log).filter(F.col("batch_id") <= upto)
+    rows = logged.filter(F.col("batch_id") > since_batch).drop("batch_id", "event_date")
+    if compacted:
+        rows = spark.read.parquet(compacted).drop("event_date").unionByName(rows)
+    (_with_date(dedup_latest(rows, "event_id", BRONZE_ORDER))
+     .write.mode("error").partitionBy("event_date").parquet(out))
+    return out, upto

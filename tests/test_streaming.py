@@ -84,3 +84,26 @@ def test_bronze_processing_time_trigger(spark, tmp):
     finally:
         q.stop()
     assert spark.read.parquet(f"{tmp}/bronze").count() == 3
+
+
+def test_compaction_then_new_batches(spark, tmp):
+    land, bronze, log = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log"
+    _put(f"{land}/b1/a.json", _rows(["e1", "e2"], ing="2024-01-01T00:00:01.000000Z", mag=1.0))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2").awaitTermination()
+    comp, upto = ss.compact(spark, log, f"{tmp}/compact1")
+    assert upto == 0
+    # a revision arrives after compaction
+    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T00:00:00Z",
+                                     ing="2024-01-02T00:00:01.000000Z", mag=5.5))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2").awaitTermination()
+    merged = {r.event_id: r.magnitude
+              for r in ss.silver_from_log(spark, log, compacted=comp, since_batch=upto).collect()}
+    full = {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()}
+    assert merged == full == {"e1": 5.5, "e2": 1.0}
+    comp2, upto2 = ss.compact(spark, log, f"{tmp}/compact2", compacted=comp, since_batch=upto)
+    assert upto2 == 1
+    again = {r.event_id: r.magnitude
+             for r in ss.silver_from_log(spark, log, compacted=comp2, since_batch=upto2).collect()}
+    assert again == full
