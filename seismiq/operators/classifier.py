@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from ..sources.schemas import FEATURE_COLUMNS
 from .anomaly import (ANOMALY_FEATURES, SCORE_FILLS, anomaly_columns, feature_stats,
                       scorable, scored_base, with_stats, zscore_columns)
@@ -40,7 +41,7 @@ def _vcol(c: str) -> str:
     return f"_v_{c}"
 
 
-def test_threshold(frac: float) -> str:
+def split_threshold(frac: float) -> str:
     """Two-hex-digit bound: hash prefixes below it form the test split."""
     return format(min(255, round(frac * 256)), "02x")
 
@@ -55,7 +56,7 @@ def split_flag(df: DataFrame, key: str = "event_id", seed: str = SPLIT_SEED,
     row count is a one-row aggregate joined back, not a driver round trip.
     """
     h = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), 1, 2)
-    in_test = h < F.lit(test_threshold(frac))
+    in_test = h < F.lit(split_threshold(frac))
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     small = F.col("_n") < MIN_SPLIT_ROWS
     return (df.crossJoin(F.broadcast(n))
@@ -102,7 +103,6 @@ def train(train_df: DataFrame, estimator=None, materialize: bool = True) -> Pipe
     instead of recomputing the upstream dedup on every pass."""
     df = vector_input(train_df)
     if materialize:
-        from ..session import fresh_path
         spark = df.sparkSession
         path = fresh_path(spark, "training_set")
         df.write.parquet(path)
@@ -138,57 +138,75 @@ def classification_report(pred: DataFrame, labels: Sequence[str],
     """Per-class precision / recall / F1 / support, then accuracy, macro and
     weighted averages; zero division gives 0.
 
-    Built from one confusion count per (actual, predicted) pair -- a tiny
-    aggregate -- joined with the class list, so no event rows are collected.
+    One aggregation reduces the predictions to confusion cells, one per
+    (actual, predicted) pair -- at most (classes + 1)^2 of them, bounded by
+    the label set and not by the data -- gathered into a single row.  Every
+    metric is then computed from that row with higher-order functions, so
+    the predictions are evaluated once.
     """
-    spark = pred.sparkSession
-    classes = spark.createDataFrame([(i, c) for i, c in enumerate(labels)], "ord int, class_name string")
-    pairs = pred.groupBy(F.col(actual).alias("a"), F.col(predicted).alias("p")).agg(
-        F.count(F.lit(1)).alias("n"))
-    support = pairs.groupBy(F.col("a").alias("class_name")).agg(F.sum("n").alias("support"))
-    npred = pairs.groupBy(F.col("p").alias("class_name")).agg(F.sum("n").alias("npred"))
-    tp = pairs.filter(F.col("a") == F.col("p")).select(F.col("a").alias("class_name"), F.col("n").alias("tp"))
-    rows = (classes.join(support, "class_name", "left").join(npred, "class_name", "left")
-                   .join(tp, "class_name", "left")
-                   .fillna(0, ["support", "npred", "tp"]))
-    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred").cast("double")), F.lit(0.0))
-    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
-    per_class = rows.select("ord", "class_name", p.alias("precision"), r.alias("recall"),
-                            F.col("tp"), F.col("support").cast("bigint").alias("support"))
-    per_class = per_class.withColumn(
-        "f1_score", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
-                                            F.col("precision") + F.col("recall")), F.lit(0.0)))
-    tot = per_class.agg(
-        F.sum("tp").alias("tp"), F.sum("support").alias("support"),
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
-        F.try_divide(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-        F.try_divide(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-        F.try_divide(F.sum(F.col("f1_score") * F.col("support")), F.sum("support")).alias("wf"),
-    )
-    n_cls = len(labels)
-    z = F.lit(0.0)
-
-    def row(i, name, p_, r_, f_):
-        return F.struct(F.lit(i).alias("ord"), F.lit(name).alias("class_name"),
-                        p_.cast("double").alias("precision"), r_.cast("double").alias("recall"),
-                        f_.cast("double").alias("f1_score"),
-                        F.col("support").cast("bigint").alias("support"))
+    cells = (pred.groupBy(F.col(actual).alias("a"), F.col(predicted).alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+    conf = cells.agg(F.collect_list(F.struct("a", "p", "n")).alias("m"))
+    classes = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(c).alias("class_name"))
+                        for i, c in enumerate(labels)])
+    zero, dz = F.lit(0).cast("bigint"), F.lit(0.0)
+
+    def total(cond) -> Column:
+        return F.aggregate(F.filter("m", cond), zero, lambda acc, x: acc + x["n"])
+
+    def ratio(num: Column, den: Column) -> Column:
+        return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), dz)
+
+    counts = F.transform(classes, lambda k: F.struct(
+        k["ord"].alias("ord"), k["class_name"].alias("class_name"),
+        total(lambda x: x["a"] == k["class_name"]).alias("support"),
+        total(lambda x: x["p"] == k["class_name"]).alias("npred"),
+        total(lambda x: (x["a"] == k["class_name"]) & (x["p"] == k["class_name"])).alias("tp")))
+    per_class = F.transform(counts, lambda c: F.struct(
+        c["ord"].alias("ord"), c["class_name"].alias("class_name"),
+        ratio(c["tp"], c["npred"]).alias("precision"),
+        ratio(c["tp"], c["support"]).alias("recall"),
+        c["support"].alias("support"), c["tp"].alias("tp")))
+    scored = F.transform(per_class, lambda c: F.struct(
+        c["ord"].alias("ord"), c["class_name"].alias("class_name"),
+        c["precision"].cast("double").alias("precision"), c["recall"].cast("double").alias("recall"),
+        ratio(2 * c["precision"] * c["recall"], c["precision"] + c["recall"]).alias("f1_score"),
+        c["support"].alias("support")))
+
+    def fold(field: str, weighted: bool = False) -> Column:
+        return F.aggregate("_rows", dz, lambda acc, x: acc + (
+            x[field] * x["support"] if weighted else x[field]))
 
-    acc = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), z)
-    summary = tot.select(F.inline(F.array(
-        row(n_cls, "accuracy", F.lit(None), F.lit(None), acc),
-        row(n_cls + 1, "macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
-        row(n_cls + 2, "weighted avg", F.coalesce(F.col("wp"), z), F.coalesce(F.col("wr"), z),
-            F.coalesce(F.col("wf"), z)),
-    )))
-    cols = ["ord", "class_name", "precision", "recall", "f1_score", "support"]
-    return per_class.select(*cols).unionByName(summary.select(*cols))
+    n_cls = len(labels)
+    row = F.struct  # readability below
+
+    def summary(i: int, name: str, p_: Column, r_: Column, f_: Column) -> Column:
+        return row(F.lit(i).alias("ord"), F.lit(name).alias("class_name"),
+                   p_.cast("double").alias("precision"), r_.cast("double").alias("recall"),
+                   f_.cast("double").alias("f1_score"), F.col("_support").alias("support"))
+
+    out = (conf.select(scored.alias("_rows"),
+                       F.aggregate(per_class, zero, lambda a, x: a + x["support"]).alias("_support"),
+                       F.aggregate(per_class, zero, lambda a, x: a + x["tp"]).alias("_tp"))
+               .select("_rows", "_support", "_tp",
+                       F.array(
+                           summary(n_cls, "accuracy", F.lit(None), F.lit(None),
+                                   ratio(F.col("_tp"), F.col("_support"))),
+                           summary(n_cls + 1, "macro avg", ratio(fold("precision"), F.size("_rows")),
+                                   ratio(fold("recall"), F.size("_rows")),
+                                   ratio(fold("f1_score"), F.size("_rows"))),
+                           summary(n_cls + 2, "weighted avg",
+                                   ratio(fold("precision", True), F.col("_support")),
+                                   ratio(fold("recall", True), F.col("_support")),
+                                   ratio(fold("f1_score", True), F.col("_support"))),
+                       ).alias("_summary")))
+    return out.select(F.inline(F.concat("_rows", "_summary")))
 
 
 def importance(model: PipelineModel, features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """Feature importance table (12 rows), most important first."""
     est = model.stages[-1]
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     vals = est.featureImportances.toArray().tolist() if hasattr(est, "featureImportances") else [None] * len(features)
     return (spark.createDataFrame(list(zip(features, [float(v) if v is not None else None for v in vals])),
                                   "feature string, importance double")
