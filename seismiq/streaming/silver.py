@@ -31,17 +31,31 @@ def _with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date(parse_iso_utc("event_time_utc")))
 
 
-def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list) -> None:
+def logged_versions(spark: SparkSession, log: str, compacted: str | None = None,
+                    since_batch: int = -1) -> DataFrame:
+    """Every retained version with its ``event_date``: the compacted table
+    (latest versions up to ``since_batch``) plus the log batches after it."""
+    logged = spark.read.parquet(log)
+    if since_batch >= 0:
+        logged = logged.filter(F.col("batch_id") > since_batch)
+    logged = logged.drop("batch_id")
+    if compacted:
+        logged = spark.read.parquet(compacted).unionByName(logged)
+    return logged
+
+
+def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
+                 compacted: str | None = None, since_batch: int = -1) -> None:
     """Recompute Gold for the given event dates and replace just those date
     partitions (dynamic partition overwrite).
 
-    Candidates are the events with any logged version on those dates (read
+    Candidates are the events with any retained version on those dates (read
     with partition pruning); their latest versions decide which still
     belong there.
     """
-    logged = spark.read.parquet(log)
-    cand = logged.filter(F.col("event_date").isin(dates)).select("event_id").distinct()
-    versions = logged.join(cand, "event_id", "left_semi").drop("batch_id", "event_date")
+    versions_all = logged_versions(spark, log, compacted, since_batch)
+    cand = versions_all.filter(F.col("event_date").isin(dates)).select("event_id").distinct()
+    versions = versions_all.join(cand, "event_id", "left_semi").drop("event_date")
     s = silver(versions, order=BRONZE_ORDER, stamp=False)
     s = s.filter(F.to_date("event_timestamp").isin(dates))
     g = gold(s, stamp=True).withColumn("event_date", F.to_date("event_hour"))
@@ -49,7 +63,8 @@ def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list) ->
       .partitionBy("event_date").parquet(gold_path))
 
 
-def _writer(log: str, gold_path: str | None = None):
+def _writer(log: str, gold_path: str | None = None, compacted: str | None = None,
+            since_batch: int = -1):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         out = f"{log}/batch_id={batch_id}"
@@ -64,23 +79,27 @@ def _writer(log: str, gold_path: str | None = None):
             # move an event to another day).  A handful of dates per batch:
             # small metadata, used for partition pruning.
             ids = latest.select("event_id")
-            prior = spark.read.parquet(log).join(ids, "event_id", "left_semi").select("event_date")
+            prior = (logged_versions(spark, log, compacted, since_batch)
+                     .join(ids, "event_id", "left_semi").select("event_date"))
             touched = latest.select("event_date").unionByName(prior).distinct()
             dates = [r[0] for r in touched.collect() if r[0] is not None]
             if dates:
-                refresh_gold(spark, log, gold_path, dates)
+                refresh_gold(spark, log, gold_path, dates, compacted, since_batch)
     return write_batch
 
 
 def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: str,
                  trigger: str | None = None, max_files: int | None = None,
-                 gold_path: str | None = None) -> StreamingQuery:
+                 gold_path: str | None = None, compacted: str | None = None,
+                 since_batch: int = -1) -> StreamingQuery:
     """Bronze table (as a stream) -> per-batch latest versions in ``log``;
-    with ``gold_path`` also keeps Gold current for the dates each batch touches."""
+    with ``gold_path`` also keeps Gold current for the dates each batch
+    touches, reading the compacted table plus the batches after it."""
     r = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    w = (r.parquet(bronze_path).writeStream.foreachBatch(_writer(log, gold_path))
+    w = (r.parquet(bronze_path).writeStream
+          .foreachBatch(_writer(log, gold_path, compacted, since_batch))
           .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
@@ -90,12 +109,7 @@ def latest_versions(spark: SparkSession, log: str, compacted: str | None = None,
                     since_batch: int = -1) -> DataFrame:
     """Latest version per event (Bronze columns) over the compacted table, if
     any, plus the log batches after ``since_batch``."""
-    logged = spark.read.parquet(log)
-    if since_batch >= 0:
-        logged = logged.filter(F.col("batch_id") > since_batch)
-    rows = logged.drop("batch_id", "event_date")
-    if compacted:
-        rows = spark.read.parquet(compacted).drop("event_date").unionByName(rows)
+    rows = logged_versions(spark, log, compacted, since_batch).drop("event_date")
     return dedup_latest(rows, "event_id", BRONZE_ORDER)
 
 

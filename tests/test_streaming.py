@@ -107,3 +107,18 @@ def test_compaction_then_new_batches(spark, tmp):
     again = {r.event_id: r.magnitude
              for r in ss.silver_from_log(spark, log, compacted=comp2, since_batch=upto2).collect()}
     assert again == full
+
+
+def test_gold_refresh_after_compaction(spark, tmp):
+    land, bronze, log, gold_path = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
+    _put(f"{land}/b1/a.json", _rows(["e1", "e2"], ing="2024-01-01T00:00:01.000000Z", mag=1.0))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path).awaitTermination()
+    comp, upto = ss.compact(spark, log, f"{tmp}/compact")
+    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T00:00:00Z",
+                                     ing="2024-01-02T00:00:01.000000Z", mag=6.5))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path,
+                    compacted=comp, since_batch=upto).awaitTermination()
+    got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gold_path).collect()}
+    assert got == {("2024-01-01", "NEGLIGIBLE"): 1, ("2024-01-02", "MAJOR"): 1}
