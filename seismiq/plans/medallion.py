@@ -73,3 +73,39 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str | None = None
                      ("genai_outputs", spark.read.parquet(p["reports"]))):
         run.manifest.append(ex.export(df, exp, name))
     return run
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m seismiq.plans.medallion --bronze PATH [--landing] [--root OUT]``
+
+    Runs the layer job over a Bronze Parquet table, or over a landing folder
+    of NDJSON batches (``--landing``: the files are read as Bronze rows with a
+    load time of the run), and prints the export manifest as JSON lines.
+    """
+    import argparse
+    import json
+
+    from ..sources.landing import read_landing
+    from ..session import build_session
+
+    ap = argparse.ArgumentParser(prog="seismiq.plans.medallion")
+    ap.add_argument("--bronze", required=True)
+    ap.add_argument("--landing", action="store_true")
+    ap.add_argument("--root", default=None)
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(args.master)
+    if args.landing:
+        bronze = read_landing(spark, args.bronze).withColumns({
+            "bronze_load_timestamp": F.current_timestamp(),
+            "source_file": F.col("_metadata.file_path")})
+    else:
+        bronze = spark.read.parquet(args.bronze)
+    run = build_layers(spark, bronze, args.root)
+    for m in run.manifest:
+        print(json.dumps(m))
+    print(json.dumps(run.paths))
+
+
+if __name__ == "__main__":
+    main()
