@@ -1,47 +1,75 @@
 """Streaming Silver and Gold without a table format that supports MERGE.
 
 Each Bronze micro-batch is reduced to its latest version per event and
-written to ``<log>/batch_id=N`` with overwrite -- a replayed batch rewrites
-the same folder, so the sink is idempotent and exactly-once together with
-the stream checkpoint.  Silver is latest-wins dedup over the log (the same
-operator as the batch layer), and ``compact`` folds the log into a table.
+written to ``<log>/batch_id=N/event_date=D`` with overwrite -- a replayed
+batch rewrites the same folder, so the sink is idempotent and exactly-once
+together with the stream checkpoint.  Silver is latest-wins dedup over the
+retained versions (the same operator as the batch layer).
+
+``compact`` folds the log into a table holding one latest row per event,
+partitioned by date and sorted by id within each file.  With it, keeping
+Gold current costs the compacted rows of the touched dates, the compacted
+rows of recently changed ids, and the log since compaction -- not a scan of
+every version ever retained.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timefmt import parse_iso_utc
-
 from ..operators.dedup import BRONZE_ORDER, dedup_latest
 from ..operators.gold import gold
 from ..operators.silver import silver
 from ..sources.schemas import FEED_SCHEMA
-from pyspark.sql import types as T
 
 BRONZE_SCHEMA = T.StructType(FEED_SCHEMA.fields + [
     T.StructField("bronze_load_timestamp", T.TimestampType()),
     T.StructField("source_file", T.StringType()),
 ])
 
+# Id sets up to this size are looked up with a literal IN filter, which the
+# Parquet scan can use to skip row groups of the id-sorted compacted table;
+# larger sets use a semi-join instead.
+MAX_ID_LITERALS = 10_000
+
 
 def _with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date(parse_iso_utc("event_time_utc")))
 
 
+def _recent(spark: SparkSession, log: str, since_batch: int) -> DataFrame:
+    """Log rows after ``since_batch`` (all of the log when nothing is compacted)."""
+    logged = spark.read.parquet(log)
+    if since_batch >= 0:
+        logged = logged.filter(F.col("batch_id") > since_batch)
+    return logged.drop("batch_id")
+
+
+def _rows_of_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``event_id`` is in ``ids`` (one column).
+
+    The id set is fetched only up to ``MAX_ID_LITERALS + 1`` rows: within the
+    bound it becomes a literal IN filter; beyond it a semi-join is used.
+    """
+    probe = [r[0] for r in ids.where(F.col("event_id").isNotNull()).distinct()
+             .limit(MAX_ID_LITERALS + 1).collect()]
+    if len(probe) <= MAX_ID_LITERALS:
+        return table.filter(F.col("event_id").isin(probe)) if probe else table.limit(0)
+    return table.join(ids, "event_id", "left_semi")
+
+
 def logged_versions(spark: SparkSession, log: str, compacted: str | None = None,
                     since_batch: int = -1) -> DataFrame:
     """Every retained version with its ``event_date``: the compacted table
     (latest versions up to ``since_batch``) plus the log batches after it."""
-    logged = spark.read.parquet(log)
-    if since_batch >= 0:
-        logged = logged.filter(F.col("batch_id") > since_batch)
-    logged = logged.drop("batch_id")
+    rows = _recent(spark, log, since_batch)
     if compacted:
-        logged = spark.read.parquet(compacted).unionByName(logged)
-    return logged
+        rows = spark.read.parquet(compacted).unionByName(rows)
+    return rows
 
 
 def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
@@ -49,20 +77,38 @@ def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
     """Recompute Gold for the given event dates and replace just those date
     partitions (dynamic partition overwrite).
 
-    Candidates are the events with any retained version on those dates (read
-    with partition pruning); their latest versions decide which still
-    belong there.
+    An event belongs to a date when its latest version is there.  That
+    version is either a recent log row or, failing that, its compacted row;
+    so the versions needed are the recent rows, the compacted rows on the
+    dates (partition pruning) and the compacted rows of recently changed ids.
     """
-    versions_all = logged_versions(spark, log, compacted, since_batch)
-    cand = versions_all.filter(F.col("event_date").isin(dates)).select("event_id").distinct()
-    versions = versions_all.join(cand, "event_id", "left_semi").drop("event_date")
-    s = silver(versions, order=BRONZE_ORDER, stamp=False)
+    recent = _recent(spark, log, since_batch)
+    versions = recent
+    if compacted:
+        comp = spark.read.parquet(compacted)
+        versions = (versions.unionByName(comp.filter(F.col("event_date").isin(dates)))
+                            .unionByName(_rows_of_ids(comp, recent.select("event_id"))))
+    s = silver(versions.drop("event_date"), order=BRONZE_ORDER, stamp=False)
     s = s.filter(F.to_date("event_timestamp").isin(dates))
     g = gold(s, stamp=True).withColumn("event_date", F.to_date("event_hour"))
     (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("event_date").parquet(gold_path))
 
 
+def touched_dates(spark: SparkSession, log: str, batch_rows: DataFrame,
+                  compacted: str | None = None, since_batch: int = -1) -> list:
+    """Dates a batch changes: its new versions' dates and the dates of the
+    previous latest versions of the same events (a revision can move an
+    event to another day).  A handful of dates: small metadata."""
+    ids = batch_rows.select("event_id")
+    prior = _rows_of_ids(_recent(spark, log, since_batch), ids).select("event_date")
+    if compacted:
+        prior = prior.unionByName(
+            _rows_of_ids(spark.read.parquet(compacted), ids).select("event_date"))
+    touched = batch_rows.select("event_date").unionByName(prior).distinct()
+    return [r[0] for r in touched.collect() if r[0] is not None]
+
+
 def _writer(log: str, gold_path: str | None = None, compacted: str | None = None,
             since_batch: int = -1):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -73,16 +119,8 @@ def _writer(log: str, gold_path: str | None = None, compacted: str | None = None
         if gold_path:
             # Read the batch back from the log rather than re-evaluating the
             # micro-batch (which would re-read its files and redo the dedup).
-            latest = spark.read.parquet(out)
-            # Dates touched by this batch: the new versions' dates and the
-            # dates of earlier versions of the same events (a revision can
-            # move an event to another day).  A handful of dates per batch:
-            # small metadata, used for partition pruning.
-            ids = latest.select("event_id")
-            prior = (logged_versions(spark, log, compacted, since_batch)
-                     .join(ids, "event_id", "left_semi").select("event_date"))
-            touched = latest.select("event_date").unionByName(prior).distinct()
-            dates = [r[0] for r in touched.collect() if r[0] is not None]
+            written = spark.read.parquet(out)
+            dates = touched_dates(spark, log, written, compacted, since_batch)
             if dates:
                 refresh_gold(spark, log, gold_path, dates, compacted, since_batch)
     return write_batch
@@ -134,14 +172,20 @@ def last_batch(spark: SparkSession, log: str) -> int:
 def compact(spark: SparkSession, log: str, out: str, compacted: str | None = None,
             since_batch: int = -1) -> tuple[str, int]:
     """Fold the log (onto an earlier compaction, if given) into a new table of
-    latest versions at ``out``, keeping the ordering columns so later batches
-    still merge correctly.  Returns ``(out, last folded batch id)``; readers
-    then use ``compacted=out, since_batch=<that id>``."""
+    latest versions at ``out``: one row per event, keeping the ordering
+    columns so later batches still merge correctly.  Rows are range-
+    partitioned on (date, id) -- a hot date is split over several tasks --
+    and sorted by id within each file, so id lookups can skip row groups.
+    Returns ``(out, last folded batch id)``; readers then use
+    ``compacted=out, since_batch=<that id>``."""
     upto = last_batch(spark, log)
-    logged = spark.read.parquet(log).filter(F.col("batch_id") <= upto)
-    rows = logged.filter(F.col("batch_id") > since_batch).drop("batch_id", "event_date")
+    rows = (spark.read.parquet(log)
+                 .filter((F.col("batch_id") > since_batch) & (F.col("batch_id") <= upto))
+                 .drop("batch_id"))
     if compacted:
-        rows = spark.read.parquet(compacted).drop("event_date").unionByName(rows)
-    (_with_date(dedup_latest(rows, "event_id", BRONZE_ORDER))
-     .write.mode("error").partitionBy("event_date").parquet(out))
+        rows = spark.read.parquet(compacted).unionByName(rows)
+    latest = _with_date(dedup_latest(rows.drop("event_date"), "event_id", BRONZE_ORDER))
+    (latest.repartitionByRange("event_date", "event_id")
+           .sortWithinPartitions("event_date", "event_id")
+           .write.mode("error").partitionBy("event_date").parquet(out))
     return out, upto
