@@ -15,7 +15,7 @@ every version ever retained.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,9 +31,12 @@ BRONZE_SCHEMA = T.StructType(FEED_SCHEMA.fields + [
     T.StructField("source_file", T.StringType()),
 ])
 
-# Id sets up to this size are looked up with a literal IN filter, which the
-# Parquet scan can use to skip row groups of the id-sorted compacted table;
-# larger sets use a semi-join instead.
+# Id sets up to this size are looked up in the compacted table with a
+# literal IN filter: Parquet tests the set against each row group's id range,
+# so on the id-sorted compacted table most row groups are skipped.  Larger
+# sets use a semi-join.  The log since compaction is not id-sorted; it is
+# always semi-joined, with the micro-batch's ids as the small side (Spark
+# broadcasts that side only under its size threshold, else sort-merges).
 MAX_ID_LITERALS = 10_000
 
 
@@ -49,8 +52,12 @@ def _recent(spark: SparkSession, log: str, since_batch: int) -> DataFrame:
     return logged.drop("batch_id")
 
 
-def _rows_of_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``table`` whose ``event_id`` is in ``ids`` (one column).
+def _ids_of(rows: DataFrame) -> DataFrame:
+    return rows.select("event_id")
+
+
+def _compacted_rows_of_ids(comp: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the compacted table whose ``event_id`` is in ``ids``.
 
     The id set is fetched only up to ``MAX_ID_LITERALS + 1`` rows: within the
     bound it becomes a literal IN filter; beyond it a semi-join is used.
@@ -58,8 +65,15 @@ def _rows_of_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
     probe = [r[0] for r in ids.where(F.col("event_id").isNotNull()).distinct()
              .limit(MAX_ID_LITERALS + 1).collect()]
     if len(probe) <= MAX_ID_LITERALS:
-        return table.filter(F.col("event_id").isin(probe)) if probe else table.limit(0)
-    return table.join(ids, "event_id", "left_semi")
+        return comp.filter(F.col("event_id").isin(probe)) if probe else comp.limit(0)
+    return comp.join(ids, "event_id", "left_semi")
+
+
+def changed_compacted(spark: SparkSession, log: str, compacted: str,
+                      since_batch: int) -> DataFrame:
+    """Compacted rows of the events revised since compaction."""
+    return _compacted_rows_of_ids(spark.read.parquet(compacted),
+                                  _ids_of(_recent(spark, log, since_batch)))
 
 
 def logged_versions(spark: SparkSession, log: str, compacted: str | None = None,
@@ -72,8 +86,33 @@ def logged_versions(spark: SparkSession, log: str, compacted: str | None = None,
     return rows
 
 
+def touched_dates(spark: SparkSession, log: str, batch_rows: DataFrame,
+                  changed: DataFrame | None = None, since_batch: int = -1) -> list:
+    """Dates a batch changes: its new versions' dates and the dates of the
+    earlier versions of the same events (a revision can move an event to
+    another day).  Earlier versions are the log since compaction and the
+    ``changed`` compacted rows.  One job; a handful of dates come back."""
+    ids = _ids_of(batch_rows)
+    prior = _recent(spark, log, since_batch)
+    if changed is not None:
+        prior = prior.unionByName(changed)
+    prior = prior.join(ids, "event_id", "left_semi").select("event_date")
+    touched = batch_rows.select("event_date").unionByName(prior).distinct()
+    return [r[0] for r in touched.collect() if r[0] is not None]
+
+
+def _drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
+    """Remove ``column=value`` partition folders of a Parquet table."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
+        p.getFileSystem(conf).delete(p, True)
+
+
 def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
-                 compacted: str | None = None, since_batch: int = -1) -> None:
+                 compacted: str | None = None, since_batch: int = -1,
+                 changed: DataFrame | None = None) -> None:
     """Recompute Gold for the given event dates and replace just those date
     partitions (dynamic partition overwrite).
 
@@ -81,32 +120,28 @@ def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
     version is either a recent log row or, failing that, its compacted row;
     so the versions needed are the recent rows, the compacted rows on the
     dates (partition pruning) and the compacted rows of recently changed ids.
+    A date left without events (its only events moved away) gets no output
+    row, so its old partition is removed after the write.
     """
-    recent = _recent(spark, log, since_batch)
-    versions = recent
+    versions = _recent(spark, log, since_batch)
     if compacted:
         comp = spark.read.parquet(compacted)
+        if changed is None:
+            changed = changed_compacted(spark, log, compacted, since_batch)
         versions = (versions.unionByName(comp.filter(F.col("event_date").isin(dates)))
-                            .unionByName(_rows_of_ids(comp, recent.select("event_id"))))
+                            .unionByName(changed))
     s = silver(versions.drop("event_date"), order=BRONZE_ORDER, stamp=False)
     s = s.filter(F.to_date("event_timestamp").isin(dates))
     g = gold(s, stamp=True).withColumn("event_date", F.to_date("event_hour"))
-    (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written = Observation("gold_dates")
+    # Gold for one date is at most hours x severities x regions rows, whatever
+    # the event count: one task (one file) per date is bounded.
+    (g.observe(written, F.collect_set("event_date").alias("dates"))
+      .repartition("event_date")
+      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("event_date").parquet(gold_path))
-
-
-def touched_dates(spark: SparkSession, log: str, batch_rows: DataFrame,
-                  compacted: str | None = None, since_batch: int = -1) -> list:
-    """Dates a batch changes: its new versions' dates and the dates of the
-    previous latest versions of the same events (a revision can move an
-    event to another day).  A handful of dates: small metadata."""
-    ids = batch_rows.select("event_id")
-    prior = _rows_of_ids(_recent(spark, log, since_batch), ids).select("event_date")
-    if compacted:
-        prior = prior.unionByName(
-            _rows_of_ids(spark.read.parquet(compacted), ids).select("event_date"))
-    touched = batch_rows.select("event_date").unionByName(prior).distinct()
-    return [r[0] for r in touched.collect() if r[0] is not None]
+    emptied = set(dates) - set(written.get["dates"] or [])
+    _drop_partitions(spark, gold_path, "event_date", sorted(emptied))
 
 
 def _writer(log: str, gold_path: str | None = None, compacted: str | None = None,
@@ -120,9 +155,11 @@ def _writer(log: str, gold_path: str | None = None, compacted: str | None = None
             # Read the batch back from the log rather than re-evaluating the
             # micro-batch (which would re-read its files and redo the dedup).
             written = spark.read.parquet(out)
-            dates = touched_dates(spark, log, written, compacted, since_batch)
+            changed = (changed_compacted(spark, log, compacted, since_batch)
+                       if compacted else None)
+            dates = touched_dates(spark, log, written, changed, since_batch)
             if dates:
-                refresh_gold(spark, log, gold_path, dates, compacted, since_batch)
+                refresh_gold(spark, log, gold_path, dates, compacted, since_batch, changed)
     return write_batch
 
 

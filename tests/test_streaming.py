@@ -179,3 +179,20 @@ def test_incremental_gold_equals_full_recompute(spark, tmp):
                                                 "max_magnitude").collect())
     assert got == want
     assert sum(r[3] for r in got) == 6
+
+
+def test_gold_day_emptied_by_a_revision_is_cleared(spark, tmp):
+    """A revision that moves a day's only event elsewhere leaves no Gold row
+    for that day (dynamic overwrite alone would keep the stale partition)."""
+    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
+    _put(f"{land}/b1/a.json", _rows(["e1"], t="2024-01-01T06:00:00Z",
+                                     ing="2024-01-01T06:00:01.000000Z", mag=1.0)
+         + _rows(["e2"], t="2024-01-02T06:00:00Z", ing="2024-01-02T06:00:01.000000Z", mag=2.0))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath).awaitTermination()
+    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T07:00:00Z",
+                                     ing="2024-01-02T07:00:01.000000Z", mag=3.0))
+    _run(spark, land, bronze, f"{tmp}/ck1")
+    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath).awaitTermination()
+    got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gpath).collect()}
+    assert got == {("2024-01-02", "MICRO"): 1, ("2024-01-02", "MINOR"): 1}
