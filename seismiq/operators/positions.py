@@ -1,0 +1,54 @@
+"""Gap-free row positions in a sort order, computed across the cluster.
+
+A ``row_number()`` over a window without ``partitionBy`` moves every row into
+one task.  Here the sort is range-partitioned instead: Spark samples the sort
+keys to cut balanced ranges (a hot key value is spread over several ranges as
+long as the order ends in a unique column), each row is tagged with its range
+and its rank inside the range, and only per-range row counts -- one row per
+range -- are combined to give each range its starting offset.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import fresh_path
+
+# monotonically_increasing_id() = partition index << 33 | row index in partition
+_ROW_BITS = 33
+
+
+def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "position",
+                  group: str | None = None, path: str | None = None) -> DataFrame:
+    """``df`` plus ``name``: the 1-based position of each row in ``order``.
+
+    With ``group``, positions restart at 1 for each value of that column and
+    ``order`` must start with it.  The tagged rows are written once (Parquet
+    under the shared folder, or ``path``) so that the tags stay fixed for the
+    two reads that follow and a lost executor does not redo the sort.
+    """
+    spark = df.sparkSession
+    path = path or fresh_path(spark, "positions")
+    df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()).write.parquet(path)
+    tagged = spark.read.parquet(path).withColumns({
+        "_range": F.shiftright("_tag", _ROW_BITS),
+        "_idx": F.col("_tag").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+    })
+    keys = [group] if group else []
+    # One row per (range, group): the data is sorted by group first, so a
+    # range holds a contiguous run of groups and this table has at most
+    # ranges + groups rows.
+    counts = tagged.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_n"),
+                                                F.min("_idx").alias("_start"))
+    before = (Window.partitionBy(*keys) if keys else Window).orderBy("_range")
+    offsets = counts.select("_range", *keys, "_start",
+                            (F.sum("_n").over(before) - F.col("_n")).alias("_offset"))
+    if not group:
+        # Exactly one row per range: bounded by the shuffle partition count.
+        offsets = F.broadcast(offsets)
+    out = tagged.join(offsets, ["_range", *keys])
+    return (out.withColumn(name, F.col("_offset") + F.col("_idx") - F.col("_start") + 1)
+               .drop("_tag", "_range", "_idx", "_start", "_offset"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.text import block, fmt, line
 from .gold import flag_count
+from .positions import with_position
 
 TEMPLATE_MODEL = "template"
 
@@ -114,6 +115,25 @@ def qa_context(ml: DataFrame) -> DataFrame:
     return ml.orderBy(*strongest_first()).select(*cols)
 
 
+def context_lines(ml: DataFrame) -> DataFrame:
+    """Every line of the two whole-table lists in the report contexts:
+    all anomalous events (daily summary) and all individual events (cluster
+    explanation), as ``(output_type, line_no, line)`` numbered strongest
+    first.  The rendered report rows carry a bounded excerpt of these lists;
+    this table is the complete text, kept distributed rather than joined
+    into one value that a single task would have to build."""
+    anomalies = ml.filter(F.col("is_anomaly") == 1).select(
+        F.lit("daily_summary").alias("output_type"), "magnitude", "event_id",
+        line("place", "magnitude", "anomaly_reason").alias("line"))
+    events = ml.select(
+        F.lit("cluster_explanation").alias("output_type"), "magnitude", "event_id",
+        line("place", "magnitude", "depth_km", "region", "anomaly_reason").alias("line"))
+    numbered = with_position(anomalies.unionByName(events),
+                             [F.col("output_type"), *strongest_first()], "line_no",
+                             group="output_type")
+    return numbered.select("output_type", "line_no", "line")
+
+
 # ---- text rendering ---------------------------------------------------------------
 
 def _daily_summary(ml: DataFrame, max_lines: int) -> DataFrame:

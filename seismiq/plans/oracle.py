@@ -283,6 +283,27 @@ where severity in ('MAJOR', 'STRONG', 'CATASTROPHIC')
 SQL["anomalous_events"] = BASE_ML + """
 select event_id, place, magnitude, anomaly_reason from ml where is_anomaly = 1"""
 
+SQL["report_lines"] = BASE_ML + """
+select output_type,
+       row_number() over (partition by output_type
+                          order by magnitude desc nulls last, event_id asc) as line_no,
+       line
+from (
+  select 'daily_summary' as output_type, magnitude, event_id,
+         concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
+                   coalesce(cast(magnitude as varchar), 'None'),
+                   coalesce(cast(anomaly_reason as varchar), 'None')) as line
+  from ml where is_anomaly = 1
+  union all
+  select 'cluster_explanation', magnitude, event_id,
+         concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
+                   coalesce(cast(magnitude as varchar), 'None'),
+                   coalesce(cast(depth_km as varchar), 'None'),
+                   coalesce(cast(region as varchar), 'None'),
+                   coalesce(cast(anomaly_reason as varchar), 'None'))
+  from ml
+) t"""
+
 SQL["playbook_event"] = BASE_ML + """
 select event_id, place, magnitude, severity, depth_km, tsunami_flag, region, anomaly_reason
 from ml order by magnitude desc nulls last, event_id asc limit 1"""

@@ -254,6 +254,11 @@ def q_playbook_event(spark, sf_dir):
     return rp.playbook_event(ml_of(spark, sf_dir))
 
 
+@register("report_lines")
+def q_report_lines(spark, sf_dir):
+    return rp.context_lines(ml_of(spark, sf_dir))
+
+
 @register("qa_context")
 def q_qa_context(spark, sf_dir):
     return rp.qa_context(ml_of(spark, sf_dir, with_model=True))

@@ -1,0 +1,41 @@
+from pyspark.sql import functions as F
+
+from seismiq.operators.positions import with_position
+
+
+def _expected(rows, group=None):
+    """Brute force: sort in Python, number from 1 (per group)."""
+    out, seen = {}, {}
+    for r in sorted(rows, key=lambda r: ((r[2] if group else ""), -r[1], r[0])):
+        k = r[2] if group else None
+        seen[k] = seen.get(k, 0) + 1
+        out[r[0]] = seen[k]
+    return out
+
+
+def test_positions_gap_free_with_a_hot_value(spark, tmp):
+    # a third of the rows share one magnitude: the unique id in the order
+    # still lets the range sort spread them over several tasks
+    rows = [(i, 1.0 if i % 3 == 0 else float(i % 50) / 8.0, "ab"[i % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, magnitude double, kind string").repartition(6)
+    # small input: keep the sort's ranges apart so offsets must be combined
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = with_position(df, [F.col("magnitude").desc(), F.col("id")], "pos", path=f"{tmp}/p1")
+        got_map = {r.id: r.pos for r in got.collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got_map == _expected(rows)
+    # the sort really used several ranges (offsets were combined)
+    assert spark.read.parquet(f"{tmp}/p1").select(F.shiftright("_tag", 33)).distinct().count() > 1
+
+
+def test_positions_restart_per_group(spark, tmp):
+    rows = [(i, float(i % 7), "abc"[i % 3]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, magnitude double, kind string")
+    got = with_position(df, ["kind", F.col("magnitude").desc(), "id"], "pos", group="kind",
+                        path=f"{tmp}/p2")
+    assert {r.id: r.pos for r in got.collect()} == _expected(rows, group=True)
+    assert sorted(r.n for r in got.groupBy("kind").agg(F.max("pos").alias("n")).collect()) == [300] * 3
