@@ -32,8 +32,8 @@ def block(df: DataFrame, text: Column, order: Sequence[Column], n: int,
     lines = ranked.agg(F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct("_rk", "_line"))), lambda s: s["_line"]),
         "\n").alias("_body"))
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    return lines.crossJoin(total).select(
+    lines = lines.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
+    return lines.select(
         F.when(F.col("_n") == 0, F.lit(empty))
          .when(F.lit(count_rest) & (F.col("_n") > n), F.concat(F.col("_body"), F.lit("\n... and "),
                                          (F.col("_n") - n).cast("string"), F.lit(" more")))

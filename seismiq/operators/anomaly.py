@@ -1,9 +1,9 @@
 """Z-score anomaly detection over the scored events.
 
 Global statistics are one aggregate row (partial aggregates per task, one
-final row) attached to every event with a broadcast nested-loop join: the
-broadcast side has exactly one row, so its size is bounded whatever the data
-volume, and the event side is never shuffled.
+final row) read by every event as scalar subqueries: the row is computed
+once and its values act as constants in the projection, so nothing grows
+with the data volume but the scan, and the event side is never shuffled.
 """
 
 from __future__ import annotations
@@ -62,7 +62,13 @@ def feature_stats(df: DataFrame, cols: Sequence[str] = ANOMALY_FEATURES) -> Data
 
 
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    return df.crossJoin(F.broadcast(stats))
+    """Attach one-row statistics to every row as scalar subqueries.
+
+    Spark merges the subqueries over the same aggregate into one job, runs it
+    once, and the projection reads the values as constants: the event side is
+    neither joined nor shuffled, and stays in one whole-stage-codegen span.
+    """
+    return df.withColumns({c: stats.select(c).scalar() for c in stats.columns})
 
 
 def zscore_columns(cols: Sequence[str] = ANOMALY_FEATURES,

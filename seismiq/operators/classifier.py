@@ -53,15 +53,13 @@ def split_flag(df: DataFrame, key: str = "event_id", seed: str = SPLIT_SEED,
     The assignment depends only on the key (not on partitioning or order), so
     it survives task retries and re-partitioning and needs no global sort.
     With fewer than ``MIN_SPLIT_ROWS`` rows every row is in both splits; the
-    row count is a one-row aggregate joined back, not a driver round trip.
+    row count is a scalar subquery (computed once), not a driver round trip.
     """
     h = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), 1, 2)
     in_test = h < F.lit(split_threshold(frac))
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    small = F.col("_n") < MIN_SPLIT_ROWS
-    return (df.crossJoin(F.broadcast(n))
-              .withColumns({"is_test": small | in_test, "is_train": small | ~in_test})
-              .drop("_n"))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    small = n < MIN_SPLIT_ROWS
+    return df.withColumns({"is_test": small | in_test, "is_train": small | ~in_test})
 
 
 def vector_input(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
@@ -279,8 +277,8 @@ def run_record(model: PipelineModel, train_df: DataFrame, test_pred: DataFrame,
     params = {p.name: v for p, v in est.extractParamMap().items()
               if p.name in ("numTrees", "maxDepth", "seed", "stepSize", "maxIter", "featureSubsetStrategy")}
     rows = train_df.agg(F.count(F.lit(1)).alias("training_rows"))
-    acc = accuracy(test_pred)
-    return rows.crossJoin(acc).select(
+    acc = accuracy(test_pred).scalar()
+    return rows.withColumn("accuracy", acc).select(
         F.lit(run_id or uuid.uuid4().hex).alias("run_id"),
         F.lit(type(est).__name__).alias("estimator"),
         F.to_json(F.create_map(*[x for k, v in sorted(params.items()) for x in (F.lit(k), F.lit(str(v)))]))

@@ -74,11 +74,10 @@ def cluster_summary(ml: DataFrame) -> DataFrame:
 def critical_events(ml: DataFrame, hours: int = 24) -> DataFrame:
     """Critical events (MAJOR/STRONG/CATASTROPHIC) within ``hours`` of the
     latest event time, strongest first.  The anchor is the data's own latest
-    time (one-row aggregate, broadcast), so the result is reproducible."""
-    anchor = ml.agg(F.max("event_timestamp").alias("_latest"))
-    since = F.col("_latest") - F.make_dt_interval(F.lit(0), F.lit(hours))
+    time (a scalar subquery, computed once), so the result is reproducible."""
+    latest = ml.agg(F.max("event_timestamp")).scalar()
+    since = latest - F.make_dt_interval(F.lit(0), F.lit(hours))
     return (ml.filter(labels.is_critical("severity"))
-              .crossJoin(F.broadcast(anchor))
               .filter(F.col("event_timestamp") >= since)
               .select("event_id", "place", "magnitude", "severity", "depth_km", "region",
                       "event_timestamp", "anomaly_reason")
@@ -144,7 +143,9 @@ def _daily_summary(ml: DataFrame, max_lines: int) -> DataFrame:
                  strongest_first(), 5, "top5", count_rest=False)
     anom = block(ml.filter(F.col("is_anomaly") == 1), line("place", "magnitude", "anomaly_reason"),
                  strongest_first(), max_lines, "anomalies", empty="None detected")
-    return k.crossJoin(regions).crossJoin(top5).crossJoin(anom).select(
+    k = k.withColumns({"regions": regions.scalar(), "top5": top5.scalar(),
+                       "anomalies": anom.scalar()})
+    return k.select(
         F.lit("daily_summary").alias("output_type"),
         F.concat_ws("\n",
                     F.lit("SEISMIC SITUATION SUMMARY"),
@@ -171,7 +172,7 @@ def _cluster_explanation(ml: DataFrame, per_region: int) -> DataFrame:
     tops = ml.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_region)
     events = block(tops, line("region", "place", "magnitude", "depth_km", "anomaly_reason"),
                    [F.col("region"), F.col("_r")], per_region * len(labels.REGION_LABELS), "events")
-    return summary.crossJoin(events).select(
+    return summary.withColumn("events", events.scalar()).select(
         F.lit("cluster_explanation").alias("output_type"),
         F.concat_ws("\n", F.lit("ACTIVITY BY REGION (region | events | mean | max | anomalies)"),
                     F.col("clusters"), F.lit(""),
