@@ -301,6 +301,8 @@ FEATURES_PER_DOC = 500
 # batch is written by several tasks, all versions of one event in one file.
 LANDING_BATCH_DAYS = 7
 FILES_PER_BATCH = 4
+# A batch gets more files as it grows: about this many records per file.
+RECORDS_PER_FILE = 250_000
 
 
 def _feed(spark, sf_dir, keep=()):
@@ -321,7 +323,10 @@ def land_feed(spark, sf_dir) -> str:
 
     The feed is staged once, partitioned by landing batch (one scan of the
     source); each batch is then landed from its own partition, in time
-    order, so later versions of an event always arrive later.
+    order, so later versions of an event always arrive later.  The number of
+    files per batch grows with its record count; all versions of one event
+    in a batch share a file, so the stream never splits them across
+    micro-batches.
     """
     landing, stage = fresh_path(spark, "landing"), fresh_path(spark, "staging")
     feed = _feed(spark, sf_dir, keep=("event_timestamp",))
@@ -329,11 +334,12 @@ def land_feed(spark, sf_dir) -> str:
     (feed.withColumn("_batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp")
          .write.partitionBy("_batch").parquet(stage))
     staged = spark.read.parquet(stage)
-    # The batch ids are a handful of small numbers (weeks): metadata.
-    batches = sorted(r["_batch"] for r in staged.select("_batch").distinct().collect())
-    for b in batches:
+    # One row per batch (week): its id and record count -- small metadata.
+    sizes = sorted(tuple(r) for r in staged.groupBy("_batch").count().collect())
+    for b, n in sizes:
+        files = max(FILES_PER_BATCH, -(-n // RECORDS_PER_FILE))
         part = (staged.filter(F.col("_batch") == b).drop("_batch")
-                      .repartition(FILES_PER_BATCH, "event_id"))
+                      .repartition(files, "event_id"))
         ld.land(part, landing, batch=f"batch_{b:08d}")
     return landing
 
