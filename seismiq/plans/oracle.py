@@ -308,6 +308,95 @@ SQL["playbook_event"] = BASE_ML + """
 select event_id, place, magnitude, severity, depth_km, tsunami_flag, region, anomaly_reason
 from ml order by magnitude desc nulls last, event_id asc limit 1"""
 
+def fmt(expr: str) -> str:
+    """Value as text, null as ``None``."""
+    return f"coalesce(cast({expr} as varchar), 'None')"
+
+
+def bar(*exprs: str) -> str:
+    return "concat_ws(' | ', " + ", ".join(fmt(e) for e in exprs) + ")"
+
+
+STRONGEST = "magnitude desc nulls last, event_id asc"
+NL = "chr(10)"
+
+REPORT_BLOCKS = f"""
+kpi AS (
+  select count(*) as total_events, max(magnitude) as max_magnitude,
+         round_even(avg(magnitude), 2) as avg_magnitude,
+         cast(sum(case when tsunami_flag = true then 1 else 0 end) as bigint) as tsunami_count,
+         cast(sum(is_anomaly) as bigint) as anomaly_count,
+         cast(sum(case when severity in ('MAJOR', 'STRONG', 'CATASTROPHIC') then 1 else 0 end) as bigint)
+           as critical_events,
+         first(place order by {STRONGEST}) as top_place,
+         first(magnitude order by {STRONGEST}) as top_magnitude
+  from ml
+),
+region_txt AS (
+  select coalesce(string_agg(region || ': ' || cast(events as varchar), ', ' order by events desc, region),
+                  'None') as txt
+  from (select region, count(*) as events from ml group by region
+        order by events desc, region limit 3) t
+),
+top5_txt AS (
+  select coalesce(string_agg({bar('place', 'magnitude', 'severity', 'region', 'depth_km')}, {NL}
+                             order by {STRONGEST}), 'None') as txt
+  from (select * from ml order by {STRONGEST} limit 5) t
+),
+anomaly_txt AS (
+  select case when n = 0 then 'None detected'
+              when n > 20 then body || {NL} || '... and ' || cast(n - 20 as varchar) || ' more'
+              else body end as txt
+  from (select string_agg({bar('place', 'magnitude', 'anomaly_reason')}, {NL} order by {STRONGEST}) as body
+        from (select * from ml where is_anomaly = 1 order by {STRONGEST} limit 20) t) b,
+       (select count(*) as n from ml where is_anomaly = 1) c
+),
+cluster_txt AS (
+  select coalesce(string_agg({bar('region', 'cnt', 'avg_mag', 'max_mag', 'anomalies')}, {NL} order by region),
+                  'None') as txt
+  from (select region, count(event_id) as cnt, round_even(avg(magnitude), 2) as avg_mag,
+               round_even(max(magnitude), 2) as max_mag, cast(sum(is_anomaly) as bigint) as anomalies
+        from ml group by region) t
+),
+region_event_txt AS (
+  select coalesce(string_agg({bar('region', 'place', 'magnitude', 'depth_km', 'anomaly_reason')}, {NL}
+                             order by region, r), 'None') as txt
+  from (select *, row_number() over (partition by region order by {STRONGEST}) as r from ml) t
+  where r <= 5
+)"""
+
+SQL["report_text"] = BASE_ML + "," + REPORT_BLOCKS + f"""
+select 'daily_summary' as output_type,
+       concat_ws({NL}, 'SEISMIC SITUATION SUMMARY',
+                 'Events: ' || {fmt('total_events')},
+                 'Largest magnitude: ' || {fmt('max_magnitude')},
+                 'Mean magnitude: ' || {fmt('avg_magnitude')},
+                 'Tsunami flags: ' || {fmt('tsunami_count')},
+                 'Anomalies: ' || {fmt('anomaly_count')},
+                 'Most active regions: ' || region_txt.txt,
+                 'Strongest event: M' || {fmt('top_magnitude')} || ' at ' || {fmt('top_place')},
+                 'Critical events: ' || {fmt('critical_events')},
+                 '', 'Five strongest events:', top5_txt.txt,
+                 '', 'Anomalous events:', anomaly_txt.txt) as content
+from kpi, region_txt, top5_txt, anomaly_txt
+union all
+select 'cluster_explanation',
+       concat_ws({NL}, 'ACTIVITY BY REGION (region | events | mean | max | anomalies)',
+                 cluster_txt.txt, '', 'Strongest events per region (up to 5):', region_event_txt.txt)
+from cluster_txt, region_event_txt
+union all
+select 'response_playbook',
+       concat_ws({NL}, 'RESPONSE PLAYBOOK INPUT',
+                 'Location: ' || {fmt('place')},
+                 'Magnitude: M' || {fmt('magnitude')},
+                 'Severity: ' || {fmt('severity')},
+                 'Depth: ' || {fmt('depth_km')} || ' km',
+                 'Tsunami flag: ' || {fmt('tsunami_flag')},
+                 'Region: ' || {fmt('region')},
+                 'Anomaly: ' || {fmt('anomaly_reason')},
+                 'Model prediction: None (confidence None%)')
+from (select * from ml order by {STRONGEST} limit 1) t"""
+
 FEED = """
 feed AS (
   select obs_seq, bronze_load_timestamp,

@@ -264,13 +264,14 @@ def q_qa_context(spark, sf_dir):
     return rp.qa_context(ml_of(spark, sf_dir, with_model=True))
 
 
-def written_ml(spark, sf_dir) -> DataFrame:
+def written_ml(spark, sf_dir, with_model: bool = True) -> DataFrame:
     """The ML table as the layer job leaves it: written once, then read.
     Report renderers scan it several times; scanning the written table avoids
     re-running dedup and forest scoring per scan."""
     path = fresh_path(spark, "ml_predictions")
     s = silver_table(spark, sf_dir)
-    clf.ml_table(s, model=trained_model(spark, sf_dir, s)).write.parquet(path)
+    model = trained_model(spark, sf_dir, s) if with_model else None
+    clf.ml_table(s, model=model).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -281,6 +282,15 @@ def _history(spark, sf_dir) -> str:
     return path
 
 
+@register("report_text")
+def q_report_text(spark, sf_dir):
+    """The three reports rendered from the ML table's anomaly scores, without
+    a classifier (prediction fields read None): every character is
+    deterministic, so the rendering itself is oracle-checked."""
+    return rp.render_reports(written_ml(spark, sf_dir, with_model=False)).select(
+        "output_type", "content")
+
+
 @register("report_history")
 def q_report_history(spark, sf_dir):
     return rp.report_history(spark.read.parquet(_history(spark, sf_dir)))
