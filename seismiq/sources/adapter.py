@@ -13,42 +13,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import hour_of, ntz_to_iso_text
+from ..functions.timefmt import ntz_to_iso_text
 from ..session import table_path
 
 
-def _nulled_every(eid: Column, n: int, value: Column) -> Column:
-    return F.when(eid % n != 0, value)
+# The fixture mapping (FIXTURES.md §2) as Spark SQL expressions over the
+# ``events`` columns.  ``selectExpr`` parses the whole projection in one call
+# (a Column-by-Column build makes a driver round trip per operator).
+# Literals ending in D are doubles.
+OBSERVATION_SQL = [
+    "case when event_id % 97 != 0"
+    " then concat('eq', cast(cast(floor(event_id / 3) as bigint) as string)) end as event_id",
+    "event_id as obs_seq",
+    "ts as event_timestamp",
+    "cast(date_trunc('HOUR', ts) as timestamp_ntz) as bronze_load_timestamp",
+    "case when event_id % 41 != 0 then floor(least(value, 300D) * 16D / 33D) / 16D end as magnitude",
+    "case when event_id % 43 != 0"
+    " then floor(pow(cast(regexp_extract(props, '([0-9]+)', 1) as bigint), 3) / 187.5D) / 8D end"
+    " as depth_km",
+    "case when event_id % 53 != 0 then cast((event_id * 37) % 181 - 90 as double) end as latitude",
+    "cast((event_id * 53) % 361 - 180 as double) as longitude",
+    "case when event_id % 59 != 0 then cast(floor(cast((event_id % 101) * (event_id % 101)"
+    " * (event_id % 101) as double) / 1000D) as int) end as significance",
+    "case event_id % 11 when 0 then 'green' when 1 then 'yellow' when 2 then 'orange'"
+    " when 3 then 'red' end as alert_level",
+    "event_type = 'error' as tsunami_flag",
+    "concat('place_', cast(user_id as string)) as place",
+    "case when event_id % 3 != 0 then cast(event_id % 20 as int) end as felt_reports",
+    "case when event_id % 5 != 0 then cast(event_id % 80 as double) / 8D end as cdi",
+    "case when event_id % 7 != 0 then cast(event_id % 72 as double) / 8D end as mmi",
+    "case when event_id % 13 != 0 then cast(event_id % 360 as double) end as gap_deg",
+    "case when event_id % 17 != 0 then cast(event_id % 16 as double) / 16D end as rms",
+    "case when event_id % 19 != 0 then cast(event_id % 60 as int) end as nst",
+]
 
 
 def observations(events: DataFrame) -> DataFrame:
     """``events`` -> observation rows (adapter columns, FIXTURES.md §2)."""
-    eid = F.col("event_id")
-    k = F.regexp_extract(F.col("props"), r"([0-9]+)", 1).cast("bigint")
-    return events.select(
-        F.when(eid % 97 != 0, F.concat(F.lit("eq"), F.floor(eid / 3).cast("bigint").cast("string")))
-         .alias("event_id"),
-        eid.alias("obs_seq"),
-        F.col("ts").alias("event_timestamp"),
-        hour_of("ts").alias("bronze_load_timestamp"),
-        _nulled_every(eid, 41, F.floor(F.least(F.col("value"), F.lit(300.0)) * 16.0 / 33.0) / 16.0)
-         .alias("magnitude"),
-        _nulled_every(eid, 43, F.floor(F.pow(k, 3) / 187.5) / 8.0).alias("depth_km"),
-        _nulled_every(eid, 53, ((eid * 37) % 181 - 90).cast("double")).alias("latitude"),
-        ((eid * 53) % 361 - 180).cast("double").alias("longitude"),
-        _nulled_every(eid, 59, F.floor(((eid % 101) * (eid % 101) * (eid % 101)).cast("double") / 1000.0)
-                      .cast("int")).alias("significance"),
-        F.when(eid % 11 == 0, "green").when(eid % 11 == 1, "yellow")
-         .when(eid % 11 == 2, "orange").when(eid % 11 == 3, "red").alias("alert_level"),
-        (F.col("event_type") == "error").alias("tsunami_flag"),
-        F.concat(F.lit("place_"), F.col("user_id").cast("string")).alias("place"),
-        _nulled_every(eid, 3, (eid % 20).cast("int")).alias("felt_reports"),
-        _nulled_every(eid, 5, (eid % 80).cast("double") / 8.0).alias("cdi"),
-        _nulled_every(eid, 7, (eid % 72).cast("double") / 8.0).alias("mmi"),
-        _nulled_every(eid, 13, (eid % 360).cast("double")).alias("gap_deg"),
-        _nulled_every(eid, 17, (eid % 16).cast("double") / 16.0).alias("rms"),
-        _nulled_every(eid, 19, (eid % 60).cast("int")).alias("nst"),
-    )
+    return events.selectExpr(*OBSERVATION_SQL)
 
 
 # Dedup order for adapter observations: latest load first, then latest row.
