@@ -31,3 +31,33 @@ def test_render_reports_and_history(spark, tmp):
     hist = rp.report_history(spark.read.parquet(path)).collect()
     assert len(hist) == 6 and all(len(h.content_preview) <= 200 for h in hist)
     assert [h.generated_at for h in hist] == sorted((h.generated_at for h in hist), reverse=True)
+
+
+def _ml(spark, rows):
+    schema = ("event_id string, place string, magnitude double, depth_km double, severity string, "
+              "region string, tsunami_flag boolean, is_anomaly int, anomaly_reason string, "
+              "predicted_severity string, prediction_confidence double")
+    return spark.createDataFrame(rows, schema)
+
+
+def test_context_lines_are_the_whole_lists_the_reports_excerpt(spark):
+    rows = [(f"e{i:02d}", f"p{i}", float(i % 9), 10.0, "MINOR", "Asia" if i % 2 else "Europe",
+             False, int(i % 3 == 0), "unusual_depth" if i % 3 == 0 else "none", None, None)
+            for i in range(30)]
+    ml = _ml(spark, rows)
+    lines = rp.context_lines(ml)
+    daily = [r.line for r in lines.filter("output_type = 'daily_summary'").orderBy("line_no").collect()]
+    assert len(daily) == 10                                   # every anomaly, no cap
+    nums = [r.line_no for r in lines.filter("output_type = 'cluster_explanation'").collect()]
+    assert sorted(nums) == list(range(1, 31))                 # every event, gap-free
+    content = {r.output_type: r.content for r in rp.render_reports(ml, max_lines=4).collect()}
+    excerpt = content["daily_summary"].split("Anomalous events:\n", 1)[1].splitlines()
+    assert excerpt[:4] == daily[:4] and excerpt[4] == "... and 6 more"
+
+
+def test_report_without_anomalies_says_none_detected(spark):
+    ml = _ml(spark, [("e1", "p1", 2.5, 5.0, "MICRO", "Asia", False, 0, "none", None, None)])
+    content = {r.output_type: r.content for r in rp.render_reports(ml).collect()}
+    assert content["daily_summary"].endswith("Anomalous events:\nNone detected")
+    assert rp.context_lines(ml).filter("output_type = 'daily_summary'").count() == 0
+    assert "Model prediction: None (confidence None%)" in content["response_playbook"]
