@@ -313,6 +313,8 @@ LANDING_BATCH_DAYS = 7
 FILES_PER_BATCH = 4
 # A batch gets more files as it grows: about this many records per file.
 RECORDS_PER_FILE = 250_000
+# Streaming Silver folds its log into a compaction every this many batches.
+STREAM_COMPACT_EVERY = 2
 
 
 def _feed(spark, sf_dir, keep=()):
@@ -386,9 +388,11 @@ def q_bronze_stream(spark, sf_dir):
 def q_silver_stream(spark, sf_dir):
     bronze = _run_bronze(spark, sf_dir)
     log = fresh_path(spark, "silver_log")
-    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8)
+    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8,
+                        compact_every=STREAM_COMPACT_EVERY)
     q.awaitTermination()
-    return ss.silver_from_log(spark, log, stamp=False)
+    comp, since = ss.current_compaction(spark, log)
+    return ss.silver_from_log(spark, log, stamp=False, compacted=comp, since_batch=since)
 
 
 # ---- step 9: export and table status ----------------------------------------------
@@ -437,7 +441,7 @@ def q_gold_stream(spark, sf_dir):
     bronze = _run_bronze(spark, sf_dir)
     log, gpath = fresh_path(spark, "silver_log"), fresh_path(spark, "gold")
     q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8,
-                        gold_path=gpath)
+                        gold_path=gpath, compact_every=STREAM_COMPACT_EVERY)
     q.awaitTermination()
     return spark.read.parquet(gpath).drop("event_date", "gold_load_timestamp")
 

@@ -15,6 +15,9 @@ every version ever retained.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +40,7 @@ BRONZE_SCHEMA = T.StructType(FEED_SCHEMA.fields + [
 # sets use a semi-join.  The log since compaction is not id-sorted; it is
 # always semi-joined, with the micro-batch's ids as the small side (Spark
 # broadcasts that side only under its size threshold, else sort-merges).
-MAX_ID_LITERALS = 10_000
+MAX_ID_LITERALS = 1_000
 
 
 def _with_date(df: DataFrame) -> DataFrame:
@@ -145,36 +148,51 @@ def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
 
 
 def _writer(log: str, gold_path: str | None = None, compacted: str | None = None,
-            since_batch: int = -1):
+            since_batch: int = -1, compact_every: int | None = None):
+    # Only this writer compacts the log, so it keeps the current compaction
+    # in memory; a restarted stream reads it back from the manifest.
+    state = {"compacted": compacted, "since": since_batch}
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         out = f"{log}/batch_id={batch_id}"
         latest = _with_date(dedup_latest(batch, "event_id", BRONZE_ORDER))
         latest.write.mode("overwrite").partitionBy("event_date").parquet(out)
+        comp, since = state["compacted"], state["since"]
         if gold_path:
             # Read the batch back from the log rather than re-evaluating the
             # micro-batch (which would re-read its files and redo the dedup).
             written = spark.read.parquet(out)
-            changed = (changed_compacted(spark, log, compacted, since_batch)
-                       if compacted else None)
-            dates = touched_dates(spark, log, written, changed, since_batch)
+            changed = changed_compacted(spark, log, comp, since) if comp else None
+            dates = touched_dates(spark, log, written, changed, since)
             if dates:
-                refresh_gold(spark, log, gold_path, dates, compacted, since_batch, changed)
+                refresh_gold(spark, log, gold_path, dates, comp, since, changed)
+        if compact_every and batch_id - since >= compact_every:
+            state["compacted"], state["since"] = compact_log(spark, log, comp, since)
     return write_batch
 
 
 def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: str,
                  trigger: str | None = None, max_files: int | None = None,
                  gold_path: str | None = None, compacted: str | None = None,
-                 since_batch: int = -1) -> StreamingQuery:
+                 since_batch: int = -1, compact_every: int | None = None) -> StreamingQuery:
     """Bronze table (as a stream) -> per-batch latest versions in ``log``;
     with ``gold_path`` also keeps Gold current for the dates each batch
-    touches, reading the compacted table plus the batches after it."""
+    touches, reading the compacted table plus the batches after it.
+
+    With ``compact_every=N`` the log is folded into a new compaction once N
+    batches have arrived since the last one (recorded in the log's
+    manifest), so neither the Gold refresh nor a Silver read ever re-reads
+    more than N batches of versions.  Without an explicit ``compacted``
+    table, the latest recorded compaction is used.
+    """
+    if compacted is None:
+        compacted, since_batch = current_compaction(spark, log)
     r = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     w = (r.parquet(bronze_path).writeStream
-          .foreachBatch(_writer(log, gold_path, compacted, since_batch))
+          .foreachBatch(_writer(log, gold_path, compacted, since_batch, compact_every))
           .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
@@ -226,3 +244,38 @@ def compact(spark: SparkSession, log: str, out: str, compacted: str | None = Non
            .sortWithinPartitions("event_date", "event_id")
            .write.mode("error").partitionBy("event_date").parquet(out))
     return out, upto
+
+
+# ---- compaction manifest -----------------------------------------------------------
+
+def _compactions(log: str) -> str:
+    """Folder beside the log holding its compactions and their manifest."""
+    return f"{log.rstrip('/')}__compactions"
+
+
+MANIFEST_SCHEMA = "upto long, path string"
+
+
+def current_compaction(spark: SparkSession, log: str) -> tuple[str | None, int]:
+    """Latest recorded compaction of ``log`` as ``(path, last folded batch)``,
+    or ``(None, -1)`` when there is none.  The manifest has one row per
+    compaction: small metadata."""
+    try:
+        m = spark.read.schema(MANIFEST_SCHEMA).json(f"{_compactions(log)}/manifest")
+        r = m.orderBy(F.col("upto").desc()).limit(1).collect()
+    except AnalysisException:
+        return None, -1
+    return (r[0]["path"], int(r[0]["upto"])) if r else (None, -1)
+
+
+def compact_log(spark: SparkSession, log: str, compacted: str | None = None,
+                since_batch: int = -1) -> tuple[str, int]:
+    """Fold the log onto ``compacted`` into a new compaction beside the log
+    and record it in the manifest.  Each attempt writes a fresh folder, so a
+    crash between the write and the record leaves an unused folder, never a
+    half-written table in use."""
+    out, upto = compact(spark, log, f"{_compactions(log)}/{uuid.uuid4().hex}",
+                        compacted, since_batch)
+    (spark.createDataFrame([(upto, out)], MANIFEST_SCHEMA)
+          .coalesce(1).write.mode("append").json(f"{_compactions(log)}/manifest"))
+    return out, upto

@@ -196,3 +196,37 @@ def test_gold_day_emptied_by_a_revision_is_cleared(spark, tmp):
     ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath).awaitTermination()
     got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gpath).collect()}
     assert got == {("2024-01-02", "MICRO"): 1, ("2024-01-02", "MINOR"): 1}
+
+
+def test_automatic_compaction_keeps_gold_and_silver_exact(spark, tmp):
+    from seismiq.operators.gold import gold as gold_of
+    from seismiq.operators.silver import silver as silver_of
+    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
+    rounds = [
+        [("a", 1, 1.0), ("b", 1, 2.5), ("c", 2, 3.5)],
+        [("a", 2, 5.5), ("d", 3, 4.5)],                     # a moves to day 2
+        [("b", 3, 2.0), ("e", 1, 0.5)],                     # b moves, day 1 keeps e
+        [("a", 1, 6.5), ("c", 3, 7.5)],                     # a moves back, day 2 empties
+        [("f", 2, 1.5)],
+    ]
+    uptos = []
+    for i, rows in enumerate(rounds):
+        recs = [r for e, day, mag in rows
+                for r in _rows([e], t=f"2024-01-0{day}T12:00:00Z",
+                               ing=f"2024-01-0{day}T12:00:0{i}.000000Z", mag=mag)]
+        _put(f"{land}/b{i}/x.json", recs)
+        _run(spark, land, bronze, f"{tmp}/ck1")
+        # each run is a restart: the compaction in use is read from the manifest
+        ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath,
+                        compact_every=2).awaitTermination()
+        uptos.append(ss.current_compaction(spark, log)[1])
+    assert uptos == [-1, 1, 1, 3, 3]
+    comp, since = ss.current_compaction(spark, log)
+    merged = {r.event_id: r.magnitude
+              for r in ss.silver_from_log(spark, log, compacted=comp, since_batch=since).collect()}
+    full_silver = silver_of(spark.read.parquet(bronze))
+    assert merged == {r.event_id: r.magnitude for r in full_silver.collect()}
+    cols = ["event_hour", "severity", "region", "total_events", "max_magnitude"]
+    got = sorted(tuple(r) for r in spark.read.parquet(gpath).select(*cols).collect())
+    want = sorted(tuple(r) for r in gold_of(full_silver, stamp=False).select(*cols).collect())
+    assert got == want
