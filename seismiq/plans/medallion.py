@@ -76,7 +76,7 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str | None = None
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m seismiq.plans.medallion --bronze PATH [--landing] [--root OUT]``
+    """``python -m seismiq.plans.medallion --bronze PATH [--landing] [--root OUT] [--cores N]``
 
     Runs the layer job over a Bronze Parquet table, or over a landing folder
     of NDJSON batches (``--landing``: the files are read as Bronze rows with a
@@ -86,15 +86,19 @@ def main(argv: list[str] | None = None) -> None:
     import json
 
     from ..sources.landing import read_landing
-    from ..session import build_session
+    from ..session import apply_scale, build_session
 
     ap = argparse.ArgumentParser(prog="seismiq.plans.medallion")
     ap.add_argument("--bronze", required=True)
     ap.add_argument("--landing", action="store_true")
     ap.add_argument("--root", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cores", type=int, default=None,
+                    help="cluster cores: size scan splits and shuffle partitions for the input")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
+    if args.cores:
+        print(json.dumps({"scale_settings": apply_scale(spark, args.bronze, args.cores)}))
     if args.landing:
         bronze = read_landing(spark, args.bronze).withColumns({
             "bronze_load_timestamp": F.current_timestamp(),

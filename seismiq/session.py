@@ -72,22 +72,48 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/seismiq/{kind}/{uuid.uuid4().hex}"
 
 
-def scale_settings(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> dict:
-    """Shuffle and scan sizing for a run over ``input_bytes`` on ``cores``.
-
-    Shuffle partitions start at about one per ``target_bytes`` of input (at
-    least two waves of tasks); adaptive execution then coalesces small ones
-    and splits skewed ones, so the number errs high rather than low.
+def scale_settings(input_bytes: int, cores: int, shuffle_fraction: float = 0.5,
+                   target_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict:
+    """Scan and shuffle sizing for a run over ``input_bytes`` on ``cores``.
+
+    Scan splits aim at about eight waves of map tasks, each between 128 MiB
+    and 1 GiB: Parquet is read in column batches, so a large split costs no
+    extra memory, and fewer map tasks mean fewer shuffle blocks.  Shuffle
+    partitions start at one per ``target_bytes`` of shuffled data -- the
+    input times ``shuffle_fraction`` (the dedup moves whole projected rows;
+    aggregations move far less after map-side combining) -- with at least
+    two waves of reducers and at most ``max_partitions``, because every
+    reducer fetches from every map task (maps x reducers blocks).  Adaptive
+    execution then coalesces small partitions and splits skewed ones.
     """
-    parts = max(2 * cores, -(-input_bytes // target_bytes))
+    waves = 8
+    split = min(1 << 30, max(128 << 20, -(-input_bytes // (cores * waves))))
+    shuffled = int(input_bytes * shuffle_fraction)
+    parts = min(max_partitions, max(2 * cores, -(-shuffled // target_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (one file-system metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def apply_scale(spark: SparkSession, path: str, cores: int) -> dict:
+    """Size scans and shuffles for the input at ``path`` on ``cores`` cores."""
+    conf = scale_settings(input_bytes(spark, path), cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -39,7 +39,13 @@ def test_catalog_tables_and_status(spark):
 def test_scale_settings():
     from seismiq.session import scale_settings
     s = scale_settings(100 << 40, 8000)          # 100 TiB on 8,000 cores
-    assert int(s["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    # splits capped at 1 GiB: 102,400 map tasks (about 13 waves)
+    assert int(s["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    # 50 TiB shuffled / 256 MiB would be 204,800 reducers: capped
+    assert int(s["spark.sql.shuffle.partitions"]) == 100_000
+    m = scale_settings(1 << 40, 8000)            # 1 TiB: floor of two waves
+    assert int(m["spark.sql.shuffle.partitions"]) == 16_000
+    assert int(m["spark.sql.files.maxPartitionBytes"]) == 128 << 20
     assert int(scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
@@ -55,3 +61,23 @@ def test_bronze_stream_to_catalog_table(spark, tmp):
     q.awaitTermination()
     assert spark.table("bronze_s.quakes").count() == 1
     assert sb.stream_status(spark) == []
+
+
+def test_apply_scale_reads_input_size(spark, tmp):
+    from seismiq.session import apply_scale, input_bytes
+    spark.range(1000).write.parquet(f"{tmp}/t")
+    n = input_bytes(spark, f"{tmp}/t")
+    assert n > 0
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.enabled",
+            "spark.sql.adaptive.skewJoin.enabled"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        conf = apply_scale(spark, f"{tmp}/t", 4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"] == "8"
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
