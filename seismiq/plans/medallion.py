@@ -65,6 +65,9 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str | None = None
 
     p["reports"] = f"{run.root}/genai_outputs"
     rp.append_history(rp.render_reports(ml), p["reports"])
+    # The complete event lists behind the reports, one row per line.
+    p["report_lines"] = f"{run.root}/report_context_lines"
+    rp.context_lines(ml).write.mode("overwrite").parquet(p["report_lines"])
 
     exp = export_root or f"{run.root}/export"
     p["export"] = exp

@@ -84,6 +84,11 @@ def test_build_layers(spark, tmp):
     rows = {m["table_name"]: m["rows"] for m in run.manifest}
     assert rows == {"GOLD_INSIGHTS": g.count(), "ML_PREDICTIONS": s.count(), "GENAI_OUTPUTS": 3}
     assert spark.read.parquet(run.paths["ml_runs"]).count() == 1
+    lines = spark.read.parquet(run.paths["report_lines"])
+    ml = spark.read.parquet(run.paths["ml"])
+    assert lines.filter("output_type = 'cluster_explanation'").count() == s.count()
+    assert (lines.filter("output_type = 'daily_summary'").count()
+            == ml.filter("is_anomaly = 1").count())
 
 
 def test_enrich_join_matches_projection(spark):
