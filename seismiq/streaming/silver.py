@@ -200,8 +200,12 @@ def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: st
 
 def latest_versions(spark: SparkSession, log: str, compacted: str | None = None,
                     since_batch: int = -1) -> DataFrame:
-    """Latest version per event (Bronze columns) over the compacted table, if
-    any, plus the log batches after ``since_batch``."""
+    """Latest version per event (Bronze columns) over the compacted table
+    plus the log batches after ``since_batch``.  Without an explicit
+    ``compacted`` table the latest recorded compaction is used, if any:
+    latest-wins is associative, so the result equals the whole log's."""
+    if compacted is None:
+        compacted, since_batch = current_compaction(spark, log)
     rows = logged_versions(spark, log, compacted, since_batch).drop("event_date")
     return dedup_latest(rows, "event_id", BRONZE_ORDER)
 

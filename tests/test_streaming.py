@@ -226,6 +226,8 @@ def test_automatic_compaction_keeps_gold_and_silver_exact(spark, tmp):
               for r in ss.silver_from_log(spark, log, compacted=comp, since_batch=since).collect()}
     full_silver = silver_of(spark.read.parquet(bronze))
     assert merged == {r.event_id: r.magnitude for r in full_silver.collect()}
+    # readers default to the latest recorded compaction
+    assert {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()} == merged
     cols = ["event_hour", "severity", "region", "total_events", "max_magnitude"]
     got = sorted(tuple(r) for r in spark.read.parquet(gpath).select(*cols).collect())
     want = sorted(tuple(r) for r in gold_of(full_silver, stamp=False).select(*cols).collect())
