@@ -283,3 +283,35 @@ def compact_log(spark: SparkSession, log: str, compacted: str | None = None,
     (spark.createDataFrame([(upto, out)], MANIFEST_SCHEMA)
           .coalesce(1).write.mode("append").json(f"{_compactions(log)}/manifest"))
     return out, upto
+
+
+def vacuum_log(spark: SparkSession, log: str) -> list[str]:
+    """Delete what the latest recorded compaction makes unnecessary: log
+    batches before the one it folded last (that batch is kept, so the log is
+    never empty) and every other compaction folder, including any left by
+    an interrupted compaction.  Readers that start afterwards use the latest
+    compaction; run it when no reader still uses an older one.  Returns the
+    deleted paths (file-system metadata calls on the driver)."""
+    comp, since = current_compaction(spark, log)
+    if comp is None:
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = []
+
+    def children(folder: str) -> list:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(conf)
+        return [(st.getPath(), fs) for st in fs.listStatus(p) if st.isDirectory()]
+
+    for path, fs in children(log):
+        name = path.getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < since:
+            fs.delete(path, True)
+            deleted.append(path.toString())
+    keep = comp.rstrip("/").rsplit("/", 1)[-1]
+    for path, fs in children(_compactions(log)):
+        if path.getName() not in (keep, "manifest"):
+            fs.delete(path, True)
+            deleted.append(path.toString())
+    return deleted

@@ -232,3 +232,28 @@ def test_automatic_compaction_keeps_gold_and_silver_exact(spark, tmp):
     got = sorted(tuple(r) for r in spark.read.parquet(gpath).select(*cols).collect())
     want = sorted(tuple(r) for r in gold_of(full_silver, stamp=False).select(*cols).collect())
     assert got == want
+
+
+def test_vacuum_keeps_results_and_the_stream_going(spark, tmp):
+    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
+    for i, (e, day, mag) in enumerate([("a", 1, 1.0), ("b", 2, 2.5), ("a", 2, 3.5),
+                                       ("c", 1, 4.5), ("b", 3, 5.5)]):
+        _put(f"{land}/b{i}/x.json", _rows([e], t=f"2024-01-0{day}T12:00:00Z",
+                                          ing=f"2024-01-0{day}T12:00:0{i}.000000Z", mag=mag))
+        _run(spark, land, bronze, f"{tmp}/ck1")
+        ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath,
+                        compact_every=2).awaitTermination()
+        if i in (2, 3):
+            before = sorted((r.event_id, r.magnitude) for r in ss.silver_from_log(spark, log).collect())
+            gone = sorted(g.rsplit("/", 1)[-1] for g in ss.vacuum_log(spark, log))
+            if i == 2:      # one compaction (through batch 1): batch 0 goes
+                assert gone == ["batch_id=0"]
+            else:           # second compaction (through batch 3): batches 1, 2 and the first compaction go
+                assert {g for g in gone if g.startswith("batch_id=")} == {"batch_id=1", "batch_id=2"}
+                assert len(gone) == 3
+            after = sorted((r.event_id, r.magnitude) for r in ss.silver_from_log(spark, log).collect())
+            assert after == before
+    want = {"a": 3.5, "b": 5.5, "c": 4.5}
+    assert {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()} == want
+    got = {(str(r.event_date), r.total_events) for r in spark.read.parquet(gpath).collect()}
+    assert got == {("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1)}
