@@ -39,3 +39,9 @@ def test_positions_restart_per_group(spark, tmp):
                         path=f"{tmp}/p2")
     assert {r.id: r.pos for r in got.collect()} == _expected(rows, group=True)
     assert sorted(r.n for r in got.groupBy("kind").agg(F.max("pos").alias("n")).collect()) == [300] * 3
+
+
+def test_positions_of_no_rows(spark, tmp):
+    df = spark.createDataFrame([], "id long, magnitude double, kind string")
+    got = with_position(df, ["kind", "id"], "pos", group="kind", path=f"{tmp}/p3")
+    assert got.count() == 0 and "pos" in got.columns
