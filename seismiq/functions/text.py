@@ -3,6 +3,7 @@
 A text block is built from at most ``n`` rows chosen by a top-k
 (TakeOrderedAndProject keeps n rows per task), so the one task that
 concatenates lines never holds more than ``n`` rows, whatever the input size.
+Blocks are scalar subqueries: the report row reads them as values.
 """
 
 from __future__ import annotations
@@ -23,18 +24,25 @@ def line(*parts: Column | str, sep: str = " | ") -> Column:
     return F.concat_ws(sep, *[fmt(p) for p in parts])
 
 
-def block(df: DataFrame, text: Column, order: Sequence[Column], n: int,
-          name: str = "block", empty: str = "None", count_rest: bool = True) -> DataFrame:
-    """One row, one column ``name``: the first ``n`` rows (by ``order``) as lines,
-    followed by a count of the rows left out, if any."""
+def lines_text(df: DataFrame, text: Column, order: Sequence[Column], n: int) -> Column:
+    """Scalar subquery: the first ``n`` rows of ``df`` (by ``order``) as
+    lines, or the empty string when ``df`` has no rows."""
     top = df.orderBy(*order).limit(n)
     ranked = top.select(F.row_number().over(Window.orderBy(*order)).alias("_rk"), text.alias("_line"))
-    lines = ranked.agg(F.array_join(
+    return ranked.agg(F.array_join(
         F.transform(F.sort_array(F.collect_list(F.struct("_rk", "_line"))), lambda s: s["_line"]),
-        "\n").alias("_body"))
-    lines = lines.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
-    return lines.select(
-        F.when(F.col("_n") == 0, F.lit(empty))
-         .when(F.lit(count_rest) & (F.col("_n") > n), F.concat(F.col("_body"), F.lit("\n... and "),
-                                         (F.col("_n") - n).cast("string"), F.lit(" more")))
-         .otherwise(F.col("_body")).alias(name))
+        "\n")).scalar()
+
+
+def or_empty(body: Column, empty: str = "None") -> Column:
+    """``empty`` in place of a text with no lines."""
+    return F.when(body == F.lit(""), F.lit(empty)).otherwise(body)
+
+
+def with_rest(body: Column, total: Column, n: int, empty: str = "None") -> Column:
+    """Lines of a list of ``total`` rows rendered from its first ``n``: a
+    count of the rows left out follows when there are more."""
+    t = F.coalesce(total, F.lit(0))
+    return (F.when(t == 0, F.lit(empty))
+             .when(t > n, F.concat(body, F.lit("\n... and "), (t - n).cast("string"), F.lit(" more")))
+             .otherwise(body))

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.text import block, fmt, line
+from ..functions.text import fmt, line, lines_text, or_empty, with_rest
 from .gold import flag_count
+from ..session import shared_dir
 from .positions import with_position
 
 TEMPLATE_MODEL = "template"
@@ -50,9 +51,21 @@ def daily_kpis(ml: DataFrame) -> DataFrame:
              F.col("_top.magnitude").alias("top_event_magnitude")).drop("_top")
 
 
+def region_profile(ml: DataFrame) -> DataFrame:
+    """One row per region: rows, events with an id, mean and max magnitude
+    (2 decimals, half-even), anomalies.  The region lists of the reports and
+    the region queries all read this one aggregate."""
+    return (ml.groupBy("region")
+              .agg(F.count(F.lit(1)).alias("events"),
+                   F.count("event_id").alias("count"),
+                   F.bround(F.avg("magnitude"), 2).alias("avg_mag"),
+                   F.bround(F.max("magnitude"), 2).alias("max_mag"),
+                   F.sum("is_anomaly").cast("bigint").alias("anomalies")))
+
+
 def top_regions(ml: DataFrame, n: int = 3) -> DataFrame:
     """Most active regions by event count (ties: region name)."""
-    return (ml.groupBy("region").agg(F.count(F.lit(1)).alias("events"))
+    return (region_profile(ml).select("region", "events")
               .orderBy(F.col("events").desc(), F.col("region")).limit(n))
 
 
@@ -63,12 +76,19 @@ def most_active_region(ml: DataFrame) -> DataFrame:
 def cluster_summary(ml: DataFrame) -> DataFrame:
     """Per region: events, mean and max magnitude (2 decimals, half-even),
     anomalies."""
-    return (ml.groupBy("region")
-              .agg(F.count("event_id").alias("count"),
-                   F.bround(F.avg("magnitude"), 2).alias("avg_mag"),
-                   F.bround(F.max("magnitude"), 2).alias("max_mag"),
-                   F.sum("is_anomaly").cast("bigint").alias("anomalies"))
-              .orderBy("region"))
+    return region_profile(ml).drop("events").orderBy("region")
+
+
+def strongest_per_region(ml: DataFrame, k: int) -> DataFrame:
+    """The ``k`` strongest events of each region, ranked ``_r``.
+
+    ``row_number() <= k`` per region is planned with a partial
+    WindowGroupLimit: each task forwards at most k rows per region before the
+    shuffle.  The strongest events overall are among these rows, for any
+    count up to ``k``.
+    """
+    w = Window.partitionBy("region").orderBy(*strongest_first())
+    return ml.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
 
 
 def critical_events(ml: DataFrame, hours: int = 24) -> DataFrame:
@@ -135,16 +155,23 @@ def context_lines(ml: DataFrame) -> DataFrame:
 
 # ---- text rendering ---------------------------------------------------------------
 
-def _daily_summary(ml: DataFrame, max_lines: int) -> DataFrame:
+# The situation summary lists this many strongest events.
+TOP_EVENTS = 5
+
+
+def _daily_summary(ml: DataFrame, max_lines: int, regions: DataFrame,
+                   tops: DataFrame) -> DataFrame:
     k = daily_kpis(ml)
-    regions = block(top_regions(ml, 3), F.concat(F.col("region"), F.lit(": "), F.col("events").cast("string")),
-                    [F.col("events").desc(), F.col("region")], 3, "regions")
-    top5 = block(ml, line("place", "magnitude", "severity", "region", "depth_km"),
-                 strongest_first(), 5, "top5", count_rest=False)
-    anom = block(ml.filter(F.col("is_anomaly") == 1), line("place", "magnitude", "anomaly_reason"),
-                 strongest_first(), max_lines, "anomalies", empty="None detected")
-    k = k.withColumns({"regions": regions.scalar(), "top5": top5.scalar(),
-                       "anomalies": anom.scalar()})
+    region_txt = or_empty(lines_text(
+        regions, F.concat(F.col("region"), F.lit(": "), F.col("events").cast("string")),
+        [F.col("events").desc(), F.col("region")], 3))
+    top_txt = or_empty(lines_text(tops, line("place", "magnitude", "severity", "region", "depth_km"),
+                                  strongest_first(), TOP_EVENTS))
+    anomaly_txt = with_rest(
+        lines_text(ml.filter(F.col("is_anomaly") == 1), line("place", "magnitude", "anomaly_reason"),
+                   strongest_first(), max_lines),
+        F.col("anomaly_count"), max_lines, empty="None detected")
+    k = k.withColumns({"regions": region_txt, "top5": top_txt, "anomalies": anomaly_txt})
     return k.select(
         F.lit("daily_summary").alias("output_type"),
         F.concat_ws("\n",
@@ -162,27 +189,24 @@ def _daily_summary(ml: DataFrame, max_lines: int) -> DataFrame:
                     F.lit(""), F.lit("Anomalous events:"), F.col("anomalies")).alias("content"))
 
 
-def _cluster_explanation(ml: DataFrame, per_region: int) -> DataFrame:
-    from pyspark.sql import Window
-    summary = block(cluster_summary(ml), line("region", "count", "avg_mag", "max_mag", "anomalies"),
-                    [F.col("region")], 1000, "clusters")
-    w = Window.partitionBy("region").orderBy(*strongest_first())
-    # row_number <= k per region is planned with a partial WindowGroupLimit:
-    # each task forwards at most k rows per region before the shuffle.
-    tops = ml.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_region)
-    events = block(tops, line("region", "place", "magnitude", "depth_km", "anomaly_reason"),
-                   [F.col("region"), F.col("_r")], per_region * len(labels.REGION_LABELS), "events")
-    return summary.withColumn("events", events.scalar()).select(
+def _cluster_explanation(spark, regions: DataFrame, tops: DataFrame, per_region: int) -> DataFrame:
+    # every region: each label, plus a group for a missing region
+    clusters = or_empty(lines_text(regions, line("region", "count", "avg_mag", "max_mag", "anomalies"),
+                                   [F.col("region")], len(labels.REGION_LABELS) + 1))
+    events = or_empty(lines_text(tops.filter(F.col("_r") <= per_region),
+                                 line("region", "place", "magnitude", "depth_km", "anomaly_reason"),
+                                 [F.col("region"), F.col("_r")], per_region * len(labels.REGION_LABELS)))
+    return spark.range(1).select(
         F.lit("cluster_explanation").alias("output_type"),
         F.concat_ws("\n", F.lit("ACTIVITY BY REGION (region | events | mean | max | anomalies)"),
-                    F.col("clusters"), F.lit(""),
+                    clusters, F.lit(""),
                     F.lit(f"Strongest events per region (up to {per_region}):"),
-                    F.col("events")).alias("content"))
+                    events).alias("content"))
 
 
-def _playbook(ml: DataFrame) -> DataFrame:
+def _playbook(ml: DataFrame, tops: DataFrame) -> DataFrame:
     has_pred = "predicted_severity" in ml.columns
-    ev = playbook_event(ml, with_prediction=has_pred)
+    ev = playbook_event(tops, with_prediction=has_pred)
     parts = [F.lit("RESPONSE PLAYBOOK INPUT"),
              F.concat(F.lit("Location: "), fmt("place")),
              F.concat(F.lit("Magnitude: M"), fmt("magnitude")),
@@ -199,8 +223,23 @@ def _playbook(ml: DataFrame) -> DataFrame:
 
 
 def render_reports(ml: DataFrame, max_lines: int = 20, per_region: int = 5) -> DataFrame:
-    """Three report rows: (output_type, content, generated_at, model_used)."""
-    parts = [_daily_summary(ml, max_lines), _cluster_explanation(ml, per_region), _playbook(ml)]
+    """Three report rows: (output_type, content, generated_at, model_used).
+
+    Everything is read from four passes over ``ml``: the headline aggregate,
+    one per-region aggregate (region ranking and cluster table), the
+    strongest events per region (the overall top events and the playbook
+    event are among them) and the strongest anomalies.  Each text block is
+    a scalar subquery over at most a few hundred rows.
+    """
+    # Both sets are small (one row per region; k rows per region) and each
+    # feeds several blocks: checkpointed once (to the shared folder), they
+    # cost one pass over ``ml`` each instead of one per block.
+    shared_dir(ml.sparkSession)
+    regions = region_profile(ml).checkpoint()
+    tops = strongest_per_region(ml, max(per_region, TOP_EVENTS)).checkpoint()
+    parts = [_daily_summary(ml, max_lines, regions, tops),
+             _cluster_explanation(ml.sparkSession, regions, tops, per_region),
+             _playbook(ml, tops)]
     out = reduce(DataFrame.unionByName, parts)
     return out.select("output_type", "content",
                       F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
