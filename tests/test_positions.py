@@ -45,3 +45,22 @@ def test_positions_of_no_rows(spark, tmp):
     df = spark.createDataFrame([], "id long, magnitude double, kind string")
     got = with_position(df, ["kind", "id"], "pos", group="kind", path=f"{tmp}/p3")
     assert got.count() == 0 and "pos" in got.columns
+
+
+def test_positions_restart_per_group_across_ranges(spark, tmp):
+    # groups of very different sizes, a hot value inside one group, and the
+    # sort kept in several ranges so groups start and end mid-range
+    rows = [(i, 2.0 if i % 4 == 0 else float(i % 11), "abc"[min(i % 10, 2)]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, magnitude double, kind string").repartition(5)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = with_position(df, ["kind", F.col("magnitude").desc(), "id"], "pos", group="kind",
+                            path=f"{tmp}/p4")
+        got_map = {r.id: r.pos for r in got.collect()}
+        ranges = spark.read.parquet(f"{tmp}/p4").select(F.shiftright("_tag", 33)).distinct().count()
+    finally:
+        spark.conf.set(key, old)
+    assert got_map == _expected(rows, group=True)
+    assert ranges > 3
