@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from seismiq.llm.common import text_or_empty
 
 #: Bounds of the tables a worker keeps; when full they are emptied and refilled.
-MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 150_000, 800_000, 64, 4096
+MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK, ROWS = 100_000, 300_000, 64, 4096, 500
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -89,7 +89,8 @@ class Transducer:
                     self.ends.append(-1)
                 node = nxt
             self.ends[node] = i
-        self.pairs: dict[int, bool] = {}
+        self.after: dict[int, dict[int, bool]] = {}
+        self.known_pairs = 0
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.states: dict[tuple, State] = {}
         self.start = State(((-1, 0, ()),), ())
@@ -124,19 +125,17 @@ class Transducer:
 
     def _allowed(self, u: int, v: int) -> bool:
         """Whether token v may stand after token u (-1: at the beginning)."""
-        if len(self.pairs) >= 2 * self.max_states:
-            self.pairs.clear()
+        if self.known_pairs >= 2 * self.max_states:
+            self.after, self.known_pairs = {}, 0
         t = self.tokens[v]
-        if u < 0:
-            found = len(t) == 1 or self._split(t) is not None
-        else:
-            found = self._joins(self.tokens[u], t)
-        self.pairs[u << 32 | v] = found
-        return found
+        fits = len(t) == 1 or self._split(t) is not None if u < 0 else self._joins(self.tokens[u], t)
+        self.after.setdefault(u, {})[v] = fits
+        self.known_pairs += 1
+        return fits
 
     def _step(self, state: State, byte: int) -> tuple[State, tuple]:
         """The edge for one byte: the next state and the tokens all threads agree on."""
-        threads, final, children = [], None, self.children
+        threads, final, children, after = [], None, self.children, self.after
         for last, node, owed in state.threads:
             nxt = children[node].get(byte)
             if nxt is None:
@@ -146,16 +145,17 @@ class Transducer:
             if final is None:
                 v = self.ends[nxt]
                 if v >= 0:
-                    fits = self.pairs.get(last << 32 | v)
+                    fits = after[last].get(v) if last in after else None
                     if self._allowed(last, v) if fits is None else fits:
                         final = (*owed, v)
                         threads.append((v, 0, final))
         agreed = threads[0][2]
         n = len(agreed)
-        for t in threads:
-            if n and t[2][:n] != agreed[:n]:
-                n = next(i for i in range(n) if t[2][i:i + 1] != agreed[i:i + 1])
-        key = tuple((a, b, owed[n:]) for a, b, owed in threads) if n else tuple(threads)
+        if n:
+            for t in threads:
+                while t[2][:n] != agreed[:n]:
+                    n -= 1
+        key = tuple([(a, b, owed[n:]) for a, b, owed in threads]) if n else tuple(threads)
         if len(self.states) >= self.max_states:  # states in use stay alive by reference
             self.states.clear()
             self.start.edges.clear()
@@ -170,14 +170,28 @@ class Transducer:
         if whole is not None:
             return [whole]
         state, out = self.start, []
-        for b in piece:
+        for b in piece[:-1]:
             edge = state.edges.get(b) or self._step(state, b)
             state = edge[0]
             if edge[1]:
                 out += edge[1]
-        out += state.final
+        out += self._finish(state, piece[-1])
         return out
 
+    def _finish(self, state: State, byte: int) -> tuple:
+        """What is left to emit when the input ends with this byte: no state is made for it."""
+        edge = state.edges.get(byte)
+        if edge is not None:
+            return edge[1] + edge[0].final
+        children, ends, after = self.children, self.ends, self.after
+        for last, node, owed in state.threads:
+            v = ends[children[node].get(byte, 0)]
+            if v >= 0:
+                fits = after[last].get(v) if last in after else None
+                if self._allowed(last, v) if fits is None else fits:
+                    return (*owed, v)
+        raise AssertionError("every byte is a token")
+
 
 class Encoder:
     """Whole texts: split by the pattern, each match through the transducer."""
@@ -188,12 +202,16 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.transducer = Transducer(ranks)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = array.array("i", self.transducer.encode(piece.encode("utf-8"))).tobytes()
+        """A piece not seen lately; of two tables the older one goes when the newer is full."""
+        ids = self.known.get(piece) or self.older.get(piece)
+        if ids is None:
+            ids = array.array("i", self.transducer.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= LONG_PIECE:
             if len(self.known) >= MAX_PIECES:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
@@ -201,8 +219,7 @@ class Encoder:
         """The ids as 32-bit integers in the machine's order."""
         get, out = self.known.get, []
         for p in self.find(text):
-            ids = get(p)
-            out.append(self._piece(p) if ids is None else ids)
+            out.append(get(p) or self._piece(p))
         return b"".join(out)
 
 
@@ -233,6 +250,27 @@ def _once(make: Callable):
     return get
 
 
+def _slices(column: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a batch of a bounded number of rows."""
+    for i in range(0, len(column), ROWS):
+        yield column.slice(i, ROWS)
+
+
+def _id_lists(texts: list[str | None], encoder: Encoder) -> pa.Array:
+    rows = [encoder.encode(t or "") for t in texts]
+    offsets = list(accumulate((len(r) // 4 for r in rows), initial=0))
+    ids = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(rows))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
+
+
+def _texts(lists: pa.Array, stream: StreamDecoder) -> pa.Array:
+    values, ends, out = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist(), []
+    for a, b in zip(ends, ends[1:]):
+        row = [stream.feed(values[i:min(i + CHUNK, b)].tolist()) for i in range(a, b, CHUNK)]
+        out.append("".join([*row, stream.end()]))
+    return pa.array(out, pa.string())
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
            ids: str = "ids") -> DataFrame:
     """Add ``ids`` (array of int): the byte-level BPE ids of each whole text.
@@ -243,12 +281,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc = get()
         for texts in batches:
-            rows = [enc.encode(t) for t in texts.to_pylist()]
-            offsets = list(accumulate((len(r) // 4 for r in rows), initial=0))
-            ids = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(rows))])
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
+            yield pa.concat_arrays([_id_lists(t.to_pylist(), get()) for t in _slices(texts)])
 
     return docs.withColumn(ids, run(text_or_empty(text)))
 
@@ -256,16 +290,27 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids",
            decoded: str = "decoded") -> DataFrame:
     """Add ``decoded`` (string): the text of each row's ids; null ids give an empty text."""
-    get = _once(lambda: {i: t for t, i in ranks.items()})
+    get = _once(lambda: StreamDecoder({i: t for t, i in ranks.items()}))
 
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        stream = StreamDecoder(get())
         for lists in batches:
-            values, ends, out = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist(), []
-            for a, b in zip(ends, ends[1:]):
-                row = [stream.feed(values[i:min(i + CHUNK, b)].tolist()) for i in range(a, b, CHUNK)]
-                out.append("".join([*row, stream.end()]))
-            yield pa.array(out, pa.string())
+            yield pa.concat_arrays([_texts(t, get()) for t in _slices(lists)])
 
     return docs.withColumn(decoded, run(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """doc_id, ids and decoded (the text of the ids), both in one Python worker."""
+    get = _once(lambda: (Encoder(ranks, pattern), StreamDecoder({i: t for t, i in ranks.items()})))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                encoder, stream = get()
+                ids = _id_lists(part.column(1).to_pylist(), encoder)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, _texts(ids, stream)], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")

@@ -8,16 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismiq.llm import bpe, decontam, pii, quality, simhash
+from seismiq.llm import bpe, decontam, iblt, pii, quality, sharding, simhash, token_counts
 from seismiq.llm.common import sha256_hex, table, text_or_empty
 
-VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+VOCABULARY, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
+SHARD_BYTES = 1 << 20
 
 
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    both = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        sha256_hex(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
                        sha256_hex(F.col("decoded")).alias("decoded_sha256"))
@@ -34,6 +35,15 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.listed(F.col("spans")).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECES), "rb") as f:
+        return token_counts.token_counts(table(spark, sf_dir, "documents"), f.read())
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -43,12 +53,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_pii, op7_simhash, op8_quality, op10_decontamination)
+    f.__name__: f for f in (op1_bpe, op2_pii, op3_token_counts, op5_sharding, op7_simhash, op8_quality, op9_fingerprints,
+                              op10_decontamination)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_sharding": sharding.oracle(SHARD_BYTES)}
