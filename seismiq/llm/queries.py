@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismiq.llm import bpe, decontam, iblt, pii, quality, sharding, simhash, token_counts
+from seismiq.llm import bpe, decontam, iblt, pii, pitman_yor, quality, sharding, simhash, token_counts, wrappers
 from seismiq.llm.common import sha256_hex, table, text_or_empty
 
 VOCABULARY, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -40,10 +40,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_counts.token_counts(table(spark, sf_dir, "documents"), f.read())
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -62,8 +70,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_pii, op3_token_counts, op5_sharding, op7_simhash, op8_quality, op9_fingerprints,
-                              op10_decontamination)
+    f.__name__: f for f in (op1_bpe, op2_pii, op3_token_counts, op4_pitman_yor, op5_sharding, op6_wrappers, op7_simhash,
+                              op8_quality, op9_fingerprints, op10_decontamination)
 }
 
 SQL: dict[str, str] = {"op5_sharding": sharding.oracle(SHARD_BYTES)}
