@@ -35,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import text_or_empty
+from seismiq.llm.common import slices, text_or_empty
 
 #: Bounds of the tables a worker keeps; when full they are emptied and refilled.
-MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK, ROWS = 100_000, 300_000, 64, 4096, 500
+MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 100_000, 300_000, 64, 4096
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -250,12 +250,6 @@ def _once(make: Callable):
     return get
 
 
-def _slices(column: pa.Array) -> Iterator[pa.Array]:
-    """Parts of a batch of a bounded number of rows."""
-    for i in range(0, len(column), ROWS):
-        yield column.slice(i, ROWS)
-
-
 def _id_lists(texts: list[str | None], encoder: Encoder) -> pa.Array:
     rows = [encoder.encode(t or "") for t in texts]
     offsets = list(accumulate((len(r) // 4 for r in rows), initial=0))
@@ -282,7 +276,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.concat_arrays([_id_lists(t.to_pylist(), get()) for t in _slices(texts)])
+            yield pa.concat_arrays([_id_lists(t.to_pylist(), get()) for t in slices(texts)])
 
     return docs.withColumn(ids, run(text_or_empty(text)))
 
@@ -295,7 +289,7 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids",
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield pa.concat_arrays([_texts(t, get()) for t in _slices(lists)])
+            yield pa.concat_arrays([_texts(t, get()) for t in slices(lists)])
 
     return docs.withColumn(decoded, run(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
 
@@ -306,8 +300,7 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
+            for part in slices(batch):
                 encoder, stream = get()
                 ids = _id_lists(part.column(1).to_pylist(), encoder)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, _texts(ids, stream)], ["doc_id", "ids", "decoded"])

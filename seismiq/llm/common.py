@@ -40,6 +40,12 @@ def materialise(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batch, rows: int = 256) -> Iterator:
+    """Parts of an Arrow batch or array, so that few rows at a time become Python objects."""
+    for i in range(0, len(batch), rows):
+        yield batch.slice(i, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 

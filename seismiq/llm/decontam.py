@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import materialise, text_or_empty
+from seismiq.llm.common import materialise, slices, text_or_empty
 
 GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -103,7 +103,7 @@ def _find(block):
             for at, g in enumerate(_grams(words)):
                 number.setdefault(g, len(number))
                 places.setdefault(g, []).append((k, at, len(words)))
-        for batch in batches:
+        for batch in (x for b in batches for x in slices(b)):
             out = []
             for doc, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = words_of(text)
@@ -134,7 +134,7 @@ def _score(block, threshold: float):
     items = [w for _, _, w in block]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x for b in batches for x in slices(b)):
             scores = []
             for k, passage in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 s = score(items[k], passage.split(" "), threshold)

@@ -33,7 +33,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import materialise, text_or_empty
+from seismiq.llm.common import materialise, slices, text_or_empty
 
 MAX_LABELLED, MAX_POOL, ROUNDS, SURE = 20_000, 20_000, 3, 0.95
 META_SIZE = 64
@@ -62,7 +62,8 @@ def _features() -> Column:
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(list(map(text_features, texts.cast(pa.binary()).to_pylist())), pa.list_(pa.float64()))
+            rows = (text_features(t) for part in slices(texts.cast(pa.binary())) for t in part.to_pylist())
+            yield pa.array(list(rows), pa.list_(pa.float64()))
     return run(text_or_empty())
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from seismiq.llm.common import freed_shuffles, materialise, text_or_empty
+from seismiq.llm.common import freed_shuffles, materialise, slices, text_or_empty
 
 SEED = 42
 #: Length, radius and generator polynomial of the binary Golay code.
@@ -77,7 +77,8 @@ def simhash(text: bytes, shingle: int = 4) -> int:
 
 @F.arrow_udf(LongType())
 def _fingerprints(texts: pa.Array) -> pa.Array:
-    out = np.fromiter(map(simhash, texts.cast(pa.binary()).to_pylist()), np.uint64, len(texts))
+    values = (simhash(t) for part in slices(texts.cast(pa.binary())) for t in part.to_pylist())
+    out = np.fromiter(values, np.uint64, len(texts))
     return pa.array(out.view(np.int64))
 
 

@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import text_or_empty
+from seismiq.llm.common import slices, text_or_empty
 
-BLANK, MAX_KNOWN = "▁", 400_000
+BLANK, MAX_KNOWN, BLOCK_ROWS = "▁", 400_000, 500
 
 
 class PieceCounter:
@@ -76,8 +76,8 @@ def with_token_count(docs: DataFrame, model: bytes, text: str = "text", column:
         if not made:
             made.append(PieceCounter(model))
         for texts in batches:
-            # a block of at most 500 documents holds its frequencies at once
-            parts = [made[0].count(texts.slice(i, 500).to_pylist()) for i in range(0, len(texts), 500)]
+            # a block: as many documents as hold their frequencies at once
+            parts = [made[0].count(part.to_pylist()) for part in slices(texts, BLOCK_ROWS)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
 
     return docs.withColumn(column, run(text_or_empty(text)))
