@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
 DataFrame functions only.  A text's elements are its paragraphs: lines, long
-ones in runs of 16 words; an element is a 64-bit hash of a paragraph and of how
+ones in runs of 32 words; an element is a 64-bit hash of a paragraph and of how
 often it occurs.  A sketch is dealt by hash to sub-sketches of a few elements
 each; every element is added to three cells of its sub-sketch: a count, the xor
 of elements and the xor of their check hashes.  The sketches of two versions are
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from seismiq.llm.common import materialise, sha256_hex, text_or_empty
 
-#: A run of at most 16 words within a line.
-PARAGRAPH = r"(?:[^\s]++[^\S\n]*+){1,16}+"
+#: A run of at most 32 words within a line.
+PARAGRAPH = r"(?:[^\s]++[^\S\n]*+){1,32}+"
 #: Elements of a sub-sketch (mean), its cells at first and at each retry; the cells of one element.
 MEAN_ELEMENTS, CELLS, HASHES = 4, (12, 24, 48, 96), 3
 PRINTED_CELLS = 4
@@ -117,12 +117,18 @@ def peel(difference: Column, cells: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(cells)), start, step, end)
 
 
-def differing(a: Column, b: Column) -> Column:
-    """How many elements two lists do not share: by sketches that grow until one peels."""
+def differing(a: Column, b: Column, first: Column | None = None) -> Column:
+    """How many elements two lists do not share: by sketches that grow until one peels.
+
+    ``first``: the difference of their smallest sketches, if it is at hand.
+    """
     def counted(found: Column) -> Column:
         return F.when(found.isNotNull(), F.size(found))
 
-    tries = [_let(peel(subtract(sketch(a, m), sketch(b, m)), m), counted) for m in CELLS]
+    differences = [subtract(sketch(a, m), sketch(b, m)) for m in CELLS]
+    if first is not None:
+        differences[0] = first
+    tries = [_let(peel(d, m), counted) for d, m in zip(differences, CELLS)]
     return F.coalesce(*tries, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
 
 
@@ -201,8 +207,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 .select("id", "key", "groups", "v", F.xxhash64("h", "n").alias("e")))
     lists = [F.collect_list(F.when(F.col("v") == v, F.col("e"))).alias(f"e{v}") for v in range(3)]
     dealt = elements.groupBy("id", "key", F.pmod(F.xxhash64(F.lit("group"), "e"), "groups").alias("g")).agg(*lists)
-    compared = dealt.select("id", "key", *[F.size(f"e{v}").alias(f"s{v}") for v in range(3)],
-                            differing(F.col("e0"), F.col("e1")).alias("d1"), differing(F.col("e0"), F.col("e2")).alias("d2"),
+    small = dealt.withColumns({f"k{v}": sketch(F.col(f"e{v}"), CELLS[0]) for v in range(3)})
+    unlike = {f"d{v}": differing(F.col("e0"), F.col(f"e{v}"), subtract(F.col("k0"), F.col(f"k{v}"))) for v in (1, 2)}
+    compared = small.select("id", "key", *[F.size(f"e{v}").alias(f"s{v}") for v in range(3)], *[c.alias(n) for n, c in unlike.items()],
                             *_printed(F.col("e0"), "x"), *_printed(F.col("e1"), "y"))
     sums = [F.sum(c).alias(c) for c in ("s0", "s1", "s2", "d1", "d2", *[f"{x}n{i}" for x in "xy" for i in range(PRINTED_CELLS)])]
     xors = [F.bit_xor(f"{x}{f}{i}").alias(f"{x}{f}{i}") for x in "xy" for f in "kc" for i in range(PRINTED_CELLS)]
