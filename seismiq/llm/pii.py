@@ -9,7 +9,7 @@ match never begins inside a run that an earlier position has already tried.
 
 Bootstrapping: each base span is an instance of its kind, each other token that
 looks like an identifier (a ``@``, or four digits) an unlabelled instance; the
-two words before an instance, and its outline, form its lexical patterns.
+two words before an instance, and the last of them alone, are its lexical patterns.
 Patterns and instances are the two sides of a graph.  In each round Spark scores
 a pattern by the share of labelled instances among its distinct instances, and
 an instance by the noisy-or of its patterns; instances of confident patterns
@@ -104,19 +104,13 @@ def _tokens(text: Column, base: Column) -> Column:
         .otherwise(F.array().cast("array<struct<start:int,end:int,value:string,before:string>>"))
 
 
-def _outline(value: Column) -> Column:
-    """Digits to 9, letters to a, runs to one character: what an identifier looks like."""
-    return F.regexp_replace(F.regexp_replace(F.lower(value), "[0-9]+", "9"), "[a-z]+", "a")
-
-
 def _contexts(before: Column, value: Column) -> Column:
-    """The lexical patterns of an instance: one and two words before it, with its outline."""
+    """The lexical patterns of an instance: the one and the two words before it, with a sign for its sort."""
     words = F.filter(F.split(F.regexp_replace(F.lower(before), "[0-9]", "9"), r"\s+"), lambda w: w != "")
     last = lambda n: F.array_join(F.slice(words, F.size(words) - n + 1, F.lit(n)), " ")
-    outline = F.substring(_outline(value), 1, 32)
-    return F.filter(F.array(
-        F.when(F.size(words) >= 1, F.concat(last(1), F.lit(" _ "), outline)),
-        F.when(F.size(words) >= 2, F.concat(last(2), F.lit(" _ "), outline))), lambda p: p.isNotNull())
+    sort = F.when(F.contains(value, F.lit("@")), F.lit(" _@")).otherwise(F.lit(" _9"))
+    return F.filter(F.array(F.when(F.size(words) >= 1, F.concat(last(1), sort)), F.when(F.size(words) >= 2, F.concat(last(2), sort))),
+                    lambda p: p.isNotNull())
 
 
 def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
