@@ -28,7 +28,7 @@ from __future__ import annotations
 import array
 import base64
 import codecs
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from seismiq.llm.common import slices, text_or_empty
 
 #: Bounds of the tables a worker keeps; when full they are emptied and refilled.
-MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 100_000, 300_000, 64, 4096
+MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 150_000, 700_000, 64, 4096
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -239,15 +239,18 @@ class StreamDecoder:
         return out
 
 
-def _once(make: Callable):
-    """Build a worker's tables when its first batch comes."""
-    kept: list = []
+#: What a Python worker keeps from task to task: the tables of the vocabularies it has met, at most two.
+_WORKER: dict[int, tuple[Encoder, StreamDecoder]] = {}
 
-    def get():
-        if not kept:
-            kept.append(make())
-        return kept[0]
-    return get
+
+def _tables(ranks: dict[bytes, int], pattern: str) -> tuple[Encoder, StreamDecoder]:
+    """The worker's encoder and decoder for a vocabulary, made when its first task comes."""
+    name = hash((pattern, frozenset(ranks.items())))
+    if name not in _WORKER:
+        if len(_WORKER) >= 2:
+            _WORKER.clear()
+        _WORKER[name] = Encoder(ranks, pattern), StreamDecoder({i: t for t, i in ranks.items()})
+    return _WORKER[name]
 
 
 def _id_lists(texts: list[str | None], encoder: Encoder) -> pa.Array:
@@ -271,12 +274,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     ``ranks`` (one vocabulary, a megabyte) goes to the executors with the task.
     """
-    get = _once(lambda: Encoder(ranks, pattern))
-
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, _ = _tables(ranks, pattern)
         for texts in batches:
-            yield pa.concat_arrays([_id_lists(t.to_pylist(), get()) for t in slices(texts)])
+            yield pa.concat_arrays([_id_lists(t.to_pylist(), encoder) for t in slices(texts)])
 
     return docs.withColumn(ids, run(text_or_empty(text)))
 
@@ -284,26 +286,22 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids",
            decoded: str = "decoded") -> DataFrame:
     """Add ``decoded`` (string): the text of each row's ids; null ids give an empty text."""
-    get = _once(lambda: StreamDecoder({i: t for t, i in ranks.items()}))
-
     @F.arrow_udf("string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        stream = StreamDecoder({i: t for t, i in ranks.items()})
         for lists in batches:
-            yield pa.concat_arrays([_texts(t, get()) for t in slices(lists)])
+            yield pa.concat_arrays([_texts(t, stream) for t in slices(lists)])
 
     return docs.withColumn(decoded, run(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, ids and decoded (the text of the ids), both in one Python worker."""
-    get = _once(lambda: (Encoder(ranks, pattern), StreamDecoder({i: t for t, i in ranks.items()})))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                encoder, stream = get()
-                ids = _id_lists(part.column(1).to_pylist(), encoder)
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, _texts(ids, stream)], ["doc_id", "ids", "decoded"])
+        encoder, stream = _tables(ranks, pattern)
+        for part in (x for b in batches for x in slices(b)):
+            ids = _id_lists(part.column(1).to_pylist(), encoder)
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, _texts(ids, stream)], ["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")

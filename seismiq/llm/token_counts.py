@@ -67,17 +67,25 @@ class PieceCounter:
         return np.array([sum(n * known[p] for p, n in t.items()) for t in tables], np.int64)
 
 
+#: The counter that a Python worker keeps from task to task.
+_WORKER: dict[bytes, PieceCounter] = {}
+
+
+def _counter(model: bytes) -> PieceCounter:
+    if model not in _WORKER:
+        _WORKER.clear()
+        _WORKER[model] = PieceCounter(model)
+    return _WORKER[model]
+
+
 def with_token_count(docs: DataFrame, model: bytes, text: str = "text", column: str = "n_tokens") -> DataFrame:
     """Add the number of pieces of each whole text (the model, half a megabyte, goes with the task)."""
-    made: list[PieceCounter] = []
-
     @F.arrow_udf("long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if not made:
-            made.append(PieceCounter(model))
+        counter = _counter(model)
         for texts in batches:
             # a block: as many documents as hold their frequencies at once
-            parts = [made[0].count(part.to_pylist()) for part in slices(texts, BLOCK_ROWS)]
+            parts = [counter.count(part.to_pylist()) for part in slices(texts, BLOCK_ROWS)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
 
     return docs.withColumn(column, run(text_or_empty(text)))
