@@ -42,7 +42,7 @@ def materialise(df: DataFrame, kind: str) -> DataFrame:
 
 def slices(batch, rows: int = 256) -> Iterator:
     """Parts of an Arrow batch or array, so that few rows at a time become Python objects."""
-    for i in range(0, len(batch), rows):
+    for i in range(0, max(1, len(batch)), rows):
         yield batch.slice(i, rows)
 
 
