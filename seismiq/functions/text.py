@@ -37,12 +37,3 @@ def lines_text(df: DataFrame, text: Column, order: Sequence[Column], n: int) ->
 def or_empty(body: Column, empty: str = "None") -> Column:
     """``empty`` in place of a text with no lines."""
     return F.when(body == F.lit(""), F.lit(empty)).otherwise(body)
-
-
-def with_rest(body: Column, total: Column, n: int, empty: str = "None") -> Column:
-    """Lines of a list of ``total`` rows rendered from its first ``n``: a
-    count of the rows left out follows when there are more."""
-    t = F.coalesce(total, F.lit(0))
-    return (F.when(t == 0, F.lit(empty))
-             .when(t > n, F.concat(body, F.lit("\n... and "), (t - n).cast("string"), F.lit(" more")))
-             .otherwise(body))

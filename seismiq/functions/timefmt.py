@@ -48,14 +48,24 @@ def ntz_to_iso_text(ts: Column | str) -> Column:
     ))
 
 
+# ---- fixed values: the shape of a feed time, with or without a fraction -----
+FEED_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?Z$"
+# -----------------------------------------------------------------------------
+
+
 def parse_iso_utc(text: Column | str) -> Column:
-    """ISO-8601 UTC text (``...Z``, with or without fraction) -> TIMESTAMP_NTZ.
+    """Feed time text (``2024-01-31T05:06:07Z``, fraction optional) -> TIMESTAMP_NTZ in UTC.
 
-    Unparseable text gives null instead of failing the job under ANSI mode.
-    The zone designator is honoured, then the instant is expressed as a UTC
-    wall clock (the session is pinned to UTC by ``session.prepare``).
+    Any other shape, and a date or time that does not exist, gives null.  The
+    session time zone plays no part: the text is read as a UTC wall clock.
     """
-    return F.try_to_timestamp(_c(text)).cast("timestamp_ntz")
+    t = _c(text)
+    return F.when(t.rlike(FEED_TIME), F.rtrim(t, F.lit("Z")).try_cast("timestamp_ntz"))
+
+
+def now_utc() -> Column:
+    """Wall clock of the run as TIMESTAMP_NTZ in UTC, whatever the session zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
 
 
 def hour_of(ts: Column | str) -> Column:

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,9 +41,9 @@ def _vcol(c: str) -> str:
     return f"_v_{c}"
 
 
-def split_threshold(frac: float) -> str:
-    """Two-hex-digit bound: hash prefixes below it form the test split."""
-    return format(min(255, round(frac * 256)), "02x")
+def split_threshold(frac: float) -> int:
+    """Bound of the first hash byte: values below it form the test split."""
+    return min(256, round(frac * 256))
 
 
 def split_flag(df: DataFrame, key: str = "event_id", seed: str = SPLIT_SEED,
@@ -55,7 +55,7 @@ def split_flag(df: DataFrame, key: str = "event_id", seed: str = SPLIT_SEED,
     With fewer than ``MIN_SPLIT_ROWS`` rows every row is in both splits; the
     row count is a scalar subquery (computed once), not a driver round trip.
     """
-    h = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), 1, 2)
+    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))), 1, 2), 16, 10).cast("int")
     in_test = h < F.lit(split_threshold(frac))
     n = df.agg(F.count(F.lit(1))).scalar()
     small = n < MIN_SPLIT_ROWS
@@ -87,19 +87,32 @@ def build_pipeline(estimator=None, features: Sequence[str] = FEATURE_COLUMNS) ->
     return Pipeline(stages=[indexer, assembler, estimator])
 
 
-def boosted_estimator(max_iter: int = N_TREES):
-    """Option: one-vs-rest gradient-boosted trees (no probability column)."""
-    from pyspark.ml.classification import GBTClassifier, OneVsRest
+def boosted_estimator(max_iter: int = N_TREES, parallelism: int = 4):
+    """Gradient-boosted trees: one binary model per class, fitted side by side.
+
+    ``predict`` turns the margins of the binary models into class
+    probabilities that add up to one.
+    """
     gbt = GBTClassifier(maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, maxIter=max_iter, seed=MODEL_SEED)
-    return OneVsRest(classifier=gbt, labelCol="label", featuresCol="features")
+    return OneVsRest(classifier=gbt, labelCol="label", featuresCol="features", parallelism=parallelism)
 
 
-def train(train_df: DataFrame, estimator=None, materialize: bool = True) -> PipelineModel:
+def train(train_df: DataFrame, estimator=None, materialize: bool = True,
+          max_rows: int | None = None) -> PipelineModel:
     """Fit the pipeline.  The label encoder, split finding and bagging each
     pass over the input, so it is first written once as Parquet to the shared
     folder (lineage is cut, a lost executor does not redo the upstream work)
-    instead of recomputing the upstream dedup on every pass."""
+    instead of recomputing the upstream dedup on every pass.
+
+    ``max_rows`` bounds the labelled rows of the fit (for boosting, whose
+    rounds follow one another): about so many rows, chosen by a hash of the
+    event id.  All rows are used by default.
+    """
     df = vector_input(train_df)
+    if max_rows is not None:
+        n = train_df.count()
+        share = min(1.0, max_rows / n) if n else 1.0
+        df = df.filter(F.pmod(F.xxhash64("event_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     if materialize:
         spark = df.sparkSession
         path = fresh_path(spark, "training_set")
@@ -120,6 +133,11 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     cols = {"predicted_severity": decoded}
     if "probability" in out.columns:
         cols["prediction_confidence"] = F.bround(F.array_max(vector_to_array("probability")), 4)
+    elif isinstance(model.stages[-1], OneVsRestModel):
+        # log-loss margins: a binary model's probability is 1 / (1 + exp(-2 margin))
+        each = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+        total = F.aggregate(each, F.lit(0.0), lambda a, p: a + p)
+        cols["prediction_confidence"] = F.bround(F.array_max(each) / total, 4)
     else:
         cols["prediction_confidence"] = F.lit(None).cast("double")
     keep = [c for c in df.columns]
@@ -205,16 +223,21 @@ def importance(model: PipelineModel, features: Sequence[str] = FEATURE_COLUMNS)
     """Feature importance table (12 rows), most important first."""
     est = model.stages[-1]
     spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-    vals = est.featureImportances.toArray().tolist() if hasattr(est, "featureImportances") else [None] * len(features)
-    return (spark.createDataFrame(list(zip(features, [float(v) if v is not None else None for v in vals])),
+    # boosted: the mean of the binary models' importances
+    models = est.models if isinstance(est, OneVsRestModel) else [est]
+    each = [m.featureImportances.toArray() for m in models]
+    vals = [sum(float(e[i]) for e in each) / len(each) for i in range(len(features))]
+    return (spark.createDataFrame(list(zip(features, vals)),
                                   "feature string, importance double")
                  .orderBy(F.col("importance").desc_nulls_last(), "feature"))
 
 
 # ---- ML-enriched table ------------------------------------------------------------
 
+# ---- fixed values: columns added to Silver ------------------------------------
 ML_COLUMNS = ["predicted_severity", "prediction_confidence", "is_anomaly", "anomaly_reason",
               "anomaly_score", "zscore_magnitude", "zscore_depth_km", "zscore_significance"]
+# --------------------------------------------------------------------------------
 
 
 def _filled(c: str, df: DataFrame) -> Column:  # scoring fill of one column

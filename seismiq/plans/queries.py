@@ -8,6 +8,7 @@ results because they are the wall clock of the run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ..operators.dedup import dedup_latest
 from ..operators.gold import gold
 from ..operators.silver import silver
 from ..session import fresh_path, prepare
+from ..sources import catalog
 from ..sources import export as ex
 from ..sources import geojson as gj
 from ..sources import landing as ld
@@ -136,18 +138,10 @@ def q_dash_top_events(spark, sf_dir):
 # ---- step 4-6: anomaly, ML features, classifier ---------------------------------
 
 
-_MODELS: dict = {}
-
-
 def trained_model(spark: SparkSession, sf_dir: str, s: DataFrame | None = None):
-    """Train once per input directory and session (model training is the
-    expensive step shared by several ML queries)."""
-    key = (id(spark), sf_dir)
-    if key not in _MODELS:
-        s = silver_table(spark, sf_dir) if s is None else s
-        feats = clf.split_flag(an.scored_base(s))
-        _MODELS[key] = clf.train(feats.filter("is_train"))
-    return _MODELS[key]
+    """The classifier of a run, fitted on its training split."""
+    s = silver_table(spark, sf_dir) if s is None else s
+    return clf.train(clf.split_flag(an.scored_base(s)).filter("is_train"))
 
 
 def ml_of(spark: SparkSession, sf_dir: str, with_model: bool = False,
@@ -226,12 +220,12 @@ def q_daily_kpis(spark, sf_dir):
 
 @register("top_regions")
 def q_top_regions(spark, sf_dir):
-    return rp.top_regions(ml_of(spark, sf_dir), 3)
+    return rp.top_regions(silver_of(spark, sf_dir), 3)
 
 
 @register("most_active_region")
 def q_most_active_region(spark, sf_dir):
-    return rp.most_active_region(ml_of(spark, sf_dir))
+    return rp.most_active_region(silver_of(spark, sf_dir))
 
 
 @register("cluster_summary")
@@ -261,15 +255,15 @@ def q_report_lines(spark, sf_dir):
 
 @register("qa_context")
 def q_qa_context(spark, sf_dir):
-    return rp.qa_context(ml_of(spark, sf_dir, with_model=True))
+    return rp.qa_context(written_ml(spark, sf_dir))
 
 
-def written_ml(spark, sf_dir, with_model: bool = True) -> DataFrame:
+def written_ml(spark, sf_dir, with_model: bool = True, s: DataFrame | None = None) -> DataFrame:
     """The ML table as the layer job leaves it: written once, then read.
     Report renderers scan it several times; scanning the written table avoids
     re-running dedup and forest scoring per scan."""
     path = fresh_path(spark, "ml_predictions")
-    s = silver_table(spark, sf_dir)
+    s = silver_table(spark, sf_dir) if s is None else s
     model = trained_model(spark, sf_dir, s) if with_model else None
     clf.ml_table(s, model=model).write.parquet(path)
     return spark.read.parquet(path)
@@ -307,14 +301,8 @@ def q_dash_reports(spark, sf_dir):
 # Features per GeoJSON document: documents are keyed by ranges of the row
 # sequence, so a document never exceeds this many features.
 FEATURES_PER_DOC = 500
-# Landing batches are weekly slices of the feed, landed in time order; each
-# batch is written by several tasks, all versions of one event in one file.
+# Landing batches are weekly slices of the feed.
 LANDING_BATCH_DAYS = 7
-FILES_PER_BATCH = 4
-# A batch gets more files as it grows: about this many records per file.
-RECORDS_PER_FILE = 250_000
-# Streaming Silver folds its log into a compaction every this many batches.
-STREAM_COMPACT_EVERY = 2
 
 
 def _feed(spark, sf_dir, keep=()):
@@ -331,29 +319,16 @@ def q_geojson_flatten(spark, sf_dir):
 
 
 def land_feed(spark, sf_dir) -> str:
-    """Land the feed as NDJSON batches in time order (the fetcher's role).
-
-    The feed is staged once, partitioned by landing batch (one scan of the
-    source); each batch is then landed from its own partition, in time
-    order, so later versions of an event always arrive later.  The number of
-    files per batch grows with its record count; all versions of one event
-    in a batch share a file, so the stream never splits them across
-    micro-batches.
+    """Land the feed as NDJSON batches by week (the fetcher's role), in one job.
+
+    Versions of an event may lie in several files: each stream below takes
+    all files of one run in one micro-batch, whose rows share a load time, so
+    the record's own time decides which version is the latest.
     """
-    landing, stage = fresh_path(spark, "landing"), fresh_path(spark, "staging")
+    landing = fresh_path(spark, "landing")
     feed = _feed(spark, sf_dir, keep=("event_timestamp",))
     day = F.datediff(F.col("event_timestamp").cast("date"), F.lit("2000-01-01").cast("date"))
-    (feed.withColumn("_batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp")
-         .write.partitionBy("_batch").parquet(stage))
-    staged = spark.read.parquet(stage)
-    # One row per batch (week): its id and record count -- small metadata.
-    sizes = sorted(tuple(r) for r in staged.groupBy("_batch").count().collect())
-    for b, n in sizes:
-        files = max(FILES_PER_BATCH, -(-n // RECORDS_PER_FILE))
-        part = (staged.filter(F.col("_batch") == b).drop("_batch")
-                      .repartition(files, "event_id"))
-        ld.land(part, landing, batch=f"batch_{b:08d}")
-    return landing
+    return ld.land_by(feed.withColumn("batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp"), landing, "batch")
 
 
 @register("landing_files")
@@ -372,8 +347,7 @@ def q_landing_read(spark, sf_dir):
 def _run_bronze(spark, sf_dir) -> str:
     landing = land_feed(spark, sf_dir)
     bronze = fresh_path(spark, "bronze")
-    q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"),
-                        max_files=2 * FILES_PER_BATCH - 1)
+    q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"))
     q.awaitTermination()
     return bronze
 
@@ -387,12 +361,9 @@ def q_bronze_stream(spark, sf_dir):
 @register("silver_stream")
 def q_silver_stream(spark, sf_dir):
     bronze = _run_bronze(spark, sf_dir)
-    log = fresh_path(spark, "silver_log")
-    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8,
-                        compact_every=STREAM_COMPACT_EVERY)
-    q.awaitTermination()
-    comp, since = ss.current_compaction(spark, log)
-    return ss.silver_from_log(spark, log, stamp=False, compacted=comp, since_batch=since)
+    path = fresh_path(spark, "silver_stream")
+    ss.start_silver(spark, bronze, path, fresh_path(spark, "ckpt_silver")).awaitTermination()
+    return ss.read_silver(spark, path, stamp=False)
 
 
 # ---- step 9: export and table status ----------------------------------------------
@@ -417,33 +388,57 @@ def q_export_manifest(spark, sf_dir):
     """Export the three serving tables, then count them back from the target."""
     root = fresh_path(spark, "export")
     s = silver_table(spark, sf_dir)
+    ml = written_ml(spark, sf_dir, s=s)
+    history = fresh_path(spark, "report_history")
+    rp.append_history(rp.render_reports(ml), history)
     ex.export(gold(s, stamp=False), root, "gold_insights")
-    ex.export(clf.ml_table(s, model=trained_model(spark, sf_dir, s)), root, "ml_predictions")
-    ex.export(spark.read.parquet(_history(spark, sf_dir)), root, "genai_outputs")
+    ex.export(ml, root, "ml_predictions")
+    ex.export(spark.read.parquet(history), root, "genai_outputs")
     return ex.verify_exports(spark, root, ["gold_insights", "ml_predictions", "genai_outputs"])
 
 
+STATUS_SCHEMA = "seismiq_status"
+
+
+def _fresh_tables(spark, tables: dict[str, DataFrame], schema: str) -> None:
+    """Catalog tables over fresh folders of the shared storage."""
+    catalog.ensure_schemas(spark, [schema])
+    for name, df in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
+        catalog.save_overwrite(df, f"{schema}.{name}", fresh_path(spark, f"tables-{name}"))
+
+
 @register("table_status")
 def q_table_status(spark, sf_dir):
-    b = bronze_of(spark, sf_dir)
-    s = silver(b, order=OBS_ORDER, stamp=False)
-    views = {"seismiq_bronze": b, "seismiq_silver": s, "seismiq_gold": gold(s, stamp=False),
-             "seismiq_ml": clf.ml_table(s, stamp=False)}
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    spark.catalog.dropTempView("seismiq_reports")
-    return audit.table_status(spark, [*views, "seismiq_reports"]).drop("error")
+    b, s = bronze_of(spark, sf_dir), silver_table(spark, sf_dir)
+    _fresh_tables(spark, {"bronze": b, "silver": s, "gold": gold(s, stamp=False), "ml": clf.ml_table(s, stamp=False)}, STATUS_SCHEMA)
+    names = ["bronze", "silver", "gold", "ml", "reports"]
+    return audit.table_status(spark, [f"{STATUS_SCHEMA}.{n}" for n in names])
+
+
+@register("catalog_tables")
+def q_catalog_tables(spark, sf_dir):
+    """Create a schema, overwrite a table with another schema, append to one, list them, count them."""
+    schema = "seismiq_catalog"
+    g = gold_of(spark, sf_dir)
+    _fresh_tables(spark, {"replaced": g, "appended": g.select("severity")}, schema)
+    path = fresh_path(spark, "tables-replaced-again")
+    catalog.save_overwrite(g.select("region", "total_events"), f"{schema}.replaced", path)
+    catalog.save_append(g.select("severity"), f"{schema}.appended")
+    names = sorted(r["tableName"] for r in catalog.list_tables(spark, schema).collect())
+    return reduce(DataFrame.unionByName, [
+        spark.table(f"{schema}.{n}").agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(n).alias("table_name"), F.lit(",".join(spark.table(f"{schema}.{n}").columns)).alias("columns"), "rows")
+        for n in names])
 
 
 @register("gold_stream")
 def q_gold_stream(spark, sf_dir):
-    """Bronze stream -> streaming Silver log -> Gold kept current per touched date."""
+    """Bronze stream -> streaming Silver -> Gold kept current per touched date."""
     bronze = _run_bronze(spark, sf_dir)
-    log, gpath = fresh_path(spark, "silver_log"), fresh_path(spark, "gold")
-    q = ss.start_silver(spark, bronze, log, fresh_path(spark, "ckpt_silver"), max_files=8,
-                        gold_path=gpath, compact_every=STREAM_COMPACT_EVERY)
-    q.awaitTermination()
-    return spark.read.parquet(gpath).drop("event_date", "gold_load_timestamp")
+    path, gpath = fresh_path(spark, "silver_stream"), fresh_path(spark, "gold")
+    ss.start_silver(spark, bronze, path, fresh_path(spark, "ckpt_silver"), gold_path=gpath).awaitTermination()
+    return ss.read_gold(spark, gpath).drop("gold_load_timestamp")
 
 
 @register("severity_distribution")
@@ -467,3 +462,85 @@ def q_ml_run(spark, sf_dir):
 @register("gold_context")
 def q_gold_context(spark, sf_dir):
     return rp.gold_context(gold_of(spark, sf_dir))
+
+
+# ---- the same operators, reduced to what SQL can state ------------------------------
+
+
+@register("ml_report_support")
+def q_ml_report_support(spark, sf_dir):
+    """The classification report's rows and supports (the metrics depend on the model)."""
+    return q_ml_report(spark, sf_dir).select("class_name", "support")
+
+
+@register("ml_run_facts")
+def q_ml_run_facts(spark, sf_dir):
+    return q_ml_run(spark, sf_dir).select("estimator", "features", "training_rows")
+
+
+@register("ml_importance_facts")
+def q_ml_importance_facts(spark, sf_dir):
+    return q_ml_importance(spark, sf_dir).agg(F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"),
+                                              F.round(F.sum("importance"), 6).alias("total"))
+
+
+@register("ml_review_facts")
+def q_ml_review_facts(spark, sf_dir):
+    return topk.ml_review(ml_of(spark, sf_dir), 20).drop("predicted_severity", "confidence_pct")
+
+
+@register("qa_context_facts")
+def q_qa_context_facts(spark, sf_dir):
+    return rp.qa_context(written_ml(spark, sf_dir, with_model=False)).drop("predicted_severity", "prediction_confidence")
+
+
+@register("dash_predicted_total")
+def q_dash_predicted_total(spark, sf_dir):
+    counts = q_dash_predicted(spark, sf_dir)
+    return counts.agg(F.sum("events").alias("events"), F.sum(F.when(F.col("predicted_severity").isNull(), F.col("events"))).alias("unscored"))
+
+
+def _plain_history(spark, sf_dir) -> DataFrame:
+    """History of reports without a classifier, written and read back."""
+    path = fresh_path(spark, "report_history")
+    rp.append_history(rp.render_reports(written_ml(spark, sf_dir, with_model=False)), path)
+    return spark.read.parquet(path)
+
+
+@register("report_preview")
+def q_report_preview(spark, sf_dir):
+    return rp.report_history(_plain_history(spark, sf_dir)).drop("generated_at")
+
+
+@register("dash_report_text")
+def q_dash_report_text(spark, sf_dir):
+    return dashboards.report_table(_plain_history(spark, sf_dir))
+
+
+@register("landing_count")
+def q_landing_count(spark, sf_dir):
+    landing = land_feed(spark, sf_dir)
+    named = ld.list_landing(spark, landing).agg(F.min(F.col("size_bytes") > 0).alias("all_have_bytes"))
+    return named.withColumn("records", ld.read_landing(spark, landing).agg(F.count(F.lit(1))).scalar())
+
+
+@register("bronze_metadata")
+def q_bronze_metadata(spark, sf_dir):
+    """Ingest metadata of the Bronze stream: stamps and source files."""
+    b = spark.read.parquet(_run_bronze(spark, sf_dir))
+    return b.agg(F.count(F.lit(1)).alias("rows"), F.count("bronze_load_timestamp").alias("stamped"),
+                 F.count_if(F.col("source_file").rlike(r"/batch=[^/]+/[^/]+\.json$")).alias("from_landed_files"))
+
+
+@register("gold_sorted")
+def q_gold_sorted(spark, sf_dir):
+    """Gold in the table's own order (newest hour, then strongest first)."""
+    return gold(silver_of(spark, sf_dir), stamp=False, sort=True)
+
+
+@register("ml_joined")
+def q_ml_joined(spark, sf_dir):
+    """Silver left-joined with a table of predictions made elsewhere."""
+    s = silver_table(spark, sf_dir)
+    made = clf.ml_table(s, stamp=False).where("is_anomaly is not null").select("event_id", "is_anomaly", "anomaly_reason", "anomaly_score")
+    return clf.enrich(s, made, stamp=False).select("event_id", "severity", "region", "is_anomaly", "anomaly_reason", "anomaly_score")

@@ -39,10 +39,6 @@ def export(df: DataFrame, root: str, table: str, mode: str = "overwrite",
             "rows": int(obs.get["rows"]), "columns": len(df.columns)}
 
 
-def manifest(spark: SparkSession, results: list[dict]) -> DataFrame:
-    return spark.createDataFrame(results, "table_name string, mode string, rows bigint, columns int")
-
-
 def verify_exports(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
     """Row count of each exported table, read back from the target (one job)."""
     parts = [spark.read.parquet(target_path(root, t)).agg(F.count(F.lit(1)).alias("ROWS"))

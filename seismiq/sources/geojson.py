@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import iso_utc_text
+from ..functions.timefmt import iso_utc_text, now_utc
 from .adapter import FEED_SOURCE
 from .schemas import FEED_COLUMNS, GEOJSON_SCHEMA
 
 
 def now_iso_utc() -> Column:
     """Wall clock of the run as ISO text with ``Z`` (fetch time)."""
-    return F.concat(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    return F.concat(F.date_format(now_utc(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
 
 
 def flatten(docs: DataFrame, ingested_at: Column | None = None) -> DataFrame:

@@ -33,6 +33,17 @@ def land(feed: DataFrame, landing: str, batch: str | None = None) -> str:
     return out
 
 
+def land_by(feed: DataFrame, landing: str, batch: str) -> str:
+    """Land the feed at once, a folder for each value of the column ``batch``.
+
+    The rebalance sizes files by bytes: a large batch is split over several
+    tasks, rows of one key (or without one) are never gathered.
+    """
+    rows = feed.withColumn(batch, F.coalesce(F.col(batch).cast("string"), F.lit("unknown")))
+    rows.hint("rebalance", batch).write.mode("error").partitionBy(batch).json(landing)
+    return landing
+
+
 def list_landing(spark: SparkSession, landing: str) -> DataFrame:
     """Landed files with name, size and modification time.
 

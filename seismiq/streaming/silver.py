@@ -1,317 +1,140 @@
-"""Streaming Silver and Gold without a table format that supports MERGE.
-
-Each Bronze micro-batch is reduced to its latest version per event and
-written to ``<log>/batch_id=N/event_date=D`` with overwrite -- a replayed
-batch rewrites the same folder, so the sink is idempotent and exactly-once
-together with the stream checkpoint.  Silver is latest-wins dedup over the
-retained versions (the same operator as the batch layer).
-
-``compact`` folds the log into a table holding one latest row per event,
-partitioned by date and sorted by id within each file.  With it, keeping
-Gold current costs the compacted rows of the touched dates, the compacted
-rows of recently changed ids, and the log since compaction -- not a scan of
-every version ever retained.
+"""Streaming Silver and Gold.
+
+Latest-version-per-event is a streaming aggregation: Spark's state store holds
+the newest version of each event and the dates its versions had, keyed by
+event id, so a micro-batch reads the state of its own events and no history.
+The aggregation runs in update mode; ``foreachBatch`` receives the changed
+events and rewrites the date partitions they touch in the Silver table, and in
+Gold.
+
+A batch is applied in two steps.  First the new content of the touched
+partitions is written to the batch's own staging folder, from the table as it
+stands and the changed events; then the table's partitions are replaced from
+there.  A replayed batch whose staging is complete (Spark's ``_SUCCESS``
+marker) goes on with the second step, so a crash anywhere leaves nothing half
+done after the replay.
+
+Events whose time is missing or does not parse have a null date, which is a
+partition like any other.  At scale choose the RocksDB state store provider
+(``spark.sql.streaming.stateStore.providerClass``) in the session.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timefmt import parse_iso_utc
-from ..operators.dedup import BRONZE_ORDER, dedup_latest
+from ..operators.dedup import BRONZE_ORDER, version_order
 from ..operators.gold import gold
-from ..operators.silver import silver
+from ..operators.silver import project_silver
 from ..sources.schemas import FEED_SCHEMA
 
 BRONZE_SCHEMA = T.StructType(FEED_SCHEMA.fields + [
     T.StructField("bronze_load_timestamp", T.TimestampType()),
     T.StructField("source_file", T.StringType()),
 ])
+DATE = "event_date"
+DATED_SCHEMA = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(DATE, T.DateType())])
+NO_DATE = "none"
 
-# Id sets up to this size are looked up in the compacted table with a
-# literal IN filter: Parquet tests the set against each row group's id range,
-# so on the id-sorted compacted table most row groups are skipped.  Larger
-# sets use a semi-join.  The log since compaction is not id-sorted; it is
-# always semi-joined, with the micro-batch's ids as the small side (Spark
-# broadcasts that side only under its size threshold, else sort-merges).
-MAX_ID_LITERALS = 1_000
-
-
-def _with_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", F.to_date(parse_iso_utc("event_time_utc")))
 
+def _date_name(date: Column | str = DATE) -> Column:
+    """A date as text, with a name for the missing one."""
+    return F.coalesce((F.col(date) if isinstance(date, str) else date).cast("string"), F.lit(NO_DATE))
 
-def _recent(spark: SparkSession, log: str, since_batch: int) -> DataFrame:
-    """Log rows after ``since_batch`` (all of the log when nothing is compacted)."""
-    logged = spark.read.parquet(log)
-    if since_batch >= 0:
-        logged = logged.filter(F.col("batch_id") > since_batch)
-    return logged.drop("batch_id")
 
+def latest_events(bronze: DataFrame) -> DataFrame:
+    """Streaming (or batch) Bronze rows -> per event ``latest`` (struct) and ``dates`` of all its versions."""
+    rows = (bronze.filter(F.col("event_id").isNotNull())
+                  .withColumn(DATE, F.to_date(parse_iso_utc("event_time_utc"))))
+    version = F.struct(*[F.col(c) for c in DATED_SCHEMA.names])
+    return rows.groupBy("event_id").agg(
+        F.max_by(version, F.struct(*version_order(BRONZE_ORDER))).alias("latest"),
+        F.collect_set(_date_name()).alias("dates"))
 
-def _ids_of(rows: DataFrame) -> DataFrame:
-    return rows.select("event_id")
-
-
-def _compacted_rows_of_ids(comp: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the compacted table whose ``event_id`` is in ``ids``.
-
-    The id set is fetched only up to ``MAX_ID_LITERALS + 1`` rows: within the
-    bound it becomes a literal IN filter; beyond it a semi-join is used.
-    """
-    probe = [r[0] for r in ids.where(F.col("event_id").isNotNull()).distinct()
-             .limit(MAX_ID_LITERALS + 1).collect()]
-    if len(probe) <= MAX_ID_LITERALS:
-        return comp.filter(F.col("event_id").isin(probe)) if probe else comp.limit(0)
-    return comp.join(ids, "event_id", "left_semi")
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def changed_compacted(spark: SparkSession, log: str, compacted: str,
-                      since_batch: int) -> DataFrame:
-    """Compacted rows of the events revised since compaction."""
-    return _compacted_rows_of_ids(spark.read.parquet(compacted),
-                                  _ids_of(_recent(spark, log, since_batch)))
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
-def logged_versions(spark: SparkSession, log: str, compacted: str | None = None,
-                    since_batch: int = -1) -> DataFrame:
-    """Every retained version with its ``event_date``: the compacted table
-    (latest versions up to ``since_batch``) plus the log batches after it."""
-    rows = _recent(spark, log, since_batch)
-    if compacted:
-        rows = spark.read.parquet(compacted).unionByName(rows)
-    return rows
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
-def touched_dates(spark: SparkSession, log: str, batch_rows: DataFrame,
-                  changed: DataFrame | None = None, since_batch: int = -1) -> list:
-    """Dates a batch changes: its new versions' dates and the dates of the
-    earlier versions of the same events (a revision can move an event to
-    another day).  Earlier versions are the log since compaction and the
-    ``changed`` compacted rows.  One job; a handful of dates come back."""
-    ids = _ids_of(batch_rows)
-    prior = _recent(spark, log, since_batch)
-    if changed is not None:
-        prior = prior.unionByName(changed)
-    prior = prior.join(ids, "event_id", "left_semi").select("event_date")
-    touched = batch_rows.select("event_date").unionByName(prior).distinct()
-    return [r[0] for r in touched.collect() if r[0] is not None]
 
+def _replace_partitions(spark: SparkSession, rows: DataFrame, path: str, dates: list[str]) -> None:
+    """Replace the partitions of ``dates`` by ``rows``; a date without rows loses its partition."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
+    held = {r[0] for r in rows.select(_date_name()).distinct().collect()}
+    for d in dates:
+        if d not in held:
+            _delete(spark, f"{path}/{DATE}={'__HIVE_DEFAULT_PARTITION__' if d == NO_DATE else d}")
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
-    """Remove ``column=value`` partition folders of a Parquet table."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
-        p.getFileSystem(conf).delete(p, True)
 
-
-def refresh_gold(spark: SparkSession, log: str, gold_path: str, dates: list,
-                 compacted: str | None = None, since_batch: int = -1,
-                 changed: DataFrame | None = None) -> None:
-    """Recompute Gold for the given event dates and replace just those date
-    partitions (dynamic partition overwrite).
-
-    An event belongs to a date when its latest version is there.  That
-    version is either a recent log row or, failing that, its compacted row;
-    so the versions needed are the recent rows, the compacted rows on the
-    dates (partition pruning) and the compacted rows of recently changed ids.
-    A date left without events (its only events moved away) gets no output
-    row, so its old partition is removed after the write.
-    """
-    versions = _recent(spark, log, since_batch)
-    if compacted:
-        comp = spark.read.parquet(compacted)
-        if changed is None:
-            changed = changed_compacted(spark, log, compacted, since_batch)
-        versions = (versions.unionByName(comp.filter(F.col("event_date").isin(dates)))
-                            .unionByName(changed))
-    s = silver(versions.drop("event_date"), order=BRONZE_ORDER, stamp=False)
-    s = s.filter(F.to_date("event_timestamp").isin(dates))
-    g = gold(s, stamp=True).withColumn("event_date", F.to_date("event_hour"))
-    written = Observation("gold_dates")
-    # Gold for one date is at most hours x severities x regions rows, whatever
-    # the event count: one task (one file) per date is bounded.
-    (g.observe(written, F.collect_set("event_date").alias("dates"))
-      .repartition("event_date")
-      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-      .partitionBy("event_date").parquet(gold_path))
-    emptied = set(dates) - set(written.get["dates"] or [])
-    _drop_partitions(spark, gold_path, "event_date", sorted(emptied))
-
-
-def _writer(log: str, gold_path: str | None = None, compacted: str | None = None,
-            since_batch: int = -1, compact_every: int | None = None):
-    # Only this writer compacts the log, so it keeps the current compaction
-    # in memory; a restarted stream reads it back from the manifest.
-    state = {"compacted": compacted, "since": since_batch}
+def _writer(silver_path: str, gold_path: str | None = None):
+    silver_path = silver_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = f"{log}/batch_id={batch_id}"
-        latest = _with_date(dedup_latest(batch, "event_id", BRONZE_ORDER))
-        latest.write.mode("overwrite").partitionBy("event_date").parquet(out)
-        comp, since = state["compacted"], state["since"]
+        staging = f"{silver_path}__staging/batch_{batch_id}"
+        # a replay runs the aggregation again (the state store commits it) and gets the same rows
+        batch.select("latest", "dates").write.mode("overwrite").parquet(f"{staging}/changed")
+        changed = spark.read.parquet(f"{staging}/changed")
+        # the dates of one batch's events, old and new: a handful of names
+        dates = sorted(r[0] for r in changed.select(F.explode("dates")).distinct().collect())
+        if not dates:
+            return
+        if not _exists(spark, f"{staging}/silver/_SUCCESS"):
+            rows = changed.select("latest.*")
+            if _exists(spark, silver_path):
+                kept = (spark.read.schema(DATED_SCHEMA).parquet(silver_path).filter(_date_name().isin(dates))
+                             .join(rows.select("event_id"), "event_id", "left_anti"))
+                rows = kept.select(*DATED_SCHEMA.names).unionByName(rows)
+            # a hot date is split over several tasks, small ones share one
+            (rows.hint("rebalance", DATE).write.mode("overwrite").partitionBy(DATE).parquet(f"{staging}/silver"))
+        staged = spark.read.schema(DATED_SCHEMA).parquet(f"{staging}/silver")
+        _replace_partitions(spark, staged.hint("rebalance", DATE), silver_path, dates)
         if gold_path:
-            # Read the batch back from the log rather than re-evaluating the
-            # micro-batch (which would re-read its files and redo the dedup).
-            written = spark.read.parquet(out)
-            changed = changed_compacted(spark, log, comp, since) if comp else None
-            dates = touched_dates(spark, log, written, changed, since)
-            if dates:
-                refresh_gold(spark, log, gold_path, dates, comp, since, changed)
-        if compact_every and batch_id - since >= compact_every:
-            state["compacted"], state["since"] = compact_log(spark, log, comp, since)
+            g = gold(project_silver(staged.drop(DATE), stamp=False)).withColumn(DATE, F.to_date("event_hour"))
+            # Gold of one date is at most hours x severities x regions rows
+            _replace_partitions(spark, g.hint("rebalance", DATE), gold_path.rstrip("/"), dates)
+        if batch_id:
+            _delete(spark, f"{silver_path}__staging/batch_{batch_id - 1}")
     return write_batch
 
 
-def start_silver(spark: SparkSession, bronze_path: str, log: str, checkpoint: str,
+def start_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
                  trigger: str | None = None, max_files: int | None = None,
-                 gold_path: str | None = None, compacted: str | None = None,
-                 since_batch: int = -1, compact_every: int | None = None) -> StreamingQuery:
-    """Bronze table (as a stream) -> per-batch latest versions in ``log``;
-    with ``gold_path`` also keeps Gold current for the dates each batch
-    touches, reading the compacted table plus the batches after it.
+                 gold_path: str | None = None) -> StreamingQuery:
+    """Bronze table (as a stream) -> Silver table of latest versions by date;
+    with ``gold_path`` also Gold by date.
 
-    With ``compact_every=N`` the log is folded into a new compaction once N
-    batches have arrived since the last one (recorded in the log's
-    manifest), so neither the Gold refresh nor a Silver read ever re-reads
-    more than N batches of versions.  Without an explicit ``compacted``
-    table, the latest recorded compaction is used.
+    ``max_files`` bounds a micro-batch (all available files by default);
+    ``trigger=None`` processes what is available and stops.
     """
-    if compacted is None:
-        compacted, since_batch = current_compaction(spark, log)
     r = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    w = (r.parquet(bronze_path).writeStream
-          .foreachBatch(_writer(log, gold_path, compacted, since_batch, compact_every))
+    w = (latest_events(r.parquet(bronze_path)).writeStream.outputMode("update")
+          .foreachBatch(_writer(silver_path, gold_path))
           .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
 
 
-def latest_versions(spark: SparkSession, log: str, compacted: str | None = None,
-                    since_batch: int = -1) -> DataFrame:
-    """Latest version per event (Bronze columns) over the compacted table
-    plus the log batches after ``since_batch``.  Without an explicit
-    ``compacted`` table the latest recorded compaction is used, if any:
-    latest-wins is associative, so the result equals the whole log's."""
-    if compacted is None:
-        compacted, since_batch = current_compaction(spark, log)
-    rows = logged_versions(spark, log, compacted, since_batch).drop("event_date")
-    return dedup_latest(rows, "event_id", BRONZE_ORDER)
-
-
-def silver_from_log(spark: SparkSession, log: str, stamp: bool = True,
-                    compacted: str | None = None, since_batch: int = -1) -> DataFrame:
-    """Current Silver: latest version per event across the compacted table and
-    the logged batches after it."""
-    return silver(latest_versions(spark, log, compacted, since_batch), order=BRONZE_ORDER, stamp=stamp)
-
-
-def gold_from_log(spark: SparkSession, log: str, stamp: bool = True,
-                  compacted: str | None = None, since_batch: int = -1) -> DataFrame:
-    return gold(silver_from_log(spark, log, False, compacted, since_batch), stamp=stamp)
-
-
-def last_batch(spark: SparkSession, log: str) -> int:
-    """Highest logged batch id (a partition value: one small aggregate)."""
-    r = spark.read.parquet(log).agg(F.max("batch_id")).collect()[0][0]
-    return -1 if r is None else int(r)
-
-
-def compact(spark: SparkSession, log: str, out: str, compacted: str | None = None,
-            since_batch: int = -1) -> tuple[str, int]:
-    """Fold the log (onto an earlier compaction, if given) into a new table of
-    latest versions at ``out``: one row per event, keeping the ordering
-    columns so later batches still merge correctly.  Rows are range-
-    partitioned on (date, id) -- a hot date is split over several tasks --
-    and sorted by id within each file, so id lookups can skip row groups.
-    Returns ``(out, last folded batch id)``; readers then use
-    ``compacted=out, since_batch=<that id>``."""
-    upto = last_batch(spark, log)
-    rows = (spark.read.parquet(log)
-                 .filter((F.col("batch_id") > since_batch) & (F.col("batch_id") <= upto))
-                 .drop("batch_id"))
-    if compacted:
-        rows = spark.read.parquet(compacted).unionByName(rows)
-    latest = _with_date(dedup_latest(rows.drop("event_date"), "event_id", BRONZE_ORDER))
-    (latest.repartitionByRange("event_date", "event_id")
-           .sortWithinPartitions("event_date", "event_id")
-           .write.mode("error").partitionBy("event_date").parquet(out))
-    return out, upto
-
-
-# ---- compaction manifest -----------------------------------------------------------
-
-def _compactions(log: str) -> str:
-    """Folder beside the log holding its compactions and their manifest."""
-    return f"{log.rstrip('/')}__compactions"
-
-
-MANIFEST_SCHEMA = "upto long, path string"
-
-
-def current_compaction(spark: SparkSession, log: str) -> tuple[str | None, int]:
-    """Latest recorded compaction of ``log`` as ``(path, last folded batch)``,
-    or ``(None, -1)`` when there is none.  The manifest has one row per
-    compaction: small metadata."""
-    try:
-        m = spark.read.schema(MANIFEST_SCHEMA).json(f"{_compactions(log)}/manifest")
-        r = m.orderBy(F.col("upto").desc()).limit(1).collect()
-    except AnalysisException:
-        return None, -1
-    return (r[0]["path"], int(r[0]["upto"])) if r else (None, -1)
-
-
-def compact_log(spark: SparkSession, log: str, compacted: str | None = None,
-                since_batch: int = -1) -> tuple[str, int]:
-    """Fold the log onto ``compacted`` into a new compaction beside the log
-    and record it in the manifest.  Each attempt writes a fresh folder, so a
-    crash between the write and the record leaves an unused folder, never a
-    half-written table in use."""
-    out, upto = compact(spark, log, f"{_compactions(log)}/{uuid.uuid4().hex}",
-                        compacted, since_batch)
-    (spark.createDataFrame([(upto, out)], MANIFEST_SCHEMA)
-          .coalesce(1).write.mode("append").json(f"{_compactions(log)}/manifest"))
-    return out, upto
-
-
-def vacuum_log(spark: SparkSession, log: str) -> list[str]:
-    """Delete what the latest recorded compaction makes unnecessary: log
-    batches before the one it folded last (that batch is kept, so the log is
-    never empty) and every other compaction folder, including any left by
-    an interrupted compaction.  Readers that start afterwards use the latest
-    compaction; run it when no reader still uses an older one.  Returns the
-    deleted paths (file-system metadata calls on the driver)."""
-    comp, since = current_compaction(spark, log)
-    if comp is None:
-        return []
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    deleted = []
+def read_silver(spark: SparkSession, silver_path: str, stamp: bool = True) -> DataFrame:
+    """The streamed Silver table with parsed time and labels; fails if it does not exist."""
+    return project_silver(spark.read.schema(DATED_SCHEMA).parquet(silver_path).drop(DATE), stamp=stamp)
 
-    def children(folder: str) -> list:
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        fs = p.getFileSystem(conf)
-        return [(st.getPath(), fs) for st in fs.listStatus(p) if st.isDirectory()]
 
-    for path, fs in children(log):
-        name = path.getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < since:
-            fs.delete(path, True)
-            deleted.append(path.toString())
-    keep = comp.rstrip("/").rsplit("/", 1)[-1]
-    for path, fs in children(_compactions(log)):
-        if path.getName() not in (keep, "manifest"):
-            fs.delete(path, True)
-            deleted.append(path.toString())
-    return deleted
+def read_gold(spark: SparkSession, gold_path: str) -> DataFrame:
+    return spark.read.parquet(gold_path).drop(DATE)

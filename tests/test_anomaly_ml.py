@@ -115,3 +115,35 @@ def test_boosted_option_without_probability(spark):
     assert all(r.prediction_confidence is None for r in out)
     acc = sum(r.predicted_severity == r.severity for r in out) / len(out)
     assert acc > 0.9
+
+
+def test_boosted_classifier_has_confidence(spark):
+    from conftest import SF_SMALL
+    from seismiq.operators import anomaly as an
+    from seismiq.operators import classifier as clf
+    from seismiq.operators import reports as rp
+    from seismiq.plans import queries as Q
+    s = Q.silver_table(spark, SF_SMALL)
+    feats = clf.split_flag(an.scored_base(s))
+    model = clf.train(feats.filter("is_train"), clf.boosted_estimator(max_iter=3), max_rows=200)
+    pred = clf.predict(model, feats).select("predicted_severity", "prediction_confidence").collect()
+    assert all(r.predicted_severity is not None and 0 < r.prediction_confidence <= 1 for r in pred)
+    imp = clf.importance(model).collect()
+    assert len(imp) == 12 and abs(sum(r.importance for r in imp) - 1) < 1e-6
+    ml = clf.ml_table(s, model=model, stamp=False)
+    top = rp.playbook_event(ml.filter("predicted_severity is not null"), with_prediction=True).first()
+    assert top.predicted_severity and 0 < top.confidence_pct <= 100
+
+
+def test_split_takes_every_row_at_one(spark):
+    from seismiq.operators import classifier as clf
+    df = spark.range(600).selectExpr("cast(id as string) as event_id")
+    assert clf.split_flag(df, frac=1.0).filter("not is_test").count() == 0
+    assert clf.split_flag(df, frac=0.0).filter("is_test").count() == 0
+
+
+def test_gold_in_table_order(spark):
+    from conftest import SF_SMALL
+    from seismiq.plans import queries as Q
+    rows = [(r.event_hour, r.max_magnitude if r.max_magnitude is not None else float("-inf")) for r in Q.q_gold_sorted(spark, SF_SMALL).collect()]
+    assert rows == sorted(rows, key=lambda r: (r[0], r[1]), reverse=True)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from seismiq.plans import queries as Q
+from seismiq.plans.oracle import SQL
 
 
 def test_layer_invariants(spark):
@@ -62,13 +63,10 @@ def duck():
     return con
 
 
-import __spark_entry__ as _E  # noqa: E402
-
-
-@pytest.mark.parametrize("name", sorted(_E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    s = _E.queries()[name](spark, SF_SMALL).toPandas()
-    o = duck.execute(_E.oracle_sql()[name]).fetchdf()
+    s = Q.REGISTRY[name](spark, SF_SMALL).toPandas()
+    o = duck.execute(SQL[name]).fetchdf()
     assert sorted(s.columns) == sorted(o.columns)
     assert _rows(s) == _rows(o)
 

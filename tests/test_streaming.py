@@ -42,33 +42,44 @@ def test_bronze_restart_and_new_files(spark, tmp):
     assert r.source_file.endswith("/b2/b.json") and r.bronze_load_timestamp is not None
 
 
+def _stream(spark, bronze, silver, ckpt, gold=None, **options):
+    ss.start_silver(spark, bronze, silver, ckpt, gold_path=gold, **options).awaitTermination()
+
+
+def _gold_rows(df):
+    cols = ["event_hour", "severity", "region", "total_events", "max_magnitude"]
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+def _check(spark, bronze, silver, gold):
+    """Streamed Silver and Gold equal the batch layers over the same Bronze rows."""
+    from seismiq.operators.gold import gold as gold_of
+    from seismiq.operators.silver import silver as silver_of
+    full = silver_of(spark.read.parquet(bronze))
+    held = ss.read_silver(spark, silver)
+    assert sorted((r.event_id, r.magnitude) for r in held.collect()) == sorted((r.event_id, r.magnitude) for r in full.collect())
+    assert _gold_rows(ss.read_gold(spark, gold)) == _gold_rows(gold_of(full, stamp=False))
+
+
 def test_streaming_silver_equals_batch(spark, tmp):
     land, bronze = f"{tmp}/land", f"{tmp}/bronze"
+    silver, gold = f"{tmp}/silver", f"{tmp}/gold"
     _put(f"{land}/b1/a.json", _rows(["e1", "e2"], ing="2024-01-01T00:00:01.000000Z", mag=1.0))
     _run(spark, land, bronze, f"{tmp}/ck1")
-    log, gold_path = f"{tmp}/log", f"{tmp}/gold"
-    q = ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path)
-    q.awaitTermination()
+    _stream(spark, bronze, silver, f"{tmp}/ck2", gold)
     # a later revision of e1 moves it to another day and raises its magnitude
     _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-03T00:00:00Z",
                                      ing="2024-01-03T00:00:01.000000Z", mag=7.5))
     _run(spark, land, bronze, f"{tmp}/ck1")
-    q = ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path)
-    q.awaitTermination()
-    stream = {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()}
-    assert stream == {"e1": 7.5, "e2": 1.0}
-    from seismiq.operators.silver import silver
-    batch = {r.event_id: r.magnitude for r in silver(spark.read.parquet(bronze)).collect()}
-    assert batch == stream
-    g = spark.read.parquet(gold_path)
+    _stream(spark, bronze, silver, f"{tmp}/ck2", gold)
+    assert {r.event_id: r.magnitude for r in ss.read_silver(spark, silver).collect()} == {"e1": 7.5, "e2": 1.0}
     # the old day's Gold no longer counts e1; the new day holds it
-    got = {(str(r.event_date), r.severity): r.total_events for r in g.collect()}
+    got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gold).collect()}
     assert got == {("2024-01-01", "NEGLIGIBLE"): 1, ("2024-01-03", "CATASTROPHIC"): 1}
-    assert g.agg(F.sum("total_events")).collect()[0][0] == 2
-    # replaying is idempotent: the log is keyed by batch id
-    q = ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path)
-    q.awaitTermination()
-    assert ss.silver_from_log(spark, log).count() == 2
+    _check(spark, bronze, silver, gold)
+    # a restart with nothing new changes nothing
+    _stream(spark, bronze, silver, f"{tmp}/ck2", gold)
+    _check(spark, bronze, silver, gold)
     assert ld.landing_glob(land).endswith("/*/*.json")
 
 
@@ -86,212 +97,69 @@ def test_bronze_processing_time_trigger(spark, tmp):
     assert spark.read.parquet(f"{tmp}/bronze").count() == 3
 
 
-def test_compaction_then_new_batches(spark, tmp):
-    land, bronze, log = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log"
-    _put(f"{land}/b1/a.json", _rows(["e1", "e2"], ing="2024-01-01T00:00:01.000000Z", mag=1.0))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2").awaitTermination()
-    comp, upto = ss.compact(spark, log, f"{tmp}/compact1")
-    assert upto == 0
-    # a revision arrives after compaction
-    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T00:00:00Z",
-                                     ing="2024-01-02T00:00:01.000000Z", mag=5.5))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2").awaitTermination()
-    merged = {r.event_id: r.magnitude
-              for r in ss.silver_from_log(spark, log, compacted=comp, since_batch=upto).collect()}
-    full = {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()}
-    assert merged == full == {"e1": 5.5, "e2": 1.0}
-    comp2, upto2 = ss.compact(spark, log, f"{tmp}/compact2", compacted=comp, since_batch=upto)
-    assert upto2 == 1
-    again = {r.event_id: r.magnitude
-             for r in ss.silver_from_log(spark, log, compacted=comp2, since_batch=upto2).collect()}
-    assert again == full
-
-
-def test_gold_refresh_after_compaction(spark, tmp):
-    land, bronze, log, gold_path = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
-    _put(f"{land}/b1/a.json", _rows(["e1", "e2"], ing="2024-01-01T00:00:01.000000Z", mag=1.0))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path).awaitTermination()
-    comp, upto = ss.compact(spark, log, f"{tmp}/compact")
-    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T00:00:00Z",
-                                     ing="2024-01-02T00:00:01.000000Z", mag=6.5))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gold_path,
-                    compacted=comp, since_batch=upto).awaitTermination()
-    got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gold_path).collect()}
-    assert got == {("2024-01-01", "NEGLIGIBLE"): 1, ("2024-01-02", "MAJOR"): 1}
-
-
-def test_silver_batch_replay_after_crash_is_idempotent(spark, tmp):
-    land, bronze, log, ck = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/ck2"
-    _put(f"{land}/b1/a.json", _rows(["e1", "e2", "e3"]))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    write = ss._writer(log)
-
-    def crash_after_write(batch, batch_id):
-        write(batch, batch_id)          # log folder written ...
-        raise RuntimeError("driver lost before the batch commit")
-
-    q = (spark.readStream.schema(ss.BRONZE_SCHEMA).parquet(bronze).writeStream
-         .foreachBatch(crash_after_write).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    try:
-        q.awaitTermination()
-    except Exception:  # noqa: BLE001 - the simulated crash
-        pass
-    assert spark.read.parquet(log).count() == 3
-    # restart from the same checkpoint: the uncommitted batch is replayed and
-    # overwrites its own folder instead of adding rows
-    ss.start_silver(spark, bronze, log, ck).awaitTermination()
-    logged = spark.read.parquet(log)
-    assert logged.count() == 3
-    assert [r.batch_id for r in logged.select("batch_id").distinct().collect()] == [0]
-    assert ss.silver_from_log(spark, log).count() == 3
-
-
-def test_incremental_gold_equals_full_recompute(spark, tmp):
-    from seismiq.operators.gold import gold as gold_of
-    from seismiq.operators.silver import silver as silver_of
-    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
+def test_batches_of_any_size_keep_silver_and_gold_exact(spark, tmp):
+    """Events move between days, days empty and fill again, times are missing or do not parse."""
+    land, bronze, silver, gold = (f"{tmp}/{x}" for x in ("land", "bronze", "silver", "gold"))
     rounds = [
-        [("a", 1, 1.0), ("b", 1, 2.5), ("c", 2, 3.5), ("d", 3, 4.5)],
-        [("a", 2, 5.5), ("b", 3, 2.0), ("e", 1, 0.5)],          # a and b move days
-        [("a", 1, 6.5), ("c", 3, 7.5), ("f", 2, 1.5)],          # a moves back, c moves
-        [("b", 1, 1.0), ("e", 2, 0.5)],
+        [("a", 1, 1.0), ("b", 1, 2.5), ("c", 2, 3.5), ("d", 3, 4.5), ("n", None, 1.5)],
+        [("a", 2, 5.5), ("b", 3, 2.0), ("e", 1, 0.5), ("g", "garbage", 2.5)],   # a and b move days
+        [("a", None, 6.5), ("c", 3, 7.5), ("n", 2, 1.5)],                       # a loses its time, n gets one
+        [("a", 1, 6.5), ("b", 1, 1.0), ("g", "2024", 0.5)],                     # a comes back
     ]
-    comp, upto = None, -1
     for i, rows in enumerate(rounds):
-        recs = [r for e, day, mag in rows
-                for r in _rows([e], t=f"2024-01-0{day}T12:00:00Z",
-                               ing=f"2024-01-0{day}T12:00:0{i}.000000Z", mag=mag)]
-        _put(f"{land}/b{i}/x.json", recs)
+        for k, (e, day, mag) in enumerate(rows):
+            t = f"2024-01-0{day}T12:00:00Z" if isinstance(day, int) else day
+            _put(f"{land}/b{i}/{k}.json", _rows([e], t=t, ing=f"2024-02-0{i + 1}T12:00:00.000000Z", mag=mag))
         _run(spark, land, bronze, f"{tmp}/ck1")
-        ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath,
-                        compacted=comp, since_batch=upto).awaitTermination()
-        if i in (1, 2):
-            comp, upto = ss.compact(spark, log, f"{tmp}/compact{i}", compacted=comp, since_batch=upto)
-    got = sorted(tuple(r) for r in spark.read.parquet(gpath)
-                 .select("event_hour", "severity", "region", "total_events", "max_magnitude").collect())
-    full = gold_of(silver_of(spark.read.parquet(bronze)), stamp=False)
-    want = sorted(tuple(r) for r in full.select("event_hour", "severity", "region", "total_events",
-                                                "max_magnitude").collect())
-    assert got == want
-    assert sum(r[3] for r in got) == 6
+        _stream(spark, bronze, silver, f"{tmp}/ck2", gold, max_files=None if i % 2 else 2)
+        _check(spark, bronze, silver, gold)
+    assert ss.read_silver(spark, silver).filter("event_timestamp is null").count() == 1
+    assert spark.read.parquet(gold).filter("event_date is null").agg(F.sum("total_events")).first()[0] == 1
 
 
 def test_gold_day_emptied_by_a_revision_is_cleared(spark, tmp):
-    """A revision that moves a day's only event elsewhere leaves no Gold row
-    for that day (dynamic overwrite alone would keep the stale partition)."""
-    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
-    _put(f"{land}/b1/a.json", _rows(["e1"], t="2024-01-01T06:00:00Z",
-                                     ing="2024-01-01T06:00:01.000000Z", mag=1.0)
-         + _rows(["e2"], t="2024-01-02T06:00:00Z", ing="2024-01-02T06:00:01.000000Z", mag=2.0))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath).awaitTermination()
-    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T07:00:00Z",
-                                     ing="2024-01-02T07:00:01.000000Z", mag=3.0))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath).awaitTermination()
-    got = {(str(r.event_date), r.severity): r.total_events for r in spark.read.parquet(gpath).collect()}
-    assert got == {("2024-01-02", "MICRO"): 1, ("2024-01-02", "MINOR"): 1}
-
-
-def test_automatic_compaction_keeps_gold_and_silver_exact(spark, tmp):
-    from seismiq.operators.gold import gold as gold_of
-    from seismiq.operators.silver import silver as silver_of
-    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
-    rounds = [
-        [("a", 1, 1.0), ("b", 1, 2.5), ("c", 2, 3.5)],
-        [("a", 2, 5.5), ("d", 3, 4.5)],                     # a moves to day 2
-        [("b", 3, 2.0), ("e", 1, 0.5)],                     # b moves, day 1 keeps e
-        [("a", 1, 6.5), ("c", 3, 7.5)],                     # a moves back, day 2 empties
-        [("f", 2, 1.5)],
-    ]
-    uptos = []
-    for i, rows in enumerate(rounds):
-        recs = [r for e, day, mag in rows
-                for r in _rows([e], t=f"2024-01-0{day}T12:00:00Z",
-                               ing=f"2024-01-0{day}T12:00:0{i}.000000Z", mag=mag)]
-        _put(f"{land}/b{i}/x.json", recs)
+    """A revision that moves a day's only event elsewhere leaves no row for that day, with or without a time."""
+    land, bronze, silver, gold = (f"{tmp}/{x}" for x in ("land", "bronze", "silver", "gold"))
+    for i, t in enumerate(["2024-01-01T06:00:00Z", "2024-01-02T07:00:00Z", None, "2024-01-01T06:00:00Z"]):
+        _put(f"{land}/b{i}/a.json", _rows(["e1"], t=t, ing=f"2024-03-0{i + 1}T00:00:00.000000Z", mag=3.0))
         _run(spark, land, bronze, f"{tmp}/ck1")
-        # each run is a restart: the compaction in use is read from the manifest
-        ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath,
-                        compact_every=2).awaitTermination()
-        uptos.append(ss.current_compaction(spark, log)[1])
-    assert uptos == [-1, 1, 1, 3, 3]
-    comp, since = ss.current_compaction(spark, log)
-    merged = {r.event_id: r.magnitude
-              for r in ss.silver_from_log(spark, log, compacted=comp, since_batch=since).collect()}
-    full_silver = silver_of(spark.read.parquet(bronze))
-    assert merged == {r.event_id: r.magnitude for r in full_silver.collect()}
-    # readers default to the latest recorded compaction
-    assert {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()} == merged
-    cols = ["event_hour", "severity", "region", "total_events", "max_magnitude"]
-    got = sorted(tuple(r) for r in spark.read.parquet(gpath).select(*cols).collect())
-    want = sorted(tuple(r) for r in gold_of(full_silver, stamp=False).select(*cols).collect())
-    assert got == want
+        _stream(spark, bronze, silver, f"{tmp}/ck2", gold)
+        got = [(r.event_date and str(r.event_date), r.total_events) for r in spark.read.parquet(gold).collect()]
+        assert got == [(t and t[:10], 1)]
 
 
-def test_vacuum_keeps_results_and_the_stream_going(spark, tmp):
-    land, bronze, log, gpath = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold"
-    for i, (e, day, mag) in enumerate([("a", 1, 1.0), ("b", 2, 2.5), ("a", 2, 3.5),
-                                       ("c", 1, 4.5), ("b", 3, 5.5)]):
-        _put(f"{land}/b{i}/x.json", _rows([e], t=f"2024-01-0{day}T12:00:00Z",
-                                          ing=f"2024-01-0{day}T12:00:0{i}.000000Z", mag=mag))
-        _run(spark, land, bronze, f"{tmp}/ck1")
-        ss.start_silver(spark, bronze, log, f"{tmp}/ck2", gold_path=gpath,
-                        compact_every=2).awaitTermination()
-        if i in (2, 3):
-            before = sorted((r.event_id, r.magnitude) for r in ss.silver_from_log(spark, log).collect())
-            gone = sorted(g.rsplit("/", 1)[-1] for g in ss.vacuum_log(spark, log))
-            if i == 2:      # one compaction (through batch 1): batch 0 goes
-                assert gone == ["batch_id=0"]
-            else:           # second compaction (through batch 3): batches 1, 2 and the first compaction go
-                assert {g for g in gone if g.startswith("batch_id=")} == {"batch_id=1", "batch_id=2"}
-                assert len(gone) == 3
-            after = sorted((r.event_id, r.magnitude) for r in ss.silver_from_log(spark, log).collect())
-            assert after == before
-    want = {"a": 3.5, "b": 5.5, "c": 4.5}
-    assert {r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()} == want
-    got = {(str(r.event_date), r.total_events) for r in spark.read.parquet(gpath).collect()}
-    assert got == {("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1)}
-
-
-def test_replay_after_crash_past_compaction(spark, tmp):
-    """The driver dies after a batch wrote its log, refreshed Gold and
-    recorded a compaction, but before the stream committed the batch: the
-    replay runs against a compaction that already holds the batch."""
-    from seismiq.operators.gold import gold as gold_of
-    from seismiq.operators.silver import silver as silver_of
-    land, bronze, log, gpath, ck = f"{tmp}/land", f"{tmp}/bronze", f"{tmp}/log", f"{tmp}/gold", f"{tmp}/ck2"
-    _put(f"{land}/b1/a.json", _rows(["e1"], t="2024-01-01T06:00:00Z", ing="2024-01-01T06:00:01.000000Z", mag=1.0)
-         + _rows(["e2"], t="2024-01-02T06:00:00Z", ing="2024-01-02T06:00:01.000000Z", mag=2.0))
+def test_replay_after_a_crash(spark, tmp):
+    """The driver dies after a batch was applied, wholly or halfway, but before the stream committed it."""
+    land, bronze, silver, gold, ck = (f"{tmp}/{x}" for x in ("land", "bronze", "silver", "gold", "ck2"))
+    _put(f"{land}/b1/a.json", _rows(["e1", "e2", "e3"], ing="2024-01-01T00:00:01.000000Z"))
     _run(spark, land, bronze, f"{tmp}/ck1")
-    ss.start_silver(spark, bronze, log, ck, gold_path=gpath, compact_every=1).awaitTermination()
-    _put(f"{land}/b2/a.json", _rows(["e1"], t="2024-01-02T07:00:00Z",
-                                     ing="2024-01-02T07:00:01.000000Z", mag=3.0))
-    _run(spark, land, bronze, f"{tmp}/ck1")
-    comp, since = ss.current_compaction(spark, log)
-    write = ss._writer(log, gpath, comp, since, compact_every=1)
-
-    def crash_after_batch(batch, batch_id):
-        write(batch, batch_id)          # log, Gold and compaction done ...
-        raise RuntimeError("driver lost before the batch commit")
-
-    q = (spark.readStream.schema(ss.BRONZE_SCHEMA).parquet(bronze).writeStream
-         .foreachBatch(crash_after_batch).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    try:
-        q.awaitTermination()
-    except Exception:  # noqa: BLE001 - the simulated crash
-        pass
-    assert ss.current_compaction(spark, log)[1] == 1
-    ss.start_silver(spark, bronze, log, ck, gold_path=gpath, compact_every=1).awaitTermination()
-    full = silver_of(spark.read.parquet(bronze))
-    assert ({r.event_id: r.magnitude for r in ss.silver_from_log(spark, log).collect()}
-            == {r.event_id: r.magnitude for r in full.collect()} == {"e1": 3.0, "e2": 2.0})
-    cols = ["event_hour", "severity", "region", "total_events"]
-    got = sorted(tuple(r) for r in spark.read.parquet(gpath).select(*cols).collect())
-    assert got == sorted(tuple(r) for r in gold_of(full, stamp=False).select(*cols).collect())
+    _stream(spark, bronze, silver, ck, gold)
+    for n, halfway in enumerate((False, True)):
+        _put(f"{land}/c{n}/a.json", _rows(["e1"], t=f"2024-01-0{n + 2}T07:00:00Z", ing=f"2024-01-0{n + 2}T07:00:01.000000Z", mag=3.0 + n))
+        _run(spark, land, bronze, f"{tmp}/ck1")
+        write = ss._writer(silver, gold)
+
+        def crash(batch, batch_id, halfway=halfway, write=write):
+            write(batch, batch_id)
+            if halfway:  # a partition of the table is gone when the replay begins
+                ss._delete(spark, f"{silver}/event_date=2024-01-01")
+            raise RuntimeError("driver lost before the batch commit")
+
+        q = (ss.latest_events(spark.readStream.schema(ss.BRONZE_SCHEMA).parquet(bronze)).writeStream.outputMode("update")
+             .foreachBatch(crash).option("checkpointLocation", ck).trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except Exception:  # noqa: BLE001 - the simulated crash
+            pass
+        if not halfway:
+            _check(spark, bronze, silver, gold)
+        _stream(spark, bronze, silver, ck, gold)
+    assert {r.event_id: r.magnitude for r in ss.read_silver(spark, silver).filter("event_id = 'e1'").collect()} == {"e1": 4.0}
+    _check(spark, bronze, silver, gold)
+
+
+def test_a_missing_table_is_an_error(spark, tmp):
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        ss.read_silver(spark, f"{tmp}/nothing").count()
