@@ -169,13 +169,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     for block in _blocks(benchmark, block_words):
         hits = materialise(keyed.mapInArrow(
             _find(block), "doc_id long, text_key long, item int, seeds array<int>, passage string"), "seeds")
-        seeded = (hits.join(_rare(spark, hits, block, n_docs, rare_share), "item")
+        # one row for each item of the block: its size is bounded by block_words, and no item's passages are gathered
+        rare = materialise(_rare(spark, hits, block, n_docs, rare_share).coalesce(1), "rare")
+        seeded = (hits.join(F.broadcast(rare), "item")
                   .where(F.arrays_overlap("seeds", "rare")).select("doc_id", "text_key", "item", "passage"))
         names = spark.createDataFrame([(k, i, n) for k, (n, i, _) in enumerate(block)], "item int, item_id long, item_no long")
         out.append(seeded.mapInArrow(_score(block, threshold), "doc_id long, text_key long, item int, score double")
                    .where("score is not null")
                    .groupBy("doc_id", "text_key", "item").agg(F.max("score").alias("score"))
-                   .join(names, "item").select("doc_id", "text_key", "item_id", "item_no", "score"))
+                   .join(F.broadcast(names), "item").select("doc_id", "text_key", "item_id", "item_no", "score"))
     if not out:
         return spark.createDataFrame([], "doc_id long, text_key long, item_id long, item_no long, score double")
     return materialise(reduce(DataFrame.union, out), "matches")
