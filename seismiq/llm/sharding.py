@@ -46,9 +46,10 @@ def _directory(rows: DataFrame, bits: int, low: int, limit: int) -> DataFrame:
     # a lone row cannot be split any more
     fit = (paths.groupBy("depth", "bucket").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("rows"))
            .where((F.col("shard_bytes") <= limit) | (F.col("rows") == 1)).drop("rows"))
-    first = (paths.join(fit, ["depth", "bucket"]).groupBy("cell")
+    # sort-merge: Spark's estimate does not see the explode and would broadcast a table that grows with the input
+    first = (paths.hint("merge").join(fit, ["depth", "bucket"]).groupBy("cell")
              .agg(F.min(F.struct("depth", "shard_bytes")).alias("f")))
-    return cells.select("cell").join(first, "cell", "left").select("cell", "f.depth", "f.shard_bytes")
+    return cells.select("cell").hint("merge").join(first, "cell", "left").select("cell", "f.depth", "f.shard_bytes")
 
 
 def _name(depth: Column) -> Column:
@@ -64,7 +65,7 @@ def shards(docs: DataFrame, limit: int) -> DataFrame:
     out = ["doc_id", "n_bytes", "shard", "depth", "shard_bytes"]
     while True:
         directory = _directory(rows, bits, low, limit)
-        placed = materialise(rows.withColumn("cell", _prefix(bits)).join(directory, "cell"), "placed")
+        placed = materialise(rows.withColumn("cell", _prefix(bits)).hint("merge").join(directory, "cell"), "placed")
         fits = placed.where("depth is not null").withColumn("shard", _name(F.col("depth"))).select(*out)
         done = fits if done is None else done.union(fits)
         rows = placed.where("depth is null").select("doc_id", "n_bytes", "h")
