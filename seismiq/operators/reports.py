@@ -98,6 +98,7 @@ def anomalous_events(ml: DataFrame) -> DataFrame:
               .orderBy(*strongest_first()))
 
 
+# fixed values: columns the report step reads
 PLAYBOOK_FIELDS = ["event_id", "place", "magnitude", "severity", "depth_km", "tsunami_flag",
                    "region", "anomaly_reason"]
 
@@ -112,6 +113,7 @@ def playbook_event(ml: DataFrame, with_prediction: bool = False) -> DataFrame:
     return out
 
 
+# fixed values: columns the report step reads
 QA_COLUMNS = ["place", "magnitude", "severity", "depth_km", "region", "tsunami_flag",
               "is_anomaly", "event_time_utc", "predicted_severity", "prediction_confidence"]
 
@@ -237,6 +239,7 @@ def report_history(history: DataFrame) -> DataFrame:
                    .orderBy(F.col("generated_at").desc(), "output_type"))
 
 
+# fixed values: columns the report step reads
 GOLD_CONTEXT_COLUMNS = ["event_hour", "severity", "region", "total_events", "avg_magnitude",
                         "max_magnitude", "tsunami_count", "most_notable_place"]
 

@@ -7,10 +7,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# ---- fixed values: columns of the two reports ---------------------------------
 TOP_EVENT_COLUMNS = ["event_id", "event_time_utc", "place", "magnitude", "severity",
                      "depth_category", "region", "alert_level", "tsunami_flag"]
 TOP_INSIGHT_COLUMNS = ["event_hour", "severity", "region", "total_events", "avg_magnitude",
                        "max_magnitude", "tsunami_count", "most_notable_place"]
+# --------------------------------------------------------------------------------
 
 
 def _present(df: DataFrame, cols):

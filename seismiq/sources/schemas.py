@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+# ---- fixed values: names, types and order of the feed's and tables' columns -
+
 # Source / Bronze record: 25 nullable columns (feed contract).
 FEED_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -78,22 +80,10 @@ SILVER_COLUMNS = [
     "ingestion_timestamp_utc", "silver_load_timestamp",
 ]
 
-GOLD_COLUMNS = [
-    "event_hour", "severity", "region", "total_events", "unique_events",
-    "avg_magnitude", "max_magnitude", "min_magnitude", "avg_depth_km",
-    "tsunami_count", "alerted_events", "max_significance",
-    "most_notable_place", "gold_load_timestamp",
-]
-
 # Classifier feature vector, fixed order.
 FEATURE_COLUMNS = [
     "magnitude", "depth_km", "latitude", "longitude",
     "significance", "felt_reports", "cdi", "mmi",
     "gap_deg", "rms", "nst", "tsunami_flag",
 ]
-
-# Columns written by the ingest / layer jobs at run time; not reproducible.
-VOLATILE_COLUMNS = {
-    "bronze_load_timestamp", "source_file", "silver_load_timestamp",
-    "gold_load_timestamp", "ml_load_timestamp", "model_run_id",
-}
+# -----------------------------------------------------------------------------
