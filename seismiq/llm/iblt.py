@@ -153,8 +153,9 @@ def versions(docs: DataFrame) -> DataFrame:
     """
     no_id = F.lit(-(1 << 63)).cast("long")
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("id"), F.xxhash64(text_or_empty()).alias("key"),
-                        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+                        text_or_empty().alias("text"))
     order = _neighbours(keyed.groupBy("id", "key").agg(F.max(F.length("text")).alias("n_chars"), F.count("*").alias("copies")))
+    # both joins read the same three columns by the same key: one exchange of the texts serves them
     texts = keyed.dropDuplicates(["id", "key"])
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     given = (texts.join(order.select(F.col("next_id").alias("id"), F.col("next_key").alias("key"), F.col("id").alias("own_id"),
@@ -163,7 +164,7 @@ def versions(docs: DataFrame) -> DataFrame:
                      F.substring("text", F.lit(1), cut).alias("given"), paragraphs(F.col("text")).alias("p2")))
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - cut), F.col("given"))
     return (texts.join(given, ["id", "key"]).withColumn("edited", edited)
-            .select("id", "key", "doc_id", "n_chars", "copies", sha256_hex(F.col("edited")).alias("edited_sha256"),
+            .select("id", "key", F.when(F.col("id") != no_id, F.col("id")).alias("doc_id"), "n_chars", "copies", sha256_hex(F.col("edited")).alias("edited_sha256"),
                     paragraphs(F.col("text")).alias("p0"), paragraphs(F.col("edited")).alias("p1"), "p2"))
 
 
