@@ -19,7 +19,7 @@ def pieces(text):
     out = []
     for line in text.split("\n"):
         w = line.split()
-        out += [" ".join(w[i:i + 32]) for i in range(0, len(w), 32)]
+        out += [" ".join(w[i:i + 16]) for i in range(0, len(w), 16)]
     return out
 
 
