@@ -413,6 +413,8 @@ select event_id, source, magnitude, magnitude_type, depth_km, latitude, longitud
   gap_deg, rms, nst, detail_url, event_url
 from feed"""
 
+SQL["geojson_multiline"] = SQL["geojson_flatten"]
+
 SQL["landing_read"] = with_(OBS, FEED) + f"""
 select {FEED_COLS}, ingestion_timestamp_utc from feed"""
 
@@ -460,6 +462,9 @@ union all select 'replaced', 'region,total_events', count(*) from gold"""
 
 SQL["gold_stream"] = SQL["gold_insights"]
 
+OBS_UNTIMED = OBS.replace("ts as event_timestamp", "case when event_id % 61 <> 0 and event_id % 67 <> 0 then ts end as event_timestamp")
+SQL["gold_stream_untimed"] = SQL["gold_insights"].replace(OBS, OBS_UNTIMED)
+
 SQL["severity_distribution"] = BASE_ML + """
 select severity, count(*) as events from base group by severity"""
 

@@ -318,7 +318,16 @@ def q_geojson_flatten(spark, sf_dir):
     return flat.drop("ingestion_timestamp_utc")
 
 
-def land_feed(spark, sf_dir) -> str:
+@register("geojson_multiline")
+def q_geojson_multiline(spark, sf_dir):
+    """Published form: an indented document a file."""
+    path = fresh_path(spark, "geojson")
+    feed = _feed(spark, sf_dir, keep=("obs_seq",))
+    gj.write_geojson(feed, path, F.floor(F.col("obs_seq") / FEATURES_PER_DOC), pretty=True)
+    return gj.read_geojson(spark, f"{path}/*/*.txt").drop("ingestion_timestamp_utc")
+
+
+def land_feed(spark, sf_dir, untimed: bool = False) -> str:
     """Land the feed as NDJSON batches by week (the fetcher's role), in one job.
 
     Versions of an event may lie in several files: each stream below takes
@@ -326,7 +335,11 @@ def land_feed(spark, sf_dir) -> str:
     the record's own time decides which version is the latest.
     """
     landing = fresh_path(spark, "landing")
-    feed = _feed(spark, sf_dir, keep=("event_timestamp",))
+    feed = _feed(spark, sf_dir, keep=("event_timestamp", "obs_seq"))
+    if untimed:  # some events have no time, some one that does not parse
+        feed = feed.withColumn("event_time_utc", F.when(F.col("obs_seq") % 61 == 0, F.lit(None)).when(F.col("obs_seq") % 67 == 0, F.lit("12:30"))
+                               .otherwise(F.col("event_time_utc")))
+    feed = feed.drop("obs_seq")
     day = F.datediff(F.col("event_timestamp").cast("date"), F.lit("2000-01-01").cast("date"))
     return ld.land_by(feed.withColumn("batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp"), landing, "batch")
 
@@ -344,8 +357,8 @@ def q_landing_read(spark, sf_dir):
     return ld.read_landing(spark, land_feed(spark, sf_dir))
 
 
-def _run_bronze(spark, sf_dir) -> str:
-    landing = land_feed(spark, sf_dir)
+def _run_bronze(spark, sf_dir, untimed: bool = False) -> str:
+    landing = land_feed(spark, sf_dir, untimed)
     bronze = fresh_path(spark, "bronze")
     q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"))
     q.awaitTermination()
@@ -432,15 +445,24 @@ def q_catalog_tables(spark, sf_dir):
         for n in names])
 
 
-@register("gold_stream")
-def q_gold_stream(spark, sf_dir):
-    """Bronze stream -> streaming Silver -> Gold kept current per touched date."""
-    bronze = _run_bronze(spark, sf_dir)
+def _streamed_gold(spark, bronze: str) -> DataFrame:
     path, gpath = fresh_path(spark, "silver_stream"), fresh_path(spark, "gold")
     ss.start_silver(spark, bronze, path, fresh_path(spark, "ckpt_silver"), gold_path=gpath).awaitTermination()
     return ss.read_gold(spark, gpath).drop("gold_load_timestamp")
 
 
+@register("gold_stream")
+def q_gold_stream(spark, sf_dir):
+    """Bronze stream -> streaming Silver -> Gold kept current per touched date."""
+    return _streamed_gold(spark, _run_bronze(spark, sf_dir))
+
+
+@register("gold_stream_untimed")
+def q_gold_stream_untimed(spark, sf_dir):
+    """The same over a feed some of whose events have no time, or one that does not parse."""
+    return _streamed_gold(spark, _run_bronze(spark, sf_dir, untimed=True))
+
+
 @register("severity_distribution")
 def q_severity_distribution(spark, sf_dir):
     return profiles.severity_distribution(an.scored_base(silver_of(spark, sf_dir)))

@@ -86,14 +86,18 @@ def to_features(feed: DataFrame) -> DataFrame:
                     props.alias("properties"), geom.alias("geometry"))
 
 
-def write_geojson(feed: DataFrame, path: str, doc_key: Column) -> None:
-    """Write feed records as FeatureCollection documents, one per line.
+def write_geojson(feed: DataFrame, path: str, doc_key: Column, pretty: bool = False) -> None:
+    """Write feed records as FeatureCollection documents, one per line, or
+    (``pretty``) as the feed publishes them: one indented document a file.
 
     ``doc_key`` groups features into documents; callers choose a key with a
     bounded number of features per value so no document grows with the data.
     """
-    docs = (feed.groupBy(doc_key.alias("_doc"))
+    doc = F.struct(F.lit("FeatureCollection").alias("type"), F.col("features"))
+    docs = (feed.groupBy(doc_key.cast("string").alias("doc"))
                 .agg(F.collect_list(to_features(feed)).alias("features"))
-                .select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
-                                           F.col("features"))).alias("value")))
-    docs.write.mode("overwrite").text(path)
+                .select(F.col("doc"), F.to_json(doc, {"pretty": str(pretty).lower()}).alias("value")))
+    if pretty:
+        docs.write.mode("overwrite").partitionBy("doc").text(path)
+    else:
+        docs.select("value").write.mode("overwrite").text(path)
