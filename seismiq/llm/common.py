@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -40,6 +41,20 @@ def materialise(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Texts may be long: Arrow batches of at most 8 MiB, whatever the number of rows.
+
+    Sets the session's limit where it is larger (Spark's default is 64 MiB).
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(re.sub(r"[^0-9]", "", conf.get(ARROW_BYTES, "0")) or 0) <= BATCH_BYTES:
+        conf.set(ARROW_BYTES, str(BATCH_BYTES))
+    return df
+
+
 def slices(batch, rows: int = 256) -> Iterator:
     """Parts of an Arrow batch or array, so that few rows at a time become Python objects."""
     for i in range(0, max(1, len(batch)), rows):

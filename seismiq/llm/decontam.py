@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import materialise, slices, text_or_empty
+from seismiq.llm.common import bounded_batches, materialise, slices, text_or_empty
 
 GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -163,7 +163,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
             rare_share: float = RARE_SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, text_key, item_id, item, score) for each document and item that match."""
     spark = docs.sparkSession
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"),
+    keyed = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"),
                         text_or_empty().alias("text"))
     n_docs, out = docs.count(), []
     for block in _blocks(benchmark, block_words):

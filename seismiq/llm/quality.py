@@ -33,7 +33,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import materialise, slices, text_or_empty
+from seismiq.llm.common import bounded_batches, materialise, slices, text_or_empty
 
 MAX_LABELLED, MAX_POOL, ROUNDS, SURE = 20_000, 20_000, 3, 0.95
 META_SIZE = 64
@@ -72,7 +72,7 @@ def with_views(docs: DataFrame) -> DataFrame:
     def meta(name: str, kind: str) -> Column:
         return F.col(name).cast(kind) if name in docs.columns else F.lit(None).cast(kind)
 
-    out = (docs.withColumn("__text_view", array_to_vector(_features()))
+    out = (bounded_batches(docs).withColumn("__text_view", array_to_vector(_features()))
            .withColumn("__lang", F.coalesce(meta("lang", "string"), F.lit("")))
            .withColumn("__source", F.coalesce(meta("source", "string"), F.lit("")))
            .withColumn("__length", F.log1p(F.greatest(F.coalesce(meta("n_chars", "double"), F.lit(0.0)), F.lit(0.0)))))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from seismiq.llm.common import freed_shuffles, materialise, slices, text_or_empty
+from seismiq.llm.common import bounded_batches, freed_shuffles, materialise, slices, text_or_empty
 
 SEED = 42
 #: Length, radius and generator polynomial of the binary Golay code.
@@ -84,7 +84,7 @@ def _fingerprints(texts: pa.Array) -> pa.Array:
 
 def with_fingerprint(docs: DataFrame, text: str = "text", column: str = "fingerprint") -> DataFrame:
     """Add the fingerprint as a signed 64-bit integer."""
-    return docs.withColumn(column, _fingerprints(text_or_empty(text)))
+    return bounded_batches(docs).withColumn(column, _fingerprints(text_or_empty(text)))
 
 
 def hex_digits(fingerprint: Column) -> Column:

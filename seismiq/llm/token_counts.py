@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import slices, text_or_empty
+from seismiq.llm.common import bounded_batches, slices, text_or_empty
 
 BLANK, MAX_KNOWN, BLOCK_ROWS = "▁", 400_000, 500
 
@@ -88,7 +88,7 @@ def with_token_count(docs: DataFrame, model: bytes, text: str = "text", column:
             parts = [counter.count(part.to_pylist()) for part in slices(texts, BLOCK_ROWS)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
 
-    return docs.withColumn(column, run(text_or_empty(text)))
+    return bounded_batches(docs).withColumn(column, run(text_or_empty(text)))
 
 
 def token_counts(docs: DataFrame, model: bytes, limit: int = 4096) -> DataFrame:
