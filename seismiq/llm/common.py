@@ -50,7 +50,7 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     Sets the session's limit where it is larger (Spark's default is 64 MiB).
     """
     conf = df.sparkSession.conf
-    if not 0 < int(re.sub(r"[^0-9]", "", conf.get(ARROW_BYTES, "0")) or 0) <= BATCH_BYTES:
+    if int(re.sub(r"[^0-9]", "", conf.get(ARROW_BYTES))) > BATCH_BYTES:
         conf.set(ARROW_BYTES, str(BATCH_BYTES))
     return df
 
