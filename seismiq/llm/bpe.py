@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from seismiq.llm.common import bounded_batches, slices, text_or_empty
 
 #: Bounds of the tables a worker keeps; when full they are emptied and refilled.
-MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 150_000, 250_000, 64, 4096
+MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 300_000, 300_000, 64, 4096
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
