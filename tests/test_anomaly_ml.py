@@ -103,7 +103,7 @@ def test_classifier_end_to_end(spark):
     assert ml.filter("scored != (is_anomaly is not null)").count() == 0
 
 
-def test_boosted_option_without_probability(spark):
+def test_boosted_option_with_probability(spark):
     rows = [(f"e{i}", float(i % 7), 10.0, 0.0, 0.0, 5, 0, 0.0, 0.0, 180.0, 0.0, 0,
              1, "MINOR" if i % 7 >= 3 else "MICRO") for i in range(40)]
     df = spark.createDataFrame(rows, "event_id string, magnitude double, depth_km double, latitude double, "
@@ -112,7 +112,7 @@ def test_boosted_option_without_probability(spark):
                                      "severity string")
     model = clf.train(df, clf.boosted_estimator(max_iter=3))
     out = clf.predict(model, df).collect()
-    assert all(r.prediction_confidence is None for r in out)
+    assert all(0 < r.prediction_confidence <= 1 for r in out)
     acc = sum(r.predicted_severity == r.severity for r in out) / len(out)
     assert acc > 0.9
 
