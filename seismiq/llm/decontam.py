@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Every three-word gram of a test item is a possible seed.  One pass over the
-whole corpus finds all places where a gram occurs and writes, for each document
-and item, the passage around them.  Document frequencies of the grams come from
-those places; a seed counts if it is rare: in no more than ``rare_share`` of all
-documents, or no more frequent than the median gram of its item (so that a
-passage copied into very many documents stays seeded).  Passages with a rare
-seed are aligned with the item word by word (match 2, mismatch and gap -1); the
-score is divided by that of a full match.  Edited or reordered copies keep some
-three-word grams and score by how much of the item they hold.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Every three-word gram of a test item is a seed.  One pass over the whole corpus
+finds all places where a gram occurs and cuts, for each document and item, the
+passage around them.  A passage that shares too few words with the item to reach
+the threshold goes no further: an exact bound on the score.  All others are
+aligned with the item word by word (match 2, mismatch and gap -1), whatever the
+frequency of their grams: a filter by document frequency would lose the copies
+that stand in very many documents.  The score is divided by that of a full match.
+Edited or reordered copies keep some three-word grams and score by how much of
+the item they hold.
 
 The benchmark is read in blocks of at most ``block_words`` words, each sent to
 the executors, so the size of what is sent is bounded whatever the benchmark's;
@@ -22,7 +22,6 @@ item that comes first; empty tables give no matches.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismiq.llm.common import bounded_batches, materialise, slices, text_or_empty
@@ -39,7 +38,6 @@ GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A match reaches this share of the full score, and that of so many words at least.
 THRESHOLD, LEAST_WORDS = 0.5, 8
-RARE_SHARE = 1e-3
 BLOCK_WORDS = 1_000_000
 
 find_words = re.compile(r"\w+").findall
@@ -62,15 +60,26 @@ def align(item: np.ndarray, passage: np.ndarray) -> int:
     return best
 
 
-def score(item: list[str], passage: list[str], least: float = 0.0) -> float:
-    """Alignment score over that of a full match; 0 where it cannot reach ``least``."""
-    common = (Counter(item) & Counter(passage)).total()
-    if not item or common < least * len(item):
-        return 0.0
-    number = {w: i for i, w in enumerate(set(item))}
-    a = np.array([number[w] for w in item])
-    b = np.array([number.get(w, -1) for w in passage])
-    return align(a, b) / (MATCH * len(item))
+class _Item:
+    """A test item and its scores of passages."""
+
+    def __init__(self, words: list[str], threshold: float):
+        number: dict[str, int] = {}
+        self.numbers = np.array([number.setdefault(w, len(number)) for w in words])
+        self.number, self.counts, self.n = number, Counter(words), len(words)
+        self.threshold, self.least = threshold, max(threshold * len(words), min(LEAST_WORDS, len(words)))
+
+    def score(self, passage: list[str]) -> float | None:
+        """Alignment score over that of a full match, if that is a match."""
+        left, common = dict(self.counts), 0
+        for w in passage:
+            if left.get(w):
+                left[w] -= 1
+                common += 1
+        if common < self.least:
+            return None
+        s = align(self.numbers, np.array([self.number.get(w, -1) for w in passage])) / (MATCH * self.n)
+        return s if s >= self.threshold and s * self.n >= min(LEAST_WORDS, self.n) else None
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, object, list[str]]]]:
@@ -94,93 +103,59 @@ def _grams(words: list[str]):
     return zip(words, words[1:], words[2:])
 
 
-def _find(block):
-    """Passages of each text around the grams of the block's items."""
+def _find(block, threshold: float):
+    """The score of each text and item of the block that match, from the passages around the item's grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: dict[tuple, int] = {}
         places: dict[tuple, list[tuple[int, int, int]]] = {}
         for k, (_, _, words) in enumerate(block):
             for at, g in enumerate(_grams(words)):
-                number.setdefault(g, len(number))
                 places.setdefault(g, []).append((k, at, len(words)))
+        items = [_Item(words, threshold) for _, _, words in block]
         for batch in (x for b in batches for x in slices(b)):
             out = []
             for doc, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = words_of(text)
-                found: dict[int, list[tuple[int, int, int]]] = {}
+                found: dict[int, list[tuple[int, int]]] = {}
                 for p, g in enumerate(_grams(words)):
-                    if g in number:
-                        for k, at, n in places[g]:
-                            slack = n // 2 + 2
-                            found.setdefault(k, []).append((p - at - slack, p - at + n + slack, number[g]))
+                    for k, at, n in places.get(g, ()):
+                        slack = n // 2 + 2
+                        found.setdefault(k, []).append((p - at - slack, p - at + n + slack))
                 for k, spans in found.items():
-                    spans.sort()
-                    start, end, seeds = spans[0][0], spans[0][1], set()
-                    for a, b, g in spans:
-                        if a > end:
-                            out.append((doc, key, k, sorted(seeds), " ".join(words[max(0, start):end])))
-                            start, end, seeds = a, b, set()
-                        end = max(end, b)
-                        seeds.add(g)
-                    out.append((doc, key, k, sorted(seeds), " ".join(words[max(0, start):end])))
-            cols = list(zip(*out)) or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["doc_id", "text_key", "item", "seeds", "passage"])
-    return run
-
-
-def _score(block, threshold: float):
-    items = [w for _, _, w in block]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (x for b in batches for x in slices(b)):
-            scores = []
-            for k, passage in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                s = score(items[k], passage.split(" "), threshold)
-                ok = s >= threshold and s * len(items[k]) >= min(LEAST_WORDS, len(items[k]))
-                scores.append(s if ok else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(scores, pa.float64())],
-                                             ["doc_id", "text_key", "item", "score"])
+                    scores = [s for a, b in _merged(spans) if (s := items[k].score(words[max(0, a):b])) is not None]
+                    if scores:
+                        out.append((doc, key, k, max(scores)))
+            cols = list(zip(*out)) or [[]] * 4
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "text_key", "item", "score"])
     return run
 
 
-def _rare(spark: SparkSession, hits: DataFrame, block, n_docs: int, rare_share: float) -> DataFrame:
-    """(item, rare): the numbers of each item's rare grams."""
-    number: dict[tuple, int] = {}
-    rows = sorted({(k, number.setdefault(g, len(number))) for k, (_, _, w) in enumerate(block) for g in _grams(w)})
-    grams = spark.createDataFrame(rows, "item int, seed int")
-    df = (hits.select("doc_id", "text_key", F.explode("seeds").alias("seed")).distinct()
-          .groupBy("seed").agg(F.count("*").alias("n")))
-    known = grams.join(df, "seed", "left").na.fill(0, ["n"])
-    middle = known.groupBy("item").agg(F.percentile("n", F.lit(0.5)).alias("middle"))
-    least = math.ceil(rare_share * n_docs)
-    return (known.join(middle, "item").where(F.col("n") <= F.greatest("middle", F.lit(float(least))))
-            .groupBy("item").agg(F.collect_list("seed").alias("rare")))
+def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans that overlap or touch become one."""
+    spans.sort()
+    start, end = spans[0]
+    for a, b in spans:
+        if a > end:
+            yield start, end
+            start, end = a, b
+        end = max(end, b)
+    yield start, end
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-            rare_share: float = RARE_SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, text_key, item_id, item, score) for each document and item that match."""
     spark = docs.sparkSession
     keyed = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"),
                         text_or_empty().alias("text"))
-    n_docs, out = docs.count(), []
+    out = []
     for block in _blocks(benchmark, block_words):
-        hits = materialise(keyed.mapInArrow(
-            _find(block), "doc_id long, text_key long, item int, seeds array<int>, passage string"), "seeds")
-        # one row for each item of the block: its size is bounded by block_words, and no item's passages are gathered
-        rare = materialise(_rare(spark, hits, block, n_docs, rare_share).coalesce(1), "rare")
-        seeded = (hits.join(F.broadcast(rare), "item")
-                  .where(F.arrays_overlap("seeds", "rare")).select("doc_id", "text_key", "item", "passage"))
         names = spark.createDataFrame([(k, i, n) for k, (n, i, _) in enumerate(block)], "item int, item_id long, item_no long")
-        out.append(seeded.mapInArrow(_score(block, threshold), "doc_id long, text_key long, item int, score double")
-                   .where("score is not null")
-                   .groupBy("doc_id", "text_key", "item").agg(F.max("score").alias("score"))
-                   .join(F.broadcast(names), "item").select("doc_id", "text_key", "item_id", "item_no", "score"))
+        found = keyed.mapInArrow(_find(block, threshold), "doc_id long, text_key long, item int, score double")
+        out.append(materialise(found.groupBy("doc_id", "text_key", "item").agg(F.max("score").alias("score"))
+                               .join(F.broadcast(names), "item").select("doc_id", "text_key", "item_id", "item_no", "score"), "matches"))
     if not out:
         return spark.createDataFrame([], "doc_id long, text_key long, item_id long, item_no long, score double")
-    return materialise(reduce(DataFrame.union, out), "matches")
+    return reduce(DataFrame.union, out)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -59,6 +59,24 @@ def test_copies_edited_and_hot_are_found_and_clean_documents_left(spark):
     assert small == got
 
 
+def test_edited_and_partial_copies_in_a_third_of_all_documents(spark):
+    rng = random.Random(5)
+    items = [passage(rng, n) for n in (40, 24)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    edited = [f"other{k}" if k % 4 == 3 else x for k, x in enumerate(items[0])]  # a quarter of the grams stay
+    partial = items[1][:13]  # a bit more than half: under half of the grams stay
+    docs, want = [], {}
+    for n, words in enumerate((edited, partial)):
+        for _ in range(30):
+            want[len(docs)] = n
+            docs.append((len(docs), " ".join(passage(rng, 30) + words + passage(rng, 30))))
+    for _ in range(60):  # a hot gram of an item alone is no copy
+        want[len(docs)] = None
+        docs.append((len(docs), " ".join(passage(rng, 60) + items[0][:3] + passage(rng, 60))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r["doc_id"]: r["item_id"] for r in decontam.contaminated(frame, bench).collect()} == want
+
+
 def test_the_test_documents_against_plain_search(spark):
     sf = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
