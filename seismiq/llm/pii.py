@@ -7,9 +7,10 @@ written so that the regular expression engine needs linear time on any text:
 quantifiers are possessive where what follows cannot be part of the run, and a
 match never begins inside a run that an earlier position has already tried.
 
-Bootstrapping: each base span is an instance of its kind, each other token that
-looks like an identifier (a ``@``, or four digits) an unlabelled instance; the
-two words before an instance, and the last of them alone, are its lexical patterns.
+Bootstrapping: each base span is an instance of its kind; each other token that
+looks like an identifier (a ``@``, or four digits) and each longest run of digit
+groups of 4 to 40 digits is an unlabelled instance.  The two words of the text
+before an instance, and the last of them alone, are its lexical patterns.
 Patterns and instances are the two sides of a graph.  In each round Spark scores
 a pattern by the share of labelled instances among its distinct instances, and
 an instance by the noisy-or of its patterns; instances of confident patterns
@@ -18,7 +19,7 @@ become labelled and feed the next round.  Their occurrences are the added spans.
 Defined results: a null text is empty; an empty text has no spans; repeated
 rows give equal results; matches that fail a check (address part over 255, Luhn,
 number of digits) are dropped without retry; spans of different kinds may
-overlap; added spans never overlap a base span.
+overlap; added spans never overlap a base span, but a token may lie in a run.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ PATTERNS = {
 PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Tokens that may be identifiers: runs of non-blanks that hold a digit or an at sign.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Numbers written in groups, joined by blanks, brackets, dots or hyphens.
+GROUPS = r"(?<![0-9])\+?+(?:[(\[][0-9]++[)\]]|[0-9]++)(?:[\x20()\[\].-]{1,3}+[0-9]++)++"
+MOST_DIGITS = 40
 #: A pattern needs so many distinct labelled instances, this share of all; an instance this belief.
 LEAST_SUPPORT, LEAST_SHARE, LEAST_BELIEF, ROUNDS = 3, 0.5, 0.8, 3
 CONTEXT_CHARS = 64
@@ -56,19 +60,20 @@ def _holds(kind: str, value: Column) -> Column:
 
 
 def _spans(text: Column, pattern: str) -> Column:
-    """All matches: struct(start, end, value, before), leftmost and non-overlapping."""
+    """All matches: struct(start, end, value, before), leftmost and non-overlapping; ``before`` is the text's end before a match."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
     def add(acc: Column, m: Column) -> Column:
         start = acc["at"] + F.length(m["between"])
         end = start + F.length(m["found"])
-        span = F.struct(start.alias("start"), end.alias("end"), m["found"].alias("value"),
-                        F.right(m["between"], F.lit(CONTEXT_CHARS)).alias("before"))
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
+        before = F.right(F.concat(acc["tail"], m["between"]), F.lit(CONTEXT_CHARS))
+        span = F.struct(start.alias("start"), end.alias("end"), m["found"].alias("value"), before.alias("before"))
+        tail = F.right(F.concat(acc["tail"], m["between"], m["found"]), F.lit(CONTEXT_CHARS))
+        return F.struct(end.alias("at"), tail.alias("tail"), F.array_append(acc["spans"], span).alias("spans"))
 
     empty = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
     zipped = F.arrays_zip(found.alias("found"), F.slice(between, F.lit(1), F.size(found)).alias("between"))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda acc: acc["spans"])
+    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), empty.alias("spans")), add, lambda acc: acc["spans"])
 
 
 def with_base(docs: DataFrame, text: str = "text", column: str = "base") -> DataFrame:
@@ -88,7 +93,7 @@ def with_base(docs: DataFrame, text: str = "text", column: str = "base") -> Data
 
 
 def _tokens(text: Column, base: Column) -> Column:
-    """Identifier-like tokens outside the base spans, without quotes and stops around them."""
+    """Identifier-like tokens, without quotes and stops around them, and runs of digit groups outside the base spans."""
     edge = "\"'`<>()\\[\\]{},;:!?.#$%&*|"
 
     def trimmed(s: Column) -> Column:
@@ -97,11 +102,14 @@ def _tokens(text: Column, base: Column) -> Column:
         start = s["start"] + F.length(s["value"]) - F.length(left)
         return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"), s["before"].alias("before"))
 
-    found = F.transform(_spans(text, TOKEN), trimmed)
-    looks = lambda s: F.contains(s["value"], F.lit("@")) | (F.length(F.regexp_replace(s["value"], "[^0-9]", "")) >= 4)
+    digits = lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", ""))
+    looks = lambda s: F.contains(s["value"], F.lit("@")) | (digits(s) >= 4)
     free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.when(text.rlike("[0-9@]"), F.filter(found, lambda s: looks(s) & free(s))) \
-        .otherwise(F.array().cast("array<struct<start:int,end:int,value:string,before:string>>"))
+    none = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
+    single = F.when(text.rlike("[0-9@]"), F.filter(F.transform(_spans(text, TOKEN), trimmed), looks)).otherwise(none)
+    runs = F.when(text.rlike(GROUPS), F.filter(_spans(text, GROUPS), lambda s: digits(s).between(4, MOST_DIGITS))).otherwise(none)
+    # a number such as 555-0199 is both: the same span and the same text before it
+    return F.filter(F.array_union(single, runs), free)
 
 
 def _contexts(before: Column, value: Column) -> Column:

@@ -91,3 +91,21 @@ def test_digest_of_no_spans(spark):
     docs = spark.createDataFrame([(1, "none")], "doc_id long, text string")
     from seismiq.llm.common import sha256_hex
     assert pii.find(docs).select(sha256_hex(pii.listed(F.col("base")))).first()[0] == hashlib.sha256(b"").hexdigest()
+
+
+def test_numbers_in_groups_are_found_as_a_whole(spark):
+    seeds = [f"my tel +1 555 010 {i:04d} today" for i in range(12)]
+    unseen = ["my tel 555 123 4567 now", "my tel (555) 123-4567 now", "my tel [555] 123.4568, then", "ward 555 123 4567 too", "rows 1 2 3 and 4567 more"]
+    docs = spark.createDataFrame(list(enumerate(seeds + unseen)), "doc_id long, text string")
+    got = {r["doc_id"]: r["l"] for r in pii.find(docs).select("doc_id", pii.listed(F.col("spans")).alias("l")).collect()}
+    assert [got[12 + k] for k in range(5)] == ["phone:7:19", "phone:7:21", "phone:7:21", "phone:5:17", ""]
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert clean[13] == "my tel [PHONE] now"
+
+
+def test_the_context_is_the_text_before_whatever_stands_in_it(spark):
+    rows = [("id 7 phone 0555/0199",), ("one +1 555 010 0001 or +1 555 010 0002",)]
+    marked = pii.with_base(spark.createDataFrame(rows, "text string"))
+    marked = marked.withColumn("tokens", pii._tokens(F.col("text"), F.col("base"))).collect()
+    assert [(s["value"], s["before"]) for s in marked[0]["tokens"]] == [("0555/0199", "id 7 phone ")]
+    assert [s["before"] for s in marked[1]["base"]] == ["one ", "one +1 555 010 0001 or "]
