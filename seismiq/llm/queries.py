@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismiq.llm import bpe, decontam, iblt, pii, pitman_yor, quality, sharding, simhash, token_counts, wrappers
+from seismiq.llm import (bpe, collocations, decontam, filter_audit, iblt, pii, pitman_yor, quality, sharding, simhash, token_counts,
+                         warc, wrappers)
 from seismiq.llm.common import sha256_hex, table, text_or_empty
 
 VOCABULARY, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -69,9 +70,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_pii, op3_token_counts, op4_pitman_yor, op5_sharding, op6_wrappers, op7_simhash,
-                              op8_quality, op9_fingerprints, op10_decontamination)
+                              op8_quality, op9_fingerprints, op10_decontamination, op11_warc, op12_collocations, op13_filter_audit)
 }
 
-SQL: dict[str, str] = {"op5_sharding": sharding.oracle(SHARD_BYTES)}
+SQL: dict[str, str] = {"op5_sharding": sharding.oracle(SHARD_BYTES), "op11_warc": warc.ORACLE,
+                       "op12_collocations": collocations.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
