@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from seismiq.llm.common import bounded_batches, materialise, slices, text_or_empty
 
 TOP, LEAST, COVER_PERCENT, MILLION, NO_LANG = 2000, 10, 50, 1_000_000, "und"
-BLOCK_BYTES, FILTER_BITS = 16 << 20, 1 << 25
+BLOCK_BYTES, FILTER_BITS = 4 << 20, 1 << 25
 #: Rank of the pair whose score is the first threshold, as a multiple of ``top``, and its growth a round.
 FIRST_RANK, RANK_GROWTH = 2, 4
 #: Factors of the language's and the words' checksums in the bit set's index.
