@@ -20,8 +20,8 @@ Defined results: a null html is the empty payload; a null page_id ranks below
 all others and reads back as null, and so does a reference to it; a null URL has
 no header; of rows that repeat the response's page_id one is the response (the
 one with the largest URL) and the others revisit it; control characters,
-blanks and letters beyond ASCII of a URL are percent-encoded; an empty table gives no archive and no
-records; other columns are ignored.
+blanks and letters beyond ASCII of a URL are percent-encoded; an empty table
+gives no archive and no records; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +50,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 # -------------------------------------------------------------------------------
 
 ARCHIVE_BYTES, DICTIONARY_BYTES, LEVEL, COPIES_A_ROW = 32 << 20, 64 << 10, 3, 100_000
+#: Tasks that read archives, at most; more archives than that share tasks.
+MOST_READERS = 20_000
 MANIFEST = "path string, records long, raw_bytes long, dictionary_bytes long, archive_bytes long"
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
 
@@ -231,7 +233,8 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, fields)
 
-    spread = manifest.repartition(F.xxhash64("path")).select("path")
+    # a number of partitions that adaptive execution does not reduce: the manifest is small, the archives are not
+    spread = manifest.repartition(max(1, min(manifest.count(), MOST_READERS)), "path").select("path")
     return spread.mapInArrow(run, RECORD)
 
 
