@@ -11,7 +11,7 @@ has one thread at the root, and the last one's output is the encoding.
 
 The subset construction is done lazily: a deterministic state is the set of
 threads with what each has yet to emit beyond their common prefix; states and
-transitions are built when first met, kept in a table of bounded size, and the
+transitions are built when first met, kept in a table of bounded bytes, and the
 common prefix is emitted as soon as all threads agree on it, which is after a
 lookahead bounded by the longest tokens.  Decoding joins token bytes chunk by
 chunk into an incremental UTF-8 state machine that holds back an incomplete
@@ -38,8 +38,14 @@ from pyspark.sql import functions as F
 
 from seismiq.llm.common import bounded_batches, slices, text_or_empty
 
-#: Bounds of the tables a worker keeps; when full they are emptied and refilled.
-MAX_STATES, MAX_PIECES, LONG_PIECE, CHUNK = 300_000, 300_000, 64, 4096
+#: Bytes that a worker's tables may grow to beside the vocabulary, by estimate: states and their edges, two generations
+#: of pieces, and pairs of tokens.  A full table of states stays until it was passed by RENEWAL times as many states as it
+#: holds; the older pieces, or the pairs, are dropped when their table is full.
+TABLE_BYTES = 128 << 20
+STATE_BYTES, PIECE_BYTES, PAIR_BYTES = TABLE_BYTES // 2, TABLE_BYTES * 3 // 16, TABLE_BYTES // 8
+#: What an entry takes beside its contents: a state with its edges, a thread, a piece, a pair.
+STATE_COST, THREAD_COST, PIECE_COST, PAIR_COST = 520, 130, 240, 90
+LONG_PIECE, CHUNK, RENEWAL = 64, 4096, 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -75,8 +81,8 @@ class State:
 class Transducer:
     """Encodes one piece of bytes at a time."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int], state_bytes: int = STATE_BYTES, pair_bytes: int = PAIR_BYTES):
+        self.ranks, self.state_bytes, self.max_pairs = ranks, state_bytes, max(1, pair_bytes // PAIR_COST)
         self.tokens = {i: t for t, i in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
@@ -94,6 +100,7 @@ class Transducer:
         self.known_pairs = 0
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.states: dict[tuple, State] = {}
+        self.held_bytes = self.passed = 0
         self.start = State(((-1, 0, ()),), ())
 
     def _split(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -126,7 +133,7 @@ class Transducer:
 
     def _allowed(self, u: int, v: int) -> bool:
         """Whether token v may stand after token u (-1: at the beginning)."""
-        if self.known_pairs >= 2 * self.max_states:
+        if self.known_pairs >= self.max_pairs:
             self.after, self.known_pairs = {}, 0
         t = self.tokens[v]
         fits = len(t) == 1 or self._split(t) is not None if u < 0 else self._joins(self.tokens[u], t)
@@ -157,15 +164,27 @@ class Transducer:
                 while t[2][:n] != agreed[:n]:
                     n -= 1
         key = tuple([(a, b, owed[n:]) for a, b, owed in threads]) if n else tuple(threads)
-        if len(self.states) >= self.max_states:  # states in use stay alive by reference
-            self.states.clear()
-            self.start.edges.clear()
         nxt_state = self.states.get(key)
         if nxt_state is None:
-            nxt_state = self.states[key] = State(key, final[n:])
+            nxt_state = State(key, final[n:])
+            if self.held_bytes >= self.state_bytes:
+                self.passed += 1
+                if self.passed >= RENEWAL * len(self.states):
+                    self._forget()
+                return nxt_state, agreed[:n]  # a full table stays: the state lives for this piece only
+            self.states[key] = nxt_state
+            self.held_bytes += STATE_COST + THREAD_COST * len(key)
         state.edges[byte] = edge = (nxt_state, agreed[:n])
         return edge
 
+    def _forget(self) -> None:
+        """Empty the table of states; without their edges they are no cycles, so they are freed at once."""
+        for s in self.states.values():
+            s.edges.clear()
+        self.start.edges.clear()
+        self.states.clear()
+        self.held_bytes = self.passed = 0
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
@@ -204,6 +223,7 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.known_bytes = 0
 
     def _piece(self, piece: str) -> bytes:
         """A piece not seen lately; of two tables the older one goes when the newer is full."""
@@ -211,9 +231,10 @@ class Encoder:
         if ids is None:
             ids = array.array("i", self.transducer.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= LONG_PIECE:
-            if len(self.known) >= MAX_PIECES:
-                self.older, self.known = self.known, {}
+            if self.known_bytes >= PIECE_BYTES:
+                self.older, self.known, self.known_bytes = self.known, {}, 0
             self.known[piece] = ids
+            self.known_bytes += PIECE_COST + len(piece) + len(ids)
         return ids
 
     def encode(self, text: str) -> bytes:

@@ -45,7 +45,7 @@ def test_neighbouring_tokens_by_merges():
 
 
 def test_tables_may_be_emptied_at_any_time():
-    small = bpe.Transducer(RANKS, max_states=3)
+    small = bpe.Transducer(RANKS, state_bytes=2000)
     for word in (b" internationalisation", b"antidisestablishmentarianism", "Übergrößenträger".encode()):
         assert small.encode(word) == LIBRARY._encode_single_piece(word)
 
