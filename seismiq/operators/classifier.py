@@ -314,3 +314,19 @@ def run_record(model: PipelineModel, train_df: DataFrame, test_pred: DataFrame,
 
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def scored_stream(model: PipelineModel, events: DataFrame, out: str, checkpoint: str, trigger: str | None = None):
+    """Score a stream of Silver rows with a fitted (saved and loaded) model: append the scorable events to ``out``.
+
+    Scoring is a projection, so the stream keeps no state; a new model takes
+    effect with the next start of the query.
+    """
+    rows = predict(model, scored_base(events))
+    w = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
+    return w.start(out)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..functions.text import fmt, line, lines_text, or_empty
+from ..functions.text import fmt, line, lines_text, or_empty, text_chunks
 from ..functions.timefmt import now_utc, ntz_to_iso_text
 from ..session import shared_dir
 from .gold import flag_count
@@ -144,6 +144,15 @@ def context_lines(ml: DataFrame) -> DataFrame:
     return anomalies.unionByName(events)
 
 
+def context_chunks(ml: DataFrame, chunk_chars: int = 1 << 20) -> DataFrame:
+    """The complete text of each list of ``context_lines``, strongest event first, as numbered chunks.
+
+    ``(output_type, section, chunk, lines, content)``: a section's chunks joined
+    by line breaks are its whole text.
+    """
+    return text_chunks(context_lines(ml), F.col("line"), strongest_first(), ["output_type", "section"], chunk_chars)
+
+
 # ---- text rendering ---------------------------------------------------------------
 
 # The situation summary lists this many strongest events.

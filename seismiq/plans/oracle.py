@@ -531,3 +531,101 @@ SQL["gold_sorted"] = SQL["gold_insights"]
 
 SQL["ml_joined"] = BASE_ML + """
 select event_id, severity, region, is_anomaly, anomaly_reason, anomaly_score from ml"""
+
+
+# ---- streams in several batches, quarantine, reconciled export, chunks, fixed model ----
+
+SQL["stream_batches"] = """
+select true as several, true as later_batches, true as stale_within_moved, true as published_later from events having count(*) > 0"""
+
+SQL["stream_progress"] = with_(OBS) + """
+select 'bronze' as query, count(*) as input_rows, cast(0 as bigint) as state_rows, true as later_batches from obs
+union all select 'silver', count(*), count(distinct event_id), true from obs"""
+
+SQL["stream_recovered"] = BASE_GOLD + """
+select *, true as one_version_between from gold"""
+
+# the poll of a row: ranges of the row sequence, six of them
+SQL["bronze_evolving"] = with_(OBS, FEED, "polls AS (select max(obs_seq) + 1 as size from obs)") + f"""
+select {FEED_COLS.replace("significance", "cast(significance as double) + case when poll = 4 then 0.5e0 else 0e0 end as significance")},
+  ingestion_timestamp_utc,
+  case when poll in (2, 3) then obs_seq % 12 end as station_count,
+  case when poll in (2, 3) then (obs_seq % 16) / 16e0 end as review_score
+from (select feed.*, (obs_seq * 6) // size as poll from feed, polls)"""
+
+SQL["landing_quarantine"] = with_(OBS, FEED) + """
+select side, case when side = 'good' then event_id end as event_id, case when side = 'good' then magnitude end as magnitude,
+  case when side = 'good' then event_time_utc end as event_time_utc,
+  case obs_seq % 37 when 5 then '{"event_id":"' || coalesce(event_id, '?') || '","magnitude":'
+                    when 6 then 'no record ' || obs_seq
+                    when 7 then '{"event_id":"' || coalesce(event_id, '?') || '","magnitude":"strong"}' end as line,
+  count(*) over (partition by side) as counted
+from (select *, case when obs_seq % 37 in (5, 6, 7) then 'corrupt' else 'good' end as side from feed)"""
+
+SQL["export_reconciled"] = BASE_GOLD + """
+, runs(TABLE_NAME, RUN_ID, SOURCE_ROWS) as (
+  select 'GOLD_INSIGHTS', 'r1', count(*) from gold
+  union all select 'GOLD_INSIGHTS', 'r2', count(*) from gold where severity = 'MICRO'
+  union all select 'SILVER_EVENTS', 'r2', count(*) from silver where severity = 'MAJOR')
+select TABLE_NAME, RUN_ID, SOURCE_ROWS, SOURCE_ROWS as TARGET_ROWS, true as EQUAL,
+       cast(sum(SOURCE_ROWS) over (partition by TABLE_NAME) as bigint) as ROWS from runs"""
+
+SQL["report_chunks"] = f"""
+with listed as ({SQL["report_lines"]}),
+placed as (select *, sum(length(line) + 1) over w - (length(line) + 1) as start
+           from listed window w as (partition by output_type, section order by {STRONGEST} rows unbounded preceding))
+select output_type, section, cast(start // 4096 as bigint) as chunk, count(*) as lines,
+       string_agg(line, {NL} order by {STRONGEST}) as content
+from placed group by output_type, section, start // 4096"""
+
+# the tree's thresholds and the shares of its leaves
+THRESHOLD = """
+scored AS (
+  select silver.*, magnitude is not null and depth_km is not null as ok,
+    case when magnitude <= 2 then 'NEGLIGIBLE' when magnitude <= 4 then 'MICRO' when magnitude <= 6.5 then 'MODERATE' else 'MAJOR' end as p,
+    case when magnitude <= 2 then 1.0e0 when magnitude <= 4 then 0.75e0 when magnitude <= 6.5 then 0.6667e0 else 0.6e0 end as c
+  from silver),
+tested AS (select * from scored where ok and substr(md5(event_id || '42'), 1, 2) < '33')"""
+BASE_THRESHOLD = with_(OBS, SILVER, THRESHOLD)
+
+SQL["ml_threshold_scores"] = BASE_THRESHOLD + """
+select event_id, severity, case when ok then p end as predicted_severity, case when ok then c end as prediction_confidence from scored"""
+
+SQL["ml_scored_stream"] = BASE_THRESHOLD + """
+select event_id, severity, p as predicted_severity, c as prediction_confidence from scored where ok"""
+
+SQL["dash_threshold_predicted"] = BASE_THRESHOLD + """
+select case when ok then p end as predicted_severity, count(*) as events from scored group by all"""
+
+SQL["ml_threshold_report"] = BASE_THRESHOLD + """
+, classes AS (select unnest(['CATASTROPHIC', 'MAJOR', 'MICRO', 'MINOR', 'MODERATE', 'NEGLIGIBLE', 'STRONG']) as k),
+counts AS (select k, (select count(*) from tested where severity = k) as support, (select count(*) from tested where p = k) as given,
+                  (select count(*) from tested where severity = k and p = k) as hit from classes),
+each AS (select k, support, hit, case when given > 0 then hit / given else 0 end as pr, case when support > 0 then hit / support else 0 end as re from counts),
+f AS (select *, case when pr + re > 0 then 2 * pr * re / (pr + re) else 0 end as f1 from each),
+r AS (select k as class_name, support, pr, re, f1 from f
+      union all select 'accuracy', sum(support), null, null, sum(hit) / sum(support) from f
+      union all select 'macro avg', sum(support), avg(pr), avg(re), avg(f1) from f
+      union all select 'weighted avg', sum(support), sum(pr * support) / sum(support), sum(re * support) / sum(support), sum(f1 * support) / sum(support) from f)
+select class_name, cast(support as bigint) as support, round(pr, 6) as precision, round(re, 6) as recall, round(f1, 6) as f1_score from r"""
+
+SQL["ml_threshold_importance"] = BASE_THRESHOLD + """
+select f as feature, case when f = 'magnitude' then 1e0 else 0e0 end as importance, (select count(*) from scored where ok) as scored_events
+from (select unnest(['magnitude', 'depth_km', 'latitude', 'longitude', 'significance', 'felt_reports', 'cdi', 'mmi', 'gap_deg', 'rms', 'nst', 'tsunami_flag']) as f)"""
+
+SQL["ml_threshold_run"] = BASE_THRESHOLD + """
+select 'DecisionTreeClassificationModel' as estimator,
+  (select count(*) from scored where ok) - (select count(*) from tested) as training_rows,
+  round((select count(*) from tested where p = severity) / (select count(*) from tested), 6) as accuracy"""
+
+SQL["ml_threshold_review"] = BASE_ML + """
+select event_id, place, magnitude, severity as actual_severity,
+  case when magnitude is null or depth_km is null then null when magnitude <= 2 then 'NEGLIGIBLE' when magnitude <= 4 then 'MICRO'
+       when magnitude <= 6.5 then 'MODERATE' else 'MAJOR' end as predicted_severity,
+  case when magnitude is null or depth_km is null then null when magnitude <= 2 then 100.0e0 when magnitude <= 4 then 75.0e0
+       when magnitude <= 6.5 then 66.7e0 else 60.0e0 end as confidence_pct,
+  is_anomaly, anomaly_reason, region
+from ml order by magnitude desc nulls last, event_id limit 20"""
+
+SQL["ml_boosted_report"] = f"""
+select class_name, support, true as confidences_sound from ({SQL["ml_report_support"]})"""

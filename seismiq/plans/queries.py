@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,11 @@ from ..sources import catalog
 from ..sources import export as ex
 from ..sources import geojson as gj
 from ..sources import landing as ld
-from ..sources.adapter import OBS_ORDER, feed_records, load_observations
-from ..sources.schemas import FEED_COLUMNS
+from ..sources import versions as vs
+from ..sources.adapter import OBS_ORDER, feed_records, load_events, load_observations, observations
+from ..sources.schemas import FEATURE_COLUMNS, FEED_COLUMNS
 from ..streaming import bronze as sb
+from ..streaming import evolving as ev
 from ..streaming import silver as ss
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,19 +331,10 @@ def q_geojson_multiline(spark, sf_dir):
     return gj.read_geojson(spark, f"{path}/*/*.txt").drop("ingestion_timestamp_utc")
 
 
-def land_feed(spark, sf_dir, untimed: bool = False) -> str:
-    """Land the feed as NDJSON batches by week (the fetcher's role), in one job.
-
-    Versions of an event may lie in several files: each stream below takes
-    all files of one run in one micro-batch, whose rows share a load time, so
-    the record's own time decides which version is the latest.
-    """
+def land_feed(spark, sf_dir) -> str:
+    """Land the feed as NDJSON batches by week, in one job."""
     landing = fresh_path(spark, "landing")
-    feed = _feed(spark, sf_dir, keep=("event_timestamp", "obs_seq"))
-    if untimed:  # some events have no time, some one that does not parse
-        feed = feed.withColumn("event_time_utc", F.when(F.col("obs_seq") % 61 == 0, F.lit(None)).when(F.col("obs_seq") % 67 == 0, F.lit("12:30"))
-                               .otherwise(F.col("event_time_utc")))
-    feed = feed.drop("obs_seq")
+    feed = _feed(spark, sf_dir, keep=("event_timestamp",))
     day = F.datediff(F.col("event_timestamp").cast("date"), F.lit("2000-01-01").cast("date"))
     return ld.land_by(feed.withColumn("batch", F.floor(day / LANDING_BATCH_DAYS)).drop("event_timestamp"), landing, "batch")
 
@@ -357,14 +352,58 @@ def q_landing_read(spark, sf_dir):
     return ld.read_landing(spark, land_feed(spark, sf_dir))
 
 
-def _run_bronze(spark, sf_dir, untimed: bool = False) -> str:
-    landing = land_feed(spark, sf_dir, untimed)
+# The registered streams take the feed in this many polls, whatever its size.
+POLLS = 6
+
+
+def polls(spark, sf_dir) -> list[DataFrame]:
+    """The observations in ranges of the row sequence, as a fetcher polls them one after the other."""
+    events = load_events(spark, sf_dir)
+    size = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    bounds = [-(-size * i // POLLS) for i in range(POLLS + 1)]
+    return [observations(events.where((F.col("event_id") >= low) & (F.col("event_id") < high))) for low, high in zip(bounds, bounds[1:])]
+
+
+def without_times(feed: DataFrame) -> DataFrame:
+    """Some events lose their time, some get one that does not parse."""
+    return feed.withColumn("event_time_utc", F.when(F.col("obs_seq") % 61 == 0, F.lit(None)).when(F.col("obs_seq") % 67 == 0, F.lit("12:30"))
+                           .otherwise(F.col("event_time_utc")))
+
+
+def land_polls(spark, sf_dir, change=None) -> str:
+    """Land the polls one after the other; ``change(i, feed)`` alters a poll's records (``obs_seq`` is dropped after it)."""
+    prepare(spark)
+    landing = fresh_path(spark, "landing")
+    for i, obs in enumerate(polls(spark, sf_dir)):
+        feed = feed_records(obs, keep=("obs_seq",))
+        feed = change(i, feed) if change else feed
+        ld.land(feed.drop("obs_seq").hint("rebalance"), landing, f"batch={i:02d}")
+    return landing
+
+
+def _run_bronze(spark, sf_dir, untimed: bool = False, progress: str | None = None) -> str:
+    """Bronze from the landed polls, in as many micro-batches as there are polls."""
+    landing = land_polls(spark, sf_dir, (lambda i, feed: without_times(feed)) if untimed else None)
     bronze = fresh_path(spark, "bronze")
-    q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"))
+    files = sb.files_per_batch(ld.list_landing(spark, landing).count(), POLLS)
+    q = sb.start_bronze(spark, landing, bronze, fresh_path(spark, "ckpt_bronze"), max_files=files)
     q.awaitTermination()
+    if progress:
+        sb.append_progress(spark, q, progress, "bronze")
     return bronze
 
 
+def _run_silver(spark, bronze: str, with_gold: bool = False, progress: str | None = None) -> str:
+    """Versions of Silver (and Gold) from the Bronze table, in several micro-batches."""
+    root = fresh_path(spark, "layers_stream")
+    files = sb.files_per_batch(len(spark.read.parquet(bronze).inputFiles()), POLLS)
+    q = ss.start_silver(spark, bronze, root, fresh_path(spark, "ckpt_silver"), max_files=files, with_gold=with_gold)
+    q.awaitTermination()
+    if progress:
+        sb.append_progress(spark, q, progress, "silver")
+    return root
+
+
 @register("bronze_stream")
 def q_bronze_stream(spark, sf_dir):
     bronze = _run_bronze(spark, sf_dir)
@@ -373,10 +412,7 @@ def q_bronze_stream(spark, sf_dir):
 
 @register("silver_stream")
 def q_silver_stream(spark, sf_dir):
-    bronze = _run_bronze(spark, sf_dir)
-    path = fresh_path(spark, "silver_stream")
-    ss.start_silver(spark, bronze, path, fresh_path(spark, "ckpt_silver")).awaitTermination()
-    return ss.read_silver(spark, path, stamp=False)
+    return ss.read_silver(spark, _run_silver(spark, _run_bronze(spark, sf_dir)), stamp=False)
 
 
 # ---- step 9: export and table status ----------------------------------------------
@@ -445,22 +481,202 @@ def q_catalog_tables(spark, sf_dir):
         for n in names])
 
 
-def _streamed_gold(spark, bronze: str) -> DataFrame:
-    path, gpath = fresh_path(spark, "silver_stream"), fresh_path(spark, "gold")
-    ss.start_silver(spark, bronze, path, fresh_path(spark, "ckpt_silver"), gold_path=gpath).awaitTermination()
-    return ss.read_gold(spark, gpath).drop("gold_load_timestamp")
-
-
 @register("gold_stream")
 def q_gold_stream(spark, sf_dir):
-    """Bronze stream -> streaming Silver -> Gold kept current per touched date."""
-    return _streamed_gold(spark, _run_bronze(spark, sf_dir))
+    """Bronze stream -> streaming Silver -> Gold kept current by retraction, batch by batch."""
+    return ss.read_gold(spark, _run_silver(spark, _run_bronze(spark, sf_dir), with_gold=True))
 
 
 @register("gold_stream_untimed")
 def q_gold_stream_untimed(spark, sf_dir):
     """The same over a feed some of whose events have no time, or one that does not parse."""
-    return _streamed_gold(spark, _run_bronze(spark, sf_dir, untimed=True))
+    return ss.read_gold(spark, _run_silver(spark, _run_bronze(spark, sf_dir, untimed=True), with_gold=True))
+
+
+@register("stream_batches")
+def q_stream_batches(spark, sf_dir):
+    """That the streams ran in several batches, and how much of Silver Gold read again."""
+    root = _run_silver(spark, _run_bronze(spark, sf_dir), with_gold=True)
+    return ss.read_batches(spark, root).agg(
+        (F.count(F.lit(1)) >= POLLS - 1).alias("several"), (F.max("batch_id") > 0).alias("later_batches"),
+        (F.sum("stale_groups") <= F.sum("groups")).alias("stale_within_moved"), F.lit(vs.latest(spark, root) > 0).alias("published_later"))
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """Progress of the Bronze and Silver streams as a table, added up by stream."""
+    path = fresh_path(spark, "progress")
+    _run_silver(spark, _run_bronze(spark, sf_dir, progress=path), progress=path)
+    rows = sb.read_progress(spark, path)
+    return rows.groupBy("query").agg(F.sum("input_rows").alias("input_rows"), F.max("state_rows").alias("state_rows"),
+                                     (F.max("batch_id") > 0).alias("later_batches"))
+
+
+@register("stream_recovered")
+def q_stream_recovered(spark, sf_dir):
+    """A batch fails between staging and publication; readers then see the version before it; the restart publishes it.
+
+    Gold after the restart, with what a reader saw in between: whether a version
+    older than the failed batch, and as many events in Silver as in its Gold.
+    """
+    bronze, root, ckpt = _run_bronze(spark, sf_dir), fresh_path(spark, "layers_stream"), fresh_path(spark, "ckpt_silver")
+    files = sb.files_per_batch(len(spark.read.parquet(bronze).inputFiles()), POLLS)
+    fails_at, seen = POLLS // 2, {}
+
+    def fail(batch_id: int) -> None:
+        if batch_id == fails_at:
+            raise RuntimeError("lost between staging and publication")
+
+    q = ss.start_silver(spark, bronze, root, ckpt, max_files=files, with_gold=True, before_publish=fail)
+    try:
+        q.awaitTermination()
+    except StreamingQueryException:
+        seen["version"] = vs.latest(spark, root)
+        seen["silver"] = ss.read_silver(spark, root, stamp=False).count()
+        seen["gold"] = ss.read_gold(spark, root).agg(F.sum("total_events")).first()[0]
+    ss.start_silver(spark, bronze, root, ckpt, max_files=files, with_gold=True).awaitTermination()
+    whole = bool(seen) and seen["version"] == fails_at - 1 and seen["silver"] == seen["gold"]
+    return ss.read_gold(spark, root).withColumn("one_version_between", F.lit(whole))
+
+
+@register("bronze_evolving")
+def q_bronze_evolving(spark, sf_dir):
+    """Polls with and without two more columns, and one whose significance has fractions, in one append table."""
+    def change(i: int, feed: DataFrame) -> DataFrame:
+        if i in (2, 3):
+            return feed.withColumns({"station_count": F.col("obs_seq") % 12, "review_score": (F.col("obs_seq") % 16) / F.lit(16.0)})
+        if i == 4:
+            return feed.withColumn("significance", F.col("significance") + F.lit(0.5))
+        return feed
+
+    landing, root = land_polls(spark, sf_dir, change), fresh_path(spark, "bronze_evolving")
+    files = sb.files_per_batch(ld.list_landing(spark, landing).count(), POLLS)
+    ev.start_evolving(spark, landing, root, fresh_path(spark, "ckpt_evolving"), max_files=files).awaitTermination()
+    return ev.read_evolving(spark, root).drop("bronze_load_timestamp", "source_file", "batch")
+
+
+@register("landing_quarantine")
+def q_landing_quarantine(spark, sf_dir):
+    """Landed lines, some cut off, some no JSON, some with a value of the wrong type: both sides of the split."""
+    feed = _feed(spark, sf_dir, keep=("obs_seq",))
+    record = F.to_json(F.struct(*FEED_COLUMNS))
+    name, kind = F.coalesce("event_id", F.lit("?")), F.col("obs_seq") % 37
+    lines = feed.select(F.when(kind == 5, F.concat(F.lit('{"event_id":"'), name, F.lit('","magnitude":')))
+                        .when(kind == 6, F.concat(F.lit("no record "), F.col("obs_seq")))
+                        .when(kind == 7, F.concat(F.lit('{"event_id":"'), name, F.lit('","magnitude":"strong"}'))).otherwise(record).alias("value"))
+    landing, root = fresh_path(spark, "landing"), fresh_path(spark, "landing_sides")
+    lines.hint("rebalance").write.text(f"{landing}/batch=0")
+    counts = ld.split_landing(spark, f"{landing}/*/*.txt", root)
+    good = ld.read_good(spark, root).select(F.lit("good").alias("side"), "event_id", "magnitude", "event_time_utc", F.lit(None).cast("string").alias("line"))
+    corrupt = ld.read_corrupt(spark, root).select(F.lit("corrupt").alias("side"), F.lit(None).cast("string").alias("event_id"),
+                                                  F.lit(None).cast("double").alias("magnitude"), F.lit(None).cast("string").alias("event_time_utc"), "line")
+    counted = F.when(F.col("side") == "good", counts["good"]).otherwise(counts["corrupt"]).cast("long")
+    return good.unionByName(corrupt).withColumn("counted", counted)
+
+
+@register("export_reconciled")
+def q_export_reconciled(spark, sf_dir):
+    """Runs of two tables, one of them called twice and then replaced: source and target rows of what is published."""
+    root, s = fresh_path(spark, "export"), silver_table(spark, sf_dir)
+    g = gold(s, stamp=False)
+    for run, rows in (("r1", g), ("r1", g), ("r2", g.where("severity = 'MICRO'")), ("r2", g)):
+        ex.export_reconciled(rows, root, "gold_insights", run)
+    ex.export_reconciled(s, root, "silver_events", "r1")
+    ex.export_reconciled(s.where("severity = 'MAJOR'"), root, "silver_events", "r2", mode="overwrite")
+    tables = ["gold_insights", "silver_events"]
+    there = [ex.read_export(spark, root, t).agg(F.count(F.lit(1)).alias("ROWS")).select(F.lit(t.upper()).alias("TABLE_NAME"), "ROWS") for t in tables]
+    runs = reduce(DataFrame.unionByName, [ex.export_runs(spark, root, t) for t in tables])
+    return runs.join(reduce(DataFrame.unionByName, there), "TABLE_NAME")
+
+
+@register("report_chunks")
+def q_report_chunks(spark, sf_dir):
+    """The complete report lists as text, in chunks of 4,096 characters."""
+    return rp.context_chunks(written_ml(spark, sf_dir, with_model=False), 4096)
+
+
+# ---- the classifier's operators with a model whose values SQL can state -----------------
+
+
+def threshold_model(spark):
+    """A decision tree whose thresholds (magnitude 2, 4, 6.5) and class shares follow from 16 training rows."""
+    shares = {1.0: ["NEGLIGIBLE"] * 4, 3.0: ["MICRO"] * 3 + ["MINOR"], 5.0: ["MODERATE"] * 2 + ["STRONG"], 8.0: ["MAJOR"] * 3 + ["CATASTROPHIC"] * 2}
+    rows = [(f"t{m}{i}", label, m) for m, labels in shares.items() for i, label in enumerate(labels)]
+    flat = spark.createDataFrame(rows, "event_id string, severity string, magnitude double")
+    others = {c: F.lit(0.0) for c in FEATURE_COLUMNS if c != "magnitude"}
+    return clf.train(flat.withColumns(others), DecisionTreeClassifier(maxDepth=3, labelCol="label", featuresCol="features", seed=clf.MODEL_SEED))
+
+
+def _tested(spark, s: DataFrame, model) -> DataFrame:
+    return clf.predict(model, clf.split_flag(an.scored_base(s)).filter("is_test"))
+
+
+@register("ml_threshold_scores")
+def q_ml_threshold_scores(spark, sf_dir):
+    ml = ml_table_with(spark, sf_dir)
+    return ml.select("event_id", "severity", "predicted_severity", "prediction_confidence")
+
+
+def ml_table_with(spark, sf_dir) -> DataFrame:
+    return clf.ml_table(silver_table(spark, sf_dir), model=threshold_model(spark), stamp=False)
+
+
+@register("ml_threshold_report")
+def q_ml_threshold_report(spark, sf_dir):
+    model = threshold_model(spark)
+    report = clf.classification_report(_tested(spark, silver_table(spark, sf_dir), model), clf.class_labels(model))
+    return report.select("class_name", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")])
+
+
+@register("ml_threshold_importance")
+def q_ml_threshold_importance(spark, sf_dir):
+    """Importances of the tree, beside the number of scorable events it is applied to."""
+    scored = an.scored_base(silver_table(spark, sf_dir)).agg(F.count(F.lit(1))).scalar()
+    return clf.importance(threshold_model(spark)).select("feature", F.round("importance", 6).alias("importance"), scored.alias("scored_events"))
+
+
+@register("ml_threshold_review")
+def q_ml_threshold_review(spark, sf_dir):
+    return topk.ml_review(ml_table_with(spark, sf_dir), 20)
+
+
+@register("ml_threshold_run")
+def q_ml_threshold_run(spark, sf_dir):
+    model, s = threshold_model(spark), silver_table(spark, sf_dir)
+    record = clf.run_record(model, clf.split_flag(an.scored_base(s)).filter("is_train"), _tested(spark, s, model))
+    return record.select("estimator", "training_rows", F.round("accuracy", 6).alias("accuracy"))
+
+
+@register("dash_threshold_predicted")
+def q_dash_threshold_predicted(spark, sf_dir):
+    return dashboards.predicted_counts(ml_table_with(spark, sf_dir))
+
+
+# Boosting rounds of the registered query; ``boosted_estimator`` has 100 by default.
+BOOSTING_ROUNDS = 5
+
+
+@register("ml_boosted_report")
+def q_ml_boosted_report(spark, sf_dir):
+    """Boosted trees, one binary model a class, in place of the forest: the report's classes and supports, and whether confidences are probabilities."""
+    s = silver_table(spark, sf_dir)
+    model = clf.train(clf.split_flag(an.scored_base(s)).filter("is_train"), clf.boosted_estimator(BOOSTING_ROUNDS))
+    pred = _tested(spark, s, model)
+    report = clf.classification_report(pred, clf.class_labels(model))
+    sound = pred.agg(F.bool_and(F.col("prediction_confidence").between(1 / 7, 1))).scalar()
+    return report.select("class_name", "support", sound.alias("confidences_sound"))
+
+
+@register("ml_scored_stream")
+def q_ml_scored_stream(spark, sf_dir):
+    """The saved model, loaded again, scores Silver rows as they arrive as a stream."""
+    path, out = fresh_path(spark, "models"), fresh_path(spark, "ml_scored")
+    clf.save_model(threshold_model(spark), path)
+    s = silver_table(spark, sf_dir)
+    events = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", sb.files_per_batch(len(s.inputFiles()), POLLS)).parquet(
+        *{f.rsplit("/", 1)[0] for f in s.inputFiles()})
+    clf.scored_stream(clf.load_model(path), events, out, fresh_path(spark, "ckpt_scored")).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "severity", "predicted_severity", "prediction_confidence")
 
 
 @register("severity_distribution")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,3 +72,38 @@ def read_landing(spark: SparkSession, landing: str, corrupt: bool = False) -> Da
         schema = T.StructType(FEED_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).json(landing_glob(landing))
+
+
+SIDES = ("good", "corrupt")
+
+
+def split_landing(spark: SparkSession, files: str, root: str) -> dict[str, int]:
+    """Read the JSON lines of ``files`` once and write records to ``root/side=good``, malformed lines to ``root/side=corrupt``.
+
+    A line is malformed if it is no JSON, is cut off, or holds a value of the
+    wrong type; it goes to its side as a whole, with the file it came from.
+    Returns the number of lines on each side, counted during the write.
+    """
+    schema = T.StructType(FEED_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    lines = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(files)
+             .withColumn("source_file", F.col("_metadata.file_path")))
+    bad, counted = F.col(CORRUPT_COLUMN).isNotNull(), Observation("split_landing")
+    sides = lines.withColumn("side", F.when(bad, SIDES[1]).otherwise(SIDES[0])).observe(
+        counted, F.count_if(~bad).alias(SIDES[0]), F.count_if(bad).alias(SIDES[1]))
+    sides.write.partitionBy("side").parquet(root)
+    return {side: int(counted.get[side]) for side in SIDES}
+
+
+def read_good(spark: SparkSession, root: str) -> DataFrame:
+    """The records of a split landing."""
+    return _read_side(spark, root, "good").drop(CORRUPT_COLUMN)
+
+
+def read_corrupt(spark: SparkSession, root: str) -> DataFrame:
+    """The malformed lines of a split landing: (line, source_file)."""
+    return _read_side(spark, root, "corrupt").select(F.col(CORRUPT_COLUMN).alias("line"), "source_file")
+
+
+def _read_side(spark: SparkSession, root: str, side: str) -> DataFrame:
+    fields = [*FEED_SCHEMA.fields, T.StructField(CORRUPT_COLUMN, T.StringType()), T.StructField("source_file", T.StringType()), T.StructField("side", T.StringType())]
+    return spark.read.schema(T.StructType(fields)).parquet(root).where(F.col("side") == side).drop("side")
