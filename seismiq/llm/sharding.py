@@ -46,6 +46,10 @@ def _directory(rows: DataFrame, bits: int, low: int, limit: int) -> DataFrame:
     # a lone row cannot be split any more
     fit = (paths.groupBy("depth", "bucket").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("rows"))
            .where((F.col("shard_bytes") <= limit) | (F.col("rows") == 1)).drop("rows"))
+    # no bucket above the lowest depth of those that fit is one: without them no key holds all cells
+    lowest = fit.agg(F.min("depth")).first()[0]
+    if lowest is not None:
+        paths = paths.where(F.col("depth") >= lowest)
     # sort-merge: Spark's estimate does not see the explode and would broadcast a table that grows with the input
     first = (paths.hint("merge").join(fit, ["depth", "bucket"]).groupBy("cell")
              .agg(F.min(F.struct("depth", "shard_bytes")).alias("f")))
