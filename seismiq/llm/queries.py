@@ -33,7 +33,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     counts = [pii.counted(F.col("base"), n).alias(f"n_{k}") for n, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, sha256_hex(pii.listed(F.col("base"))).alias("base_sha256"),
-                        pii.listed(F.col("spans")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+                        pii.listed(F.col("spans")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                        pii.counted(F.col("added"), pii.SECRET).alias("n_secret"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -109,3 +112,101 @@ def test_the_context_is_the_text_before_whatever_stands_in_it(spark):
     marked = marked.withColumn("tokens", pii._tokens(F.col("text"), F.col("base"))).collect()
     assert [(s["value"], s["before"]) for s in marked[0]["tokens"]] == [("0555/0199", "id 7 phone ")]
     assert [s["before"] for s in marked[1]["base"]] == ["one ", "one +1 555 010 0001 or "]
+
+
+def brute_bootstrap(rows):
+    """The same graph in plain Python: (value, kind, pattern or None)."""
+    pairs = Counter((p, v) for v, _, p in rows)
+    known = {}
+    for v, k, _ in rows:
+        if k is not None:
+            known[v] = min(k, known.get(v, 9))
+    found = set()
+    while True:
+        sure = {}
+        for p in {p for p, _ in pairs}:
+            values = [v for q, v in pairs if q == p]
+            by = Counter(known[v] for v in values if v in known)
+            if by:
+                support = max(by.values())
+                kind = min(k for k in by if by[k] == support)
+                if support >= pii.LEAST_SUPPORT and support / len(values) >= pii.LEAST_SHARE:
+                    sure[p] = (kind, support / len(values) * support / (support + 1))
+        new, here = {}, set()
+        for v in {v for _, v in pairs} - known.keys():
+            total = sum(n for (_, w), n in pairs.items() if w == v)
+            best = None
+            for k in range(len(pii.ALL_KINDS)):
+                own = [p for p, w in pairs if w == v and sure.get(p, (None,))[0] == k]
+                belief = 1 - math.prod(1 - sure[p][1] for p in own)
+                if own and (best is None or belief > best[0] + 1e-12):
+                    best = (belief, k, own)
+            if best and best[0] >= pii.LEAST_BELIEF:
+                if sum(pairs[p, v] for p in best[2]) >= pii.LEAST_SHARE * total:
+                    new[v] = best[1]
+                else:
+                    here |= {(v, best[1], p) for p in best[2]}
+        if not new:
+            return found | here
+        known |= new
+        found |= {(v, k, None) for v, k in new.items()}
+
+
+def test_bootstrap_equals_brute_force(spark):
+    rng = random.Random(4)
+    seen = 0
+    for _ in range(4):
+        rows = []
+        for n in range(90):
+            kind = rng.choice([None, None, 3, 4])
+            for _ in range(rng.randint(1, 6)):
+                rows.append((f"v{n}", kind, f"p{rng.randrange(5) + 5 * (kind or rng.choice([3, 4, 9]))}"))
+        got = {tuple(r) for r in pii.bootstrap(spark.createDataFrame(rows, "value string, kind int, pattern string")).collect()}
+        assert got == brute_bootstrap(rows)
+        seen += len(got)
+    assert seen > 20
+
+
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Each link is found only after the one before: seven rounds."""
+    rows = [(f"seed{i}", 3, p) for i in range(9) for p in ("a0 _9", "b0 _9", "c0 _9", "d0 _9")]
+    for k in range(7):
+        rows += [(f"link{k}.{i}", None, f"{x}{k + d} _9") for i in range(3) for d in (0, 1) for x in "abcd"]
+    got = {r["value"] for r in pii.bootstrap(spark.createDataFrame(rows, "value string, kind int, pattern string")).collect()}
+    assert got == {f"link{k}.{i}" for k in range(7) for i in range(3)}
+
+
+def test_one_confident_context_does_not_label_a_value_that_stands_elsewhere(spark):
+    texts = [f"please call +1 555 010 {i:04d} today" for i in range(8)] + ["please call 2024 today"]
+    texts += [f"report {i} of the year 2024 was fine" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert all(clean[i] == texts[i] for i in range(9, 69))
+    assert clean[8] == "please call [PHONE] today" and clean[0] == "please call [PHONE] today"
+
+
+def test_secrets_are_seeds_and_their_contexts_find_more(spark):
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(8)]
+    texts = [f'set token = "{h}"!! now' for h in hexes[:6]]
+    texts += [f"set token = {hexes[6]} now", f"seen {hexes[0]} again", f"commit {hexes[7]} merged", 'name = "plain words that are quoted"']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find(docs).select("doc_id", "base", pii.listed(F.col("spans")).alias("l")).collect()}
+    assert all(got[i]["l"] == "secret:13:53" and not got[i]["base"] for i in range(6))
+    assert [got[i]["l"] for i in range(6, 10)] == ["secret:12:52", "secret:5:45", "", ""]
+    assert pii.redact(docs).where("doc_id = 0").first()["text"] == 'set token = "[SECRET]"!! now'
+
+
+def test_long_words_and_gaps_leave_the_context_as_it_is(spark):
+    rows = [("please" + " " * 500 + "call" + "\n" * 90 + "0555/0199",), ("x" * 90_000 + "please call 0555/0199",), ("y" * 700 + "please call 0555/0199",)]
+    marked = pii.with_base(spark.createDataFrame(rows, "text string")).withColumn("tokens", pii._tokens(F.col("text"), F.col("base")))
+    s = F.col("tokens")[0]
+    got = [r["c"] for r in marked.select(pii._contexts(s["before"], s["value"]).alias("c")).collect()]
+    assert got[0] == ["call _9", "please call _9"] and got[1][0] == got[2][0] == "call _9"
+    assert got[1][1] == "x" * 18 + "please call _9" and got[2][1] == "y" * 18 + "please call _9"
+
+
+def test_redaction_of_a_table_with_clashing_columns(spark):
+    names = ("__id", "__key", "__spans", "__text_key", "key", "found_id", "c0", "clean")
+    docs = spark.createDataFrame([(1, "mail a@b.cc", *range(len(names)))], "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and tuple(out.first()) == (1, "mail [EMAIL]", *range(len(names)))
