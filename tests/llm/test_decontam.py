@@ -99,3 +99,63 @@ def test_odd_rows(spark):
     assert decontam.drop_contaminated(docs, bench).count() == 4
     assert decontam.contaminated(docs.limit(0), bench).count() == 0
     assert decontam.contaminated(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def full_score(item, words):
+    return brute_align(item, words) / (2 * len(item))
+
+
+def test_every_alignment_that_reaches_the_threshold_is_found(spark):
+    """Against Smith-Waterman over whole documents and all items: words changed, dropped, inserted; few and many words."""
+    rng = random.Random(9)
+    small = [f"s{i}" for i in range(40)]
+    items = [passage(rng, n) for n in (9, 14, 20, 31)] + [[rng.choice(small) for _ in range(n)] for n in (10, 24)]
+    docs = []
+    for w in items:
+        for every in (2, 3, 4, 5, 6):
+            docs.append([f"o{k}" if k % every == every - 1 else x for k, x in enumerate(w)])
+            docs.append([x for k, x in enumerate(w) if k % every])
+            docs.append([y for k, x in enumerate(w) for y in ([x, f"i{k}"] if k % (every - 1) == 0 else [x])])
+        docs.append([rng.choice([x, x, x, "e"]) for x in w if rng.random() < 0.9])
+    docs = [passage(rng, 25) + w + passage(rng, 25) for w in docs] + [[rng.choice(small) for _ in range(120)] for _ in range(30)]
+    want = {}
+    for i, d in enumerate(docs):
+        for k, w in enumerate(items):
+            s = full_score(w, d)
+            if s >= max(decontam.THRESHOLD, decontam.LEAST_WORDS / len(w)) - 1e-9:
+                want[i, k] = s
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.matches(frame, bench).collect()}
+    assert got.keys() == want.keys() and len(want) > 50
+    assert all(abs(got[x] - want[x]) < 1e-9 for x in got)
+
+
+def test_passages_are_the_same_however_few_hits_are_held(monkeypatch):
+    rng = random.Random(3)
+    items = [["a", "b", *passage(rng, 8), "c"] for _ in range(12)]
+    seeds = decontam._Seeds(items, 0.5)
+    texts = [[seeds.vocabulary.get(x, -1) for w in rng.sample(items, 3) for x in w] + [-1, -1] for _ in range(9)]
+    ends, words = np.cumsum([len(t) for t in texts]), np.array(sum(texts, []), np.int32)
+    at, pair = seeds.hits(words)
+    call = lambda: sorted(seeds.passages(at, pair, np.searchsorted(ends, at, "right"), seeds.rare(pair)))
+    want = call()
+    monkeypatch.setattr(decontam, "HELD", 5)
+    assert call() == want and len(want) >= 27
+
+
+def test_scripts_without_blanks(spark):
+    item = "下列哪一项是光合作用的主要产物并且释放氧气"
+    bench = spark.createDataFrame([(1, item), (2, "พืชสังเคราะห์แสงได้อย่างไรในเวลากลางคืน")], "item_id long, text string")
+    rows = [(1, "前言。" + item + "？后记"), (2, "คำถาม พืชสังเคราะห์แสงได้อย่างไรในเวลากลางคืน?"), (3, "今天天气很好我们去公园散步"), (4, item[:9] + "某" + item[10:])]
+    got = {r["doc_id"]: r["item_id"] for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: 1, 2: 2, 3: None, 4: 1}
+    assert decontam.words_of("Ab 3下列é") == ["ab", "3", "下", "列", "é"]
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a clean text", 1, 2, 3, 4), (2, "one two three four five six seven eight nine", 1, 2, 3, 4)],
+                                 "doc_id long, text string, __id int, __key int, __text_key int, bad_id int")
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
+    kept = decontam.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a clean text", 1, 2, 3, 4)]
