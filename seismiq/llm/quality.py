@@ -98,13 +98,16 @@ def _terms() -> Column:
 def _features(words: tuple[str, ...]) -> Column:
     """struct(shape, words): the shape of a text and those of ``words`` that it holds."""
     wanted = frozenset(words)
-    lengths = [k for k in STEMS if any(len(w) == k + 1 and w.endswith("*") for w in words)]
+    stems = frozenset(w[:-1] for w in words if w.endswith("*"))
+    first = STEMS[0]
+    heads = frozenset(w[:first] for w in stems)
     kind = pa.struct([("shape", pa.list_(pa.float64())), ("words", pa.list_(pa.string()))])
 
     def held(text: str) -> list[str]:
         own = text_words(text)
-        stems = {f"{w[:k]}*" for w in own for k in lengths if len(w) > k}
-        return sorted((own | stems) & wanted)
+        # few words begin like a wanted stem: only their beginnings are built
+        begun = {w[:k] for w in own if len(w) > first and w[:first] in heads for k in STEMS if len(w) > k}
+        return sorted((own & wanted).union(f"{w}*" for w in begun & stems))
 
     @F.arrow_udf("struct<shape:array<double>,words:array<string>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -123,7 +126,9 @@ def with_views(docs: DataFrame, words: tuple[str, ...] = ()) -> DataFrame:
         return F.col(name).cast(kind) if name in docs.columns else F.lit(None).cast(kind)
 
     out = bounded_batches(docs).withColumn("__words", _features(words))
-    out = out.withColumns({"__shape_vector": array_to_vector("__words.shape"), "__words": F.col("__words.words"),
+    # the size as metadata, or the assembler would run a job to see a first row
+    shape = array_to_vector("__words.shape").alias("__shape_vector", metadata={"ml_attr": {"num_attrs": N_FEATURES}})
+    out = out.select("*", shape).withColumns({"__words": F.col("__words.words"),
                            "__lang": F.coalesce(meta("lang", "string"), F.lit("")),
                            "__source": F.coalesce(meta("source", "string"), F.lit("")),
                            "__length": F.log1p(F.greatest(F.coalesce(meta("n_chars", "double"), F.lit(0.0)), F.lit(0.0)))})
@@ -160,7 +165,11 @@ class CoTrained:
         if self.text is None:
             half = F.lit(0.5)
             return docs.withColumns({"text_score": half, "meta_score": half, "score": half})
-        frame = _odds(self.meta, _odds(self.text, with_views(docs, self.words), "__t"), "__m")
+        return self.weigh(with_views(docs, self.words))
+
+    def weigh(self, views: DataFrame) -> DataFrame:
+        """The scores of documents whose views are there."""
+        frame = _odds(self.meta, _odds(self.text, views, "__t"), "__m")
         t = F.col("__t") * self.text_scale[0] + self.text_scale[1]
         m = F.col("__m") * self.meta_scale[0] + self.meta_scale[1]
         p = lambda odds: 1 / (1 + F.exp(-odds))
@@ -204,18 +213,23 @@ def _platt(frame: DataFrame, column: str) -> tuple[float, float]:
 def cotrain(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE,
             max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS) -> CoTrained:
     """Fit both views; ``docs`` without a label, or beyond ``max_labelled``, are the unlabelled pool, however many."""
+    return _fit(docs, labels, rounds, sure, max_labelled, max_words)[0]
+
+
+def _fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE, max_labelled: int = MAX_LABELLED,
+         max_words: int = MAX_WORDS) -> tuple[CoTrained, DataFrame | None]:
+    """The fitted views, and (doc_id, both feature vectors) of all documents as a written table; None without a fit."""
     docs = docs.select(*[c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns])
     chosen = _labelled(docs, labels, max_labelled)
     sizes = {(r["__part"], r["__y"]): r["n"] for r in chosen.groupBy("__part", "__y").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(("fit", 0.0)) or not sizes.get(("fit", 1.0)):
-        return CoTrained()
+        return CoTrained(), None
     # at most max_labelled rows of an id, a label and a word: a proven bound
     small = F.broadcast(chosen)
     words = telling_words(docs.join(small, "doc_id").where("__part = 'fit'"), max_words)
-    named = docs.where("doc_id is not null").join(small, "doc_id", "left")
-    views = with_views(named, words).select("__text_view", "__meta_view", "__y", F.coalesce("__part", F.lit("pool")).alias("__part"))
+    views = with_views(docs.join(small, "doc_id", "left"), words).select("doc_id", "__text_view", "__meta_view", "__y", F.coalesce("__part", F.lit("pool")).alias("__part"))
     rows = materialise(views, "views")
-    labelled, pool = rows.where("__part <> 'pool'").persist(), rows.where("__part = 'pool'")
+    labelled, pool = rows.where("__part <> 'pool'").persist(), rows.where("__part = 'pool' and doc_id is not null")
     count = {(r["__part"], r["__y"]): r["n"] for r in labelled.groupBy("__part", "__y").agg(F.count("*").alias("n")).collect()}
     zero, one = count["fit", 0.0], count["fit", 1.0]
     edge = math.log(sure / (1 - sure))
@@ -228,7 +242,7 @@ def cotrain(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: floa
             # pseudo-labels grow with the corpus, the labels do not: together they weigh as much, class by class
             weight = F.when(F.col("label") == 0, min(1.0, zero / taught.get(0.0, zero))).otherwise(min(1.0, one / taught.get(1.0, one)))
             own = own.unionByName(extra.select(F.col(view).alias("features"), "label", weight.alias("weight")))
-        m = LogisticRegression(maxIter=50, regParam=1e-3, weightCol="weight").fit(own)
+        m = LogisticRegression(maxIter=25, regParam=1e-3, weightCol="weight").fit(own)
         return m.setFeaturesCol(view)
 
     def sure_rows(model: LogisticRegressionModel) -> DataFrame:
@@ -245,12 +259,13 @@ def cotrain(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: floa
         out.prior = math.log(count["hold", 1.0] / count["hold", 0.0])
         held.unpersist()
     labelled.unpersist()
-    return out
+    return out, rows.select("doc_id", "__text_view", "__meta_view")
 
 
 def score_all(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, text_score, meta_score, score, keep (score of at least 0.5)."""
-    scored = cotrain(docs, labels, **options).score(docs)
+    model, views = _fit(docs, labels, **options)
+    scored = model.score(docs) if views is None else model.weigh(views)
     return scored.select("doc_id", "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("keep"))
 
 
