@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seismiq.session import fresh_path, table_path
+from seismiq.sources.versions import delete
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -41,6 +42,12 @@ def materialise(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a materialised table that nothing will read any more."""
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        delete(table.sparkSession, folder)
+
+
 ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 

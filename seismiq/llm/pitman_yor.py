@@ -1,25 +1,31 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Restaurants: one for each class of the preceding token (its last byte, in 15
-classes, and one for the beginning of a text), all with the same parent, the
-restaurant of no context, whose parent is the uniform distribution over the
-vocabulary and one unknown word.  Customers of a context restaurant are its
-tokens; each of its tables sends a customer to the parent.
+Restaurants: one for each preceding token (one for the beginning of a text), all
+with the same parent, the restaurant of no context, whose parent is the uniform
+distribution over the vocabulary and one unknown word.  Customers of a context
+restaurant are the tokens that follow it; each of its tables sends a customer to
+the parent.
 
 Seating is sampled by blocked Gibbs sweeps: all customers of a word in a
 restaurant leave and are seated again one after the other, given the parent's
 probability of the word and the restaurant's tables as they stood after the last
-sweep.  Words are independent given those totals, so a sweep is one pass over the
-vocabulary table, and only the totals (a few numbers for each of 17 restaurants)
-pass through the driver.  The first customers are seated one by one, later ones
-in blocks a quarter as long as the queue before them (binomial draws), so a word
-of any count takes a logarithmic number of steps.  Predictive probabilities are
-averaged over the sampled seatings.
+sweep.  Pairs of context and word are independent given those, so a sweep is one
+join of the pairs with the restaurants' tables and the words' probabilities, and
+one sum of the new tables by restaurant and by word; only the parent's totals pass
+through the driver.  A pair that occurs once has one table in any seating, so
+sweeps take the pairs that occur twice or more, and the others enter as constants.
+The first customers are seated one by one, later ones in blocks a quarter as long
+as the queue before them (binomial draws), so a pair of any count takes a
+logarithmic number of steps.  Predictive probabilities are averaged over the
+sampled seatings.
 
 Texts become blocks of documents (one task's, up to a number of characters) with
 a dictionary each.  Dictionary entries, not tokens, are shuffled: by word to sum
 the counts and to fetch the probabilities, and back to their block, where the
-documents are scored.
+documents are scored.  A block's pairs are shuffled as packed arrays to the bucket
+of their context, a frequent context having several; there they are counted, and
+from there what the pairs own of their restaurants goes back to the block.  In
+restaurants a word is known by 64 bits of its hash, in the base score by itself.
 
 Defined results: lower-casing is A-Z only; a null or empty text is the end token
 alone; an id that is null is hashed as the empty text (held out); repeated rows
@@ -35,12 +41,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seismiq.llm.common import bounded_batches, freed_shuffles, materialise, slices, text_or_empty
+from seismiq.llm.common import bounded_batches, discard, freed_shuffles, materialise, slices, text_or_empty
 
-CONTEXTS = 16
+#: Pairs of context and word are spread over this many buckets at least, of about so many tokens; a context of more tokens
+#: than a bucket's HEAVY-th part has several.
+CONTEXTS, BUCKET_TOKENS, HEAVY = 16, 1_000_000, 8
 #: Discounts and strengths of the context restaurants and of their parent.
 DISCOUNT, STRENGTH, ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 1.0, 0.5, 1.0
 SAMPLES, SEED = 3, 7
@@ -49,25 +58,38 @@ BLOCK_CHARS = 24_000_000
 SINGLE, GROWTH = 8, 1.25
 END = b""
 
-BLOCK_SCHEMA = ("block long, doc_ids array<long>, n_tokens array<int>, ptr array<int>, pairs binary, counts binary, "
-                "entries array<struct<word:binary,need:int,seen:int,c:array<int>>>")
+BLOCK_SCHEMA = "block long, doc_ids array<long>, n_tokens array<int>, ids binary, entries array<struct<word:binary,seen:int>>"
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def context_class(words: list[bytes]) -> np.ndarray:
-    """The class of the context that each word makes for the next one; 0 is the beginning of a text."""
-    return np.fromiter((1 + w[-1] % (CONTEXTS - 1) if w else 0 for w in words), np.int64, len(words))
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """What each word is known by in restaurants; the restaurant of the end token is that of beginnings."""
+    import xxhash
 
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
-def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(values.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
 
+def _packed(values: np.ndarray, kind=np.int32) -> bytes:
+    return pa.compress(values.astype(kind).tobytes(), codec="zstd", asbytes=True)
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), np.int32).astype(np.int64)
+
+def _unpacked(data: bytes, n: int, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, np.dtype(kind).itemsize * n, codec="zstd", asbytes=True), kind)
+
+
+def _pairs(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a block's tokens (context, word) and each token's pair; a text begins after the end token of another."""
+    ids = ids.astype(np.int64)
+    keys, pair = np.unique(np.concatenate([[0], ids[:-1]]) * size + ids, return_inverse=True)
+    return keys // size, keys % size, pair
+
+
+def _learnt(doc_ids: list, n_tokens: np.ndarray) -> np.ndarray:
+    """Whether each token of a block is learnt from."""
+    return np.repeat(~np.array([held_out(d) for d in doc_ids]), n_tokens)
 
 
 class _Block:
@@ -85,35 +107,17 @@ class _Block:
 
     def row(self, block: int) -> pa.RecordBatch:
         words, n = list(self.words), np.array([len(x) for x in self.ids], np.int64)
-        ids = np.concatenate(self.ids).astype(np.int64)
-        before = context_class(words)[np.concatenate([[0], ids[:-1]])]  # the end token of the last text gives class 0
-        doc = np.repeat(np.arange(len(n)), n)
-        span = len(words) * CONTEXTS
-        keys, counts = np.unique(doc * span + ids * CONTEXTS + before, return_counts=True)
-        doc, pair = keys // span, keys % span
-        train = ~np.array([held_out(d) for d in self.doc_ids])[doc]
-        ptr = np.searchsorted(doc, np.arange(len(n) + 1))
-        # each document's pairs ascend: differences are small
-        steps = np.diff(pair, prepend=0)
-        steps[ptr[:-1]] = pair[ptr[:-1]]
-        learnt = np.bincount(pair[train], weights=counts[train], minlength=span).astype(np.int64)
-        bits = 1 << np.arange(CONTEXTS)
-        used = np.zeros(span, bool)
-        used[pair] = True
-        grid = learnt.reshape(-1, CONTEXTS) > 0
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(grid.sum(1))]), pa.int32()), pa.array(learnt[learnt > 0], pa.int32()))
-        entries = pa.StructArray.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(used.reshape(-1, CONTEXTS) @ bits, pa.int32()), pa.array(grid @ bits, pa.int32()), lists],
-            ["word", "need", "seen", "c"])
+        ids = np.concatenate(self.ids)
+        seen = np.bincount(ids[_learnt(self.doc_ids, n)], minlength=len(words))
+        entries = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(seen, pa.int32())], ["word", "seen"])
 
         def one(values, kind):
             values = values if isinstance(values, pa.Array) else pa.array(values, kind)
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
         return pa.RecordBatch.from_arrays(
-            [pa.array([block]), one(self.doc_ids, pa.int64()), one(n, pa.int32()), one(ptr, pa.int32()),
-             pa.array([_packed(steps)], pa.binary()), pa.array([_packed(counts)], pa.binary()), one(entries, None)],
-            ["block", "doc_ids", "n_tokens", "ptr", "pairs", "counts", "entries"])
+            [pa.array([block]), one(self.doc_ids, pa.int64()), one(n, pa.int32()), pa.array([_packed(ids)], pa.binary()), one(entries, None)],
+            ["block", "doc_ids", "n_tokens", "ids", "entries"])
 
 
 def _make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +147,7 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
 
 @dataclass
 class Totals:
-    """What the restaurants hold: customers and tables by context, the parent's customers and tables, vocabulary size."""
+    """What restaurants hold: customers and tables of contexts, the parent's customers and tables, vocabulary size."""
 
     customers: np.ndarray
     tables: np.ndarray
@@ -160,82 +164,202 @@ class Totals:
         return (STRENGTH + DISCOUNT * self.tables) / (STRENGTH + self.customers)
 
 
-STATE = "word binary, n long, c array<int>, t array<int>, t0 int, roots array<float>, own array<float>"
+# ---- pairs of context and word ---------------------------------------------------
 
+SPREAD = "bucket int, block long, n int, u binary, w binary, counts binary, places binary"
+COUNTED = "bucket int, u long, w long, c int, singles int, alone int, block long, n int, places binary, pairs binary"
+PAIRS = "bucket int, u long, w long, c int, t int, sampled int"
 
-def _matrix(column: pa.Array, width: int, kind) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width).astype(kind)
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ x >> np.uint64(29)
 
-def _lists(matrix: np.ndarray, kind) -> pa.Array:
-    n, width = matrix.shape
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(matrix.ravel(), kind))
+
+def _spread(buckets: int, heavy: dict[int, int]):
+    """A block's pairs as packed arrays, a row for each bucket; a heavy context has several buckets, by word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (x for b in batches for i in range(b.num_rows) for x in b.slice(i, 1).to_pylist()):
+            n_tokens, words = np.array(row["n_tokens"], np.int64), row["words"]
+            u, w, pair = _pairs(_unpacked(row["ids"], int(n_tokens.sum())), len(words))
+            counts = np.bincount(pair[_learnt(row["doc_ids"], n_tokens)], minlength=len(u))
+            hashes = hashes_of(words)
+            several = np.fromiter((heavy.get(h, 1) for h in hashes.tolist()), np.uint64, len(hashes))
+            hu, hw = hashes[u], hashes[w]
+            bucket = (_mixed(hu.view(np.uint64)) + _mixed(hw.view(np.uint64)) % several[u]) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            parts = [(k, order[i:j]) for k, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in parts], pa.int32()), pa.array([row["block"]] * len(parts), pa.int64()), pa.array([len(o) for _, o in parts], pa.int32()),
+                 pa.array([_packed(hu[o], np.int64) for _, o in parts], pa.binary()), pa.array([_packed(hw[o], np.int64) for _, o in parts], pa.binary()),
+                 pa.array([_packed(counts[o]) for _, o in parts], pa.binary()), pa.array([_packed(np.diff(o, prepend=0)) for _, o in parts], pa.binary())],
+                ["bucket", "block", "n", "u", "w", "counts", "places"])
+    return run
 
 
-def _sweep(totals: Totals, sweep: int, sampled: bool, last: bool):
-    """One pass over the vocabulary: note the current seating's probabilities (if sampled), then seat anew (unless last)."""
+def _count(rows: pa.Table) -> pa.Table:
+    """A bucket's distinct pairs, counted.
+
+    A row for each pair that occurs more than once; of those that occur once the
+    number by context (``singles``) and by word (``alone``); for each block the
+    places of its pairs among the bucket's, and in one row the counts of these.
+    """
+    def all_of(name: str, kind) -> np.ndarray:
+        return np.concatenate([_unpacked(x.as_buffer(), n.as_py(), kind) for x, n in zip(rows.column(name), rows.column("n"))])
+
+    u, w = all_of("u", np.int64), all_of("w", np.int64)
+    order = np.lexsort((w, u))
+    u, w = u[order], w[order]
+    first = np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])
+    pair = np.empty(len(u), np.int64)
+    pair[order] = np.cumsum(first) - 1
+    c = np.add.reduceat(all_of("counts", np.int32)[order], np.flatnonzero(first), dtype=np.int64)
+    u, w = u[first], w[first]
+    more, single = c > 1, c == 1
+    contexts, singles = np.unique(u[single], return_counts=True)
+    words, alone = np.unique(w[single], return_counts=True)
+    packed = [_packed(x) for x in np.split(pair, np.cumsum(rows.column("n").to_numpy())[:-1])]
+    m, a, b, k = int(more.sum()), len(contexts), len(words), rows.num_rows
+
+    def filled(kind, *parts) -> pa.Array:
+        return pa.concat_arrays([pa.nulls(x, kind) if isinstance(x, int) else pa.array(x, kind) for x in parts])
+
+    return pa.table([pa.repeat(pa.scalar(rows.column("bucket")[0].as_py(), pa.int32()), m + a + b + k + 1), filled(pa.int64(), u[more], contexts, words, k + 1),
+                     filled(pa.int64(), w[more], a, b, k + 1), filled(pa.int32(), c[more], a, b, k + 1), filled(pa.int32(), m, singles, b, k + 1),
+                     filled(pa.int32(), m, a, alone, k + 1), filled(pa.int64(), m, a, b, rows.column("block").to_pylist(), 1),
+                     filled(pa.int32(), m, a, b, rows.column("n").to_pylist(), [len(c)]), filled(pa.binary(), m, a, b, rows.column("places").to_pylist(), 1),
+                     filled(pa.binary(), m, a, b, [*packed, _packed(c)])],
+                    ["bucket", "u", "w", "c", "singles", "alone", "block", "n", "places", "pairs"])
+
+
+def _own(rows: pa.Table, seated: pa.Table) -> pa.Table:
+    """What each block's pairs own of their restaurants: customers less discounted tables, the mean over the samples."""
+    counts, rows = rows.filter(pc.is_null(rows.column("block"))), rows.filter(pc.is_valid(rows.column("block")))
+    c = _unpacked(counts.column("pairs")[0].as_buffer(), counts.column("n")[0].as_py())
+    own = c - DISCOUNT * (c > 0)
+    order = np.lexsort((seated.column("w").to_numpy(), seated.column("u").to_numpy()))
+    own[c > 1] = c[c > 1] - DISCOUNT * seated.column("sampled").to_numpy()[order] / SAMPLES
+    parts = [own[_unpacked(x.as_buffer(), n.as_py())] for x, n in zip(rows.column("pairs"), rows.column("n"))]
+    return pa.table([rows.column("block"), rows.column("n"), rows.column("places"), pa.array([_packed(x, np.float32) for x in parts], pa.binary())],
+                    ["block", "n", "places", "own"])
+
+
+# ---- seating -----------------------------------------------------------------------
+
+
+def _seat_pairs(totals: Totals, sweep: int):
+    """One sweep over the pairs, given their restaurant's tables and their word's customers and tables in the parent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tables, c0, t0, c = (b.column(x).to_numpy() for x in ("tables", "c0", "t0", "c"))
+            rng = np.random.default_rng([SEED, sweep, *(b.column(x)[0].as_py() % (1 << 63) for x in "uw")])
+            t = seat(c, (STRENGTH + DISCOUNT * tables) * totals.root(c0, t0), DISCOUNT, rng)
+            sampled = b.column("sampled").to_numpy() + t
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in ("bucket", "u", "w", "c")), pa.array(t, pa.int32()), pa.array(sampled, pa.int32())],
+                                             ["bucket", "u", "w", "c", "t", "sampled"])
+    return run
+
+
+STATE = "h long, c long, singles long, alone long, tables long, c0 long, t0 long, past array<long>"
 
+
+def _seat_root(totals: Totals, sweep: int):
+    """The parent's customers, seated again; what restaurants and parent hold is added to ``past``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            c, t = _matrix(b.column("c"), CONTEXTS, np.int64), _matrix(b.column("t"), CONTEXTS, np.int64)
-            t0 = b.column("t0").to_numpy().astype(np.int64)
-            roots = b.column("roots").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            own = _matrix(b.column("own"), CONTEXTS, np.float64)
-            p0 = totals.root(t.sum(1), t0)
-            if sampled:
-                roots = np.concatenate([roots, p0[:, None]], 1)
-                own += (c - DISCOUNT * t) / (STRENGTH + totals.customers) / SAMPLES
-            if not last:
-                rng = np.random.default_rng([SEED, sweep, xxhash.xxh64_intdigest(b.column("word")[0].as_py())])
-                w, u = np.nonzero(c)
-                strength = (STRENGTH + DISCOUNT * totals.tables[u]) * p0[w]
-                t[w, u] = seat(c[w, u], strength, DISCOUNT, rng)
-                up = (ROOT_STRENGTH + ROOT_DISCOUNT * totals.root_tables) / (totals.size + 1)
-                t0 = seat(t.sum(1), np.full(len(t), up), ROOT_DISCOUNT, rng)
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), b.column("c"), _lists(t, pa.int32()), pa.array(t0, pa.int32()),
-                                              _lists(roots, pa.float32()), _lists(own, pa.float32())], ["word", "n", "c", "t", "t0", "roots", "own"])
+            tables, c0 = b.column("tables").to_numpy(), b.column("c0").to_numpy()
+            rng = np.random.default_rng([SEED, sweep, b.column("h")[0].as_py() % (1 << 63)])
+            up = (ROOT_STRENGTH + ROOT_DISCOUNT * totals.root_tables) / (totals.size + 1)
+            t0 = seat(c0, np.full(len(c0), up), ROOT_DISCOUNT, rng)
+            past = np.concatenate([b.column("past").flatten().to_numpy().reshape(len(c0), -1), np.stack([tables, c0, t0], 1)], 1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(c0) + 1) * past.shape[1], pa.int32()), pa.array(past.ravel(), pa.int64()))
+            names = ["h", "c", "singles", "alone", "tables", "c0"]
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(t0, pa.int64()), lists], [*names, "t0", "past"])
     return run
 
 
 def _totals(state: DataFrame) -> Totals:
-    per = [F.sum(F.col(x)[u]).alias(f"{x}{u}") for x in "ct" for u in range(CONTEXTS)]
-    r = state.agg(F.sum("t0").alias("t0"), F.count("*").alias("n"), *per).first()
-    c, t = (np.array([r[f"{x}{u}"] or 0 for u in range(CONTEXTS)], np.float64) for x in "ct")
-    return Totals(c, t, int(t.sum()), r["t0"] or 0, r["n"])
+    r = state.agg(F.sum("c0").alias("c0"), F.sum("t0").alias("t0"), F.count("*").alias("n")).first()
+    return Totals(np.zeros(0), np.zeros(0), r["c0"] or 0, r["t0"] or 0, r["n"])
 
 
-def vocabulary(entries: DataFrame) -> DataFrame:
-    """The state to begin with: each training word's count by context, one table for each word in a restaurant."""
-    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _tables(pairs: DataFrame) -> DataFrame:
+    """Tables of the pairs by restaurant (``of_context``) and by word (``of_word``)."""
+    sides = F.array(F.struct(F.col("u").alias("h"), F.col("t").alias("a"), F.lit(0).alias("b")), F.struct(F.col("w").alias("h"), F.lit(0).alias("a"), F.col("t").alias("b")))
+    return pairs.select(F.explode(sides).alias("s")).groupBy("s.h").agg(F.sum("s.a").alias("of_context"), F.sum("s.b").alias("of_word"))
 
-    def count(u: int):
-        bit = 1 << u
-        at = F.bit_count(F.col("seen").bitwiseAND(bit - 1)) + 1
-        return F.sum(F.when(F.col("seen").bitwiseAND(bit) != 0, F.element_at("c", at)).otherwise(0)).cast("int").alias(f"c{u}")
 
-    words = (entries.where("seen <> 0").select("word", "seen", "c").repartition(parts, "word")
-             .groupBy("word").agg(*[count(u) for u in range(CONTEXTS)]))
-    columns = [f"c{u}" for u in range(CONTEXTS)]
-    return words.select("word", sum((F.col(x).cast("long") for x in columns), F.lit(0).cast("long")).alias("n"), F.array(*columns).alias("c"),
-                        F.array(*[(F.col(x) > 0).cast("int") for x in columns]).alias("t"), F.lit(1).alias("t0"),
-                        F.array().cast("array<float>").alias("roots"), F.array(*[F.lit(0.0).cast("float")] * CONTEXTS).alias("own"))
+def _moved(state: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The restaurants with the tables that the pairs have now."""
+    def sums(x: str) -> Column:
+        return F.coalesce(x, F.lit(0).cast("long"))
 
+    return (state.drop("tables", "c0").join(_tables(pairs), "h", "left")
+            .select("h", "c", "singles", "alone", (F.col("singles") + sums("of_context")).alias("tables"),
+                    (F.col("alone") + sums("of_word")).alias("c0"), "t0", "past"))
 
-def _values(backoff: np.ndarray):
-    """log10 P(word | context), for the contexts an entry needs."""
+
+def vocabulary(entries: DataFrame) -> DataFrame:
+    """word, its hash h and its count n in the training tokens."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(hashes_of(b.column("word").to_pylist()), pa.int64()), b.column("n")], ["word", "h", "n"])
+
+    words = entries.where("seen > 0").groupBy("word").agg(F.sum("seen").alias("n"))
+    return words.mapInArrow(hashed, "word binary, h long, n long")
+
+
+def seating(blocks: DataFrame, words: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame, DataFrame, list[Totals]]:
+    """The blocks' pairs by bucket, the pairs seated, the restaurants, and the parent's totals after each sampled sweep."""
+    buckets = max(CONTEXTS, -(-tokens // BUCKET_TOKENS))
+    part = BUCKET_TOKENS // HEAVY
+    heavy = {r["h"]: min(buckets, -(-r["n"] // part)) for r in words.where(F.col("n") > part).select("h", "n").collect()}  # at most HEAVY a bucket
+    spread = (blocks.select("block", "doc_ids", "n_tokens", "ids", F.col("entries.word").alias("words"))
+              .mapInArrow(_spread(buckets, heavy), SPREAD))
+    counted = materialise(spread.groupBy("bucket").applyInArrow(_count, COUNTED), "pairs")
+    pairs = counted.where("c is not null").select("bucket", "u", "w", "c", F.lit(1).alias("t"), F.lit(0).alias("sampled"))
+    once = (counted.where("singles is not null or alone is not null").groupBy(F.col("u").alias("h"))
+            .agg(*[F.coalesce(F.sum(x), F.lit(0).cast("long")).alias(x) for x in ("singles", "alone")]))
+    state = (words.groupBy("h").agg(F.sum("n").alias("c")).join(once, "h", "left")
+             .select("h", "c", *[F.coalesce(x, F.lit(0).cast("long")).alias(x) for x in ("singles", "alone")],
+                     F.lit(1).cast("long").alias("t0"), F.array().cast("array<long>").alias("past")))
+    state = materialise(_moved(state, pairs), "seating")
+    # the seating to begin with, one table for each pair, is not sampled
+    totals = [_totals(state)]
+    for sweep in range(SAMPLES):
+        joined = (pairs.join(state.select(F.col("h").alias("u"), "tables"), "u").join(state.select(F.col("h").alias("w"), "c0", "t0"), "w"))
+        before = [state, *([pairs] if sweep else [])]
+        pairs = materialise(joined.mapInArrow(_seat_pairs(totals[-1], sweep), PAIRS), "seated")
+        state = materialise(_moved(state, pairs).mapInArrow(_seat_root(totals[-1], sweep), STATE), "seating")
+        for table in before:
+            discard(table)
+        totals.append(_totals(state))
+    places = counted.where("n is not null").select("bucket", "block", "n", "places", "pairs")
+    return places, pairs, state, totals[1:]
+
+
+# ---- scores ------------------------------------------------------------------------
+
+ROOTS, BACKOFFS = [f"r{s}" for s in range(SAMPLES)], [f"b{s}" for s in range(SAMPLES)]
+VALUES = "word binary, n long, k float, " + ", ".join(f"{x} float" for x in ROOTS + BACKOFFS)
+
+
+def _values(totals: list[Totals]):
+    """A word's probabilities in the parent, and of its restaurant the customers with the strength and what it leaves to the parent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            need = b.column("need").to_numpy()
-            w, u = np.nonzero(need[:, None] >> np.arange(CONTEXTS) & 1)
-            own, roots = _matrix(b.column("own"), CONTEXTS, np.float64), _matrix(b.column("roots"), SAMPLES, np.float64)
-            p = own[w, u] + (backoff[:, u].T * roots[w]).sum(1) / SAMPLES
-            ends = np.concatenate([[0], np.cumsum(np.bincount(w, minlength=len(need)))])
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), b.column("need"), b.column("n"),
-                                              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.log10(p), pa.float32()))],
-                                             ["block", "pos", "need", "n", "logs"])
+            if not b.num_rows:
+                continue
+            c, past = b.column("c").to_numpy(), b.column("past").flatten().to_numpy().reshape(b.num_rows, SAMPLES, 3)
+            roots = [x.root(past[:, s, 1], past[:, s, 2]) for s, x in enumerate(totals)]
+            backoffs = [Totals(c, past[:, s, 0], x.root_customers, x.root_tables, x.size).backoff() for s, x in enumerate(totals)]
+            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), *(pa.array(x, pa.float32()) for x in [STRENGTH + c, *roots, *backoffs])],
+                                             ["word", "n", "k", *ROOTS, *BACKOFFS])
     return run
 
 
@@ -243,26 +367,28 @@ OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score do
 
 
 def _score(total: int, size: int):
-    """A block's documents, given its entries' counts and probabilities."""
+    """A block's documents, given its entries' counts and probabilities and what its pairs own."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = {c: left.column(c)[0].as_py() for c in ("doc_ids", "n_tokens", "ptr", "pairs", "counts")}
-        ptr, n_tokens = np.array(row["ptr"]), np.array(row["n_tokens"], np.int64)
-        m = int(ptr[-1])
-        steps, counts = _unpacked(row["pairs"], m), _unpacked(row["counts"], m)
-        run_up = np.cumsum(steps)
-        starts = ptr[:-1]
-        pair = run_up - np.repeat(run_up[starts] - steps[starts], np.diff(ptr))
-        pos, need = right.column("pos").to_numpy(), right.column("need").to_numpy()
-        known = np.zeros(right.num_rows, np.int64)
-        known[pos] = right.column("n").to_numpy()
-        w, u = np.nonzero(need[:, None] >> np.arange(CONTEXTS) & 1)
-        logs = np.zeros(right.num_rows * CONTEXTS)
-        logs[pos[w] * CONTEXTS + u] = right.column("logs").combine_chunks().flatten().to_numpy()
-        seen = known[pair // CONTEXTS]
-        base = np.log10((seen + 0.1) / (total + 0.1 * (size + 1)))
+        row = {c: left.column(c)[0].as_py() for c in ("doc_ids", "n_tokens", "ids")}
+        n_tokens = np.array(row["n_tokens"], np.int64)
+        ids = _unpacked(row["ids"], int(n_tokens.sum()))
+        entries, parts = right.filter(pc.is_valid(right.column("pos"))), right.filter(pc.is_null(right.column("pos")))
+        order = np.argsort(entries.column("pos").to_numpy())
+
+        def of(name: str) -> np.ndarray:
+            return entries.column(name).to_numpy()[order].astype(np.float64)
+
+        known = of("n")
+        u, w, pair = _pairs(ids, len(known))
+        own = np.zeros(len(u))
+        for n, places, values in zip(*(parts.column(x).to_pylist() for x in ("m", "places", "own"))):
+            own[np.cumsum(_unpacked(places, n))] = _unpacked(values, n, np.float32)
+        p = own / of("k")[u] + sum(of(b)[u] * of(r)[w] for b, r in zip(BACKOFFS, ROOTS)) / SAMPLES
+        base = np.log10((known + 0.1) / (total + 0.1 * (size + 1)))
+        starts = np.cumsum(n_tokens) - n_tokens
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has the end token at least
         return pa.table([pa.array(row["doc_ids"], pa.int64()), pa.array([held_out(d) for d in row["doc_ids"]]), pa.array(n_tokens),
-                         pa.array(add(counts * (seen > 0))), pa.array(add(counts * base)), pa.array(add(counts * logs[pair]))],
+                         pa.array(add((known > 0)[ids].astype(np.int64))), pa.array(add(base[ids])), pa.array(add(np.log10(p)[pair]))],
                         ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
     return run
 
@@ -274,26 +400,19 @@ def scores(docs: DataFrame) -> DataFrame:
     blocks = materialise(rows.mapInArrow(_make_blocks, BLOCK_SCHEMA), "blocks")
     entries = blocks.select("block", F.posexplode("entries").alias("pos", "e")).select("block", "pos", "e.*")
     with freed_shuffles(spark):
-        state = materialise(vocabulary(entries), "seating")
-        totals = first = _totals(state)
-        backoffs, unknown = [], []
-        # the seating to begin with is not sampled; each later one is, in the pass after it
-        for sweep in range(SAMPLES + 1):
-            last = sweep == SAMPLES
-            state = state.mapInArrow(_sweep(totals, sweep, sweep > 0, last), STATE)
-            if sweep:
-                backoffs.append(totals.backoff())
-                unknown.append(float(totals.root(np.zeros(1), np.zeros(1))[0]))
-            if not last:
-                state = materialise(state, "seating")
-                totals = _totals(state)
-        nothing = F.array(*[F.lit(0.0).cast("float")] * CONTEXTS)
-        joined = (entries.select("block", "pos", "word", "need").join(state.select("word", "n", "roots", "own"), "word", "left")
-                  .select("block", "pos", "need", F.coalesce("n", F.lit(0).cast("long")).alias("n"),
-                          F.coalesce("roots", F.array(*[F.lit(x).cast("float") for x in unknown])).alias("roots"),
-                          F.coalesce("own", nothing).alias("own")))
-        values = materialise(joined.mapInArrow(_values(np.array(backoffs)), "block long, pos int, need int, n long, logs array<float>"), "values")
-    total = int(first.customers.sum())
-    scored = (blocks.drop("entries").groupBy("block").cogroup(values.groupBy("block"))
-              .applyInArrow(_score(total, first.size), OUT))
-    return scored.withColumn("train_tokens", F.lit(total).cast("long"))
+        words = materialise(vocabulary(entries), "vocabulary")
+        first = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("size")).first()
+        places, pairs, state, totals = seating(blocks, words, first["total"])
+        own = materialise(places.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_own, "block long, n int, places binary, own binary"), "own")
+        for table in (places, pairs):
+            discard(table)
+        probabilities = words.join(state.select("h", "c", "past"), "h").mapInArrow(_values(totals), VALUES)
+        unknown = [float(x.root(np.zeros(1), np.zeros(1))[0]) for x in totals]
+        missing = {"n": F.lit(0).cast("long"), "k": F.lit(STRENGTH), **{r: F.lit(x) for r, x in zip(ROOTS, unknown)}, **{b: F.lit(1.0) for b in BACKOFFS}}
+        values = materialise(entries.select("block", "pos", "word").join(probabilities, "word", "left")
+                             .select("block", "pos", "n", *[F.coalesce(c, x.cast("float")).alias(c) for c, x in missing.items() if c != "n"])
+                             .withColumn("n", F.coalesce("n", missing["n"])), "values")
+    both = values.unionByName(own.withColumnRenamed("n", "m"), allowMissingColumns=True)
+    scored = (blocks.drop("entries").groupBy("block").cogroup(both.groupBy("block"))
+              .applyInArrow(_score(first["total"], first["size"]), OUT))
+    return scored.withColumn("train_tokens", F.lit(first["total"]).cast("long"))

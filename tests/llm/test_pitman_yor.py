@@ -96,3 +96,55 @@ def test_odd_rows(spark):
     assert py.scores(docs.limit(0)).count() == 0
     only = py.scores(docs.where("doc_id is null")).collect()[0]
     assert only["train_tokens"] == 0 and only["n_known"] == 0 and math.isfinite(only["base_score"]) and math.isfinite(only["score"])
+
+
+def test_each_preceding_word_has_a_restaurant(spark):
+    # "fa" and "ta" end alike: only the whole word tells what follows
+    learnt = [i for i in range(400) if not py.held_out(i)]
+    rows = [(i, " ".join(["fa cold", "ta warm"][k % 2] for k in range(i, i + 6))) for i in learnt]
+    probes = [i for i in range(400, 500) if py.held_out(i)][:2]
+    rows += [(probes[0], "fa cold ta warm"), (probes[1], "fa warm ta cold")]
+    got = {r["doc_id"]: r for r in py.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    right, wrong = (got[i] for i in probes)
+    assert right["held_out"] and abs(right["base_score"] - wrong["base_score"]) < 1e-9
+    assert right["score"] > wrong["score"] + 4
+
+
+def test_scores_equal_brute_force_where_seating_is_fixed(spark):
+    """Every pair occurs once, so restaurants and scores follow from the texts alone, but for the parent's tables."""
+    learnt = [i for i in range(60) if not py.held_out(i)]
+    texts = {i: f"a{i} b{i} c{i}" for i in learnt}
+    probe = next(i for i in range(100, 200) if py.held_out(i))
+    rows = [*texts.items(), (probe, f"a{learnt[0]} b{learnt[0]} zz")]
+    py_scores = {r["doc_id"]: r["score"] for r in py.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n, words = len(learnt), 3 * len(learnt) + 1
+    # customers of the parent: one for each pair; its tables of "a", "b" and "c" words are one each, of the end token t of n
+    fits = []
+    for t in range(1, n + 1):
+        totals = py.Totals(np.zeros(0), np.zeros(0), 4 * n, 3 * n + t, words)
+        one, end, new = (float(totals.root(np.array([c]), np.array([k]))[0]) for c, k in ((1, 1), (n, t), (0, 0)))
+        begin, single = (py.STRENGTH + py.DISCOUNT * n) / (py.STRENGTH + n), (py.STRENGTH + py.DISCOUNT) / (py.STRENGTH + 1)
+        own = lambda m: (1 - py.DISCOUNT) / (py.STRENGTH + m)
+        fits.append(math.log10(own(n) + begin * one) + math.log10(own(1) + single * one) + math.log10(single * new) + math.log10(end))
+    assert min(fits) <= py_scores[probe] <= max(fits)
+
+
+def test_pairs_in_several_buckets_are_counted_whole(spark, monkeypatch):
+    rows = [(i, " ".join(f"x y{(i * 7 + k) % 50}" for k in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(py, "BUCKET_TOKENS", 800)
+    blocks = docs.mapInArrow(py._make_blocks, py.BLOCK_SCHEMA).localCheckpoint()
+    words = py.vocabulary(blocks.selectExpr("inline(entries)")).localCheckpoint()
+    _, pairs, state, totals = py.seating(blocks, words, 24_000)
+    want = Counter()
+    for i, x in rows:
+        if not py.held_out(i):
+            t = tokens(x)
+            want.update(zip([b"", *t], t))
+    names = {int(h): w for w in {w for p in want for w in p} for h in py.hashes_of([w])}
+    found = pairs.collect()
+    assert {(names[r["u"]], names[r["w"]]): r["c"] for r in found} == {p: c for p, c in want.items() if c > 1}
+    assert len({r["bucket"] for r in found if names[r["u"]] == b"x"}) > 3
+    held = {names[r["h"]]: r for r in state.collect()}
+    assert all(held[u]["c"] == sum(c for p, c in want.items() if p[0] == u) for u in {p[0] for p in want})
+    assert totals[-1].root_customers == sum(r["c0"] for r in held.values()) == sum(r["tables"] for r in held.values())
