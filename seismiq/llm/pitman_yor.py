@@ -9,10 +9,10 @@ the parent.
 Seating is sampled by blocked Gibbs sweeps: all customers of a word in a
 restaurant leave and are seated again one after the other, given the parent's
 probability of the word and the restaurant's tables as they stood after the last
-sweep.  Pairs of context and word are independent given those, so a sweep is one
-join of the pairs with the restaurants' tables and the words' probabilities, and
-one sum of the new tables by restaurant and by word; only the parent's totals pass
-through the driver.  A pair that occurs once has one table in any seating, so
+sweep.  Pairs of context and word are independent given those, so a sweep needs
+the restaurants' tables and the words' customers and tables in the parent at the
+pairs, and the sums of the new tables by restaurant and by word; only the parent's
+totals pass through the driver.  A pair that occurs once has one table in any seating, so
 sweeps take the pairs that occur twice or more, and the others enter as constants.
 The first customers are seated one by one, later ones in blocks a quarter as long
 as the queue before them (binomial draws), so a pair of any count takes a
@@ -20,12 +20,16 @@ logarithmic number of steps.  Predictive probabilities are averaged over the
 sampled seatings.
 
 Texts become blocks of documents (one task's, up to a number of characters) with
-a dictionary each.  Dictionary entries, not tokens, are shuffled: by word to sum
-the counts and to fetch the probabilities, and back to their block, where the
-documents are scored.  A block's pairs are shuffled as packed arrays to the bucket
-of their context, a frequent context having several; there they are counted, and
-from there what the pairs own of their restaurants goes back to the block.  In
-restaurants a word is known by 64 bits of its hash, in the base score by itself.
+a dictionary each.  Dictionary entries, not tokens, are shuffled by word to sum the
+counts; the vocabulary and its restaurants are kept on shelves, by hash.  A block's
+pairs are shuffled as packed arrays to the bucket of their context, a frequent
+context having several; there they are counted and seated, and from there what the
+pairs own of their restaurants goes back to the block.  In a sweep a bucket sends
+each shelf one row with the tables of all its names there, and the shelf answers
+with one row.  Blocks ask the shelves for their dictionaries in the same way, and
+score their documents with the answers.  Draws are seeded by bucket and shelf, so
+scores do not depend on partitions and batches.  In restaurants a word is known by
+64 bits of its hash, in the base score by itself.
 
 Defined results: lower-casing is A-Z only; a null or empty text is the end token
 alone; an id that is null is hashed as the empty text (held out); repeated rows
@@ -42,7 +46,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seismiq.llm.common import bounded_batches, discard, freed_shuffles, materialise, slices, text_or_empty
@@ -50,6 +54,8 @@ from seismiq.llm.common import bounded_batches, discard, freed_shuffles, materia
 #: Pairs of context and word are spread over this many buckets at least, of about so many tokens; a context of more tokens
 #: than a bucket's HEAVY-th part has several.
 CONTEXTS, BUCKET_TOKENS, HEAVY = 16, 1_000_000, 8
+#: Words are spread over as many shelves at least, of about so many tokens.
+SHELF_TOKENS = 8_000_000
 #: Discounts and strengths of the context restaurants and of their parent.
 DISCOUNT, STRENGTH, ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 1.0, 0.5, 1.0
 SAMPLES, SEED = 3, 7
@@ -82,8 +88,16 @@ def _unpacked(data: bytes, n: int, kind=np.int32) -> np.ndarray:
 
 def _pairs(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of a block's tokens (context, word) and each token's pair; a text begins after the end token of another."""
-    ids = ids.astype(np.int64)
-    keys, pair = np.unique(np.concatenate([[0], ids[:-1]]) * size + ids, return_inverse=True)
+    keys = np.zeros(len(ids), np.int64)
+    keys[1:] = ids[:-1]
+    keys *= size
+    keys += ids
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    pair = np.empty(len(ids), np.int32)
+    pair[order] = np.cumsum(first, dtype=np.int32) - 1
+    keys = keys[first]
     return keys // size, keys % size, pair
 
 
@@ -167,8 +181,24 @@ class Totals:
 # ---- pairs of context and word ---------------------------------------------------
 
 SPREAD = "bucket int, block long, n int, u binary, w binary, counts binary, places binary"
-COUNTED = "bucket int, u long, w long, c int, singles int, alone int, block long, n int, places binary, pairs binary"
-PAIRS = "bucket int, u long, w long, c int, t int, sampled int"
+#: A bucket's own row has neither shelf nor block; rows with a shelf are its messages, rows with a block the block's pairs.
+PARTS = "bucket int, shelf int, block long, n int, places binary, data binary"
+
+
+def _all_packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of any types and lengths as one value."""
+    data = b"".join([np.array([len(x) for x in arrays], np.int64).tobytes(), *(x.tobytes() for x in arrays)])
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _all_unpacked(value: pa.BinaryScalar, *kinds) -> list[np.ndarray]:
+    packed = value.as_buffer()
+    data = pa.decompress(packed[8:], int.from_bytes(packed[:8].to_pybytes(), "little"), codec="zstd", asbytes=True)
+    out, at = [], 8 * len(kinds)
+    for n, kind in zip(np.frombuffer(data, np.int64, len(kinds)).tolist(), kinds):
+        out.append(np.frombuffer(data, kind, n, at))
+        at += out[-1].nbytes
+    return out
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -198,49 +228,84 @@ def _spread(buckets: int, heavy: dict[int, int]):
     return run
 
 
-def _count(rows: pa.Table) -> pa.Table:
-    """A bucket's distinct pairs, counted.
-
-    A row for each pair that occurs more than once; of those that occur once the
-    number by context (``singles``) and by word (``alone``); for each block the
-    places of its pairs among the bucket's, and in one row the counts of these.
+@dataclass
+class Bucket:
+    """A bucket's distinct pairs.
+
+    ``counts`` of all pairs in order.  Names are the contexts and words that are learnt from, by shelf and hash:
+    ``ends`` of the shelves among them, their ``places`` on the shelf (differences; from the first answer on), the
+    numbers of their pairs that occur once (``singles`` as context, ``alone`` as word).  Pairs that occur more than
+    once have the places of context ``u`` (differences) and word ``w`` among the names, the tables ``t`` of the last
+    sweep and the sum of their tables over the sampled ones.
     """
-    def all_of(name: str, kind) -> np.ndarray:
-        return np.concatenate([_unpacked(x.as_buffer(), n.as_py(), kind) for x, n in zip(rows.column(name), rows.column("n"))])
-
-    u, w = all_of("u", np.int64), all_of("w", np.int64)
-    order = np.lexsort((w, u))
-    u, w = u[order], w[order]
-    first = np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])
-    pair = np.empty(len(u), np.int64)
-    pair[order] = np.cumsum(first) - 1
-    c = np.add.reduceat(all_of("counts", np.int32)[order], np.flatnonzero(first), dtype=np.int64)
-    u, w = u[first], w[first]
-    more, single = c > 1, c == 1
-    contexts, singles = np.unique(u[single], return_counts=True)
-    words, alone = np.unique(w[single], return_counts=True)
-    packed = [_packed(x) for x in np.split(pair, np.cumsum(rows.column("n").to_numpy())[:-1])]
-    m, a, b, k = int(more.sum()), len(contexts), len(words), rows.num_rows
-
-    def filled(kind, *parts) -> pa.Array:
-        return pa.concat_arrays([pa.nulls(x, kind) if isinstance(x, int) else pa.array(x, kind) for x in parts])
-
-    return pa.table([pa.repeat(pa.scalar(rows.column("bucket")[0].as_py(), pa.int32()), m + a + b + k + 1), filled(pa.int64(), u[more], contexts, words, k + 1),
-                     filled(pa.int64(), w[more], a, b, k + 1), filled(pa.int32(), c[more], a, b, k + 1), filled(pa.int32(), m, singles, b, k + 1),
-                     filled(pa.int32(), m, a, alone, k + 1), filled(pa.int64(), m, a, b, rows.column("block").to_pylist(), 1),
-                     filled(pa.int32(), m, a, b, rows.column("n").to_pylist(), [len(c)]), filled(pa.binary(), m, a, b, rows.column("places").to_pylist(), 1),
-                     filled(pa.binary(), m, a, b, [*packed, _packed(c)])],
-                    ["bucket", "u", "w", "c", "singles", "alone", "block", "n", "places", "pairs"])
+
+    counts: np.ndarray
+    ends: np.ndarray
+    places: np.ndarray
+    singles: np.ndarray
+    alone: np.ndarray
+    u: np.ndarray
+    w: np.ndarray
+    t: np.ndarray
+    sampled: np.ndarray
+
+    def packed(self) -> bytes:
+        return _all_packed(*(getattr(self, f).astype(np.int32) for f in self.__dataclass_fields__))
+
+    @classmethod
+    def of(cls, value: pa.BinaryScalar) -> Bucket:
+        return cls(*_all_unpacked(value, *[np.int32] * len(cls.__dataclass_fields__)))
+
+    def rows(self, bucket: int, names: np.ndarray, blocks: list[tuple] = ()) -> pa.Table:
+        """The bucket, what it has for each shelf (names, their tables as contexts and as words), and the rows of blocks."""
+        a = self.singles + np.bincount(np.cumsum(self.u), self.t, len(names)).astype(np.int64)
+        b = self.alone + np.bincount(self.w, self.t, len(names)).astype(np.int64)
+        sent = [(k, None, None, None, _all_packed(names[i:j], a[i:j], b[i:j])) for k, (i, j) in enumerate(zip([0, *self.ends], self.ends)) if i < j]
+        columns = list(zip((None, None, None, None, self.packed()), *sent, *((None, *x) for x in blocks)))
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.table([pa.repeat(pa.scalar(bucket, pa.int32()), len(columns[0])), *(pa.array(x, k) for x, k in zip(columns, kinds))],
+                        ["bucket", "shelf", "block", "n", "places", "data"])
+
+
+def _count(shelves: int):
+    """A bucket's distinct pairs, counted, with one table for each; for each block the places of its pairs among them."""
+    def run(rows: pa.Table) -> pa.Table:
+        def all_of(name: str, kind) -> np.ndarray:
+            return np.concatenate([_unpacked(x.as_buffer(), n.as_py(), kind) for x, n in zip(rows.column(name), rows.column("n"))])
+
+        names, found = np.unique(np.concatenate([all_of("u", np.int64), all_of("w", np.int64)]), return_inverse=True)
+        by_shelf = np.lexsort((names, names % shelves))
+        at = np.empty(len(names), np.int64)
+        at[by_shelf], names = np.arange(len(names)), names[by_shelf]
+        u, w = np.split(at[found], 2)
+        keys = u * len(names) + w
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])
+        pair = np.empty(len(keys), np.int32)
+        pair[order] = np.cumsum(first) - 1
+        c = np.add.reduceat(all_of("counts", np.int32)[order], np.flatnonzero(first), dtype=np.int64)
+        u, w = (x(keys[first][c > 0], len(names)) for x in (np.floor_divide, np.mod))
+        learnt = np.zeros(len(names), bool)
+        learnt[u] = learnt[w] = True
+        at, names = np.cumsum(learnt) - 1, names[learnt]
+        u, w, single = at[u], at[w], c[c > 0] == 1
+        ends = np.searchsorted(names % shelves, np.arange(shelves), side="right")
+        singles, alone = (np.bincount(x[single], minlength=len(names)) for x in (u, w))
+        one = np.ones(int((~single).sum()), np.int64)
+        out = Bucket(c, ends, names[:0], singles, alone, np.diff(u[~single], prepend=0), w[~single], one, 0 * one)
+        packed = [_packed(x) for x in np.split(pair, np.cumsum(rows.column("n").to_numpy())[:-1])]
+        return out.rows(rows.column("bucket")[0].as_py(), names, list(zip(*(rows.column(x).to_pylist() for x in ("block", "n", "places")), packed)))
+    return run
 
 
 def _own(rows: pa.Table, seated: pa.Table) -> pa.Table:
     """What each block's pairs own of their restaurants: customers less discounted tables, the mean over the samples."""
-    counts, rows = rows.filter(pc.is_null(rows.column("block"))), rows.filter(pc.is_valid(rows.column("block")))
-    c = _unpacked(counts.column("pairs")[0].as_buffer(), counts.column("n")[0].as_py())
-    own = c - DISCOUNT * (c > 0)
-    order = np.lexsort((seated.column("w").to_numpy(), seated.column("u").to_numpy()))
-    own[c > 1] = c[c > 1] - DISCOUNT * seated.column("sampled").to_numpy()[order] / SAMPLES
-    parts = [own[_unpacked(x.as_buffer(), n.as_py())] for x, n in zip(rows.column("pairs"), rows.column("n"))]
+    held = Bucket.of(seated.column("data")[0])
+    own = held.counts - DISCOUNT * (held.counts > 0)
+    more = held.counts > 1
+    own[more] = held.counts[more] - DISCOUNT * held.sampled / SAMPLES
+    parts = [own[_unpacked(x.as_buffer(), n.as_py())] for x, n in zip(rows.column("data"), rows.column("n"))]
     return pa.table([rows.column("block"), rows.column("n"), rows.column("places"), pa.array([_packed(x, np.float32) for x in parts], pa.binary())],
                     ["block", "n", "places", "own"])
 
@@ -249,59 +314,89 @@ def _own(rows: pa.Table, seated: pa.Table) -> pa.Table:
 
 
 def _seat_pairs(totals: Totals, sweep: int):
-    """One sweep over the pairs, given their restaurant's tables and their word's customers and tables in the parent."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            tables, c0, t0, c = (b.column(x).to_numpy() for x in ("tables", "c0", "t0", "c"))
-            rng = np.random.default_rng([SEED, sweep, *(b.column(x)[0].as_py() % (1 << 63) for x in "uw")])
-            t = seat(c, (STRENGTH + DISCOUNT * tables) * totals.root(c0, t0), DISCOUNT, rng)
-            sampled = b.column("sampled").to_numpy() + t
-            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in ("bucket", "u", "w", "c")), pa.array(t, pa.int32()), pa.array(sampled, pa.int32())],
-                                             ["bucket", "u", "w", "c", "t", "sampled"])
+    """One sweep over a bucket's pairs, given the shelves' answers: tables of restaurants, customers and tables of words in the parent."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        bucket, held = left.column("bucket")[0].as_py(), Bucket.of(left.column("data")[0])
+        answers = [_all_unpacked(right.column("data")[i], np.int64, np.int64, np.int64, np.int32) for i in np.argsort(right.column("shelf").to_numpy()).tolist()]
+        tables, c0, t0, places = (np.concatenate(x) for x in zip(*answers)) if answers else [held.places] * 4
+        held.places = held.places if sweep else places
+        strength = (STRENGTH + DISCOUNT * tables[np.cumsum(held.u)]) * totals.root(c0[held.w], t0[held.w])
+        held.t = seat(held.counts[held.counts > 1], strength, DISCOUNT, np.random.default_rng([SEED, sweep, 0, bucket]))
+        held.sampled = held.sampled + held.t
+        return held.rows(bucket, held.places.astype(np.int64))
     return run
 
 
-STATE = "h long, c long, singles long, alone long, tables long, c0 long, t0 long, past array<long>"
+#: A shelf's words with their hashes and counts; a shelf's restaurants, and as rows with a bucket its answers.
+SHELF = "shelf int, words array<binary>, data binary"
+STATE = "shelf int, bucket int, n long, c0 long, t0 long, data binary"
 
 
-def _seat_root(totals: Totals, sweep: int):
-    """The parent's customers, seated again; what restaurants and parent hold is added to ``past``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            tables, c0 = b.column("tables").to_numpy(), b.column("c0").to_numpy()
-            rng = np.random.default_rng([SEED, sweep, b.column("h")[0].as_py() % (1 << 63)])
-            up = (ROOT_STRENGTH + ROOT_DISCOUNT * totals.root_tables) / (totals.size + 1)
-            t0 = seat(c0, np.full(len(c0), up), ROOT_DISCOUNT, rng)
-            past = np.concatenate([b.column("past").flatten().to_numpy().reshape(len(c0), -1), np.stack([tables, c0, t0], 1)], 1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(c0) + 1) * past.shape[1], pa.int32()), pa.array(past.ravel(), pa.int64()))
-            names = ["h", "c", "singles", "alone", "tables", "c0"]
-            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(t0, pa.int64()), lists], [*names, "t0", "past"])
-    return run
+def _shelve(rows: pa.Table) -> pa.Table:
+    words, data = rows.column("word").combine_chunks(), _all_packed(*(rows.column(x).to_numpy().astype(np.int64) for x in "hn"))
+    return pa.table([rows.column("shelf")[:1], pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([data], pa.binary())],
+                    ["shelf", "words", "data"])
 
 
-def _totals(state: DataFrame) -> Totals:
-    r = state.agg(F.sum("c0").alias("c0"), F.sum("t0").alias("t0"), F.count("*").alias("n")).first()
-    return Totals(np.zeros(0), np.zeros(0), r["c0"] or 0, r["t0"] or 0, r["n"])
+@dataclass
+class Restaurants:
+    """The restaurants of a shelf by hash: customers, tables, customers and tables of the word in the parent, and what was sampled of these."""
+
+    h: np.ndarray
+    c: np.ndarray
+    tables: np.ndarray
+    c0: np.ndarray
+    t0: np.ndarray
+    past: np.ndarray
+
+    def packed(self) -> bytes:
+        return _all_packed(*(getattr(self, f) for f in self.__dataclass_fields__))
+
+    @classmethod
+    def of(cls, value: pa.BinaryScalar) -> Restaurants:
+        return cls(*_all_unpacked(value, *[np.int64] * 6))
 
 
-def _tables(pairs: DataFrame) -> DataFrame:
-    """Tables of the pairs by restaurant (``of_context``) and by word (``of_word``)."""
-    sides = F.array(F.struct(F.col("u").alias("h"), F.col("t").alias("a"), F.lit(0).alias("b")), F.struct(F.col("w").alias("h"), F.lit(0).alias("a"), F.col("t").alias("b")))
-    return pairs.select(F.explode(sides).alias("s")).groupBy("s.h").agg(F.sum("s.a").alias("of_context"), F.sum("s.b").alias("of_word"))
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shelves' restaurants before any seating."""
+    for b in batches:
+        for shelf, value in zip(b.column("shelf").to_pylist(), b.column("data")):
+            hashes, n = _all_unpacked(value, np.int64, np.int64)
+            h, place = np.unique(hashes, return_inverse=True)
+            c = np.bincount(place, n, len(h)).astype(np.int64)
+            out = Restaurants(h, c, 0 * c, 0 * c, 0 * c + 1, c[:0])
+            yield pa.RecordBatch.from_arrays([pa.array([shelf], pa.int32()), pa.array([out.packed()], pa.binary())], ["shelf", "data"])
 
 
-def _moved(state: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The restaurants with the tables that the pairs have now."""
-    def sums(x: str) -> Column:
-        return F.coalesce(x, F.lit(0).cast("long"))
+def _move(totals: Totals | None, sweep: int):
+    """A shelf's restaurants with the tables that the buckets' pairs have now, and the answers to the buckets.
+
+    Buckets first name their restaurants by hash, and by what the answer says is their place from then on.  With ``totals``
+    the parent's customers are seated again, and what restaurants and parent hold is added to ``past``.
+    """
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        shelf, held = left.column("shelf")[0].as_py(), Restaurants.of(left.column("data")[0])
+        sent = [_all_unpacked(x, *[np.int64] * 3) for x in right.column("data")]
+        places = [np.cumsum(x) if totals else np.searchsorted(held.h, x) for x, _, _ in sent]
+        held.tables, held.c0 = np.zeros(len(held.h), np.int64), np.zeros(len(held.h), np.int64)
+        for place, (_, of_context, of_word) in zip(places, sent):  # a message has each name once
+            held.tables[place] += of_context
+            held.c0[place] += of_word
+        if totals:
+            up = (ROOT_STRENGTH + ROOT_DISCOUNT * totals.root_tables) / (totals.size + 1)
+            held.t0 = seat(held.c0, np.full(len(held.c0), up), ROOT_DISCOUNT, np.random.default_rng([SEED, sweep, 1, shelf]))
+            held.past = np.concatenate([held.past, held.tables, held.c0, held.t0])
+        data = [held.packed(), *(_all_packed(held.tables[x], held.c0[x], held.t0[x], np.diff(x[:0] if totals else x, prepend=0).astype(np.int32)) for x in places)]
+        none = [None] * len(sent)
+        return pa.table([pa.repeat(pa.scalar(shelf, pa.int32()), len(data)), pa.array([None, *right.column("bucket").to_pylist()], pa.int32()),
+                         *(pa.array([int(x), *none], pa.int64()) for x in (len(held.h), held.c0.sum(), held.t0.sum())), pa.array(data, pa.binary())],
+                        ["shelf", "bucket", "n", "c0", "t0", "data"])
+    return run
+
 
-    return (state.drop("tables", "c0").join(_tables(pairs), "h", "left")
-            .select("h", "c", "singles", "alone", (F.col("singles") + sums("of_context")).alias("tables"),
-                    (F.col("alone") + sums("of_word")).alias("c0"), "t0", "past"))
+def _totals(state: DataFrame) -> Totals:
+    r = state.agg(F.sum("c0").alias("c0"), F.sum("t0").alias("t0"), F.sum("n").alias("n")).first()
+    return Totals(np.zeros(0), np.zeros(0), r["c0"] or 0, r["t0"] or 0, r["n"] or 0)
 
 
 def vocabulary(entries: DataFrame) -> DataFrame:
@@ -314,76 +409,133 @@ def vocabulary(entries: DataFrame) -> DataFrame:
     return words.mapInArrow(hashed, "word binary, h long, n long")
 
 
-def seating(blocks: DataFrame, words: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame, DataFrame, list[Totals]]:
-    """The blocks' pairs by bucket, the pairs seated, the restaurants, and the parent's totals after each sampled sweep."""
-    buckets = max(CONTEXTS, -(-tokens // BUCKET_TOKENS))
-    part = BUCKET_TOKENS // HEAVY
-    heavy = {r["h"]: min(buckets, -(-r["n"] // part)) for r in words.where(F.col("n") > part).select("h", "n").collect()}  # at most HEAVY a bucket
+def shelves_of(tokens: int) -> int:
+    return max(CONTEXTS, -(-tokens // SHELF_TOKENS))
+
+
+def shelve(words: DataFrame, tokens: int) -> DataFrame:
+    """The vocabulary, a row for each shelf."""
+    by_shelf = words.select(F.pmod("h", F.lit(shelves_of(tokens))).cast("int").alias("shelf"), "word", "h", "n")
+    return materialise(by_shelf.groupBy("shelf").applyInArrow(_shelve, SHELF), "shelves")
+
+
+def heavy_contexts(words: DataFrame, tokens: int) -> dict[int, int]:
+    """The buckets of contexts that have several, at most HEAVY contexts a bucket."""
+    buckets, part = max(CONTEXTS, -(-tokens // BUCKET_TOKENS)), BUCKET_TOKENS // HEAVY
+    return {r["h"]: min(buckets, -(-r["n"] // part)) for r in words.where(F.col("n") > part).select("h", "n").collect()}
+
+
+OWN_ROWS = "block is null and shelf is null"
+
+
+def seated(blocks: DataFrame, heavy: dict[int, int], shelved: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame, DataFrame, list[Totals]]:
+    """The buckets' rows as counted and as seated, the shelves' restaurants, and the parent's totals after each sampled sweep."""
     spread = (blocks.select("block", "doc_ids", "n_tokens", "ids", F.col("entries.word").alias("words"))
-              .mapInArrow(_spread(buckets, heavy), SPREAD))
-    counted = materialise(spread.groupBy("bucket").applyInArrow(_count, COUNTED), "pairs")
-    pairs = counted.where("c is not null").select("bucket", "u", "w", "c", F.lit(1).alias("t"), F.lit(0).alias("sampled"))
-    once = (counted.where("singles is not null or alone is not null").groupBy(F.col("u").alias("h"))
-            .agg(*[F.coalesce(F.sum(x), F.lit(0).cast("long")).alias(x) for x in ("singles", "alone")]))
-    state = (words.groupBy("h").agg(F.sum("n").alias("c")).join(once, "h", "left")
-             .select("h", "c", *[F.coalesce(x, F.lit(0).cast("long")).alias(x) for x in ("singles", "alone")],
-                     F.lit(1).cast("long").alias("t0"), F.array().cast("array<long>").alias("past")))
-    state = materialise(_moved(state, pairs), "seating")
+              .mapInArrow(_spread(max(CONTEXTS, -(-tokens // BUCKET_TOKENS)), heavy), SPREAD))
+    counted = materialise(spread.groupBy("bucket").applyInArrow(_count(shelves_of(tokens)), PARTS), "pairs")
+
+    def moved(restaurants: DataFrame, parts: DataFrame, totals: Totals | None, sweep: int) -> DataFrame:
+        sent = parts.where("shelf is not null").select("shelf", "bucket", "data")
+        return materialise(restaurants.groupBy("shelf").cogroup(sent.groupBy("shelf")).applyInArrow(_move(totals, sweep), STATE), "seating")
+
+    parts, state = counted, moved(shelved.select("shelf", "data").mapInArrow(_open, "shelf int, data binary"), counted, None, 0)
     # the seating to begin with, one table for each pair, is not sampled
     totals = [_totals(state)]
     for sweep in range(SAMPLES):
-        joined = (pairs.join(state.select(F.col("h").alias("u"), "tables"), "u").join(state.select(F.col("h").alias("w"), "c0", "t0"), "w"))
-        before = [state, *([pairs] if sweep else [])]
-        pairs = materialise(joined.mapInArrow(_seat_pairs(totals[-1], sweep), PAIRS), "seated")
-        state = materialise(_moved(state, pairs).mapInArrow(_seat_root(totals[-1], sweep), STATE), "seating")
+        answers = state.where("bucket is not null").select("bucket", "shelf", "data")
+        before = [state, *([parts] if sweep else [])]
+        parts = materialise(parts.where(OWN_ROWS).select("bucket", "data").groupBy("bucket").cogroup(answers.groupBy("bucket"))
+                            .applyInArrow(_seat_pairs(totals[-1], sweep), PARTS), "seated")
+        state = moved(state.where("bucket is null").select("shelf", "data"), parts, totals[-1], sweep)
         for table in before:
             discard(table)
         totals.append(_totals(state))
-    places = counted.where("n is not null").select("bucket", "block", "n", "places", "pairs")
-    return places, pairs, state, totals[1:]
+    return counted, parts.where(OWN_ROWS), state.where("bucket is null"), totals[1:]
+
+
+def seating(blocks: DataFrame, words: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame, DataFrame, list[Totals]]:
+    """The blocks' pairs by bucket, a row for each pair seated and for each restaurant, and the parent's totals."""
+    def pairs_of(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = Bucket.of(left.column("data")[0])
+        sent = [_all_unpacked(right.column("data")[i], *[np.int64] * 3)[0] for i in np.argsort(right.column("shelf").to_numpy()).tolist()]
+        names = np.concatenate([*sent, np.zeros(0, np.int64)])
+        columns = [names[np.cumsum(x.u)], names[x.w], x.counts[x.counts > 1], x.t, x.sampled]
+        return pa.table([pa.repeat(left.column("bucket")[0], len(x.u)), *map(pa.array, columns)], ["bucket", "u", "w", "c", "t", "sampled"])
+
+    def restaurants_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for value in (v for b in batches for v in b.column("data")):
+            x = Restaurants.of(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x.h, x.c, x.tables, x.c0, x.t0)], ["h", "c", "tables", "c0", "t0"])
+
+    counted, parts, state, totals = seated(blocks, heavy_contexts(words, tokens), shelve(words, tokens), tokens)
+    pairs = parts.groupBy("bucket").cogroup(counted.where("shelf is not null").groupBy("bucket"))
+    return (counted.where("block is not null"), pairs.applyInArrow(pairs_of, "bucket int, u long, w long, c int, t int, sampled int"),
+            state.mapInArrow(restaurants_of, "h long, c long, tables long, c0 long, t0 long"), totals)
 
 
 # ---- scores ------------------------------------------------------------------------
 
-ROOTS, BACKOFFS = [f"r{s}" for s in range(SAMPLES)], [f"b{s}" for s in range(SAMPLES)]
-VALUES = "word binary, n long, k float, " + ", ".join(f"{x} float" for x in ROOTS + BACKOFFS)
+#: What a block's entry gets: its count, its restaurant's customers, and of each sample tables, customers and tables in the parent.
+ENTRY = 2 + 3 * SAMPLES
+ASKED = "shelf int, block long, n int, places binary, words array<binary>"
+VALUES = "block long, n int, places binary, data binary"
 
 
-def _values(totals: list[Totals]):
-    """A word's probabilities in the parent, and of its restaurant the customers with the strength and what it leaves to the parent."""
+def _ask(shelves: int):
+    """A block's dictionary, a row for each shelf."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            c, past = b.column("c").to_numpy(), b.column("past").flatten().to_numpy().reshape(b.num_rows, SAMPLES, 3)
-            roots = [x.root(past[:, s, 1], past[:, s, 2]) for s, x in enumerate(totals)]
-            backoffs = [Totals(c, past[:, s, 0], x.root_customers, x.root_tables, x.size).backoff() for s, x in enumerate(totals)]
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("n"), *(pa.array(x, pa.float32()) for x in [STRENGTH + c, *roots, *backoffs])],
-                                             ["word", "n", "k", *ROOTS, *BACKOFFS])
+            for i in range(b.num_rows):
+                words = b.column("words").slice(i, 1).flatten()
+                shelf = hashes_of(words.to_pylist()) % shelves
+                order = np.argsort(shelf, kind="stable")
+                ends = np.searchsorted(shelf[order], np.arange(shelves + 1))
+                parts = [(k, order[i:j]) for k, (i, j) in enumerate(zip(ends, ends[1:])) if i < j]
+                lists = pa.ListArray.from_arrays(pa.array(ends[[*(k for k, _ in parts), shelves]], pa.int32()), words.take(pa.array(order)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in parts], pa.int32()), pa.repeat(b.column("block")[i], len(parts)), pa.array([len(o) for _, o in parts], pa.int32()),
+                     pa.array([_packed(np.diff(o, prepend=0)) for _, o in parts], pa.binary()), lists], ["shelf", "block", "n", "places", "words"])
     return run
 
 
+def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
+    """What the blocks' entries get from a shelf; nothing is known of words that it does not hold."""
+    words, known = pa.array([], pa.binary()), np.zeros((ENTRY, 1), np.int64)
+    if left.num_rows:
+        shelf, state = (left.filter(f(left.column("words"))) for f in (pc.is_valid, pc.is_null))
+        words, held = shelf.column("words").combine_chunks().flatten(), Restaurants.of(state.column("data")[0])
+        hashes, n = _all_unpacked(shelf.column("data")[0], np.int64, np.int64)
+        own = np.concatenate([held.c, held.past]).reshape(ENTRY - 1, -1)[:, np.searchsorted(held.h, hashes)]
+        known = np.concatenate([np.concatenate([n[None], own]), known], axis=1)
+    asked = right.column("words").combine_chunks()
+    place = pc.fill_null(pc.index_in(asked.flatten(), words), len(words)).to_numpy()
+    parts = np.split(place, np.cumsum(right.column("n").to_numpy())[:-1])
+    return pa.table([right.column("block"), right.column("n"), right.column("places"), pa.array([_all_packed(known[:, x].ravel()) for x in parts], pa.binary())],
+                    ["block", "n", "places", "data"])
+
+
 OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(total: int, size: int):
-    """A block's documents, given its entries' counts and probabilities and what its pairs own."""
+def _score(total: int, size: int, totals: list[Totals]):
+    """A block's documents, given its entries' counts and restaurants and what its pairs own."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {c: left.column(c)[0].as_py() for c in ("doc_ids", "n_tokens", "ids")}
         n_tokens = np.array(row["n_tokens"], np.int64)
         ids = _unpacked(row["ids"], int(n_tokens.sum()))
-        entries, parts = right.filter(pc.is_valid(right.column("pos"))), right.filter(pc.is_null(right.column("pos")))
-        order = np.argsort(entries.column("pos").to_numpy())
-
-        def of(name: str) -> np.ndarray:
-            return entries.column(name).to_numpy()[order].astype(np.float64)
-
-        known = of("n")
+        values, parts = (right.filter(f(right.column("data"))) for f in (pc.is_valid, pc.is_null))
+        entries = np.zeros((ENTRY, int(pc.sum(values.column("n")).as_py())), np.int64)
+        for n, places, data in zip(values.column("n").to_pylist(), values.column("places").to_pylist(), values.column("data")):
+            entries[:, np.cumsum(_unpacked(places, n))] = _all_unpacked(data, np.int64)[0].reshape(ENTRY, n)
+        known, c = entries[:2]
         u, w, pair = _pairs(ids, len(known))
         own = np.zeros(len(u))
-        for n, places, values in zip(*(parts.column(x).to_pylist() for x in ("m", "places", "own"))):
+        for n, places, values in zip(*(parts.column(x).to_pylist() for x in ("n", "places", "own"))):
             own[np.cumsum(_unpacked(places, n))] = _unpacked(values, n, np.float32)
-        p = own / of("k")[u] + sum(of(b)[u] * of(r)[w] for b, r in zip(BACKOFFS, ROOTS)) / SAMPLES
+        p = own / (STRENGTH + c)[u]
+        for x, (tables, c0, t0) in zip(totals, entries[2:].reshape(SAMPLES, 3, -1)):
+            backoff = Totals(c, tables, x.root_customers, x.root_tables, x.size).backoff()
+            p += backoff[u] * x.root(c0, t0)[w] / SAMPLES
         base = np.log10((known + 0.1) / (total + 0.1 * (size + 1)))
         starts = np.cumsum(n_tokens) - n_tokens
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has the end token at least
@@ -398,21 +550,21 @@ def scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     blocks = materialise(rows.mapInArrow(_make_blocks, BLOCK_SCHEMA), "blocks")
-    entries = blocks.select("block", F.posexplode("entries").alias("pos", "e")).select("block", "pos", "e.*")
     with freed_shuffles(spark):
-        words = materialise(vocabulary(entries), "vocabulary")
+        words = materialise(vocabulary(blocks.selectExpr("inline(entries)")), "vocabulary")
         first = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("size")).first()
-        places, pairs, state, totals = seating(blocks, words, first["total"])
-        own = materialise(places.groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_own, "block long, n int, places binary, own binary"), "own")
-        for table in (places, pairs):
+        heavy, shelved = heavy_contexts(words, first["total"]), shelve(words, first["total"])
+        discard(words)
+        counted, pairs, state, totals = seated(blocks, heavy, shelved, first["total"])
+        places = counted.where("block is not null").select("bucket", "block", "n", "places", "data")
+        own = materialise(places.groupBy("bucket").cogroup(pairs.select("bucket", "data").groupBy("bucket"))
+                          .applyInArrow(_own, "block long, n int, places binary, own binary"), "own")
+        for table in (counted, pairs):
             discard(table)
-        probabilities = words.join(state.select("h", "c", "past"), "h").mapInArrow(_values(totals), VALUES)
-        unknown = [float(x.root(np.zeros(1), np.zeros(1))[0]) for x in totals]
-        missing = {"n": F.lit(0).cast("long"), "k": F.lit(STRENGTH), **{r: F.lit(x) for r, x in zip(ROOTS, unknown)}, **{b: F.lit(1.0) for b in BACKOFFS}}
-        values = materialise(entries.select("block", "pos", "word").join(probabilities, "word", "left")
-                             .select("block", "pos", "n", *[F.coalesce(c, x.cast("float")).alias(c) for c, x in missing.items() if c != "n"])
-                             .withColumn("n", F.coalesce("n", missing["n"])), "values")
-    both = values.unionByName(own.withColumnRenamed("n", "m"), allowMissingColumns=True)
+        asked = blocks.select("block", F.col("entries.word").alias("words")).mapInArrow(_ask(shelves_of(first["total"])), ASKED)
+        shelf = shelved.unionByName(state.select("shelf", "data"), allowMissingColumns=True)
+        values = materialise(shelf.groupBy("shelf").cogroup(asked.groupBy("shelf")).applyInArrow(_answer, VALUES), "values")
+    both = values.unionByName(own, allowMissingColumns=True)
     scored = (blocks.drop("entries").groupBy("block").cogroup(both.groupBy("block"))
-              .applyInArrow(_score(first["total"], first["size"]), OUT))
+              .applyInArrow(_score(first["total"], first["size"], totals), OUT))
     return scored.withColumn("train_tokens", F.lit(first["total"]).cast("long"))

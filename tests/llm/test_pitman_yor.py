@@ -148,3 +148,17 @@ def test_pairs_in_several_buckets_are_counted_whole(spark, monkeypatch):
     held = {names[r["h"]]: r for r in state.collect()}
     assert all(held[u]["c"] == sum(c for p, c in want.items() if p[0] == u) for u in {p[0] for p in want})
     assert totals[-1].root_customers == sum(r["c0"] for r in held.values()) == sum(r["tables"] for r in held.values())
+
+
+def test_seating_is_the_same_in_any_batches(spark):
+    """Sweeps move a row for each bucket and shelf, not for each pair, and draw by bucket and shelf."""
+    rows = [(i, " ".join(f"x{(i * k) % 7} y{(i * 7 + k) % 50}" for k in range(40))) for i in range(60)]
+    docs, limit = spark.createDataFrame(rows, "doc_id long, text string"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(limit), []
+    try:
+        for parts, records in ((2, "10000"), (5, "7")):
+            spark.conf.set(limit, records)
+            found.append({r["doc_id"]: r["score"] for r in py.scores(docs.repartition(parts)).collect()})
+    finally:
+        spark.conf.set(limit, before)
+    assert len(found[0]) == len(rows) and all(abs(s - found[1][i]) < 1e-6 for i, s in found[0].items())
