@@ -354,14 +354,28 @@ def q_landing_read(spark, sf_dir):
 
 # The registered streams take the feed in this many polls, whatever its size.
 POLLS = 6
+# rows of a landed file: about 3 MB at least (but for small polls), 110 MB at most
+MIN_LANDED, MAX_LANDED = 5_000, 200_000
+
+
+def files_per_poll(rows: int, cores: int) -> int:
+    """Files that a poll of so many rows lands as: one for each core, or so many times more."""
+    return max(1, min(cores * -(-rows // (cores * MAX_LANDED)), -(-rows // MIN_LANDED)))
 
 
 def polls(spark, sf_dir) -> list[DataFrame]:
-    """The observations in ranges of the row sequence, as a fetcher polls them one after the other."""
+    """The observations in ranges of the row sequence, as a fetcher polls them one after the other.
+
+    A range lies in a few splits of the table, so its rows are dealt to all cores
+    before they are mapped.  Every poll has as many partitions, hence files: a
+    micro-batch of the streams is then a poll, and does not share events with the next.
+    """
     events = load_events(spark, sf_dir)
-    size = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    last, rows = events.agg(F.max("event_id"), F.count("event_id")).first()
+    size, files = (last or 0) + 1, files_per_poll(-(-rows // POLLS), spark.sparkContext.defaultParallelism)
     bounds = [-(-size * i // POLLS) for i in range(POLLS + 1)]
-    return [observations(events.where((F.col("event_id") >= low) & (F.col("event_id") < high))) for low, high in zip(bounds, bounds[1:])]
+    return [observations(events.where((F.col("event_id") >= low) & (F.col("event_id") < high)).repartition(files))
+            for low, high in zip(bounds, bounds[1:])]
 
 
 def without_times(feed: DataFrame) -> DataFrame:
@@ -377,7 +391,7 @@ def land_polls(spark, sf_dir, change=None) -> str:
     for i, obs in enumerate(polls(spark, sf_dir)):
         feed = feed_records(obs, keep=("obs_seq",))
         feed = change(i, feed) if change else feed
-        ld.land(feed.drop("obs_seq").hint("rebalance"), landing, f"batch={i:02d}")
+        ld.land(feed.drop("obs_seq"), landing, f"batch={i:02d}")
     return landing
 
 

@@ -75,10 +75,9 @@ def latest_events(bronze: DataFrame) -> DataFrame:
     """Streaming (or batch) Bronze rows -> per event ``latest`` (struct) and ``dates`` of all its versions."""
     rows = (bronze.filter(F.col("event_id").isNotNull())
                   .withColumn(DATE, F.to_date(parse_iso_utc("event_time_utc"))))
-    version = F.struct(*[F.col(c) for c in DATED_SCHEMA.names])
-    return rows.groupBy("event_id").agg(
-        F.max_by(version, F.struct(*version_order(BRONZE_ORDER))).alias("latest"),
-        F.collect_set(_date_name()).alias("dates"))
+    # the values that order versions come first, so the largest is the latest and the state holds none of them twice
+    version = F.struct(*version_order(BRONZE_ORDER), *[F.col(c) for c in DATED_SCHEMA.names if c not in BRONZE_ORDER])
+    return rows.groupBy("event_id").agg(F.max(version).alias("latest"), F.collect_set(_date_name()).alias("dates"))
 
 
 # ---- reading -----------------------------------------------------------------
@@ -100,7 +99,7 @@ def _read_folders(spark: SparkSession, root: str, layer: str, folders: list[Fold
     """Rows of the layer's folders among those given."""
     paths = [f"{root}/{f.name}" for f in folders if f.layer == layer]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     with_version = T.StructType(schema.fields + [T.StructField("v", T.IntegerType())])
     return spark.read.schema(with_version).option("basePath", f"{root}/{layer}").parquet(*paths).select(*schema.names)
 
@@ -191,9 +190,7 @@ def group_sums(rows: DataFrame) -> DataFrame:
 
 def _write_gold(spark: SparkSession, root: str, batch_id: int, held: DataFrame, before: DataFrame, after: DataFrame) -> dict:
     """Write the Gold folders of the batch; returns how much was computed again."""
-    path = f"{root}/changes/gold_v={batch_id}"
-    retracted(held, signed_changes(before, after)).write.mode("overwrite").parquet(path)
-    moved = spark.read.parquet(path)
+    moved = _staged(spark, retracted(held, signed_changes(before, after)), f"{root}/changes/gold_v={batch_id}")
     per_date = moved.groupBy(_date_name().alias("date")).agg(F.count("*").alias("groups"), F.count_if("stale").alias("stale")).collect()
     dates = [Folder("silver", r.date, batch_id) for r in per_date if r.stale]
     out = moved.where("not stale").select(*GOLD_SCHEMA.names)
@@ -211,6 +208,12 @@ def _write_gold(spark: SparkSession, root: str, batch_id: int, held: DataFrame,
 # ---- a batch ---------------------------------------------------------------------
 
 
+def _staged(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """The rows written to ``path`` and read from there."""
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _written(spark: SparkSession, root: str, layer: str, batch_id: int) -> list[Folder]:
     """The folders that the batch wrote."""
     names = [n.split("=", 1)[1] for n in vs.folders(spark, f"{root}/{layer}/v={batch_id}") if n.startswith(f"{DATE}=")]
@@ -224,7 +227,7 @@ def _vacuum(spark: SparkSession, root: str) -> None:
     for old in versions[:-KEEP]:
         for f in set(_folders(spark, root, old)) - in_use:
             vs.delete(spark, f"{root}/{f.name}")
-        for name in ("v", "gold_v"):
+        for name in ("v", "held_v", "gold_v"):
             vs.delete(spark, f"{root}/changes/{name}={old}")
         vs.retire(spark, root, old)
 
@@ -246,14 +249,16 @@ def _writer(spark: SparkSession, root: str, with_gold: bool = True, before_publi
         replaced = [f for f in folders if f.date in touched]
         after = changed.select("latest.*").select(*DATED_SCHEMA.names)
         held = _read_folders(spark, root, "silver", replaced, DATED_SCHEMA)
-        rows = held.join(after.select("event_id"), "event_id", "left_anti").select(*DATED_SCHEMA.names).unionByName(after)
+        # a join of few columns finds what the changed events were; where these are few, the held rows then need no shuffle of their own
+        before = held.join(after.select("event_id"), "event_id", "left_semi").select(*DATED_SCHEMA.names)
+        before = _staged(spark, contributions(before) if with_gold else before.select("event_id"), f"{root}/changes/held_v={batch_id}")
+        rows = held.join(before.select("event_id"), "event_id", "left_anti").select(*DATED_SCHEMA.names).unionByName(after)
         # a hot date is split over several tasks, small ones share one
         rows.hint("rebalance", DATE).write.mode("overwrite").partitionBy(DATE).parquet(f"{root}/silver/v={batch_id}")
         written, stats = _written(spark, root, "silver", batch_id), {"groups": 0, "stale_groups": 0, "silver_dates_read": 0}
         if with_gold:
-            before = held.join(after.select("event_id"), "event_id", "left_semi").select(*DATED_SCHEMA.names)
             gold_rows = _read_folders(spark, root, "gold", replaced, GOLD_SCHEMA)
-            stats = _write_gold(spark, root, batch_id, gold_rows, contributions(before), contributions(after))
+            stats = _write_gold(spark, root, batch_id, gold_rows, before, contributions(after))
             written += _written(spark, root, "gold", batch_id)
         if before_publish:
             before_publish(batch_id)

@@ -286,3 +286,23 @@ def test_an_evolving_batch_that_fails_is_not_seen(spark, tmp, monkeypatch):
     between = ev.read_evolving(spark, f"{tmp}/table")
     assert between.count() == 1 and "new" not in between.columns
     assert sorted((r.id, r.new) for r in _evolve(spark, tmp).collect()) == [("a", None), ("b", 1)]
+
+
+def test_every_poll_is_one_batch_of_as_many_files(spark, tmp):
+    """Later rows revise earlier ones: were a poll's files taken in two batches, an older version could load last."""
+    from seismiq.plans import queries as q
+    rows = spark.range(120_000).selectExpr("id as event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as ts", "id % 7 as user_id",
+                                           "'view' as event_type", "cast(id % 300 as double) as value", "'{\"k\": 5}' as props")
+    rows.repartitionByRange(2, "event_id").write.parquet(f"{tmp}/sf/events.parquet")
+    parts = [p.rdd.getNumPartitions() for p in q.polls(spark, f"{tmp}/sf")]
+    assert parts == [q.files_per_poll(20_000, spark.sparkContext.defaultParallelism)] * q.POLLS
+    bronze = spark.read.parquet(q._run_bronze(spark, f"{tmp}/sf"))
+    loads = bronze.groupBy(F.regexp_extract("source_file", "batch=([0-9]+)", 1).alias("poll")).agg(F.count_distinct("bronze_load_timestamp").alias("n"))
+    assert [r.n for r in loads.collect()] == [1] * q.POLLS
+    assert bronze.select("bronze_load_timestamp").distinct().count() == q.POLLS
+
+
+@pytest.mark.parametrize("rows, cores, files", [(0, 12, 1), (160, 12, 1), (17_000, 12, 4), (1_000_000, 12, 12), (6_000_000, 12, 36), (6_000_000, 1, 30)])
+def test_files_of_a_poll(rows, cores, files):
+    from seismiq.plans.queries import files_per_poll
+    assert files_per_poll(rows, cores) == files
