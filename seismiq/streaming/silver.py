@@ -6,10 +6,12 @@ event id, so a micro-batch reads the state of its own events and no history.
 The aggregation runs in update mode; ``foreachBatch`` receives the changed
 events.
 
-A batch N writes new folders ``silver/v=N/event_date=D`` for the dates that its
-events had and have: the rows of the dates' current folders without the changed
-events, and the changed events.  Nothing that a reader may be using is touched.
-The manifest (``sources.versions``) then switches all these dates, of Silver and
+A batch N writes new folders ``silver/v=N/event_date=D``: the changed events, and
+the other rows of those folders that held a changed event, which they replace.
+Folders without one stay in use, so a batch's work follows its own events; a date
+with ``MAX_FOLDERS`` of them is written as one.  Gold's folders of the dates that
+the events had and have are replaced.  Nothing that a reader may be using is touched.
+The manifest (``sources.versions``) then switches all these folders, of Silver and
 Gold, at once.  A batch that fails before that leaves the tables as they were;
 its replay writes the same folders again, and the replay of a published batch
 does nothing.  Folders that the last ``KEEP`` manifests do not name are deleted.
@@ -29,6 +31,7 @@ partition like any other.  At scale choose the RocksDB state store provider
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -39,7 +42,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timefmt import hour_of, parse_iso_utc
 from ..operators.dedup import BRONZE_ORDER, version_order
-from ..operators.silver import project_silver
+from ..operators.silver import classify, project_silver
 from ..sources import versions as vs
 from ..sources.schemas import FEED_SCHEMA
 
@@ -51,6 +54,8 @@ DATE = "event_date"
 DATED_SCHEMA = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(DATE, T.DateType())])
 NO_DATE, NULL_FOLDER = "none", "__HIVE_DEFAULT_PARTITION__"
 KEEP = 2
+# folders of a date before they are written as one
+MAX_FOLDERS = 8
 
 GROUP = ["event_hour", "severity", "region"]
 SUM_TYPE = "decimal(28, 9)"
@@ -95,13 +100,13 @@ class Folder(NamedTuple):
         return f"{self.layer}/v={self.version}/{DATE}={NULL_FOLDER if self.date == NO_DATE else self.date}"
 
 
-def _read_folders(spark: SparkSession, root: str, layer: str, folders: list[Folder], schema: T.StructType) -> DataFrame:
-    """Rows of the layer's folders among those given."""
+def _read_folders(spark: SparkSession, root: str, layer: str, folders: list[Folder], schema: T.StructType, *keep: str) -> DataFrame:
+    """Rows of the layer's folders among those given; ``keep`` may name ``v``, the folder's version."""
     paths = [f"{root}/{f.name}" for f in folders if f.layer == layer]
-    if not paths:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     with_version = T.StructType(schema.fields + [T.StructField("v", T.IntegerType())])
-    return spark.read.schema(with_version).option("basePath", f"{root}/{layer}").parquet(*paths).select(*schema.names)
+    if not paths:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in with_version.fields]).select(*schema.names, *keep)
+    return spark.read.schema(with_version).option("basePath", f"{root}/{layer}").parquet(*paths).select(*schema.names, *keep)
 
 
 def _folders(spark: SparkSession, root: str, version: int | None) -> list[Folder]:
@@ -136,9 +141,9 @@ def read_gold(spark: SparkSession, root: str, version: int | None = None, dated:
 # ---- Gold by retraction --------------------------------------------------------
 
 
-def contributions(silver_rows: DataFrame) -> DataFrame:
-    """Each event as a Gold group of its own: (event_id, own: the group's columns)."""
-    rows = project_silver(silver_rows.drop(DATE), stamp=False)
+def contributions(silver_rows: DataFrame, *keep: str) -> DataFrame:
+    """Each event as a Gold group of its own: (event_id, own: the group's columns), with the columns ``keep``."""
+    rows = classify(silver_rows)
 
     def number(flag: Column) -> Column:
         return F.when(flag, 1).otherwise(0).cast("bigint")
@@ -152,7 +157,7 @@ def contributions(silver_rows: DataFrame) -> DataFrame:
            "tsunami_count": number(F.col("tsunami_flag") == F.lit(True)), "alerted_events": number(F.col("alert_level") != F.lit("none")),
            "max_magnitude": F.col("magnitude"), "min_magnitude": F.col("magnitude"), "max_significance": F.col("significance"),
            "notable": F.struct("magnitude", "event_id", "place")}
-    return rows.select("event_id", F.struct(*[c.alias(n) for n, c in own.items()]).alias("own"))
+    return rows.select("event_id", F.struct(*[c.alias(n) for n, c in own.items()]).alias("own"), *keep)
 
 
 def signed_changes(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -188,15 +193,15 @@ def group_sums(rows: DataFrame) -> DataFrame:
             .withColumn(DATE, F.to_date("event_hour"))
 
 
-def _write_gold(spark: SparkSession, root: str, batch_id: int, held: DataFrame, before: DataFrame, after: DataFrame) -> dict:
-    """Write the Gold folders of the batch; returns how much was computed again."""
+def _write_gold(spark: SparkSession, root: str, batch_id: int, held: DataFrame, before: DataFrame, after: DataFrame, silver: list[Folder]) -> dict:
+    """Write the Gold folders of the batch, whose Silver is in the folders given; returns how much was computed again."""
     moved = _staged(spark, retracted(held, signed_changes(before, after)), f"{root}/changes/gold_v={batch_id}")
     per_date = moved.groupBy(_date_name().alias("date")).agg(F.count("*").alias("groups"), F.count_if("stale").alias("stale")).collect()
-    dates = [Folder("silver", r.date, batch_id) for r in per_date if r.stale]
+    dates = {r.date for r in per_date if r.stale}
     out = moved.where("not stale").select(*GOLD_SCHEMA.names)
     if dates:
         stale = moved.where("stale").select(*GROUP)
-        rows = contributions(_read_folders(spark, root, "silver", dates, DATED_SCHEMA))
+        rows = contributions(_read_folders(spark, root, "silver", [f for f in silver if f.date in dates], DATED_SCHEMA))
         same = F.lit(True)
         for c in GROUP:
             same = same & F.col(f"own.{c}").eqNullSafe(stale[c])
@@ -246,25 +251,31 @@ def _writer(spark: SparkSession, root: str, with_gold: bool = True, before_publi
         # names of dates, as many as the calendar has
         touched = {r[0] for r in changed.select(F.explode("dates")).distinct().collect()}
         folders = _folders(spark, root, vs.latest(spark, root))
-        replaced = [f for f in folders if f.date in touched]
+        silver = [f for f in folders if f.layer == "silver"]
+        moved = [f for f in silver if f.date in touched]
         after = changed.select("latest.*").select(*DATED_SCHEMA.names)
-        held = _read_folders(spark, root, "silver", replaced, DATED_SCHEMA)
-        # a join of few columns finds what the changed events were; where these are few, the held rows then need no shuffle of their own
-        before = held.join(after.select("event_id"), "event_id", "left_semi").select(*DATED_SCHEMA.names)
-        before = _staged(spark, contributions(before) if with_gold else before.select("event_id"), f"{root}/changes/held_v={batch_id}")
-        rows = held.join(before.select("event_id"), "event_id", "left_anti").select(*DATED_SCHEMA.names).unionByName(after)
+        # a join of few columns finds the changed events that are held, and their folders
+        held = _read_folders(spark, root, "silver", moved, DATED_SCHEMA, "v")
+        own = contributions(held, "v", DATE) if with_gold else held.select("event_id", "v", DATE)
+        before = _staged(spark, own.join(after.select("event_id"), "event_id", "left_semi"), f"{root}/changes/held_v={batch_id}")
+        hit = {Folder("silver", r.date, r.v) for r in before.select(_date_name().alias("date"), "v").distinct().collect()}
+        of_date = Counter(f.date for f in moved)
+        replaced = {f for f in moved if f in hit or of_date[f.date] >= MAX_FOLDERS}
+        rest = _read_folders(spark, root, "silver", sorted(replaced), DATED_SCHEMA).join(before.select("event_id"), "event_id", "left_anti")
+        rows = rest.select(*DATED_SCHEMA.names).unionByName(after)
         # a hot date is split over several tasks, small ones share one
         rows.hint("rebalance", DATE).write.mode("overwrite").partitionBy(DATE).parquet(f"{root}/silver/v={batch_id}")
-        written, stats = _written(spark, root, "silver", batch_id), {"groups": 0, "stale_groups": 0, "silver_dates_read": 0}
+        silver = [f for f in silver if f not in replaced] + _written(spark, root, "silver", batch_id)
+        gold, stats = [f for f in folders if f.layer == "gold" and f.date not in touched], {"groups": 0, "stale_groups": 0, "silver_dates_read": 0}
         if with_gold:
-            gold_rows = _read_folders(spark, root, "gold", replaced, GOLD_SCHEMA)
-            stats = _write_gold(spark, root, batch_id, gold_rows, before, contributions(after))
-            written += _written(spark, root, "gold", batch_id)
+            gold_rows = _read_folders(spark, root, "gold", [f for f in folders if f.date in touched], GOLD_SCHEMA)
+            stats = _write_gold(spark, root, batch_id, gold_rows, before.select("event_id", "own"), contributions(after), silver)
+            gold += _written(spark, root, "gold", batch_id)
         if before_publish:
             before_publish(batch_id)
         record = json.dumps({"batch_id": batch_id, "dates": len(touched), **stats})
         vs.write_text(spark, f"{root}/batches/{batch_id}.json", record)
-        vs.publish(spark, root, batch_id, [*[f for f in folders if f.date not in touched], *written])
+        vs.publish(spark, root, batch_id, [*silver, *gold])
         _vacuum(spark, root)
     return write_batch
 

@@ -306,3 +306,25 @@ def test_every_poll_is_one_batch_of_as_many_files(spark, tmp):
 def test_files_of_a_poll(rows, cores, files):
     from seismiq.plans.queries import files_per_poll
     assert files_per_poll(rows, cores) == files
+
+
+def test_a_batch_writes_only_folders_that_held_its_events(spark, tmp, monkeypatch):
+    """Folders of the same date without a changed event stay as they are, until a date has too many."""
+    monkeypatch.setattr(ss, "MAX_FOLDERS", 4)
+    land, bronze, root = (f"{tmp}/{x}" for x in ("land", "bronze", "layers"))
+
+    def step(i, *ids):
+        _put(f"{land}/b{i}/a.json", _rows(ids, ing=f"2024-03-{i + 1:02d}T00:00:00.000000Z", mag=float(i)))
+        _run(spark, land, bronze, f"{tmp}/ck1")
+        _stream(spark, bronze, root, f"{tmp}/ck2")
+        _check(spark, bronze, root)
+        return sorted(f.version for f in ss._folders(spark, root, i) if f.layer == "silver")
+
+    assert step(0, "a", "b") == [0]
+    assert step(1, "c") == [0, 1]
+    assert step(2, "d", "e") == [0, 1, 2]
+    assert step(3, "c") == [0, 2, 3]          # the folder of c alone
+    assert step(4, "a", "d") == [3, 4]        # b and e move along
+    assert step(5, "f") == [3, 4, 5]
+    assert step(6, "g") == [3, 4, 5, 6]
+    assert step(7, "h") == [7]                # too many: written as one
